@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions import exprs as x
+from lamina.operators.grid import candidate_pairs
 from lamina.operators.tables import edge_table, vertex_table, with_bounds
 from lamina.session import cut_lineage
 
@@ -100,13 +101,13 @@ def dissolve_measures(layer: DataFrame, by: list[str]) -> DataFrame:
 
 
 def trace_rings(edges: DataFrame, by: list[str]) -> DataFrame:
-    """Chain directed edges into rings: (by, ring, n, area, pts), ``ring`` numbering the first edge.
+    """Chain directed edges into rings: (by, ring, n, area, pts); ``ring`` is the first edge of the ring.
 
-    Every edge is followed by the edge leaving its end with the sharpest right turn.  Each
+    Every edge is followed by the edge leaving its end with the sharpest left turn.  Each
     edge then learns the smallest edge of its ring, and its distance to it, by pointer
     doubling: about log2(ring length) joins, whatever the number or size of the groups.
     """
-    ided = cut_lineage(edges.withColumn("id", F.expr(f"xxhash64({', '.join(by)}, x1, y1, x2, y2)")))
+    ided = cut_lineage(edges.withColumn("id", F.struct(*by, "x1", "y1", "x2", "y2")))
     out = ided.select(*by, F.col("id").alias("nid"), F.col("x1").alias("x2"), F.col("y1").alias("y2"),
                       F.col("x2").alias("qx"), F.col("y2").alias("qy"))
     # turn from the reversed arriving direction, clockwise, in (0, 2 pi]
@@ -150,10 +151,21 @@ def dissolve(layer: DataFrame, by: list[str], srid: int = 0) -> DataFrame:
     outer = rings.filter("area > 0").select(*by, "ring", "pts", "area")
     holes = rings.filter("area < 0").select(*by, F.col("ring").alias("hole"), F.col("pts").alias("hole_pts"))
     # a vertex of the hole that is not on the outer ring decides
-    es = x.ring_edges("pts")
-    spot = f"aggregate(hole_pts, 0, (ho_s, ho_v) -> IF(ho_s IN (1, -1), ho_s, CASE {x.locate('ho_v.x', 'ho_v.y', es)} WHEN 1 THEN 1 WHEN 0 THEN -1 ELSE 0 END))"
-    owned = outer.join(holes, by).filter(F.expr(f"{spot} = 1")).groupBy(*by, "hole").agg(
-        F.min_by("ring", F.struct("area", "ring")).alias("ring"), F.first("hole_pts").alias("hole_pts"))
+    es = x.ring_edges("b_pts")
+    spot = (
+        "aggregate(a_hole_pts, 0, (ho_s, ho_v) -> IF(ho_s <> 0, ho_s, "
+        f"CASE {x.locate('ho_v.x', 'ho_v.y', es)} WHEN 1 THEN 1 WHEN 0 THEN -1 ELSE 0 END))"
+    )
+
+    def boxed(df: DataFrame, pts: str) -> DataFrame:
+        return df.select("*", F.expr(f"inline(array({x.bounds(x.polygon(f'array({pts})'))}))"))
+
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}"))
+    inside = candidate_pairs(boxed(holes, "hole_pts"), boxed(outer, "pts")).filter(same).filter(F.expr(f"{spot} = 1"))
+    owned = inside.groupBy(*(F.col(f"a_{c}").alias(c) for c in by), F.col("a_hole").alias("hole")).agg(
+        F.min_by("b_ring", F.struct("b_area", "b_ring")).alias("ring"), F.first("a_hole_pts").alias("hole_pts"))
     grouped = owned.groupBy(*by, "ring").agg(F.collect_list("hole_pts").alias("_h"))
     joined = outer.join(grouped, [*by, "ring"], "left")
     none = f"CAST(array() AS ARRAY<{x.RING}>)"

@@ -155,7 +155,6 @@ def snap(layer: DataFrame, reference: DataFrame, tolerance: float, **options) ->
     moved = best.groupBy(F.col("a_fid").alias("fid")).agg(
         F.map_from_entries(F.collect_list(F.struct(place, "to"))).alias("_to"))
     spot = "_to[named_struct('part', sn_i, 'ring', sn_j, 'seq', sn_k)]"
-    ring = f"transform(sn_r, (sn_v, sn_k) -> coalesce(named_struct('x', {spot}.x, 'y', {spot}.y, 'z', sn_v.z), sn_v))"
     ring = f"transform(sn_r, (sn_v, sn_k) -> IF({spot} IS NULL, sn_v, {x.vertex(spot + '.x', spot + '.y', 'sn_v.z')}))"
     parts = "transform(geom.parts, (sn_p, sn_i) -> " + x.part("sn_p.kind", f"transform(sn_p.rings, (sn_r, sn_j) -> {ring})") + ")"
     joined = layer.join(moved, "fid", "left")

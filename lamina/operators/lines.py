@@ -45,12 +45,13 @@ def interpolate_tracks(vertices: DataFrame, order: list[str], fractions: list[fl
                        track_rows: int = TRACK_ROWS) -> DataFrame:
     """(fid, fraction, x, y): the places at the given fractions of each track's length."""
     steps = track_steps(vertices, order, track_rows).filter("seq > 1")
-    totals = steps.groupBy("fid").agg(F.sum("step").alias("total"))
+    totals = steps.groupBy("fid").agg(F.max("dist").alias("total"))
     at = F.explode(F.array(*map(F.lit, fractions))).alias("fraction")
     spans = steps.join(totals, "fid").select("fid", "seq", "x", "y", "prev_x", "prev_y", "step", "dist", "total", at)
     target = F.col("fraction") * F.col("total")
-    # the first span reaching the target; the last vertex of all spans guards against rounding
-    hit = spans.filter((F.col("dist") >= target) & ((F.col("dist") - F.col("step")) <= target))
+    # the first span reaching the target; the slack keeps it in spite of rounding
+    slack = F.lit(1e-9) * (F.lit(1.0) + F.col("total"))
+    hit = spans.filter((F.col("dist") >= target) & ((F.col("dist") - F.col("step")) <= target + slack))
     part = F.when(F.col("step") == 0, F.lit(0.0)).otherwise((target - (F.col("dist") - F.col("step"))) / F.col("step"))
     placed = hit.select(
         "fid", "fraction", "seq",
