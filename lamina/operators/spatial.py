@@ -13,6 +13,7 @@ from lamina.functions import exprs as x
 from lamina.functions import relate as r
 from lamina.operators.grid import candidate_pairs
 from lamina.operators.tables import BOUNDS, edge_runs, polygon_pieces, shapes, with_bounds
+from lamina.session import cut_lineage
 
 
 def _points(rows: DataFrame, keep: list[str]) -> DataFrame:
@@ -125,32 +126,35 @@ def near_pairs(a: DataFrame, b: DataFrame, within: float, a_dim: int | None = No
     return best.select("a_fid", "b_fid", "_m.dist", *(f"_m.{c}" for c in spots))
 
 
-def nearest(a: DataFrame, b: DataFrame, start: float, a_dim: int | None = None, b_dim: int | None = None,
-            **options) -> DataFrame:
+def nearest(a: DataFrame, b: DataFrame, start: float | None = None, a_dim: int | None = None,
+            b_dim: int | None = None, **options) -> DataFrame:
     """The nearest feature of ``b`` for every feature of ``a`` (ties: smallest b_fid).
 
-    Looks within ``start`` first and doubles the distance for the features still without a
-    neighbour, until the common extent is covered, so no full cross join is ever made.
+    Looks within ``start`` first (default: the spacing of ``b`` if it were spread evenly) and
+    doubles the distance for the features still without a neighbour, until the common extent
+    is covered, so no full cross join is ever made.
     """
-    from lamina.session import cut_lineage
-
     def extent(layer: DataFrame) -> DataFrame:
         return with_bounds(layer).agg(
-            F.min("xmin").alias("x0"), F.min("ymin").alias("y0"), F.max("xmax").alias("x1"), F.max("ymax").alias("y1"))
-
-    box = extent(a).unionByName(extent(b)).agg(F.min("x0"), F.min("y0"), F.max("x1"), F.max("y1")).first()
-    out, reach, todo = None, start, a
-    if any(v is None for v in box):
-        widest = start
-    else:
-        widest = ((box[2] - box[0]) ** 2 + (box[3] - box[1]) ** 2) ** 0.5
+            F.min("xmin").alias("x0"), F.min("ymin").alias("y0"), F.max("xmax").alias("x1"), F.max("ymax").alias("y1"),
+            F.count(F.lit(1)).alias("n"))
+
+    ea, eb = extent(a).first(), extent(b).first()
+    boxes = [e for e in (ea, eb) if e.x0 is not None]
+    width = max((e.x1 for e in boxes), default=0.0) - min((e.x0 for e in boxes), default=0.0)
+    height = max((e.y1 for e in boxes), default=0.0) - min((e.y0 for e in boxes), default=0.0)
+    widest = (width**2 + height**2) ** 0.5
+    reach = start or max((width * height / max(eb.n, 1)) ** 0.5, widest / 1024) or 1.0
+    out, todo = None, a
     while True:
         pairs = near_pairs(todo, b, reach, a_dim, b_dim, **options)
         best = pairs.groupBy("a_fid").agg(
             F.min_by(F.struct("b_fid", "dist", "ax", "ay", "bx", "by"), F.struct("dist", "b_fid")).alias("_m"))
         found = cut_lineage(best.select("a_fid", "_m.*"))
         out = found if out is None else out.unionByName(found)
+        if reach >= widest:
+            return out
         todo = cut_lineage(without_match(todo, found))
-        if reach >= widest or todo.isEmpty():
+        if todo.isEmpty():
             return out
         reach *= 2

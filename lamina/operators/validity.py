@@ -28,9 +28,14 @@ def _crossings(rings: DataFrame) -> DataFrame:
     i, j = f"(a_run * {RUN} + vc_i)", f"(b_run * {RUN} + vc_j)"
     apart = f"({j} > {i} + 1 AND NOT (closed AND {i} = 0 AND {j} = n - 1))"
     # neighbours share a vertex; they are wrong only when the second runs back over the first
+    def runs_back(first: str, second: str) -> str:
+        turn = x.orient(f"{first}.x1", f"{first}.y1", f"{first}.x2", f"{first}.y2", f"{second}.x2", f"{second}.y2")
+        dot = f"({first}.x2 - {first}.x1) * ({second}.x2 - {second}.x1) + ({first}.y2 - {first}.y1) * ({second}.y2 - {second}.y1)"
+        return f"({turn} = 0 AND {dot} < 0)"
+
     back = (
-        f"({j} = {i} + 1 AND {x.orient('vc_e.x1', 'vc_e.y1', 'vc_e.x2', 'vc_e.y2', 'vc_f.x2', 'vc_f.y2')} = 0 AND "
-        "(vc_e.x2 - vc_e.x1) * (vc_f.x2 - vc_f.x1) + (vc_e.y2 - vc_e.y1) * (vc_f.y2 - vc_f.y1) < 0)"
+        f"({j} = {i} + 1 AND {runs_back('vc_e', 'vc_f')}) OR "
+        f"(closed AND {i} = 0 AND {j} = n - 1 AND {j} > {i} AND {runs_back('vc_f', 'vc_e')})"
     )
     hit = (
         "array_contains(flatten(transform(a_es, (vc_e, vc_i) -> transform(b_es, (vc_f, vc_j) -> "

@@ -276,9 +276,9 @@ def _triangles(spark, sf):
     return ly.Layer(layer(spark, sf, "supplier_tri"), uid="fid", geometry="geom", gtype=3, srid=0)
 
 
-@query("req_subset", with_layers("part_box") + "SELECT fid, p_size FROM part_box WHERE p_size > 40 AND fid % 3 = 1")
+@query("req_subset", with_layers("part_box") + "SELECT fid, p_size FROM part_box WHERE p_size > 40 AND xmin < 500")
 def req_subset(spark, sf):
-    return _boxes(spark, sf).features(subset="P_Size > 40 AND fid % 3 = 1", columns=["p_size"], geometry=False)
+    return _boxes(spark, sf).features(subset="P_Size > 40 AND xmin < 500", columns=["p_size"], geometry=False)
 
 
 @query("req_rect_mbr", with_layers("supplier_tri") + """

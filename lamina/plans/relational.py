@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lamina.operators.grid import salted_join
 from lamina.plans.catalog import query, sql_query
 from lamina.plans.fixtures import table, views
 
@@ -19,9 +20,11 @@ sql_query("proj_expr", """
 @query("proj_const", """
     SELECT n_nationkey, 42 AS t, 'ok' || 'ok' AS t2, CAST(1.5 AS DOUBLE) AS f, CAST(NULL AS VARCHAR) AS nothing FROM nation""")
 def proj_const(spark, sf):
-    const = spark.sql("SELECT 42 AS t, 'ok' || 'ok' AS t2, 1.5D AS f, CAST(NULL AS STRING) AS nothing")
-    # the constant select has one row, so attaching it to every nation is a projection
-    return table(spark, sf, "nation").select("n_nationkey").join(F.broadcast(const), F.lit(True))
+    views(spark, sf)
+    # constant selects without FROM, used as values of a projection
+    return spark.sql("""
+        SELECT n_nationkey, (SELECT 42) AS t, (SELECT 'ok' || 'ok') AS t2, (SELECT 1.5D) AS f, (SELECT CAST(NULL AS STRING)) AS nothing
+        FROM nation""")
 
 
 sql_query("filter_logic", """
@@ -112,18 +115,25 @@ def join_using(spark, sf):
 sql_query("join_natural", """
     SELECT doc_id, lang, source, quality, toxic FROM documents NATURAL LEFT JOIN labels""")
 
-# orders placed within the same price step of a customer's balance: a range condition made an equi-join by a step key
-sql_query("join_theta", """
-    SELECT p.p_partkey, s.s_suppkey FROM (SELECT p_partkey, p_retailprice, explode(array(b - 1, b, b + 1)) AS step
-        FROM (SELECT *, floor(p_retailprice / 50) AS b FROM part)) p
-    JOIN (SELECT s_suppkey, s_acctbal, floor(s_acctbal / 50) AS step FROM supplier) s
-      ON p.step = s.step AND abs(p.p_retailprice - s.s_acctbal) < 50""", """
-    SELECT p.p_partkey, s.s_suppkey FROM part p JOIN supplier s ON abs(p.p_retailprice - s.s_acctbal) < 50""")
+@query("join_theta", """
+    SELECT p.p_partkey, s.s_suppkey FROM part p JOIN supplier s ON abs(p.p_retailprice - s.s_acctbal) < 2""")
+def join_theta(spark, sf):
+    # a band condition becomes an equi-join on value steps, each part looking into the neighbouring steps
+    # too; steps crowded with rows are split over tasks
+    step = F.floor(F.col("v") / 2)
+    parts = table(spark, sf, "part").select("p_partkey", F.col("p_retailprice").alias("v")).select(
+        "p_partkey", F.col("v").alias("price"), F.explode(F.array(step - 1, step, step + 1)).alias("step"))
+    suppliers = table(spark, sf, "supplier").select("s_suppkey", F.col("s_acctbal").alias("v")).select(
+        "s_suppkey", F.col("v").alias("balance"), step.alias("step"))
+    pairs = salted_join(parts, suppliers, ["step"], extra=F.abs(F.col("price") - F.col("balance")) < 2)
+    return pairs.select("p_partkey", "s_suppkey")
+
 
 sql_query("join_self_alias", """
-    SELECT a.s_suppkey AS a_key, b.s_suppkey AS b_key, a.s_nationkey, x.n FROM supplier AS a
-    JOIN supplier AS b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey < b.s_suppkey
-    JOIN (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY s_nationkey) AS x ON x.s_nationkey = a.s_nationkey""")
+    SELECT a.n_name AS a_name, b.n_name AS b_name, xa.n AS a_suppliers, xb.n AS b_suppliers FROM nation AS a
+    JOIN nation AS b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey
+    JOIN (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY s_nationkey) AS xa ON xa.s_nationkey = a.n_nationkey
+    JOIN (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY s_nationkey) AS xb ON xb.s_nationkey = b.n_nationkey""")
 
 sql_query("semi_in_exists", """
     SELECT 'in' AS kind, o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)
