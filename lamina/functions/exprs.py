@@ -565,13 +565,13 @@ def any_edges_touch(es: str, fs: str) -> str:
 
 
 def on_edge(px: str, py: str, e: str) -> str:
-    """Point on a closed segment, within a small relative tolerance."""
+    """Point on a closed segment, within a small relative tolerance; the box is tested first."""
     off = orient(f"{e}.x1", f"{e}.y1", f"{e}.x2", f"{e}.y2", px, py)
     span = f"(1 + abs({e}.x2 - {e}.x1) + abs({e}.y2 - {e}.y1))"
     return (
-        f"(abs({off}) <= {TOLERANCE} * {span} AND "
+        f"({py} >= least({e}.y1, {e}.y2) - {TOLERANCE} AND {py} <= greatest({e}.y1, {e}.y2) + {TOLERANCE} AND "
         f"{px} >= least({e}.x1, {e}.x2) - {TOLERANCE} AND {px} <= greatest({e}.x1, {e}.x2) + {TOLERANCE} AND "
-        f"{py} >= least({e}.y1, {e}.y2) - {TOLERANCE} AND {py} <= greatest({e}.y1, {e}.y2) + {TOLERANCE})"
+        f"abs({off}) <= {TOLERANCE} * {span})"
     )
 
 

@@ -31,8 +31,7 @@ def _pair(name: str) -> str:
             f"named_struct('es', {x.edges(g)}, 'dim', {x.dimension(g)}, 'ends', {x.ends(g)}, 'anchors', {x.anchors(g)})"
         )
 
-    body = x.let(r.facts("sa.", "sb."), "sf", r.predicate(name, "sf", "sa.dim", "sb.dim"))
-    return x.let(side("a"), "sa", x.let(side("b"), "sb", body))
+    return x.let(side("a"), "sa", x.let(side("b"), "sb", r.predicate(name, "sa.", "sb.")))
 
 
 def _distance(what: str) -> str:

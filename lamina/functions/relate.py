@@ -1,14 +1,12 @@
 """Named spatial relations of two features, from their edge arrays.
 
-Every edge of one feature is cut at its contacts with the edges of the other; the
-middle of each piece is then placed inside, outside or on the other feature.  What
-the named relations need is kept as a small bit mask per direction:
+Every edge of one feature is cut at its contacts with the edges of the other; the middle
+of each piece then lies inside, outside or on the border of the other feature.  A relation
+asks whether pieces of some kind exist, so most pairs are decided by the first few edges:
+the cheap tests (boxes, edges that cross properly) come first and stop the evaluation.
 
-    1  some piece lies in the interior of the other feature
-    2  some piece lies outside of it
-    4  some piece lies on its boundary
-
-plus, for two lines, whether they share a single point interior to both.
+The expressions refer to columns ``<side>es``, ``<side>dim``, ``<side>ends`` and
+``<side>anchors`` as made by :func:`lamina.operators.tables.shapes`.
 """
 
 from __future__ import annotations
@@ -18,6 +16,14 @@ from lamina.functions import exprs as x
 INSIDE, OUTSIDE, BORDER = 1, 2, 4
 
 
+def _near(e: str, f: str) -> str:
+    """The boxes of two edges meet."""
+    return (
+        f"greatest({e}.x1, {e}.x2) >= least({f}.x1, {f}.x2) AND least({e}.x1, {e}.x2) <= greatest({f}.x1, {f}.x2) AND "
+        f"greatest({e}.y1, {e}.y2) >= least({f}.y1, {f}.y2) AND least({e}.y1, {e}.y2) <= greatest({f}.y1, {f}.y2)"
+    )
+
+
 def _cuts(e: str, f: str) -> str:
     """Parameters in [0, 1] along edge ``e`` where edge ``f`` meets it."""
     dx, dy = f"({e}.x2 - {e}.x1)", f"({e}.y2 - {e}.y1)"
@@ -41,6 +47,16 @@ def _cuts(e: str, f: str) -> str:
     )
 
 
+def _middles(e: str, fs: str) -> str:
+    """Middle of every piece of an edge cut by the edges ``fs``."""
+    def mid(t: str) -> str:
+        return f"named_struct('x', {e}.x1 + {t} * ({e}.x2 - {e}.x1), 'y', {e}.y1 + {t} * ({e}.y2 - {e}.y1))"
+
+    cut = f"array_sort(array_distinct(concat(array(0D, 1D), flatten(transform(mi_n, mi_f -> {_cuts(e, 'mi_f')})))))"
+    pieces = x.let(cut, "mi_t", f"transform(sequence(1, size(mi_t) - 1), mi_i -> {mid('((mi_t[mi_i - 1] + mi_t[mi_i]) / 2)')})")
+    return x.let(f"filter({fs}, mi_g -> {_near(e, 'mi_g')})", "mi_n", f"IF(size(mi_n) = 0, array({mid('0.5D')}), {pieces})")
+
+
 def _place(px: str, py: str, fs: str, f_dim: str, f_ends: str) -> str:
     """Bit of a point against a feature of any dimension."""
     on_line = f"exists({fs}, pl_f -> {x.on_edge(px, py, 'pl_f')})"
@@ -52,19 +68,22 @@ def _place(px: str, py: str, fs: str, f_dim: str, f_ends: str) -> str:
     )
 
 
-def mask(es: str, fs: str, f_dim: str, f_ends: str) -> str:
-    """OR of the bits of all pieces of ``es`` against the feature with edges ``fs``."""
-    ts = f"array_sort(array_distinct(concat(array(0D, 1D), flatten(transform({fs}, ma_f -> {_cuts('ma_e', 'ma_f')})))))"
-    mid = "((ma_t[ma_i - 1] + ma_t[ma_i]) / 2)"
-    px, py = f"(ma_e.x1 + {mid} * (ma_e.x2 - ma_e.x1))", f"(ma_e.y1 + {mid} * (ma_e.y2 - ma_e.y1))"
-    one = x.let(f"named_struct('x', {px}, 'y', {py})", "ma_p", _place("ma_p.x", "ma_p.y", fs, f_dim, f_ends))
-    pieces = x.let(
-        ts, "ma_t", f"aggregate(sequence(1, size(ma_t) - 1), 0, (ma_s, ma_i) -> ma_s | {one})"
-    )
-    return f"aggregate({es}, 0, (ma_a, ma_e) -> ma_a | {pieces})"
+def some(a: str, b: str, bit: int) -> str:
+    """Some piece of ``a`` lies inside, outside or on the border of ``b``."""
+    place = _place("so_p.x", "so_p.y", f"{b}es", f"{b}dim", f"{b}ends")
+    return f"exists({a}es, so_e -> exists({_middles('so_e', f'{b}es')}, so_p -> {place} = {bit}))"
+
+
+def proper_cross(a: str, b: str) -> str:
+    """Two edges cross at a point interior to both."""
+    e, f = "pc_e", "pc_f"
+    fe = [x.orient(f"{f}.x1", f"{f}.y1", f"{f}.x2", f"{f}.y2", f"{e}.x{i}", f"{e}.y{i}") for i in (1, 2)]
+    ef = [x.orient(f"{e}.x1", f"{e}.y1", f"{e}.x2", f"{e}.y2", f"{f}.x{i}", f"{f}.y{i}") for i in (1, 2)]
+    strict = f"sign({fe[0]}) * sign({fe[1]}) < 0 AND sign({ef[0]}) * sign({ef[1]}) < 0"
+    return f"exists({a}es, {e} -> exists({b}es, {f} -> {_near(e, f)} AND {strict}))"
 
 
-def inner_contact(es: str, fs: str, e_ends: str, f_ends: str) -> str:
+def inner_contact(a: str, b: str) -> str:
     """Two lines share a point that is an end point of neither."""
     def near(v: str) -> str:
         return f"abs({v}.x - ic_p.x) <= {x.TOLERANCE} AND abs({v}.y - ic_p.y) <= {x.TOLERANCE}"
@@ -73,25 +92,8 @@ def inner_contact(es: str, fs: str, e_ends: str, f_ends: str) -> str:
         f"transform({_cuts('ic_e', 'ic_f')}, ic_t -> named_struct('x', ic_e.x1 + ic_t * (ic_e.x2 - ic_e.x1), "
         "'y', ic_e.y1 + ic_t * (ic_e.y2 - ic_e.y1)))"
     )
-    free = f"NOT exists({e_ends}, ic_v -> {near('ic_v')}) AND NOT exists({f_ends}, ic_w -> {near('ic_w')})"
-    return f"exists({es}, ic_e -> exists({fs}, ic_f -> exists({pts}, ic_p -> {free})))"
-
-
-def facts(a: str, b: str) -> str:
-    """struct<meets, ab, ba, inner> for columns <a>es, <a>dim, <a>ends and <b>es, <b>dim, <b>ends.
-
-    The masks and the contact test are evaluated only for features that meet at all.
-    """
-    ab = mask(f"{a}es", f"{b}es", f"{b}dim", f"{b}ends")
-    ba = mask(f"{b}es", f"{a}es", f"{a}dim", f"{a}ends")
-    inner = f"{a}dim = 1 AND {b}dim = 1 AND {inner_contact(f'{a}es', f'{b}es', f'{a}ends', f'{b}ends')}"
-    touch = x.any_edges_touch(f"{a}es", f"{b}es")
-    meets = f"({touch} OR {holds_anchor(a, b)} OR {holds_anchor(b, a)})"
-    return x.let(
-        meets, "fa_m",
-        f"named_struct('meets', fa_m, 'ab', IF(fa_m, {ab}, {OUTSIDE}), 'ba', IF(fa_m, {ba}, {OUTSIDE}), "
-        f"'inner', fa_m AND {inner})",
-    )
+    free = f"NOT exists({a}ends, ic_v -> {near('ic_v')}) AND NOT exists({b}ends, ic_w -> {near('ic_w')})"
+    return f"exists({a}es, ic_e -> exists({b}es, ic_f -> {_near('ic_e', 'ic_f')} AND exists({pts}, ic_p -> {free})))"
 
 
 def holds_anchor(outer: str, inner: str) -> str:
@@ -99,46 +101,69 @@ def holds_anchor(outer: str, inner: str) -> str:
     return f"({outer}dim = 2 AND exists({inner}anchors, ha_v -> {x.locate('ha_v.x', 'ha_v.y', f'{outer}es')} > 0))"
 
 
-def _has(m: str, bit: int) -> str:
-    return f"({m} & {bit} <> 0)"
+def meets(a: str, b: str) -> str:
+    """The features share a point: edges touch, or one lies wholly inside a polygon of the other."""
+    return f"({x.any_edges_touch(f'{a}es', f'{b}es')} OR {holds_anchor(a, b)} OR {holds_anchor(b, a)})"
 
 
-def _interiors_meet(f: str, ad: str, bd: str) -> str:
+def _inner(a: str, b: str) -> str:
+    """The interiors of two features meet."""
+    same = f"(NOT {some(a, b, OUTSIDE)} AND NOT {some(b, a, OUTSIDE)})"
+    return (
+        f"CASE WHEN {a}dim = 2 AND {b}dim = 2 THEN {proper_cross(a, b)} OR {some(a, b, INSIDE)} OR {some(b, a, INSIDE)} OR {same} "
+        f"WHEN {a}dim = 1 AND {b}dim = 1 THEN {inner_contact(a, b)} OR {some(a, b, INSIDE)} "
+        f"WHEN {a}dim <= {b}dim THEN {some(a, b, INSIDE)} ELSE {some(b, a, INSIDE)} END"
+    )
+
+
+def _within(a: str, b: str) -> str:
+    area = (
+        f"NOT {proper_cross(a, b)} AND NOT {some(a, b, OUTSIDE)} AND NOT {some(b, a, INSIDE)} "
+        f"AND ({some(a, b, INSIDE)} OR NOT {some(b, a, OUTSIDE)})"
+    )
     return (
-        f"CASE WHEN {ad} = 1 AND {bd} = 1 THEN {f}.inner OR {_has(f'{f}.ab', INSIDE)} "
-        f"WHEN {ad} = 2 AND {bd} = 2 THEN {_has(f'{f}.ab', INSIDE)} OR {_has(f'{f}.ba', INSIDE)} "
-        f"OR ({f}.ab = {BORDER} AND {f}.ba = {BORDER}) "
-        f"WHEN {ad} <= {bd} THEN {_has(f'{f}.ab', INSIDE)} ELSE {_has(f'{f}.ba', INSIDE)} END"
+        f"CASE WHEN {a}dim > {b}dim THEN false WHEN {a}dim = 2 THEN {area} "
+        f"WHEN {a}dim = 0 AND {b}dim = 0 THEN {some(a, b, INSIDE)} AND NOT {some(a, b, OUTSIDE)} "
+        f"ELSE NOT {some(a, b, OUTSIDE)} AND {some(a, b, INSIDE)} END"
     )
 
 
-def _within(m: str, back: str, ad: str, bd: str, inter: str) -> str:
-    return f"({ad} <= {bd} AND {inter} AND NOT {_has(m, OUTSIDE)} AND NOT ({ad} = 2 AND {_has(back, INSIDE)}))"
-
-
-def predicate(name: str, f: str = "facts", ad: str = "a_dim", bd: str = "b_dim") -> str:
-    """Boolean expression of a named relation over a :func:`facts` struct."""
-    inter = f"({_interiors_meet(f, ad, bd)})"
-    within = _within(f"{f}.ab", f"{f}.ba", ad, bd, inter)
-    contains = _within(f"{f}.ba", f"{f}.ab", bd, ad, inter)
-    table = {
-        "intersects": f"{f}.meets",
-        "disjoint": f"(NOT {f}.meets)",
-        "within": within,
-        "contains": contains,
-        "touches": f"({f}.meets AND NOT {inter})",
-        "overlaps": (
-            f"({ad} = {bd} AND {ad} > 0 AND {inter} AND NOT {within} AND NOT {contains} "
-            f"AND ({ad} = 2 OR {_has(f'{f}.ab', INSIDE)}))"
-        ),
-        "crosses": (
-            f"CASE WHEN {ad} = 1 AND {bd} = 1 THEN {f}.inner AND NOT {_has(f'{f}.ab', INSIDE)} "
-            f"WHEN {ad} = 1 AND {bd} = 2 THEN {_has(f'{f}.ab', INSIDE)} AND {_has(f'{f}.ab', OUTSIDE)} "
-            f"WHEN {ad} = 2 AND {bd} = 1 THEN {_has(f'{f}.ba', INSIDE)} AND {_has(f'{f}.ba', OUTSIDE)} "
-            "ELSE false END"
-        ),
-    }
-    return table[name]
+def predicate(name: str, a: str = "a_", b: str = "b_") -> str:
+    """Boolean expression of a named relation."""
+    if name == "intersects":
+        return meets(a, b)
+    if name == "disjoint":
+        return f"NOT {meets(a, b)}"
+    if name == "within":
+        return _within(a, b)
+    if name == "contains":
+        return _within(b, a)
+    if name == "touches":
+        return f"({x.any_edges_touch(f'{a}es', f'{b}es')} AND NOT ({_inner(a, b)}))"
+    if name == "overlaps":
+        ai, bi = some(a, b, INSIDE), some(b, a, INSIDE)
+        ao, bo = some(a, b, OUTSIDE), some(b, a, OUTSIDE)
+        # with nothing of a outside b, the two overlap only if a reaches over a hole of b
+        return (
+            f"CASE WHEN {a}dim <> {b}dim THEN false WHEN {a}dim < 2 THEN {ai} AND {ao} AND {bo} "
+            f"WHEN {proper_cross(a, b)} THEN true WHEN {ao} THEN {ai} OR ({bo} AND {bi}) ELSE {bi} AND ({bo} OR {ai}) END"
+        )
+    if name == "crosses":
+        return (
+            f"CASE WHEN {a}dim = 1 AND {b}dim = 1 THEN {inner_contact(a, b)} AND NOT {some(a, b, INSIDE)} "
+            f"WHEN {a}dim = 1 AND {b}dim = 2 THEN {some(a, b, INSIDE)} AND {some(a, b, OUTSIDE)} "
+            f"WHEN {a}dim = 2 AND {b}dim = 1 THEN {some(b, a, INSIDE)} AND {some(b, a, OUTSIDE)} "
+            f"WHEN {a}dim = 0 AND {b}dim > 0 THEN {some(a, b, INSIDE)} AND {some(a, b, OUTSIDE)} "
+            f"WHEN {b}dim = 0 AND {a}dim > 0 THEN {some(b, a, INSIDE)} AND {some(b, a, OUTSIDE)} ELSE false END"
+        )
+    raise ValueError(f"unknown relation {name}")
+
+
+# what the bounding boxes must satisfy for a relation to be possible, over a_xmin .. b_ymax
+BOX_RULES = {
+    "within": x.mbr_inside("a", "b", "_"),
+    "contains": x.mbr_inside("b", "a", "_"),
+}
 
 
 def edge_key(es: str) -> str:

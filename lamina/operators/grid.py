@@ -11,8 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lamina.functions import exprs as x
 from lamina.operators.tables import BOUNDS
+from lamina.sources.readers import is_geometry
 
 SMALL_BYTES = 64 << 20  # a side below this (checked) is broadcast
 HOT_ROWS = 1_000_000  # cells with more rows than this are split
@@ -61,22 +64,29 @@ def _sized(df: DataFrame, reach: float) -> DataFrame:
     return df.withColumn("_lv", F.when(side > 0, F.ceil(F.log(4.0, side)).cast("int")))
 
 
-def _census(a: DataFrame, b: DataFrame) -> tuple[dict, dict, dict]:
-    """Rows per level and estimated bytes of both sides, in one pass over narrow columns."""
+def _census(a: DataFrame, b: DataFrame) -> tuple[dict, dict]:
+    """Rows per level of both sides, in one pass over the bounds only."""
     def one(df: DataFrame, side: str) -> DataFrame:
-        edges = F.size("es") if "es" in df.columns else F.lit(0)
-        return df.select(F.lit(side).alias("side"), "_lv", edges.alias("e"))
+        return df.select(F.lit(side).alias("side"), "_lv")
 
-    rows = (
-        one(a, "a").unionByName(one(b, "b"))
-        .groupBy("side", "_lv").agg(F.count(F.lit(1)).alias("n"), F.sum("e").alias("e")).collect()
-    )  # one row per side and level: a few dozen at most
+    rows = one(a, "a").unionByName(one(b, "b")).groupBy("side", "_lv").count().collect()
     levels: dict = {"a": {}, "b": {}}
-    size = {"a": 0, "b": 0}
-    for r in rows:
-        levels[r.side][r._lv] = r.n
-        size[r.side] += r.n * 160 + (r.e or 0) * 48
-    return levels["a"], levels["b"], size
+    for r in rows:  # one row per side and level: a few dozen at most
+        levels[r["side"]][r["_lv"]] = r["count"]
+    return levels["a"], levels["b"]
+
+
+def _fits(df: DataFrame, n: int, spread: int, small_bytes: int) -> bool:
+    """Whether a side is certainly small once spread over its cells; looks at sizes only when few rows are left."""
+    row = 48 + 16 * len(df.columns)
+    if n * row * spread > small_bytes:
+        return False
+    sized = [F.size(f.name) if isinstance(f.dataType, T.ArrayType) else F.expr(x.n_points(f.name))
+             for f in df.schema.fields if isinstance(f.dataType, T.ArrayType) or is_geometry(f.dataType)]
+    if not sized:
+        return True
+    items = df.agg(F.coalesce(F.sum(sum(sized[1:], sized[0])), F.lit(0))).first()[0]
+    return (n * row + items * 48) * spread <= small_bytes
 
 
 def _kept_levels(la: dict, lb: dict) -> list[int]:
@@ -137,7 +147,8 @@ def candidate_pairs(a: DataFrame, b: DataFrame, reach: float = 0.0, *,
     distance.  Pass only the columns you need: they travel with the join.
     """
     a, b = _sized(a, reach), _sized(b, 0.0)
-    la, lb, size = _census(a, b)
+    la, lb = _census(a, b)
+    na, nb = sum(la.values()), sum(lb.values())
     kept = _kept_levels(la, lb)
     meets = F.expr("a_xmin <= b_xmax AND a_xmax >= b_xmin AND a_ymin <= b_ymax AND a_ymax >= b_ymin")
     if not kept:  # points against points: equal places
@@ -160,12 +171,10 @@ def candidate_pairs(a: DataFrame, b: DataFrame, reach: float = 0.0, *,
         )
         spread = 4 * len(kept)
 
-    if min(size.values()) * spread <= small_bytes:
-        if size["b"] <= size["a"]:
-            joined = left.join(F.broadcast(right), on)
-        else:
-            joined = F.broadcast(left).join(right, on)
-    elif (sum(la.values()) + sum(lb.values())) * spread > hot_rows:
+    small = "a" if na < nb else "b"
+    if _fits({"a": a, "b": b}[small], min(na, nb), spread, small_bytes):
+        joined = left.join(F.broadcast(right), on) if small == "b" else F.broadcast(left).join(right, on)
+    elif (na + nb) * spread > hot_rows:
         joined = salted_join(left, right, on, hot_rows)
     else:
         joined = left.join(right, on)

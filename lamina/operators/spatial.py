@@ -16,6 +16,9 @@ from lamina.operators.tables import BOUNDS, edge_runs, polygon_pieces, shapes, w
 from lamina.session import cut_lineage
 
 
+BIG_FEATURE = 2048  # vertices; features above this are cut into runs of edges
+
+
 def _points(rows: DataFrame, keep: list[str]) -> DataFrame:
     """Point rows with a box of no size."""
     x_, y_ = F.col("x"), F.col("y")
@@ -40,30 +43,49 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, **options) -> DataF
         "a_fid", "b_fid", F.when(F.col("_at") == 1, "inside").otherwise("boundary").alias("place"))
 
 
-def _has_kind(layer: DataFrame, kinds: tuple[int, ...]) -> DataFrame:
-    return layer.filter(F.expr(f"exists(geom.parts, hk_p -> hk_p.kind IN ({', '.join(map(str, kinds))}))"))
+def _plain(layers: list[DataFrame], dims: list[int | None]) -> bool:
+    """No feature is so big that it should be cut into runs before a join."""
+    longest = None
+    for layer, dim in zip(layers, dims):
+        if dim == 0:
+            continue
+        one = layer.select(F.expr(x.n_points("geom")).alias("n"))
+        longest = one if longest is None else longest.unionByName(one)
+    return longest is None or (longest.agg(F.max("n")).first()[0] or 0) <= BIG_FEATURE
 
 
 def intersecting_pairs(a: DataFrame, b: DataFrame, a_dim: int | None = None, b_dim: int | None = None,
                        **options) -> DataFrame:
     """Distinct (a_fid, b_fid) of features of any kind that share a point.
 
-    Either some edges touch, or one feature lies wholly inside a polygon of the other.  Give
-    the dimension of a layer (0 points, 1 lines, 2 polygons) when known to skip branches.
+    Either some edges touch, or one feature lies wholly inside a polygon of the other.  Features
+    of ordinary size are tested whole, in one join.  When a layer has very big features, their
+    outlines are joined in runs of edges, containment is found by point in polygon, and pairs
+    found more than once are merged.  Give the dimension of a layer (0 points, 1 lines,
+    2 polygons) when known to skip branches.
     """
+    if _plain([a, b], [a_dim, b_dim]):
+        pairs = candidate_pairs(shapes(a), shapes(b), **options)
+        return pairs.filter(F.expr(r.meets("a_", "b_"))).select("a_fid", "b_fid")
     found = []
-    if not (a_dim == 0 and b_dim == 2) and not (a_dim == 2 and b_dim == 0):
+    if {a_dim, b_dim} != {0, 2}:
         runs = candidate_pairs(edge_runs(a), edge_runs(b), **options)
         found.append(runs.filter(F.expr(x.any_edges_touch("a_es", "b_es"))).select("a_fid", "b_fid"))
+    pairs = None
+    for more in [*found, *_held(a, b, a_dim, b_dim, options)]:
+        pairs = more if pairs is None else pairs.unionByName(more)
+    return pairs.distinct()
+
+
+def _held(a: DataFrame, b: DataFrame, a_dim: int | None, b_dim: int | None, options: dict) -> list[DataFrame]:
+    """Pairs in which a polygon of one layer holds the first vertex of some part of the other."""
+    found = []
     if b_dim in (None, 2):
         found.append(point_in_polygon(_anchor_points(a), b, **options).select("a_fid", "b_fid"))
     if a_dim in (None, 2):
         held = point_in_polygon(_anchor_points(b), a, **options)
         found.append(held.select(F.col("b_fid").alias("a_fid"), F.col("a_fid").alias("b_fid")))
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
-    return pairs.distinct()
+    return found
 
 
 def left_spatial(a: DataFrame, pairs: DataFrame, columns: list[str]) -> DataFrame:
@@ -78,10 +100,10 @@ def without_match(a: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def related_pairs(a: DataFrame, b: DataFrame, relation: str, **options) -> DataFrame:
     """(a_fid, b_fid) for one of within, contains, touches, overlaps, crosses, intersects."""
-    sa, sb = shapes(a), shapes(b)
-    pairs = candidate_pairs(sa, sb, **options)
-    facts = pairs.select("a_fid", "b_fid", "a_dim", "b_dim", F.expr(f"inline(array(named_struct('facts', {r.facts('a_', 'b_')})))"))
-    return facts.filter(F.expr(r.predicate(relation))).select("a_fid", "b_fid")
+    pairs = candidate_pairs(shapes(a), shapes(b), **options)
+    if relation in r.BOX_RULES:
+        pairs = pairs.filter(r.BOX_RULES[relation])
+    return pairs.filter(F.expr(r.predicate(relation))).select("a_fid", "b_fid")
 
 
 def equal_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -104,21 +126,20 @@ def near_pairs(a: DataFrame, b: DataFrame, within: float, a_dim: int | None = No
     """(a_fid, b_fid, dist, ax, ay, bx, by) of features at most ``within`` apart.
 
     dist is 0 for features that meet; (ax, ay) and (bx, by) are the ends of the shortest
-    line between the two (a shared point when they meet; NULL when one lies inside the other).
+    line between the two outlines.
     """
+    spots = ("ax", "ay", "bx", "by")
+    if _plain([a, b], [a_dim, b_dim]):
+        # the widened box of ``a`` only selects pairs; edges and anchors are untouched by it
+        pairs = candidate_pairs(shapes(a), shapes(b), reach=within, **options)
+        near = pairs.select("a_fid", "b_fid", F.expr(r.meets("a_", "b_")).alias("_t"), F.expr(x.closest("a_es", "b_es")).alias("_n"))
+        whole = near.select("a_fid", "b_fid", F.expr("IF(_t, 0D, sqrt(_n.d2))").alias("dist"), *(f"_n.{c}" for c in spots))
+        return whole.filter(F.col("dist") <= within)
     runs = candidate_pairs(edge_runs(a), edge_runs(b), reach=within, **options)
     touch = x.any_edges_touch("a_es", "b_es")
     near = runs.select("a_fid", "b_fid", F.expr(touch).alias("_t"), F.expr(x.closest("a_es", "b_es")).alias("_n"))
-    measured = near.select(
-        "a_fid", "b_fid", F.expr("IF(_t, 0D, sqrt(_n.d2))").alias("dist"), "_n.ax", "_n.ay", "_n.bx", "_n.by")
-    inside = []
-    if b_dim in (None, 2):
-        inside.append(point_in_polygon(_anchor_points(a), b, **options).select("a_fid", "b_fid"))
-    if a_dim in (None, 2):
-        held = point_in_polygon(_anchor_points(b), a, **options)
-        inside.append(held.select(F.col("b_fid").alias("a_fid"), F.col("a_fid").alias("b_fid")))
-    spots = ("ax", "ay", "bx", "by")
-    for pairs in inside:
+    measured = near.select("a_fid", "b_fid", F.expr("IF(_t, 0D, sqrt(_n.d2))").alias("dist"), *(f"_n.{c}" for c in spots))
+    for pairs in _held(a, b, a_dim, b_dim, options):
         zero = pairs.select("a_fid", "b_fid", F.lit(0.0).alias("dist"), *(F.lit(None).cast("double").alias(c) for c in spots))
         measured = measured.unionByName(zero)
     best = measured.filter(F.col("dist") <= within).groupBy("a_fid", "b_fid").agg(

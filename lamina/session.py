@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
         **DEFAULTS,
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         **conf,
     }.items():
