@@ -47,14 +47,12 @@ def _cuts(e: str, f: str) -> str:
     )
 
 
-def _middles(e: str, fs: str) -> str:
-    """Middle of every piece of an edge cut by the edges ``fs``."""
-    def mid(t: str) -> str:
-        return f"named_struct('x', {e}.x1 + {t} * ({e}.x2 - {e}.x1), 'y', {e}.y1 + {t} * ({e}.y2 - {e}.y1))"
-
-    cut = f"array_sort(array_distinct(concat(array(0D, 1D), flatten(transform(mi_n, mi_f -> {_cuts(e, 'mi_f')})))))"
-    pieces = x.let(cut, "mi_t", f"transform(sequence(1, size(mi_t) - 1), mi_i -> {mid('((mi_t[mi_i - 1] + mi_t[mi_i]) / 2)')})")
-    return x.let(f"filter({fs}, mi_g -> {_near(e, 'mi_g')})", "mi_n", f"IF(size(mi_n) = 0, array({mid('0.5D')}), {pieces})")
+def _middles(e: str, near: str) -> str:
+    """Middle of every piece of an edge cut by the edges ``near`` to it."""
+    cut = f"sort_array(array_distinct(concat(array(0D, 1D), flatten(transform({near}, mi_f -> {_cuts(e, 'mi_f')})))))"
+    t = "((mi_t[mi_i - 1] + mi_t[mi_i]) / 2)"
+    mid = f"named_struct('x', {e}.x1 + {t} * ({e}.x2 - {e}.x1), 'y', {e}.y1 + {t} * ({e}.y2 - {e}.y1))"
+    return x.let(cut, "mi_t", f"transform(sequence(1, size(mi_t) - 1), mi_i -> {mid})")
 
 
 def _place(px: str, py: str, fs: str, f_dim: str, f_ends: str) -> str:
@@ -69,9 +67,20 @@ def _place(px: str, py: str, fs: str, f_dim: str, f_ends: str) -> str:
 
 
 def some(a: str, b: str, bit: int) -> str:
-    """Some piece of ``a`` lies inside, outside or on the border of ``b``."""
-    place = _place("so_p.x", "so_p.y", f"{b}es", f"{b}dim", f"{b}ends")
-    return f"exists({a}es, so_e -> exists({_middles('so_e', f'{b}es')}, so_p -> {place} = {bit}))"
+    """Some piece of ``a`` lies inside or outside ``b``.
+
+    A vertex of ``a`` in the open inside or outside settles it; only edges near an edge of
+    ``b`` can hide pieces of another kind than their vertices, so only those are cut.
+    """
+    def place(px: str, py: str) -> str:
+        return f"{_place(px, py, f'{b}es', f'{b}dim', f'{b}ends')} = {bit}"
+
+    vertex = f"exists({a}es, so_v -> {place('so_v.x1', 'so_v.y1')})"
+    if bit == INSIDE:  # a vertex on a line is no piece of it
+        vertex = f"(({b}dim = 2 OR {a}dim = 0) AND {vertex})"
+    near = f"filter({b}es, so_g -> {_near('so_e', 'so_g')})"
+    pieces = x.let(near, "so_n", f"size(so_n) > 0 AND exists({_middles('so_e', 'so_n')}, so_p -> {place('so_p.x', 'so_p.y')})")
+    return f"({vertex} OR ({a}dim > 0 AND exists({a}es, so_e -> {pieces})))"
 
 
 def proper_cross(a: str, b: str) -> str:
@@ -110,7 +119,7 @@ def _inner(a: str, b: str) -> str:
     """The interiors of two features meet."""
     same = f"(NOT {some(a, b, OUTSIDE)} AND NOT {some(b, a, OUTSIDE)})"
     return (
-        f"CASE WHEN {a}dim = 2 AND {b}dim = 2 THEN {proper_cross(a, b)} OR {some(a, b, INSIDE)} OR {some(b, a, INSIDE)} OR {same} "
+        f"CASE WHEN {a}dim = 2 AND {b}dim = 2 THEN {some(a, b, INSIDE)} OR {some(b, a, INSIDE)} OR {same} "
         f"WHEN {a}dim = 1 AND {b}dim = 1 THEN {inner_contact(a, b)} OR {some(a, b, INSIDE)} "
         f"WHEN {a}dim <= {b}dim THEN {some(a, b, INSIDE)} ELSE {some(b, a, INSIDE)} END"
     )
@@ -118,7 +127,7 @@ def _inner(a: str, b: str) -> str:
 
 def _within(a: str, b: str) -> str:
     area = (
-        f"NOT {proper_cross(a, b)} AND NOT {some(a, b, OUTSIDE)} AND NOT {some(b, a, INSIDE)} "
+        f"NOT {some(a, b, OUTSIDE)} AND NOT {some(b, a, INSIDE)} "
         f"AND ({some(a, b, INSIDE)} OR NOT {some(b, a, OUTSIDE)})"
     )
     return (

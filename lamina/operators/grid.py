@@ -19,6 +19,7 @@ from lamina.sources.readers import is_geometry
 
 SMALL_BYTES = 64 << 20  # a side below this (checked) is broadcast
 HOT_ROWS = 1_000_000  # cells with more rows than this are split
+FEW_ROWS = 2_000_000  # up to here a side is spread over all tasks before it is joined
 RARE_LEVEL = 0.05  # levels holding less than this share join the next coarser one
 
 
@@ -48,7 +49,7 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], hot_rows: int
 
     l = spread(left, "_nl", "_sl", "_nr", "_sr")
     r = spread(right, "_nr", "_sr", "_nl", "_sl")
-    joined = l.join(r, [*on, "_sl", "_sr"])
+    joined = l.join(r.hint("merge"), [*on, "_sl", "_sr"])
     return (joined if extra is None else joined.filter(extra)).drop("_sl", "_sr")
 
 
@@ -173,15 +174,29 @@ def candidate_pairs(a: DataFrame, b: DataFrame, reach: float = 0.0, *,
 
     small = "a" if na < nb else "b"
     if _fits({"a": a, "b": b}[small], min(na, nb), spread, small_bytes):
+        # the streamed side keeps the splits of its files; few rows may sit in one split, so spread them
+        if max(na, nb) <= FEW_ROWS:
+            tasks = a.sparkSession.sparkContext.defaultParallelism
+            left, right = (left.repartition(tasks), right) if small == "b" else (left, right.repartition(tasks))
         joined = left.join(F.broadcast(right), on) if small == "b" else F.broadcast(left).join(right, on)
     elif (na + nb) * spread > hot_rows:
         joined = salted_join(left, right, on, hot_rows)
     else:
-        joined = left.join(right, on)
+        # no proven bound on either side, so not left to a size estimate either
+        joined = left.join(right.hint("merge"), on)
     sides = [f"a_{c}" for c in a.columns if c != "_lv"] + [f"b_{c}" for c in b.columns if c != "_lv"]
     return joined.filter(exact).select(*sides)
 
 
+def keep_pairs(pairs: DataFrame, predicate: str) -> DataFrame:
+    """Pairs satisfying a costly predicate.
+
+    The predicate is evaluated on the joined rows: left to itself the optimizer would move it
+    into the join condition, where it also runs for rows that only share a cell.
+    """
+    return pairs.select("*", F.explode(F.array(F.expr(predicate))).alias("_keep")).filter("_keep").drop("_keep")
+
+
 def box_pairs(a: DataFrame, b: DataFrame, where: str | None = None, **options) -> DataFrame:
     """(a_fid, b_fid) of boxes that meet and satisfy a predicate over a_xmin .. b_ymax."""
     pairs = candidate_pairs(a.select("fid", *BOUNDS), b.select("fid", *BOUNDS), **options)

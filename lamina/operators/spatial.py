@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lamina.functions import exprs as x
 from lamina.functions import relate as r
-from lamina.operators.grid import candidate_pairs
+from lamina.operators.grid import candidate_pairs, keep_pairs
 from lamina.operators.tables import BOUNDS, edge_runs, polygon_pieces, shapes, with_bounds
 from lamina.session import cut_lineage
 
@@ -38,7 +38,7 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, **options) -> DataF
     """
     pairs = candidate_pairs(_points(points, ["fid"]), polygon_pieces(polygons), **options)
     mine = pairs.filter("b_top OR a_y < b_ymax")
-    placed = mine.select("a_fid", "b_fid", F.expr(x.locate("a_x", "a_y", "b_es")).alias("_at"))
+    placed = mine.select("a_fid", "b_fid", F.explode(F.array(F.expr(x.locate("a_x", "a_y", "b_es")))).alias("_at"))
     return placed.filter("_at > 0").select(
         "a_fid", "b_fid", F.when(F.col("_at") == 1, "inside").otherwise("boundary").alias("place"))
 
@@ -66,11 +66,11 @@ def intersecting_pairs(a: DataFrame, b: DataFrame, a_dim: int | None = None, b_d
     """
     if _plain([a, b], [a_dim, b_dim]):
         pairs = candidate_pairs(shapes(a), shapes(b), **options)
-        return pairs.filter(F.expr(r.meets("a_", "b_"))).select("a_fid", "b_fid")
+        return keep_pairs(pairs, r.meets("a_", "b_")).select("a_fid", "b_fid")
     found = []
     if {a_dim, b_dim} != {0, 2}:
         runs = candidate_pairs(edge_runs(a), edge_runs(b), **options)
-        found.append(runs.filter(F.expr(x.any_edges_touch("a_es", "b_es"))).select("a_fid", "b_fid"))
+        found.append(keep_pairs(runs, x.any_edges_touch("a_es", "b_es")).select("a_fid", "b_fid"))
     pairs = None
     for more in [*found, *_held(a, b, a_dim, b_dim, options)]:
         pairs = more if pairs is None else pairs.unionByName(more)
@@ -103,7 +103,7 @@ def related_pairs(a: DataFrame, b: DataFrame, relation: str, **options) -> DataF
     pairs = candidate_pairs(shapes(a), shapes(b), **options)
     if relation in r.BOX_RULES:
         pairs = pairs.filter(r.BOX_RULES[relation])
-    return pairs.filter(F.expr(r.predicate(relation))).select("a_fid", "b_fid")
+    return keep_pairs(pairs, r.predicate(relation)).select("a_fid", "b_fid")
 
 
 def equal_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -121,6 +121,13 @@ def equal_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     return keyed(a, "a").join(keyed(b, "b"), on).filter("_akey = _bkey").select("a_fid", "b_fid")
 
 
+def _measured(pairs: DataFrame, meet: str) -> DataFrame:
+    """Distance and closest places of joined pairs of edge sets."""
+    near = f"named_struct('t', {meet}, 'n', {x.closest('a_es', 'b_es')})"
+    once = pairs.select("a_fid", "b_fid", F.explode(F.array(F.expr(near))).alias("_m"))
+    return once.select("a_fid", "b_fid", F.expr("IF(_m.t, 0D, sqrt(_m.n.d2))").alias("dist"), *(f"_m.n.{c}" for c in ("ax", "ay", "bx", "by")))
+
+
 def near_pairs(a: DataFrame, b: DataFrame, within: float, a_dim: int | None = None, b_dim: int | None = None,
                **options) -> DataFrame:
     """(a_fid, b_fid, dist, ax, ay, bx, by) of features at most ``within`` apart.
@@ -132,13 +139,9 @@ def near_pairs(a: DataFrame, b: DataFrame, within: float, a_dim: int | None = No
     if _plain([a, b], [a_dim, b_dim]):
         # the widened box of ``a`` only selects pairs; edges and anchors are untouched by it
         pairs = candidate_pairs(shapes(a), shapes(b), reach=within, **options)
-        near = pairs.select("a_fid", "b_fid", F.expr(r.meets("a_", "b_")).alias("_t"), F.expr(x.closest("a_es", "b_es")).alias("_n"))
-        whole = near.select("a_fid", "b_fid", F.expr("IF(_t, 0D, sqrt(_n.d2))").alias("dist"), *(f"_n.{c}" for c in spots))
-        return whole.filter(F.col("dist") <= within)
+        return _measured(pairs, r.meets("a_", "b_")).filter(F.col("dist") <= within)
     runs = candidate_pairs(edge_runs(a), edge_runs(b), reach=within, **options)
-    touch = x.any_edges_touch("a_es", "b_es")
-    near = runs.select("a_fid", "b_fid", F.expr(touch).alias("_t"), F.expr(x.closest("a_es", "b_es")).alias("_n"))
-    measured = near.select("a_fid", "b_fid", F.expr("IF(_t, 0D, sqrt(_n.d2))").alias("dist"), *(f"_n.{c}" for c in spots))
+    measured = _measured(runs, x.any_edges_touch("a_es", "b_es"))
     for pairs in _held(a, b, a_dim, b_dim, options):
         zero = pairs.select("a_fid", "b_fid", F.lit(0.0).alias("dist"), *(F.lit(None).cast("double").alias(c) for c in spots))
         measured = measured.unionByName(zero)
