@@ -11,6 +11,8 @@ and ``st_setsrid`` only as ``Srid`` and ``SetSrid``.
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import SparkSession
 
 from lamina.functions import exprs as x
@@ -157,13 +159,18 @@ def definitions() -> list[tuple[list[str], str, str, str]]:
     return out
 
 
+_DONE: WeakKeyDictionary = WeakKeyDictionary()  # session -> names it already has
+
+
 def register_functions(spark: SparkSession, only: list[str] | None = None) -> None:
     """Create the temporary SQL functions (all, or ``only`` some) once per session."""
-    wanted = None if only is None else {n.lower() for n in only}
+    done = _DONE.setdefault(spark, set())
+    wanted = None if only is None else {n.lower() for n in only} - done
+    if wanted is not None and not wanted:
+        return
     for names, params, returns, body in definitions():
         for name in names:
-            if wanted is not None and name.lower() not in wanted:
-                continue
-            if spark.catalog.functionExists(name):
-                continue
-            spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {returns} RETURN {body}")
+            low = name.lower()
+            if low not in done and (wanted is None or low in wanted):
+                spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {returns} RETURN {body}")
+                done.add(low)

@@ -11,6 +11,8 @@ The expressions refer to columns ``<side>es``, ``<side>dim``, ``<side>ends`` and
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from lamina.functions import exprs as x
 
 INSIDE, OUTSIDE, BORDER = 1, 2, 4
@@ -55,44 +57,72 @@ def _middles(e: str, near: str) -> str:
     return x.let(cut, "mi_t", f"transform(sequence(1, size(mi_t) - 1), mi_i -> {mid})")
 
 
-def _place(px: str, py: str, fs: str, f_dim: str, f_ends: str) -> str:
+@dataclass(frozen=True)
+class Side:
+    """Column prefix of one feature, with its dimension (0, 1, 2) when the whole layer has the same."""
+
+    prefix: str
+    dim: int | None = None
+
+    def __getattr__(self, name: str) -> str:
+        return self.prefix + name
+
+
+def _cases(*branches: tuple[list[tuple[Side, int]], str], default: str) -> str:
+    """CASE over dimensions: each branch names the sides and their dimensions.
+
+    Branches ruled out by known dimensions are left out of the text.
+    """
+    out = []
+    for wanted, then in branches:
+        if any(s.dim not in (None, d) for s, d in wanted):
+            continue
+        open_tests = [f"{s.prefix}dim = {d}" for s, d in wanted if s.dim is None]
+        if not open_tests:
+            default = then
+            break
+        out.append(f"WHEN {' AND '.join(open_tests)} THEN {then}")
+    return f"(CASE {' '.join(out)} ELSE {default} END)" if out else f"({default})"
+
+
+def _place(px: str, py: str, f: Side) -> str:
     """Bit of a point against a feature of any dimension."""
-    on_line = f"exists({fs}, pl_f -> {x.on_edge(px, py, 'pl_f')})"
-    at_end = f"exists({f_ends}, pl_v -> pl_v.x = {px} AND pl_v.y = {py})"
-    in_area = f"CASE {x.locate(px, py, fs)} WHEN 1 THEN {INSIDE} WHEN 2 THEN {BORDER} ELSE {OUTSIDE} END"
-    return (
-        f"CASE WHEN {f_dim} = 2 THEN {in_area} WHEN {at_end} THEN {BORDER} "
-        f"WHEN {on_line} THEN {INSIDE} ELSE {OUTSIDE} END"
-    )
+    on_line = f"exists({f.es}, pl_f -> {x.on_edge(px, py, 'pl_f')})"
+    at_end = f"exists({f.ends}, pl_v -> pl_v.x = {px} AND pl_v.y = {py})"
+    in_area = f"CASE {x.locate(px, py, f.es)} WHEN 1 THEN {INSIDE} WHEN 2 THEN {BORDER} ELSE {OUTSIDE} END"
+    thin = f"CASE WHEN {at_end} THEN {BORDER} WHEN {on_line} THEN {INSIDE} ELSE {OUTSIDE} END"
+    return _cases(([(f, 2)], in_area), default=thin)
 
 
-def some(a: str, b: str, bit: int) -> str:
+def some(a: Side, b: Side, bit: int) -> str:
     """Some piece of ``a`` lies inside or outside ``b``.
 
     A vertex of ``a`` in the open inside or outside settles it; only edges near an edge of
     ``b`` can hide pieces of another kind than their vertices, so only those are cut.
     """
     def place(px: str, py: str) -> str:
-        return f"{_place(px, py, f'{b}es', f'{b}dim', f'{b}ends')} = {bit}"
+        return f"{_place(px, py, b)} = {bit}"
 
-    vertex = f"exists({a}es, so_v -> {place('so_v.x1', 'so_v.y1')})"
-    if bit == INSIDE:  # a vertex on a line is no piece of it
-        vertex = f"(({b}dim = 2 OR {a}dim = 0) AND {vertex})"
-    near = f"filter({b}es, so_g -> {_near('so_e', 'so_g')})"
-    pieces = x.let(near, "so_n", f"size(so_n) > 0 AND exists({_middles('so_e', 'so_n')}, so_p -> {place('so_p.x', 'so_p.y')})")
-    return f"({vertex} OR ({a}dim > 0 AND exists({a}es, so_e -> {pieces})))"
+    vertex = f"exists({a.es}, so_v -> {place('so_v.x1', 'so_v.y1')})"
+    near = f"filter({b.es}, so_g -> {_near('so_e', 'so_g')})"
+    cut = x.let(near, "so_n", f"size(so_n) > 0 AND exists({_middles('so_e', 'so_n')}, so_p -> {place('so_p.x', 'so_p.y')})")
+    pieces = f"exists({a.es}, so_e -> {cut})"
+    if bit == OUTSIDE:
+        return _cases(([(a, 0)], vertex), default=f"{vertex} OR {pieces}")
+    # a vertex on a line is no piece of it
+    return _cases(([(a, 0)], vertex), ([(b, 2)], f"{vertex} OR {pieces}"), default=pieces)
 
 
-def proper_cross(a: str, b: str) -> str:
+def proper_cross(a: Side, b: Side) -> str:
     """Two edges cross at a point interior to both."""
     e, f = "pc_e", "pc_f"
     fe = [x.orient(f"{f}.x1", f"{f}.y1", f"{f}.x2", f"{f}.y2", f"{e}.x{i}", f"{e}.y{i}") for i in (1, 2)]
     ef = [x.orient(f"{e}.x1", f"{e}.y1", f"{e}.x2", f"{e}.y2", f"{f}.x{i}", f"{f}.y{i}") for i in (1, 2)]
     strict = f"sign({fe[0]}) * sign({fe[1]}) < 0 AND sign({ef[0]}) * sign({ef[1]}) < 0"
-    return f"exists({a}es, {e} -> exists({b}es, {f} -> {_near(e, f)} AND {strict}))"
+    return f"exists({a.es}, {e} -> exists({b.es}, {f} -> {_near(e, f)} AND {strict}))"
 
 
-def inner_contact(a: str, b: str) -> str:
+def inner_contact(a: Side, b: Side) -> str:
     """Two lines share a point that is an end point of neither."""
     def near(v: str) -> str:
         return f"abs({v}.x - ic_p.x) <= {x.TOLERANCE} AND abs({v}.y - ic_p.y) <= {x.TOLERANCE}"
@@ -101,44 +131,43 @@ def inner_contact(a: str, b: str) -> str:
         f"transform({_cuts('ic_e', 'ic_f')}, ic_t -> named_struct('x', ic_e.x1 + ic_t * (ic_e.x2 - ic_e.x1), "
         "'y', ic_e.y1 + ic_t * (ic_e.y2 - ic_e.y1)))"
     )
-    free = f"NOT exists({a}ends, ic_v -> {near('ic_v')}) AND NOT exists({b}ends, ic_w -> {near('ic_w')})"
-    return f"exists({a}es, ic_e -> exists({b}es, ic_f -> {_near('ic_e', 'ic_f')} AND exists({pts}, ic_p -> {free})))"
+    free = f"NOT exists({a.ends}, ic_v -> {near('ic_v')}) AND NOT exists({b.ends}, ic_w -> {near('ic_w')})"
+    return f"exists({a.es}, ic_e -> exists({b.es}, ic_f -> {_near('ic_e', 'ic_f')} AND exists({pts}, ic_p -> {free})))"
 
 
-def holds_anchor(outer: str, inner: str) -> str:
+def holds_anchor(outer: Side, inner: Side) -> str:
     """A polygon feature holds the first vertex of some part of the other feature."""
-    return f"({outer}dim = 2 AND exists({inner}anchors, ha_v -> {x.locate('ha_v.x', 'ha_v.y', f'{outer}es')} > 0))"
+    held = f"exists({inner.anchors}, ha_v -> {x.locate('ha_v.x', 'ha_v.y', outer.es)} > 0)"
+    return _cases(([(outer, 2)], held), default="false")
 
 
-def meets(a: str, b: str) -> str:
+def meets(a: Side, b: Side) -> str:
     """The features share a point: edges touch, or one lies wholly inside a polygon of the other."""
-    return f"({x.any_edges_touch(f'{a}es', f'{b}es')} OR {holds_anchor(a, b)} OR {holds_anchor(b, a)})"
+    return f"({x.any_edges_touch(a.es, b.es)} OR {holds_anchor(a, b)} OR {holds_anchor(b, a)})"
 
 
-def _inner(a: str, b: str) -> str:
+def _inner(a: Side, b: Side) -> str:
     """The interiors of two features meet."""
+    ai, bi = some(a, b, INSIDE), some(b, a, INSIDE)
     same = f"(NOT {some(a, b, OUTSIDE)} AND NOT {some(b, a, OUTSIDE)})"
-    return (
-        f"CASE WHEN {a}dim = 2 AND {b}dim = 2 THEN {some(a, b, INSIDE)} OR {some(b, a, INSIDE)} OR {same} "
-        f"WHEN {a}dim = 1 AND {b}dim = 1 THEN {inner_contact(a, b)} OR {some(a, b, INSIDE)} "
-        f"WHEN {a}dim <= {b}dim THEN {some(a, b, INSIDE)} ELSE {some(b, a, INSIDE)} END"
-    )
+    return _cases(
+        ([(a, 2), (b, 2)], f"{ai} OR {bi} OR {same}"),
+        ([(a, 1), (b, 1)], f"{inner_contact(a, b)} OR {ai}"),
+        ([(a, 0)], ai), ([(b, 2)], ai), default=bi)
 
 
-def _within(a: str, b: str) -> str:
-    area = (
-        f"NOT {some(a, b, OUTSIDE)} AND NOT {some(b, a, INSIDE)} "
-        f"AND ({some(a, b, INSIDE)} OR NOT {some(b, a, OUTSIDE)})"
-    )
-    return (
-        f"CASE WHEN {a}dim > {b}dim THEN false WHEN {a}dim = 2 THEN {area} "
-        f"WHEN {a}dim = 0 AND {b}dim = 0 THEN {some(a, b, INSIDE)} AND NOT {some(a, b, OUTSIDE)} "
-        f"ELSE NOT {some(a, b, OUTSIDE)} AND {some(a, b, INSIDE)} END"
-    )
+def _within(a: Side, b: Side) -> str:
+    ai, ao = some(a, b, INSIDE), some(a, b, OUTSIDE)
+    area = f"NOT {ao} AND NOT {some(b, a, INSIDE)} AND ({ai} OR NOT {some(b, a, OUTSIDE)})"
+    return _cases(
+        ([(a, 2), (b, 2)], area), ([(a, 2)], "false"), ([(a, 1), (b, 0)], "false"), default=f"NOT {ao} AND {ai}")
 
 
-def predicate(name: str, a: str = "a_", b: str = "b_") -> str:
+def predicate(name: str, a: Side | str = "a_", b: Side | str = "b_") -> str:
     """Boolean expression of a named relation."""
+    a, b = (Side(s) if isinstance(s, str) else s for s in (a, b))
+    ai, bi = some(a, b, INSIDE), some(b, a, INSIDE)
+    ao, bo = some(a, b, OUTSIDE), some(b, a, OUTSIDE)
     if name == "intersects":
         return meets(a, b)
     if name == "disjoint":
@@ -148,23 +177,20 @@ def predicate(name: str, a: str = "a_", b: str = "b_") -> str:
     if name == "contains":
         return _within(b, a)
     if name == "touches":
-        return f"({x.any_edges_touch(f'{a}es', f'{b}es')} AND NOT ({_inner(a, b)}))"
+        return f"({x.any_edges_touch(a.es, b.es)} AND NOT {_inner(a, b)})"
     if name == "overlaps":
-        ai, bi = some(a, b, INSIDE), some(b, a, INSIDE)
-        ao, bo = some(a, b, OUTSIDE), some(b, a, OUTSIDE)
-        # with nothing of a outside b, the two overlap only if a reaches over a hole of b
-        return (
-            f"CASE WHEN {a}dim <> {b}dim THEN false WHEN {a}dim < 2 THEN {ai} AND {ao} AND {bo} "
-            f"WHEN {proper_cross(a, b)} THEN true WHEN {ao} THEN {ai} OR ({bo} AND {bi}) ELSE {bi} AND ({bo} OR {ai}) END"
+        # with nothing of a outside b, two areas overlap only if a reaches over a hole of b
+        areas = (
+            f"CASE WHEN {proper_cross(a, b)} THEN true WHEN {ao} THEN {ai} OR ({bo} AND {bi}) ELSE {bi} AND ({bo} OR {ai}) END"
         )
+        thin = f"{ai} AND {ao} AND {bo}"
+        return _cases(([(a, 2), (b, 2)], areas), ([(a, 1), (b, 1)], thin), ([(a, 0), (b, 0)], thin), default="false")
     if name == "crosses":
-        return (
-            f"CASE WHEN {a}dim = 1 AND {b}dim = 1 THEN {inner_contact(a, b)} AND NOT {some(a, b, INSIDE)} "
-            f"WHEN {a}dim = 1 AND {b}dim = 2 THEN {some(a, b, INSIDE)} AND {some(a, b, OUTSIDE)} "
-            f"WHEN {a}dim = 2 AND {b}dim = 1 THEN {some(b, a, INSIDE)} AND {some(b, a, OUTSIDE)} "
-            f"WHEN {a}dim = 0 AND {b}dim > 0 THEN {some(a, b, INSIDE)} AND {some(a, b, OUTSIDE)} "
-            f"WHEN {b}dim = 0 AND {a}dim > 0 THEN {some(b, a, INSIDE)} AND {some(b, a, OUTSIDE)} ELSE false END"
-        )
+        over, under = f"{ai} AND {ao}", f"{bi} AND {bo}"
+        return _cases(
+            ([(a, 1), (b, 1)], f"{inner_contact(a, b)} AND NOT {ai}"), ([(a, 1), (b, 2)], over), ([(a, 2), (b, 1)], under),
+            ([(a, 0), (b, 1)], over), ([(a, 0), (b, 2)], over), ([(a, 1), (b, 0)], under), ([(a, 2), (b, 0)], under),
+            default="false")
     raise ValueError(f"unknown relation {name}")
 
 

@@ -66,7 +66,7 @@ def intersecting_pairs(a: DataFrame, b: DataFrame, a_dim: int | None = None, b_d
     """
     if _plain([a, b], [a_dim, b_dim]):
         pairs = candidate_pairs(shapes(a), shapes(b), **options)
-        return keep_pairs(pairs, r.meets("a_", "b_")).select("a_fid", "b_fid")
+        return keep_pairs(pairs, r.meets(r.Side("a_", a_dim), r.Side("b_", b_dim))).select("a_fid", "b_fid")
     found = []
     if {a_dim, b_dim} != {0, 2}:
         runs = candidate_pairs(edge_runs(a), edge_runs(b), **options)
@@ -98,12 +98,13 @@ def without_match(a: DataFrame, pairs: DataFrame) -> DataFrame:
     return a.join(pairs.select(F.col("a_fid").alias("fid")), "fid", "left_anti")
 
 
-def related_pairs(a: DataFrame, b: DataFrame, relation: str, **options) -> DataFrame:
+def related_pairs(a: DataFrame, b: DataFrame, relation: str, a_dim: int | None = None, b_dim: int | None = None,
+                  **options) -> DataFrame:
     """(a_fid, b_fid) for one of within, contains, touches, overlaps, crosses, intersects."""
     pairs = candidate_pairs(shapes(a), shapes(b), **options)
     if relation in r.BOX_RULES:
         pairs = pairs.filter(r.BOX_RULES[relation])
-    return keep_pairs(pairs, r.predicate(relation)).select("a_fid", "b_fid")
+    return keep_pairs(pairs, r.predicate(relation, r.Side("a_", a_dim), r.Side("b_", b_dim))).select("a_fid", "b_fid")
 
 
 def equal_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -139,7 +140,7 @@ def near_pairs(a: DataFrame, b: DataFrame, within: float, a_dim: int | None = No
     if _plain([a, b], [a_dim, b_dim]):
         # the widened box of ``a`` only selects pairs; edges and anchors are untouched by it
         pairs = candidate_pairs(shapes(a), shapes(b), reach=within, **options)
-        return _measured(pairs, r.meets("a_", "b_")).filter(F.col("dist") <= within)
+        return _measured(pairs, r.meets(r.Side("a_", a_dim), r.Side("b_", b_dim))).filter(F.col("dist") <= within)
     runs = candidate_pairs(edge_runs(a), edge_runs(b), reach=within, **options)
     measured = _measured(runs, x.any_edges_touch("a_es", "b_es"))
     for pairs in _held(a, b, a_dim, b_dim, options):

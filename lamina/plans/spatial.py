@@ -149,15 +149,15 @@ def rel_disjoint(spark, sf):
          AND ((s.upright = 0 AND s.ymin > b.ymin AND s.ymin < b.ymax) OR (s.upright = 1 AND s.xmin > b.xmin AND s.xmin < b.xmax))""")
 def rel_within(spark, sf):
     tris, boxes = layer(spark, sf, "supplier_tri"), layer(spark, sf, "part_box")
-    out = sp.related_pairs(boxes, tris, "within").withColumn("kinds", F.lit("box in tri"))
-    out = out.unionByName(sp.related_pairs(layer(spark, sf, "customer_pt"), tris, "within").withColumn("kinds", F.lit("point in tri")))
-    return out.unionByName(sp.related_pairs(layer(spark, sf, "part_seg"), boxes, "within").withColumn("kinds", F.lit("seg in box")))
+    out = sp.related_pairs(boxes, tris, "within", 2, 2).withColumn("kinds", F.lit("box in tri"))
+    out = out.unionByName(sp.related_pairs(layer(spark, sf, "customer_pt"), tris, "within", 0, 2).withColumn("kinds", F.lit("point in tri")))
+    return out.unionByName(sp.related_pairs(layer(spark, sf, "part_seg"), boxes, "within", 1, 2).withColumn("kinds", F.lit("seg in box")))
 
 
 @query("rel_contains", with_layers("part_box", "nation_poly") + f"""
     SELECT a.fid AS a_fid, b.fid AS b_fid FROM nation_poly a JOIN part_box b ON {_B_IN_A}""")
 def rel_contains(spark, sf):
-    return sp.related_pairs(layer(spark, sf, "nation_poly"), layer(spark, sf, "part_box"), "contains")
+    return sp.related_pairs(layer(spark, sf, "nation_poly"), layer(spark, sf, "part_box"), "contains", 2, 2)
 
 
 @query("rel_touches", with_layers("part_box", "nation_poly", "customer_pt", "part_seg") + f"""
@@ -168,9 +168,10 @@ def rel_contains(spark, sf):
     UNION ALL SELECT 'seg x box', a.fid, b.fid FROM part_seg a JOIN part_box b ON {_MEET} AND NOT ({_INNER})""")
 def rel_touches(spark, sf):
     cells, boxes = layer(spark, sf, "nation_poly"), layer(spark, sf, "part_box")
-    out = sp.related_pairs(cells, cells, "touches").withColumn("kinds", F.lit("cell x cell"))
-    for kinds, a, b in (("box x box", boxes, boxes), ("point x cell", layer(spark, sf, "customer_pt"), cells), ("seg x box", layer(spark, sf, "part_seg"), boxes)):
-        out = out.unionByName(sp.related_pairs(a, b, "touches").withColumn("kinds", F.lit(kinds)))
+    out = sp.related_pairs(cells, cells, "touches", 2, 2).withColumn("kinds", F.lit("cell x cell"))
+    points, segs = layer(spark, sf, "customer_pt"), layer(spark, sf, "part_seg")
+    for kinds, a, b, a_dim in (("box x box", boxes, boxes, 2), ("point x cell", points, cells, 0), ("seg x box", segs, boxes, 1)):
+        out = out.unionByName(sp.related_pairs(a, b, "touches", a_dim, 2).withColumn("kinds", F.lit(kinds)))
     return out
 
 
@@ -187,8 +188,8 @@ _MOVED = """, moved AS (SELECT fid, upright, xmin + 2 * (1 - upright) AS xmin, y
 def rel_overlaps(spark, sf):
     boxes, cells, segs = layer(spark, sf, "part_box"), layer(spark, sf, "nation_poly"), layer(spark, sf, "part_seg")
     moved = segs.select("fid", F.expr(x.translate("geom", "2D * (1 - upright)", "2D * upright")).alias("geom"))
-    return sp.related_pairs(boxes, cells, "overlaps").withColumn("kinds", F.lit("box x cell")).unionByName(
-        sp.related_pairs(segs, moved, "overlaps").withColumn("kinds", F.lit("seg x seg")))
+    return sp.related_pairs(boxes, cells, "overlaps", 2, 2).withColumn("kinds", F.lit("box x cell")).unionByName(
+        sp.related_pairs(segs, moved, "overlaps", 1, 1).withColumn("kinds", F.lit("seg x seg")))
 
 
 @query("rel_crosses", with_layers("part_box", "part_seg") + f"""
@@ -196,8 +197,8 @@ def rel_overlaps(spark, sf):
     UNION ALL SELECT 'seg x seg', a.fid, b.fid FROM part_seg a JOIN part_seg b ON a.upright <> b.upright AND {_INNER}""")
 def rel_crosses(spark, sf):
     boxes, segs = layer(spark, sf, "part_box"), layer(spark, sf, "part_seg")
-    return sp.related_pairs(segs, boxes, "crosses").withColumn("kinds", F.lit("seg x box")).unionByName(
-        sp.related_pairs(segs, segs, "crosses").withColumn("kinds", F.lit("seg x seg")))
+    return sp.related_pairs(segs, boxes, "crosses", 1, 2).withColumn("kinds", F.lit("seg x box")).unionByName(
+        sp.related_pairs(segs, segs, "crosses", 1, 1).withColumn("kinds", F.lit("seg x seg")))
 
 
 # ---------------------------------------------------------------- F21-F22: distance
