@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lamina.functions import exprs as x
 from lamina.operators.grid import candidate_pairs
+from lamina.operators.ordered import dense_ids
 from lamina.operators.tables import edge_table, vertex_table, with_bounds
 from lamina.session import cut_lineage
 
@@ -107,14 +108,14 @@ def trace_rings(edges: DataFrame, by: list[str]) -> DataFrame:
     edge then learns the smallest edge of its ring, and its distance to it, by pointer
     doubling: about log2(ring length) joins, whatever the number or size of the groups.
     """
-    ided = cut_lineage(edges.withColumn("id", F.struct(*by, "x1", "y1", "x2", "y2")))
+    ided = cut_lineage(dense_ids(edges, name="id"))
     out = ided.select(*by, F.col("id").alias("nid"), F.col("x1").alias("x2"), F.col("y1").alias("y2"),
                       F.col("x2").alias("qx"), F.col("y2").alias("qy"))
     # turn from the reversed arriving direction, clockwise, in (0, 2 pi]
     back, ahead = "atan2(y1 - y2, x1 - x2)", "atan2(qy - y2, qx - x2)"
     turn = f"IF({back} - {ahead} > 0, {back} - {ahead}, {back} - {ahead} + 2 * pi())"
-    follow = ided.join(out, [*by, "x2", "y2"]).groupBy("id").agg(F.min_by("nid", F.struct(F.expr(turn), F.col("nid"))).alias("next"))
-    state = cut_lineage(follow.withColumn("low", F.least("id", "next")))
+    follow = cut_lineage(ided.join(out, [*by, "x2", "y2"]).groupBy("id").agg(F.min_by("nid", F.struct(F.expr(turn), F.col("nid"))).alias("next")))
+    state = follow.withColumn("low", F.least("id", "next"))
     while True:
         ahead_of = state.select(F.col("id").alias("next"), F.col("next").alias("_nn"), F.col("low").alias("_nl"))
         stepped = state.join(ahead_of, "next").select(

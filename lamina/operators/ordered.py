@@ -16,7 +16,7 @@ def dense_ids(df: DataFrame, order: list[str] | None = None, name: str = "fid")
 
     Rows are range-partitioned and sorted, numbered inside each partition, and shifted by the
     row counts of the partitions before (one tiny row per partition).  The numbered rows are
-    checkpointed so that counts and numbers always come from the same partitions.
+    written out first, so that counts and numbers always come from the same partitions.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
     marked = cut_lineage(ranged.withColumn("_m", F.monotonically_increasing_id()))

@@ -5,8 +5,6 @@ Coordinates are whole numbers, so sums and cross products are exact in any order
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,13 +101,3 @@ def layer(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def with_layers(*names: str) -> str:
     """WITH clause defining the named layers, for the reference SQL."""
     return "WITH " + ", ".join(f"{n} AS ({LAYERS[n].strip()})" for n in names) + " "
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder for files a query writes: in the shared checkpoint folder when the session names one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        return tempfile.mkdtemp(prefix=f"lamina-{name}-")
-    from uuid import uuid4
-
-    return f"{shared.rstrip('/')}/lamina-{name}-{uuid4().hex}"

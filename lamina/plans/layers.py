@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from lamina.functions import exprs as x
 from lamina.functions.registry import register_functions
 from lamina.plans.catalog import query
-from lamina.plans.fixtures import layer, rows, scratch, table, views, with_layers
+from lamina.plans.fixtures import layer, rows, table, views, with_layers
+from lamina.session import shared_folder
 from lamina.sources import layer as ly
 from lamina.sources.readers import point_layer, read_delimited, typed, wkt_layer
 
@@ -18,7 +19,7 @@ from lamina.sources.readers import point_layer, read_delimited, typed, wkt_layer
     SELECT r_name, n_name, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM customer
     JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY r_name, n_name""")
 def src_attach(spark, sf):
-    at = scratch(spark, "attach")
+    at = shared_folder(spark, "attach")
     table(spark, sf, "nation").write.mode("overwrite").csv(f"{at}/nation", header=True)
     table(spark, sf, "region").write.mode("overwrite").json(f"{at}/region")
     made = ly.create_layer(spark, ly.LayerDef(
@@ -58,7 +59,7 @@ def src_autoname(spark, sf):
 @query("src_csv", """
     SELECT doc_id, lang, CAST(n_chars AS BIGINT) AS n_chars, md5(text) AS digest FROM documents""")
 def src_csv(spark, sf):
-    at = scratch(spark, "csv")
+    at = shared_folder(spark, "csv")
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
     docs.write.mode("overwrite").csv(
         f"{at}/docs", header=True, sep="|", quote='"', escape='"', quoteAll=True, encoding="UTF-8",
@@ -103,7 +104,7 @@ def layer_save_open(spark, sf):
         (ly.Source("c", "parquet", f"{sf}/customer.parquet"),),
         "SELECT c_custkey, c_nationkey, MakePoint(CAST((c_custkey * 7919) % 1000 AS DOUBLE), CAST((c_custkey * 104729) % 1000 AS DOUBLE), 4326) AS place "
         "FROM c WHERE c_acctbal > 0", uid="C_CustKey", geometry="place", gtype=1, srid=4326))
-    at = scratch(spark, "saved")
+    at = shared_folder(spark, "saved")
     made.save(f"{at}/plain")
     ly.open_layer(spark, f"{at}/plain").save(f"{at}/laid_out", data=True)
     back = ly.open_layer(spark, f"{at}/laid_out")
@@ -223,7 +224,7 @@ def layer_contract(spark, sf):
     SELECT fid, 'POLYGON((' || CAST(x0 AS BIGINT) || ' ' || CAST(y0 AS BIGINT) || ',' || CAST(x0 + w AS BIGINT) || ' ' || CAST(y0 AS BIGINT) || ','
       || CAST(x0 AS BIGINT) || ' ' || CAST(y0 + h AS BIGINT) || ',' || CAST(x0 AS BIGINT) || ' ' || CAST(y0 AS BIGINT) || '))' AS geom FROM supplier_tri""")
 def sink_wkt(spark, sf):
-    at = scratch(spark, "wkt")
+    at = shared_folder(spark, "wkt")
     ly.with_wkt(layer(spark, sf, "supplier_tri").select("fid", "geom")).write.mode("overwrite").csv(f"{at}/wkt", header=True, quoteAll=True)
     return read_delimited(spark, f"{at}/wkt", "fid BIGINT, geom STRING", multiline=False)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,13 +30,24 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for files that must outlive a task or a lost executor.
+
+    It lies in the folder the cluster names in ``spark.checkpoint.dir``; only when the session
+    names none (local tests) a temporary folder is used.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        return tempfile.mkdtemp(prefix=f"lamina-{name}-")
+    return f"{shared.rstrip('/')}/lamina-{name}-{uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder named by ``spark.checkpoint.dir``.
+    """The same rows from a table written to the shared folder.
 
-    Only when the session names none (local tests) a temporary folder is set.
+    Computed once (an eager checkpoint computes twice), and safe against lost executors.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lamina-checkpoint-"))
-    return df.checkpoint()
+    spark = df.sparkSession
+    at = shared_folder(spark, "step")
+    df.write.mode("overwrite").parquet(at)
+    return spark.read.schema(df.schema).parquet(at)

@@ -9,6 +9,14 @@ from pyspark.sql import types as T
 from lamina.functions import exprs as x
 
 
+# fixed values: charset names of text sources that Spark spells differently
+CHARSETS = {"latin1": "ISO-8859-1", "latin-1": "ISO-8859-1", "iso8859-1": "ISO-8859-1", "ascii": "US-ASCII", "utf8": "UTF-8"}
+
+
+def charset(name: str) -> str:
+    return CHARSETS.get(name.lower(), name)
+
+
 def read_source(spark: SparkSession, fmt: str, path: str, encoding: str = "UTF-8", schema: str | None = None,
                 **options: str) -> DataFrame:
     """Any format Spark can load.  ``encoding`` applies to text formats.
@@ -17,7 +25,7 @@ def read_source(spark: SparkSession, fmt: str, path: str, encoding: str = "UTF-8
     """
     reader = spark.read.format(fmt)
     if fmt in ("csv", "json"):
-        reader = reader.option("encoding", encoding)
+        reader = reader.option("encoding", charset(encoding))
     if schema:
         reader = reader.schema(schema)
     return reader.options(**options).load(path)
@@ -31,7 +39,7 @@ def read_delimited(spark: SparkSession, path: str, schema: str | None = None, se
     without line breaks in quotes: Spark can split those over many tasks.
     """
     reader = spark.read.options(
-        header=header, sep=sep, quote='"', escape='"', multiLine=multiline, mode="PERMISSIVE", encoding=encoding)
+        header=header, sep=sep, quote='"', escape='"', multiLine=multiline, mode="PERMISSIVE", encoding=charset(encoding))
     if schema:
         reader = reader.schema(schema)
     return reader.csv(path)

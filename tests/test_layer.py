@@ -102,7 +102,9 @@ def test_requests(spark, parts):
 def test_rectangles_prune_by_bounds_columns(spark, tmp_path):
     with_bounds(layer(spark, SF, "supplier_tri")).write.parquet(str(tmp_path / "t"))
     df = ly.rect_filter(spark.read.parquet(str(tmp_path / "t")), (0, 0, 10, 10))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     plan = df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(xmax,0.0)" in plan and "LessThanOrEqual(ymin,10.0)" in plan
 
 

@@ -119,7 +119,7 @@ def test_cut_up_features_give_the_same_pairs(spark, monkeypatch):
 
 def test_relations_agree_with_each_other(spark):
     _, a = stars(spark, 7, 40, 6)
-    rel = {n: pairs(sp.related_pairs(a, a, n)) for n in ("intersects", "within", "contains", "touches", "overlaps")}
+    rel = {n: pairs(sp.related_pairs(a, a, n, 2, 2)) for n in ("intersects", "within", "contains", "touches", "overlaps")}
     assert rel["contains"] == {(q, p) for p, q in rel["within"]}
     assert rel["touches"] | rel["overlaps"] | rel["within"] | rel["contains"] == rel["intersects"]
     assert not rel["touches"] & rel["overlaps"] and not rel["overlaps"] & rel["within"]
