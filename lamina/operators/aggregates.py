@@ -230,10 +230,12 @@ def convex_hull(layer: DataFrame, by: str) -> DataFrame:
     partial = points.mapInPandas(batch_hulls, flat)
     salt = (F.abs(F.xxhash64("x", "y")) % HULL_TASKS).alias("salt")
     mid = partial.groupBy(by, salt).applyInPandas(group_hull, flat)
-    last = mid.groupBy(by).applyInPandas(
-        lambda key, pdf: group_hull(key, pdf).assign(seq=range(len(_hull(pdf["x"].to_numpy(), pdf["y"].to_numpy())[0]))),
-        flat + ", seq int")
-    ring = F.transform(F.array_sort(F.collect_list(F.struct("seq", "x", "y"))), lambda s: s)
+    def numbered_hull(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        hull = group_hull(key, pdf)
+        return hull.assign(seq=range(len(hull)))
+
+    last = mid.groupBy(by).applyInPandas(numbered_hull, flat + ", seq int")
+    ring = F.array_sort(F.collect_list(F.struct("seq", "x", "y")))
     rows = last.groupBy(by).agg(ring.alias("_v"))
     pts = f"transform(_v, hu_v -> {x.vertex('hu_v.x', 'hu_v.y')})"
     shape = (

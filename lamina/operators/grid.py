@@ -19,18 +19,24 @@ from lamina.sources.readers import is_geometry
 
 SMALL_BYTES = 64 << 20  # a side below this (checked) is broadcast
 HOT_ROWS = 1_000_000  # cells with more rows than this are split
+MAX_HOT = 5_000  # at most so many keys of a side are treated as hot
 FEW_ROWS = 2_000_000  # up to here a side is spread over all tasks before it is joined
 RARE_LEVEL = 0.05  # levels holding less than this share join the next coarser one
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], hot_rows: int = HOT_ROWS,
-                extra: Column | None = None) -> DataFrame:
+                extra: Column | None = None, rows: int | None = None) -> DataFrame:
     """Inner equi-join in which keys with many rows are split over several tasks.
 
-    Keys holding more than ``hot_rows`` rows on one side are counted first; at most
-    rows / hot_rows of them can exist, so their table is small enough to broadcast.  The
-    rows of such a key are spread over its salts and the other side is repeated per salt.
+    Keys holding more than ``hot_rows`` rows on one side, and more than 1 / MAX_HOT of all
+    ``rows`` (counted when not given), are looked up first; there are fewer than MAX_HOT such
+    keys per side, so their table is small enough to broadcast.  The rows of such a key are
+    spread over its salts and the rows of the other side are repeated per salt.
     """
+    if rows is None:
+        rows = left.count() + right.count()
+    hot_rows = max(hot_rows, rows // MAX_HOT)
+
     def heavy(side: DataFrame, name: str) -> DataFrame:
         counts = side.groupBy(*on).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > hot_rows)
         return counts.select(*on, F.ceil(F.col("_c") / hot_rows).cast("int").alias(name))
@@ -40,10 +46,12 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], hot_rows: int
 
     def spread(side: DataFrame, own: str, own_salt: str, other: str, other_salt: str) -> DataFrame:
         cols = [c for c in side.columns if c not in on]
+        plain = [f"`{f.name}`" for f in side.schema.fields
+                 if f.name in cols and not isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))]
         tagged = side.join(F.broadcast(hot), on, "left")
         return tagged.select(
             *on, *cols,
-            F.expr(f"pmod(xxhash64({', '.join(f'`{c}`' for c in cols)}), coalesce({own}, 1))").cast("int").alias(own_salt),
+            F.expr(f"pmod(xxhash64({', '.join(plain)}), coalesce({own}, 1))").cast("int").alias(own_salt),
             F.explode(F.expr(f"sequence(0, coalesce({other}, 1) - 1)")).alias(other_salt),
         )
 
@@ -180,7 +188,7 @@ def candidate_pairs(a: DataFrame, b: DataFrame, reach: float = 0.0, *,
             left, right = (left.repartition(tasks), right) if small == "b" else (left, right.repartition(tasks))
         joined = left.join(F.broadcast(right), on) if small == "b" else F.broadcast(left).join(right, on)
     elif (na + nb) * spread > hot_rows:
-        joined = salted_join(left, right, on, hot_rows)
+        joined = salted_join(left, right, on, hot_rows, rows=(na + nb) * spread)
     else:
         # no proven bound on either side, so not left to a size estimate either
         joined = left.join(right.hint("merge"), on)

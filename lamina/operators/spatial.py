@@ -31,16 +31,21 @@ def _anchor_points(layer: DataFrame) -> DataFrame:
     return tips.select("fid", "_v.x", "_v.y")
 
 
-def point_in_polygon(points: DataFrame, polygons: DataFrame, **options) -> DataFrame:
+def point_in_polygon(points: DataFrame, polygons: DataFrame, point_columns: tuple[str, ...] = (),
+                     polygon_columns: tuple[str, ...] = (), **options) -> DataFrame:
     """(a_fid, b_fid, place) for points (fid, x, y) in polygons; place is 'inside' or 'boundary'.
 
-    Holes are honoured.  Each point meets one band of a polygon, so a pair appears once.
+    Holes are honoured.  Each point meets one band of a polygon, so a pair appears once.  Columns
+    named in ``point_columns`` and ``polygon_columns`` travel along as a_* and b_*, which saves
+    joining them back.
     """
-    pairs = candidate_pairs(_points(points, ["fid"]), polygon_pieces(polygons), **options)
+    pieces = polygon_pieces(polygons, keep=("fid", *polygon_columns))
+    pairs = candidate_pairs(_points(points, ["fid", *point_columns]), pieces, **options)
     mine = pairs.filter("b_top OR a_y < b_ymax")
-    placed = mine.select("a_fid", "b_fid", F.explode(F.array(F.expr(x.locate("a_x", "a_y", "b_es")))).alias("_at"))
+    carried = [*(f"a_{c}" for c in point_columns), *(f"b_{c}" for c in polygon_columns)]
+    placed = mine.select("a_fid", "b_fid", *carried, F.explode(F.array(F.expr(x.locate("a_x", "a_y", "b_es")))).alias("_at"))
     return placed.filter("_at > 0").select(
-        "a_fid", "b_fid", F.when(F.col("_at") == 1, "inside").otherwise("boundary").alias("place"))
+        "a_fid", "b_fid", *carried, F.when(F.col("_at") == 1, "inside").otherwise("boundary").alias("place"))
 
 
 def _plain(layers: list[DataFrame], dims: list[int | None]) -> bool:

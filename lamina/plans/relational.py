@@ -279,5 +279,7 @@ sql_query("fn_date", """
 
 @query("fn_random_sample")
 def fn_random_sample(spark, sf):
-    # the sampling operator itself: a tenth of the orders, repeatable by its seed
-    return table(spark, sf, "orders").withColumn("r", F.rand(7)).filter("r < 0.1").select("o_orderkey", "r")
+    # the sampling operator itself: about a tenth of the orders by a random number drawn from each
+    # order's key and a seed, so that a rerun or a lost executor draws the same rows
+    r = F.pmod(F.xxhash64("o_orderkey", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return table(spark, sf, "orders").select("o_orderkey", r.alias("r")).filter("r < 0.1")

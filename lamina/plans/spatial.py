@@ -52,12 +52,10 @@ def join_point_in_polygon(spark, sf):
     SELECT n.fid AS cell, n.n_name, count(*) AS customers, round(sum(c.c_acctbal), 2) AS balance FROM customer_pt c
     JOIN nation_poly n ON c.x >= n.xmin AND c.x <= n.xmax AND c.y >= n.ymin AND c.y <= n.ymax GROUP BY n.fid, n.n_name""")
 def customers_per_cell(spark, sf):
-    customers, cells = rows(spark, sf, "customer_pt"), layer(spark, sf, "nation_poly")
-    pairs = sp.point_in_polygon(customers.select("fid", "x", "y"), cells)
-    named = pairs.join(customers.select(F.col("fid").alias("a_fid"), "c_acctbal"), "a_fid").join(
-        cells.select(F.col("fid").alias("b_fid"), "n_name"), "b_fid")
-    return named.groupBy(F.col("b_fid").alias("cell"), "n_name").agg(
-        F.count(F.lit(1)).alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+    pairs = sp.point_in_polygon(
+        rows(spark, sf, "customer_pt"), layer(spark, sf, "nation_poly"), ("c_acctbal",), ("n_name",))
+    return pairs.groupBy(F.col("b_fid").alias("cell"), F.col("b_n_name").alias("n_name")).agg(
+        F.count(F.lit(1)).alias("customers"), F.round(F.sum("a_c_acctbal"), 2).alias("balance"))
 
 
 @query("join_intersects", with_layers("part_box", "supplier_tri", "part_seg") + f"""
