@@ -135,8 +135,11 @@ def _cells(df: DataFrame, kept: list[int], mine: set[int], other: set[int], pref
         for lv in kept
         if (lv in mine and lv >= lowest) or lv in other
     ] or [F.lit(None).cast("int")]
-    leveled = df.withColumn("_own", _own(kept)).select(
-        *cols, "_own", F.explode(F.array_compact(F.array(*join_at))).alias("_at"))
+    owned = df.withColumn("_own", _own(kept))
+    if len(kept) == 1:
+        leveled = owned.select(*cols, "_own", F.lit(kept[0]).alias("_at"))
+    else:
+        leveled = owned.select(*cols, "_own", F.explode(F.array(*join_at)).alias("_at")).filter(F.col("_at").isNotNull())
     s = F.pow(F.lit(4.0), F.col("_at"))
 
     def span(lo: str, hi: str) -> Column:

@@ -272,7 +272,8 @@ sql_query("fn_math", _MATH, _MATH.replace("100.0D", "CAST(100 AS DOUBLE)"))
 
 sql_query("fn_date", """
     SELECT o_orderkey, CAST(to_date(o_orderdate) AS STRING) AS d, date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') AS dt,
-           round(unix_micros(CAST(o_orderdate AS TIMESTAMP)) / 86400e6D + 2440587.5D, 6) AS jd, date_format(o_orderdate, 'yyyy/MM') AS ym FROM orders""", """
+           round(unix_date(to_date(o_orderdate)) + (hour(o_orderdate) * 3600 + minute(o_orderdate) * 60
+             + CAST(extract(SECOND FROM o_orderdate) AS DOUBLE)) / 86400D + 2440587.5D, 6) AS jd, date_format(o_orderdate, 'yyyy/MM') AS ym FROM orders""", """
     SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS d, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS dt,
            round(epoch_us(o_orderdate) / CAST(86400000000 AS DOUBLE) + CAST(2440587.5 AS DOUBLE), 6) AS jd, strftime(o_orderdate, '%Y/%m') AS ym FROM orders""")
 
