@@ -5,6 +5,8 @@ Coordinates are whole numbers, so sums and cross products are exact in any order
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,15 +67,16 @@ GEOMETRY: dict[str, str] = {
     "event_point": x.point("x", "y"),
 }
 
-_FRAMES: dict[tuple[int, str], DataFrame] = {}
+_FRAMES: WeakKeyDictionary = WeakKeyDictionary()  # session -> {path: frame}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """One of the given tables; the frame is kept so that its schema is read once per session."""
-    key = (id(spark), f"{sf}/{name}.parquet")
-    if key not in _FRAMES:
-        _FRAMES[key] = spark.read.parquet(key[1])
-    return _FRAMES[key]
+    frames = _FRAMES.setdefault(spark, {})
+    path = f"{sf}/{name}.parquet"
+    if path not in frames:
+        frames[path] = spark.read.parquet(path)
+    return frames[path]
 
 
 def views(spark: SparkSession, sf: str, *layers: str) -> None:

@@ -70,7 +70,13 @@ def geo_dissolve_rings(spark, sf):
         F.count(F.lit(1)).alias("n_rings"), F.sum("n").alias("n_edges"), F.sum("area").cast("long").alias("area"))
 
 
-@query("geo_convex_hull")
+# the hull edges are the pairs of places with nothing on their right and nothing beyond them on their line
+@query("geo_convex_hull", with_layers("customer_pt") + """, p AS (SELECT DISTINCT c_nationkey, x, y FROM customer_pt),
+    e AS (SELECT a.c_nationkey, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM p a JOIN p b ON a.c_nationkey = b.c_nationkey AND (a.x <> b.x OR a.y <> b.y)),
+    h AS (SELECT e.c_nationkey, x1, y1, x2, y2 FROM e JOIN p r ON e.c_nationkey = r.c_nationkey GROUP BY e.c_nationkey, x1, y1, x2, y2
+          HAVING min((x2 - x1) * (r.y - y1) - (y2 - y1) * (r.x - x1)) >= 0 AND NOT bool_or((x2 - x1) * (r.y - y1) - (y2 - y1) * (r.x - x1) = 0
+            AND (r.x < least(x1, x2) OR r.x > greatest(x1, x2) OR r.y < least(y1, y2) OR r.y > greatest(y1, y2))))
+    SELECT c_nationkey, CAST(count(*) AS INTEGER) AS n_points, round(sum(x1 * y2 - x2 * y1) / 2, 4) AS area FROM h GROUP BY c_nationkey""")
 def geo_convex_hull(spark, sf):
     hulls = ag.convex_hull(layer(spark, sf, "customer_pt"), "c_nationkey")
     return hulls.select("c_nationkey", F.col("n").alias("n_points"), F.round("area", 4).alias("area"))

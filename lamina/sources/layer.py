@@ -16,7 +16,18 @@ from lamina.operators.ordered import dense_ids
 from lamina.operators.tables import BOUNDS, with_bounds
 from lamina.sources.readers import geometry_columns, read_source, typed
 
+# fixed values: version of stored layers, and the error texts users of layer definitions look for
 VERSION = 1
+NO_SOURCE = "Please specify at least one source layer or a query"
+NO_QUERY = "Several source layers need a query"
+NO_TABLE = "Referenced table {} in query not found!"
+NO_NAME = "Result column #{} has no name"
+NO_GEOMETRY = "Cannot find the specified geometry field {}!"
+NO_TYPE = "Can't deduce the geometry type of the geometry field"
+NO_STORE = "Cannot store referenced layers"
+NO_METADATA = "No metadata tables !"
+BAD_VERSION = "Bad virtual layer version !"
+
 ID_LIST_LIMIT = 10_000  # longer id lists are joined instead of being inlined in the plan
 
 
@@ -80,9 +91,9 @@ class LayerDef:
 
     def check(self) -> None:
         if not self.sources and not self.query:
-            raise ValueError("Please specify at least one source layer or a query")
+            raise ValueError(NO_SOURCE)
         if len(self.sources) > 1 and not self.query:
-            raise ValueError("Several source layers need a query")
+            raise ValueError(NO_QUERY)
 
 
 def attach(spark: SparkSession, source: Source) -> DataFrame:
@@ -108,11 +119,11 @@ def run_query(spark: SparkSession, query: str) -> DataFrame:
     except AnalysisException as e:
         if e.getCondition() == "TABLE_OR_VIEW_NOT_FOUND":
             name = e.getMessageParameters()["relationName"].replace("`", "")
-            raise ValueError(f"Referenced table {name} in query not found!") from e
+            raise ValueError(NO_TABLE.format(name)) from e
         raise
     for i, n in enumerate(names, 1):
         if not _is_name(n):
-            raise ValueError(f"Result column #{i} has no name")
+            raise ValueError(NO_NAME.format(i))
     return df
 
 
@@ -121,14 +132,14 @@ def _is_name(n: str) -> bool:
     return bool(n) and not (n[0].isdigit() or any(c in n for c in "()'\"+*/|<>=,"))
 
 
-def pick_geometry(df: DataFrame, name: str | None = None, gtype: int | None = None, srid: int | None = None) -> str | None:
+def pick_geometry(df: DataFrame, name: str | None = None) -> str | None:
     """Name of the geometry column of a query result: the requested one, else the first there is."""
     found = geometry_columns(df)
     if name is None:
         return found[0] if found else None
     match = [c for c in found if c.lower() == name.lower()]
     if not match:
-        raise ValueError(f"Cannot find the specified geometry field {name}!")
+        raise ValueError(NO_GEOMETRY.format(name))
     return match[0]
 
 
@@ -216,7 +227,7 @@ def create_layer(spark: SparkSession, definition: LayerDef | str) -> Layer:
     if gtype is None:
         gtype, srid = geometry_type(df, geom)
         if gtype is None:
-            raise ValueError("Can't deduce the geometry type of the geometry field")
+            raise ValueError(NO_TYPE)
     others = [c for c in geometry_columns(df) if c != geom]
     named = df.select(*(typed(F.col(c), c, gtype, srid) if c == geom else F.col(_quoted(c)) for c in df.columns if c not in others))
     return Layer(named, uid, geom, gtype, srid, d)
@@ -378,7 +389,7 @@ def save_layer(layer: Layer, path: str, data: bool = False, cell: float | None =
     """
     d = layer.definition or LayerDef()
     if not data and (any(s.ref is not None for s in d.sources) or not d.sources):
-        raise ValueError("Cannot store referenced layers")
+        raise ValueError(NO_STORE)
     spark = layer.df.sparkSession
     row = {
         "version": VERSION, "definition": json.dumps(asdict(d)), "uid": layer.uid, "geometry": layer.geometry,
@@ -405,9 +416,9 @@ def open_layer(spark: SparkSession, path: str) -> Layer:
     try:
         row = spark.read.schema(types).json(f"{path}/definition").first()
     except AnalysisException as e:
-        raise ValueError("No metadata tables !") from e
+        raise ValueError(NO_METADATA) from e
     if row is None or row.version != VERSION:
-        raise ValueError("Bad virtual layer version !")
+        raise ValueError(BAD_VERSION)
     raw = json.loads(row.definition)
     d = LayerDef(**{**raw, "sources": tuple(Source(**s) for s in raw["sources"])})
     if not row.has_data:
