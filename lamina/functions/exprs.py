@@ -585,6 +585,32 @@ def locate(px: str, py: str, es: str) -> str:
     )
 
 
+def simple_ring(r: str) -> str:
+    """No two edges of a vertex array meet, apart from neighbours at their common vertex."""
+    n = "size(sr_s)"
+    apart = f"sr_j > sr_i + 1 AND NOT ({closed_ring(r)} AND sr_i = 0 AND sr_j = {n} - 1)"
+    back = (
+        f"sr_j = sr_i + 1 AND {orient('sr_e.x1', 'sr_e.y1', 'sr_e.x2', 'sr_e.y2', 'sr_f.x2', 'sr_f.y2')} = 0 AND "
+        "(sr_e.x2 - sr_e.x1) * (sr_f.x2 - sr_f.x1) + (sr_e.y2 - sr_e.y1) * (sr_f.y2 - sr_f.y1) < 0"
+    )
+    hit = f"({apart} AND {edges_touch('sr_e', 'sr_f')}) OR ({back})"
+    inner = f"exists(transform(sr_s, (sr_f, sr_j) -> {hit}), sr_h -> sr_h)"
+    return let(ring_edges(r), "sr_s", f"NOT exists(transform(sr_s, (sr_e, sr_i) -> {inner}), sr_k -> sr_k)")
+
+
+def is_simple(g: str) -> str:
+    return f"forall({rings(g)}, is_r -> {simple_ring('is_r')})"
+
+
+def is_valid(g: str) -> str:
+    """Rings of polygons are closed, have four vertices or more, an area, and do not cross themselves."""
+    area_ok = f"{closed_ring('iv_r')} AND size(iv_r) >= 4 AND {ring_area('iv_r')} <> 0 AND {simple_ring('iv_r')}"
+    return (
+        f"(size({g}.parts) > 0 AND forall({g}.parts, iv_p -> CASE iv_p.kind WHEN 3 THEN forall(iv_p.rings, iv_r -> {area_ok}) "
+        "WHEN 2 THEN size(iv_p.rings[0]) >= 2 ELSE true END))"
+    )
+
+
 def nearest_on_edge(px: str, py: str, e: str) -> str:
     """struct<d2, x, y>: squared distance to, and place of, the nearest point of a segment."""
     dx, dy = f"({e}.x2 - {e}.x1)", f"({e}.y2 - {e}.y1)"
@@ -620,3 +646,155 @@ def closest(es: str, fs: str) -> str:
         return f"aggregate(array_distinct({ends_of}), %s, ({tag}_s, {tag}_u) -> {best})"
 
     return side(fs, es, "cb", True) % (side(es, fs, "ca", False) % none)
+
+
+# ---------------------------------------------------------------- lines held in one row
+
+def _measured(g: str) -> str:
+    """Edges of a line with the distance before each one."""
+    step = "sqrt((ms_e.x2 - ms_e.x1) * (ms_e.x2 - ms_e.x1) + (ms_e.y2 - ms_e.y1) * (ms_e.y2 - ms_e.y1))"
+    empty = (
+        "named_struct('d', 0D, 'out', CAST(array() AS ARRAY<STRUCT<d0: DOUBLE, len: DOUBLE, x1: DOUBLE, y1: DOUBLE, "
+        "x2: DOUBLE, y2: DOUBLE>>))"
+    )
+    grown = (
+        f"named_struct('d', ms_s.d + {step}, 'out', concat(ms_s.out, array(named_struct('d0', ms_s.d, 'len', {step}, "
+        "'x1', ms_e.x1, 'y1', ms_e.y1, 'x2', ms_e.x2, 'y2', ms_e.y2))))"
+    )
+    return f"aggregate({ring_edges(first_ring(g))}, {empty}, (ms_s, ms_e) -> {grown}).out"
+
+
+def _at(m: str, d: str) -> str:
+    """Vertex at distance ``d`` along measured edges ``m``."""
+    hit = f"element_at(concat(filter({m}, at_e -> at_e.d0 + at_e.len >= {d}), array(element_at({m}, -1))), 1)"
+    t = f"least(1D, IF(at_h.len = 0, 0D, ({d} - at_h.d0) / at_h.len))"
+    return let(hit, "at_h", vertex(f"at_h.x1 + {t} * (at_h.x2 - at_h.x1)", f"at_h.y1 + {t} * (at_h.y2 - at_h.y1)"))
+
+
+def interpolate_point(g: str, fraction: str) -> str:
+    """Point at a fraction (0..1) of a line's length."""
+    place = let(_measured(g), "ip_m", _at("ip_m", f"({fraction} * {length(g)})"))
+    built = geom(1, f"{g}.srid", f"array({part(1, f'array(array({place}))')})")
+    return f"IF({g}.gtype = 2 AND {fraction} BETWEEN 0 AND 1, {built}, {NO_GEOM})"
+
+
+def equidistant_points(g: str, step: str) -> str:
+    """Multipoint of the places every ``step`` along a line, from its start."""
+    count = f"CAST(floor({length(g)} / {step}) AS INT)"
+    places = let(
+        _measured(g), "eq_m",
+        f"transform(sequence(0, {count}), eq_i -> {part(1, 'array(array(' + _at('eq_m', f'(eq_i * {step})') + '))')})")
+    return f"IF({g}.gtype = 2 AND {step} > 0, {geom(4, f'{g}.srid', places)}, {NO_GEOM})"
+
+
+def substring(g: str, start: str, end: str) -> str:
+    """Part of a line between two fractions of its length."""
+    total = length(g)
+    d0, d1 = f"({start} * ss_l)", f"({end} * ss_l)"
+    inner = f"filter(ss_m, ss_e -> ss_e.d0 > {d0} AND ss_e.d0 < {d1})"
+    ring = (
+        f"concat(array({_at('ss_m', d0)}), transform({inner}, ss_v -> {vertex('ss_v.x1', 'ss_v.y1')}), "
+        f"array({_at('ss_m', d1)}))"
+    )
+    built = let(total, "ss_l", let(_measured(g), "ss_m", line(ring, f"{g}.srid")))
+    ok = f"{g}.gtype = 2 AND {start} >= 0 AND {end} <= 1 AND {start} < {end}"
+    return f"IF({ok}, {built}, {NO_GEOM})"
+
+
+# ---------------------------------------------------------------- clipping and surfaces
+
+def clip_ring(ring: str, window: str) -> str:
+    """Closed ring cut to a convex window (edges counter-clockwise); empty array when nothing is left.
+
+    Window edge by window edge, the vertices on its left are kept and crossings added.
+    """
+    side_p = orient("cl_w.x1", "cl_w.y1", "cl_w.x2", "cl_w.y2", "cl_p.x", "cl_p.y")
+    side_q = orient("cl_w.x1", "cl_w.y1", "cl_w.x2", "cl_w.y2", "cl_q.x", "cl_q.y")
+    cross = vertex("cl_q.x + (cl_p.x - cl_q.x) * (cl_b / (cl_b - cl_a))", "cl_q.y + (cl_p.y - cl_q.y) * (cl_b / (cl_b - cl_a))")
+    keep = (
+        f"CASE WHEN cl_a >= 0 AND cl_b < 0 AND cl_a > 0 THEN array({cross}, {vertex('cl_p.x', 'cl_p.y')}) "
+        f"WHEN cl_a >= 0 THEN array({vertex('cl_p.x', 'cl_p.y')}) "
+        f"WHEN cl_b > 0 THEN array({cross}) ELSE filter(array({vertex('cl_p.x', 'cl_p.y')}), cl_z -> false) END"
+    )
+    before = "element_at(cl_s, IF(cl_i = 0, size(cl_s), cl_i))"
+    one = let(before, "cl_q", let(side_p, "cl_a", let(side_q, "cl_b", keep)))
+    open_ring = f"transform(slice({ring}, 1, greatest(size({ring}) - 1, 0)), cl_o -> {vertex('cl_o.x', 'cl_o.y')})"
+    cut = f"aggregate({window}, {open_ring}, (cl_s, cl_w) -> flatten(transform(cl_s, (cl_p, cl_i) -> {one})))"
+    return let(cut, "cl_r", "IF(size(cl_r) < 3, filter(cl_r, cl_y -> false), concat(cl_r, slice(cl_r, 1, 1)))")
+
+
+def clip_edge(e: str, window: str) -> str:
+    """struct<t0, t1>: the part of an edge inside a convex window, NULL when none."""
+    a = orient("le_w.x1", "le_w.y1", "le_w.x2", "le_w.y2", f"{e}.x1", f"{e}.y1")
+    b = orient("le_w.x1", "le_w.y1", "le_w.x2", "le_w.y2", f"{e}.x2", f"{e}.y2")
+    gone = "named_struct('t0', 1D, 't1', 0D)"
+    step = let(a, "le_a", let(b, "le_b", (
+        f"CASE WHEN le_a < 0 AND le_b < 0 THEN {gone} "
+        "WHEN le_a < 0 THEN named_struct('t0', greatest(le_s.t0, le_a / (le_a - le_b)), 't1', le_s.t1) "
+        "WHEN le_b < 0 THEN named_struct('t0', le_s.t0, 't1', least(le_s.t1, le_a / (le_a - le_b))) ELSE le_s END")))
+    cut = f"aggregate({window}, named_struct('t0', 0D, 't1', 1D), (le_s, le_w) -> {step})"
+    return let(cut, "le_c", "IF(le_c.t0 < le_c.t1, le_c, CAST(NULL AS STRUCT<t0: DOUBLE, t1: DOUBLE>))")
+
+
+def _clip_line(ring: str, window: str) -> str:
+    """Array of line vertex arrays: the pieces of a line inside a window."""
+    def at(t: str) -> str:
+        return vertex(f"cw_e.x1 + {t} * (cw_e.x2 - cw_e.x1)", f"cw_e.y1 + {t} * (cw_e.y2 - cw_e.y1)")
+
+    segs = (
+        f"filter(transform({ring_edges(ring)}, cw_e -> "
+        + let(clip_edge("cw_e", window), "cw_c", f"IF(cw_c IS NULL, CAST(NULL AS {RING}), array({at('cw_c.t0')}, {at('cw_c.t1')}))")
+        + "), cw_n -> cw_n IS NOT NULL)"
+    )
+    joined = (
+        "IF(size(cw_s) > 0 AND element_at(element_at(cw_s, -1), -1).x = cw_g[0].x AND element_at(element_at(cw_s, -1), -1).y = cw_g[0].y, "
+        "concat(slice(cw_s, 1, size(cw_s) - 1), array(concat(element_at(cw_s, -1), slice(cw_g, 2, 1)))), concat(cw_s, array(cw_g)))"
+    )
+    return f"aggregate({segs}, CAST(array() AS ARRAY<{RING}>), (cw_s, cw_g) -> {joined})"
+
+
+def clip_geometry(g: str, window: str) -> str:
+    """Geometry cut to a convex window; NULL when nothing is left."""
+    poly_rings = f"filter(transform(cg_p.rings, cg_r -> {clip_ring('cg_r', window)}), cg_e -> size(cg_e) > 0)"
+    poly = let(poly_rings, "cg_k", f"IF(size(cg_k) > 0 AND {ring_area('cg_k[0]')} <> 0, array({part(3, 'cg_k')}), CAST(array() AS ARRAY<{PART}>))")
+    lines = f"transform({_clip_line('cg_p.rings[0]', window)}, cg_l -> {part(2, 'array(cg_l)')})"
+    inside = f"forall({window}, cg_w -> {orient('cg_w.x1', 'cg_w.y1', 'cg_w.x2', 'cg_w.y2', 'cg_p.rings[0][0].x', 'cg_p.rings[0][0].y')} >= 0)"
+    kept = (
+        f"flatten(transform({g}.parts, cg_p -> CASE cg_p.kind WHEN 3 THEN {poly} WHEN 2 THEN {lines} "
+        f"ELSE filter(array({part(1, 'cg_p.rings')}), cg_f -> {inside}) END))"
+    )
+    kind = uniform_kind("ck_g")
+    typed = geom(f"CASE WHEN {kind} = 0 THEN 0 WHEN size(ck_g.parts) = 1 THEN {kind} ELSE {kind} + 3 END", "ck_g.srid", "ck_g.parts")
+    return let(geom(0, f"{g}.srid", kept), "ck_g", f"IF(size(ck_g.parts) = 0, {NO_GEOM}, {typed})")
+
+
+def point_on_surface(g: str) -> str:
+    """struct<x, y> inside a polygon: the middle of the widest inner span at a height that misses all vertices."""
+    es = edges(g)
+    box = bounds(g)
+    mid = "((ps_b.ymin + ps_b.ymax) / 2)"
+    below = f"array_max(filter(transform(ps_e, ps_1 -> ps_1.y1), ps_2 -> ps_2 <= {mid}))"
+    above = f"array_min(filter(transform(ps_e, ps_3 -> ps_3.y1), ps_4 -> ps_4 > {mid}))"
+    hits = (
+        "array_sort(transform(filter(ps_e, ps_f -> (ps_f.y1 > ps_y) <> (ps_f.y2 > ps_y)), "
+        "ps_g -> ps_g.x1 + (ps_y - ps_g.y1) * (ps_g.x2 - ps_g.x1) / (ps_g.y2 - ps_g.y1)))"
+    )
+    spans = (
+        "transform(sequence(1, size(ps_h) div 2), ps_i -> named_struct('w', ps_h[2 * ps_i - 1] - ps_h[2 * ps_i - 2], "
+        "'x', -(ps_h[2 * ps_i - 1] + ps_h[2 * ps_i - 2]) / 2))"
+    )
+    best = f"named_struct('x', -array_max({spans}).x, 'y', ps_y)"
+    inner = let(f"({below} + {above}) / 2", "ps_y", let(hits, "ps_h", f"IF(size(ps_h) < 2, CAST(NULL AS STRUCT<x: DOUBLE, y: DOUBLE>), {best})"))
+    return let(es, "ps_e", let(box, "ps_b", inner))
+
+
+def clip_to_convex(g: str, window: str) -> str:
+    """Geometry cut to a polygon, which must be convex and without holes; raises otherwise."""
+    outer = first_ring(window)
+    ccw = f"IF({ring_area(outer)} > 0, {outer}, reverse({outer}))"
+    convex = (
+        "forall(cc_w, cc_e -> forall(cc_r, cc_v -> " + orient("cc_e.x1", "cc_e.y1", "cc_e.x2", "cc_e.y2", "cc_v.x", "cc_v.y") + " >= 0))"
+    )
+    fail = f"CAST(raise_error('the second geometry must be a convex polygon') AS {GEOM})"
+    body = f"IF({window}.gtype = 3 AND size({window}.parts[0].rings) = 1 AND {convex}, {clip_geometry(g, 'cc_w')}, {fail})"
+    return let(ccw, "cc_r", let(ring_edges("cc_r"), "cc_w", f"IF({g} IS NULL OR {window} IS NULL, {NO_GEOM}, {body})"))

@@ -55,6 +55,22 @@ def _mbr_pair(fn) -> str:
     return x.let(x.bounds("a"), "ba", x.let(x.bounds("b"), "bb", fn("ba", "bb")))
 
 
+# fixed values: time format letters and their Spark spelling
+TIME_FORMATS = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss", "%j": "DDD"}
+
+
+def _java_pattern(f: str) -> str:
+    for mark, spelled in TIME_FORMATS.items():
+        f = f"replace({f}, '{mark}', '{spelled}')"
+    return f
+
+
+def _glob_pattern(p: str) -> str:
+    """Anchored regular expression of a glob: * any run, ? one character, [...] a set."""
+    escaped = "regexp_replace(" + p + r", '([.+^$(){}|\\\\])', '\\\\$1')"
+    return f"concat('^(?s)', replace(replace({escaped}, '*', '.*'), '?', '.'), '$')"
+
+
 def definitions() -> list[tuple[list[str], str, str, str]]:
     """(names, parameters, return type, body) of every SQL function."""
     g, gg = f"g {G}", f"a {G}, b {G}"
@@ -143,6 +159,23 @@ def definitions() -> list[tuple[list[str], str, str, str]]:
         f"IF(g.gtype = 1, {x.circle(x.first_ring('g') + '[0].x', x.first_ring('g') + '[0].y', 'r', 32, 'g.srid')}, "
         + x.let(x.bounds("g"), "bf", x.box("bf.xmin - r", "bf.ymin - r", "bf.xmax + r", "bf.ymax + r", "g.srid")) + ")")
 
+    # places on lines and surfaces, clipping to a convex polygon, validity
+    add(_both("Line_Interpolate_Point"), f"g {G}, f {D}", G, x.interpolate_point("g", "f"))
+    add(_both("Line_Interpolate_Equidistant_Points"), f"g {G}, d {D}", G, x.equidistant_points("g", "d"))
+    add(_both("Line_Substring"), f"g {G}, f0 {D}, f1 {D}", G, x.substring("g", "f0", "f1"))
+    add(_both("PointOnSurface"), g, G, x.let(x.point_on_surface("g"), "pp", x.point("pp.x", "pp.y", "g.srid")))
+    add(_both("Intersection"), gg, G, x.clip_to_convex("a", "b"))
+    add("ST_IsSimple", g, "BOOLEAN", x.is_simple("g"))
+    add("ST_IsRing", g, "BOOLEAN", f"g.gtype = 2 AND {x.closed_ring(x.first_ring('g'))} AND {x.is_simple('g')}")
+    add("ST_IsValid", g, "BOOLEAN", x.is_valid("g"))
+
+    # scalar names of the query dictionary that Spark lacks
+    add("julianday", "t TIMESTAMP_NTZ", D,
+        "unix_date(to_date(t)) + (hour(t) * 3600 + minute(t) * 60 + CAST(extract(SECOND FROM t) AS DOUBLE)) / 86400D + 2440587.5D")
+    add("datetime", "t TIMESTAMP_NTZ", "STRING", "date_format(t, 'yyyy-MM-dd HH:mm:ss')")
+    add("strftime", "f STRING, t TIMESTAMP_NTZ", "STRING", f"date_format(t, {_java_pattern('f')})")
+    add("glob", "p STRING, t STRING", "BOOLEAN", f"t RLIKE {_glob_pattern('p')}")
+
     # pair predicates, for pairs already found by a join of lamina.operators.spatial
     for name, fn in (("Equal", x.mbr_same), ("Touches", x.mbr_touching), ("Within", x.mbr_inside),
                      ("Overlaps", x.mbr_overlapping), ("Intersects", x.mbr_meets)):

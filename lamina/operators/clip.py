@@ -29,71 +29,6 @@ def window_edges(ring: list[tuple[float, float]]) -> str:
     return f"array({edges})"
 
 
-def clip_ring(ring: str, window: str) -> str:
-    """Closed ring cut to a convex window (edges counter-clockwise); empty array when nothing is left.
-
-    Window edge by window edge, the vertices on its left are kept and crossings added.
-    """
-    side_p = x.orient("cl_w.x1", "cl_w.y1", "cl_w.x2", "cl_w.y2", "cl_p.x", "cl_p.y")
-    side_q = x.orient("cl_w.x1", "cl_w.y1", "cl_w.x2", "cl_w.y2", "cl_q.x", "cl_q.y")
-    cross = x.vertex("cl_q.x + (cl_p.x - cl_q.x) * (cl_b / (cl_b - cl_a))", "cl_q.y + (cl_p.y - cl_q.y) * (cl_b / (cl_b - cl_a))")
-    keep = (
-        f"CASE WHEN cl_a >= 0 AND cl_b < 0 AND cl_a > 0 THEN array({cross}, {x.vertex('cl_p.x', 'cl_p.y')}) "
-        f"WHEN cl_a >= 0 THEN array({x.vertex('cl_p.x', 'cl_p.y')}) "
-        f"WHEN cl_b > 0 THEN array({cross}) ELSE filter(array({x.vertex('cl_p.x', 'cl_p.y')}), cl_z -> false) END"
-    )
-    before = "element_at(cl_s, IF(cl_i = 0, size(cl_s), cl_i))"
-    one = x.let(before, "cl_q", x.let(side_p, "cl_a", x.let(side_q, "cl_b", keep)))
-    open_ring = f"transform(slice({ring}, 1, greatest(size({ring}) - 1, 0)), cl_o -> {x.vertex('cl_o.x', 'cl_o.y')})"
-    cut = f"aggregate({window}, {open_ring}, (cl_s, cl_w) -> flatten(transform(cl_s, (cl_p, cl_i) -> {one})))"
-    return x.let(cut, "cl_r", "IF(size(cl_r) < 3, filter(cl_r, cl_y -> false), concat(cl_r, slice(cl_r, 1, 1)))")
-
-
-def clip_edge(e: str, window: str) -> str:
-    """struct<t0, t1>: the part of an edge inside a convex window, NULL when none."""
-    a = x.orient("le_w.x1", "le_w.y1", "le_w.x2", "le_w.y2", f"{e}.x1", f"{e}.y1")
-    b = x.orient("le_w.x1", "le_w.y1", "le_w.x2", "le_w.y2", f"{e}.x2", f"{e}.y2")
-    gone = "named_struct('t0', 1D, 't1', 0D)"
-    step = x.let(a, "le_a", x.let(b, "le_b", (
-        f"CASE WHEN le_a < 0 AND le_b < 0 THEN {gone} "
-        "WHEN le_a < 0 THEN named_struct('t0', greatest(le_s.t0, le_a / (le_a - le_b)), 't1', le_s.t1) "
-        "WHEN le_b < 0 THEN named_struct('t0', le_s.t0, 't1', least(le_s.t1, le_a / (le_a - le_b))) ELSE le_s END")))
-    cut = f"aggregate({window}, named_struct('t0', 0D, 't1', 1D), (le_s, le_w) -> {step})"
-    return x.let(cut, "le_c", "IF(le_c.t0 < le_c.t1, le_c, CAST(NULL AS STRUCT<t0: DOUBLE, t1: DOUBLE>))")
-
-
-def _clip_line(ring: str, window: str) -> str:
-    """Array of line vertex arrays: the pieces of a line inside a window."""
-    def at(t: str) -> str:
-        return x.vertex(f"cw_e.x1 + {t} * (cw_e.x2 - cw_e.x1)", f"cw_e.y1 + {t} * (cw_e.y2 - cw_e.y1)")
-
-    segs = (
-        f"filter(transform({x.ring_edges(ring)}, cw_e -> "
-        + x.let(clip_edge("cw_e", window), "cw_c", f"IF(cw_c IS NULL, CAST(NULL AS {x.RING}), array({at('cw_c.t0')}, {at('cw_c.t1')}))")
-        + "), cw_n -> cw_n IS NOT NULL)"
-    )
-    joined = (
-        "IF(size(cw_s) > 0 AND element_at(element_at(cw_s, -1), -1).x = cw_g[0].x AND element_at(element_at(cw_s, -1), -1).y = cw_g[0].y, "
-        "concat(slice(cw_s, 1, size(cw_s) - 1), array(concat(element_at(cw_s, -1), slice(cw_g, 2, 1)))), concat(cw_s, array(cw_g)))"
-    )
-    return f"aggregate({segs}, CAST(array() AS ARRAY<{x.RING}>), (cw_s, cw_g) -> {joined})"
-
-
-def clip_geometry(g: str, window: str) -> str:
-    """Geometry cut to a convex window; NULL when nothing is left."""
-    poly_rings = f"filter(transform(cg_p.rings, cg_r -> {clip_ring('cg_r', window)}), cg_e -> size(cg_e) > 0)"
-    poly = x.let(poly_rings, "cg_k", f"IF(size(cg_k) > 0 AND {x.ring_area('cg_k[0]')} <> 0, array({x.part(3, 'cg_k')}), CAST(array() AS ARRAY<{x.PART}>))")
-    lines = f"transform({_clip_line('cg_p.rings[0]', window)}, cg_l -> {x.part(2, 'array(cg_l)')})"
-    inside = f"forall({window}, cg_w -> {x.orient('cg_w.x1', 'cg_w.y1', 'cg_w.x2', 'cg_w.y2', 'cg_p.rings[0][0].x', 'cg_p.rings[0][0].y')} >= 0)"
-    kept = (
-        f"flatten(transform({g}.parts, cg_p -> CASE cg_p.kind WHEN 3 THEN {poly} WHEN 2 THEN {lines} "
-        f"ELSE filter(array({x.part(1, 'cg_p.rings')}), cg_f -> {inside}) END))"
-    )
-    kind = x.uniform_kind("ck_g")
-    typed = x.geom(f"CASE WHEN {kind} = 0 THEN 0 WHEN size(ck_g.parts) = 1 THEN {kind} ELSE {kind} + 3 END", "ck_g.srid", "ck_g.parts")
-    return x.let(x.geom(0, f"{g}.srid", kept), "ck_g", f"IF(size(ck_g.parts) = 0, {x.NO_GEOM}, {typed})")
-
-
 def clip_layer(layer: DataFrame, ring: list[tuple[float, float]]) -> DataFrame:
     """Layer cut to a convex window; features left empty are dropped.
 
@@ -104,7 +39,7 @@ def clip_layer(layer: DataFrame, ring: list[tuple[float, float]]) -> DataFrame:
     near = with_bounds(layer).filter(
         (F.col("xmin") <= max(xs)) & (F.col("xmax") >= min(xs)) & (F.col("ymin") <= max(ys)) & (F.col("ymax") >= min(ys)))
     kept = [c for c in layer.columns if c not in ("geom", *BOUNDS)]
-    cut = near.select(*kept, F.expr(f"explode(array({clip_geometry('geom', edges)}))").alias("geom"))
+    cut = near.select(*kept, F.expr(f"explode(array({x.clip_geometry('geom', edges)}))").alias("geom"))
     return cut.filter("geom IS NOT NULL")
 
 
@@ -128,7 +63,7 @@ def overlap_areas(a: DataFrame, b: DataFrame, **options) -> DataFrame:
         F.expr(f"IF(geom.gtype = 3 AND size(geom.parts[0].rings) = 1 AND {convex}, w, CAST(raise_error('overlap_areas needs convex polygons on the right') AS {x.EDGES}))").alias("w"))
     pairs = candidate_pairs(side(a), checked, **options)
     ring = f"IF(oa_i = 0, 1D, -1D) * abs({x.ring_area('oa_c')})"
-    one = f"aggregate(transform(oa_p.rings, (oa_r, oa_i) -> {x.let(clip_ring('oa_r', 'b_w'), 'oa_c', ring)}), 0D, (oa_t, oa_u) -> oa_t + oa_u)"
+    one = f"aggregate(transform(oa_p.rings, (oa_r, oa_i) -> {x.let(x.clip_ring('oa_r', 'b_w'), 'oa_c', ring)}), 0D, (oa_t, oa_u) -> oa_t + oa_u)"
     overlap = f"aggregate(filter(a_geom.parts, oa_k -> oa_k.kind = 3), 0D, (oa_s, oa_p) -> oa_s + {one})"
     cut = pairs.select("a_fid", "b_fid", F.col("a_area").alias("area_a"), F.col("b_area").alias("area_b"),
                        F.explode(F.array(F.expr(overlap))).alias("overlap"))
@@ -160,23 +95,3 @@ def snap(layer: DataFrame, reference: DataFrame, tolerance: float, **options) ->
     joined = layer.join(moved, "fid", "left")
     keep = [c for c in layer.columns if c not in ("geom", *BOUNDS)]
     return joined.select(*keep, F.expr(f"IF(_to IS NULL, geom, {x.geom('geom.gtype', 'geom.srid', parts)})").alias("geom"))
-
-
-def point_on_surface(g: str) -> str:
-    """struct<x, y> inside a polygon: the middle of the widest inner span at a height that misses all vertices."""
-    es = x.edges(g)
-    box = x.bounds(g)
-    mid = "((ps_b.ymin + ps_b.ymax) / 2)"
-    below = f"array_max(filter(transform(ps_e, ps_1 -> ps_1.y1), ps_2 -> ps_2 <= {mid}))"
-    above = f"array_min(filter(transform(ps_e, ps_3 -> ps_3.y1), ps_4 -> ps_4 > {mid}))"
-    hits = (
-        "array_sort(transform(filter(ps_e, ps_f -> (ps_f.y1 > ps_y) <> (ps_f.y2 > ps_y)), "
-        "ps_g -> ps_g.x1 + (ps_y - ps_g.y1) * (ps_g.x2 - ps_g.x1) / (ps_g.y2 - ps_g.y1)))"
-    )
-    spans = (
-        "transform(sequence(1, size(ps_h) div 2), ps_i -> named_struct('w', ps_h[2 * ps_i - 1] - ps_h[2 * ps_i - 2], "
-        "'x', -(ps_h[2 * ps_i - 1] + ps_h[2 * ps_i - 2]) / 2))"
-    )
-    best = f"named_struct('x', -array_max({spans}).x, 'y', ps_y)"
-    inner = x.let(f"({below} + {above}) / 2", "ps_y", x.let(hits, "ps_h", f"IF(size(ps_h) < 2, CAST(NULL AS STRUCT<x: DOUBLE, y: DOUBLE>), {best})"))
-    return x.let(es, "ps_e", x.let(box, "ps_b", inner))

@@ -59,56 +59,3 @@ def interpolate_tracks(vertices: DataFrame, order: list[str], fractions: list[fl
         (F.col("prev_y") + part * (F.col("y") - F.col("prev_y"))).alias("y"))
     first = placed.groupBy("fid", "fraction").agg(F.min_by(F.struct("x", "y"), "seq").alias("_p"))
     return first.select("fid", "fraction", "_p.x", "_p.y")
-
-
-# ---------------------------------------------------------------- lines held in one row
-
-def _measured(g: str) -> str:
-    """Edges of a line with the distance before each one."""
-    step = "sqrt((ms_e.x2 - ms_e.x1) * (ms_e.x2 - ms_e.x1) + (ms_e.y2 - ms_e.y1) * (ms_e.y2 - ms_e.y1))"
-    empty = (
-        "named_struct('d', 0D, 'out', CAST(array() AS ARRAY<STRUCT<d0: DOUBLE, len: DOUBLE, x1: DOUBLE, y1: DOUBLE, "
-        "x2: DOUBLE, y2: DOUBLE>>))"
-    )
-    grown = (
-        f"named_struct('d', ms_s.d + {step}, 'out', concat(ms_s.out, array(named_struct('d0', ms_s.d, 'len', {step}, "
-        "'x1', ms_e.x1, 'y1', ms_e.y1, 'x2', ms_e.x2, 'y2', ms_e.y2))))"
-    )
-    return f"aggregate({x.ring_edges(x.first_ring(g))}, {empty}, (ms_s, ms_e) -> {grown}).out"
-
-
-def _at(m: str, d: str) -> str:
-    """Vertex at distance ``d`` along measured edges ``m``."""
-    hit = f"element_at(concat(filter({m}, at_e -> at_e.d0 + at_e.len >= {d}), array(element_at({m}, -1))), 1)"
-    t = f"least(1D, IF(at_h.len = 0, 0D, ({d} - at_h.d0) / at_h.len))"
-    return x.let(hit, "at_h", x.vertex(f"at_h.x1 + {t} * (at_h.x2 - at_h.x1)", f"at_h.y1 + {t} * (at_h.y2 - at_h.y1)"))
-
-
-def interpolate_point(g: str, fraction: str) -> str:
-    """Point at a fraction (0..1) of a line's length."""
-    place = x.let(_measured(g), "ip_m", _at("ip_m", f"({fraction} * {x.length(g)})"))
-    built = x.geom(1, f"{g}.srid", f"array({x.part(1, f'array(array({place}))')})")
-    return f"IF({g}.gtype = 2 AND {fraction} BETWEEN 0 AND 1, {built}, {x.NO_GEOM})"
-
-
-def equidistant_points(g: str, step: str) -> str:
-    """Multipoint of the places every ``step`` along a line, from its start."""
-    count = f"CAST(floor({x.length(g)} / {step}) AS INT)"
-    places = x.let(
-        _measured(g), "eq_m",
-        f"transform(sequence(0, {count}), eq_i -> {x.part(1, 'array(array(' + _at('eq_m', f'(eq_i * {step})') + '))')})")
-    return f"IF({g}.gtype = 2 AND {step} > 0, {x.geom(4, f'{g}.srid', places)}, {x.NO_GEOM})"
-
-
-def substring(g: str, start: str, end: str) -> str:
-    """Part of a line between two fractions of its length."""
-    total = x.length(g)
-    d0, d1 = f"({start} * ss_l)", f"({end} * ss_l)"
-    inner = f"filter(ss_m, ss_e -> ss_e.d0 > {d0} AND ss_e.d0 < {d1})"
-    ring = (
-        f"concat(array({_at('ss_m', d0)}), transform({inner}, ss_v -> {x.vertex('ss_v.x1', 'ss_v.y1')}), "
-        f"array({_at('ss_m', d1)}))"
-    )
-    built = x.let(total, "ss_l", x.let(_measured(g), "ss_m", x.line(ring, f"{g}.srid")))
-    ok = f"{g}.gtype = 2 AND {start} >= 0 AND {end} <= 1 AND {start} < {end}"
-    return f"IF({ok}, {built}, {x.NO_GEOM})"

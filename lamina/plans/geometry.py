@@ -326,8 +326,8 @@ def geo_line_locate(spark, sf):
            CAST(floor((xmax - xmin + ymax - ymin) / 4) AS INT) + 1 AS n_points FROM part_seg""")
 def geo_line_parts(spark, sf):
     seg = layer(spark, sf, "part_seg").select("fid", "geom")
-    at = seg.select("fid", F.expr(lines.interpolate_point("geom", "0.25D")).alias("q"), F.expr(lines.substring("geom", "0.25D", "0.75D")).alias("m"),
-                    F.expr(lines.equidistant_points("geom", "4D")).alias("e"))
+    at = seg.select("fid", F.expr(x.interpolate_point("geom", "0.25D")).alias("q"), F.expr(x.substring("geom", "0.25D", "0.75D")).alias("m"),
+                    F.expr(x.equidistant_points("geom", "4D")).alias("e"))
     v = "q.parts[0].rings[0][0]"
     return at.select("fid", F.expr(f"{v}.x").alias("quarter_x"), F.expr(f"{v}.y").alias("quarter_y"), F.expr(x.length("m")).alias("mid_length"), F.expr(x.n_points("e")).alias("n_points"))
 
@@ -401,7 +401,7 @@ def geo_centroid(spark, sf):
 def geo_point_on_surface(spark, sf):
     out = None
     for label, name in (("tri", "supplier_tri"), ("donut", "part_donut")):
-        one = layer(spark, sf, name).select(F.lit(label).alias("layer"), "fid", F.expr(x.edges("geom")).alias("es"), F.expr(clip.point_on_surface("geom")).alias("p"))
+        one = layer(spark, sf, name).select(F.lit(label).alias("layer"), "fid", F.expr(x.edges("geom")).alias("es"), F.expr(x.point_on_surface("geom")).alias("p"))
         one = one.select("layer", "fid", F.col("p.x").alias("px"), F.col("p.y").alias("py"), F.expr(x.locate("p.x", "p.y", "es")).alias("place"))
         out = one if out is None else out.unionByName(one)
     return out

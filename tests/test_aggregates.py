@@ -104,12 +104,12 @@ def test_positions_along_a_line(wkt):
     def text(e):
         return df.select(F.expr(e).alias("g")).select(F.expr(x.to_wkt("g")).alias("t")).first().t
 
-    assert text(lines.interpolate_point("geom", "0.75D")) == "POINT(10 5)"
-    assert text(lines.interpolate_point("geom", "0D")) == "POINT(0 0)"
-    assert text(lines.interpolate_point("geom", "1D")) == "POINT(10 10)"
-    assert text(lines.interpolate_point("geom", "1.5D")) is None
-    assert text(lines.substring("geom", "0.25D", "0.75D")) == "LINESTRING(5 0,10 0,10 5)"
-    assert text(lines.equidistant_points("geom", "6D")) == "MULTIPOINT((0 0),(6 0),(10 2),(10 8))"
+    assert text(x.interpolate_point("geom", "0.75D")) == "POINT(10 5)"
+    assert text(x.interpolate_point("geom", "0D")) == "POINT(0 0)"
+    assert text(x.interpolate_point("geom", "1D")) == "POINT(10 10)"
+    assert text(x.interpolate_point("geom", "1.5D")) is None
+    assert text(x.substring("geom", "0.25D", "0.75D")) == "LINESTRING(5 0,10 0,10 5)"
+    assert text(x.equidistant_points("geom", "6D")) == "MULTIPOINT((0 0),(6 0),(10 2),(10 8))"
 
 
 def test_interpolated_ends_are_the_ends(spark):

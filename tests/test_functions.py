@@ -166,6 +166,29 @@ def test_distance(sql):
     assert sql(f"ST_Distance(MakePoint(5, 5), {DONUT})") == 2
 
 
+def test_places_clips_and_validity(sql):
+    assert sql(f"ST_AsText(Line_Interpolate_Point({LINE}, 0.75))") == "POINT(10 5)"
+    assert sql(f"ST_AsText(ST_Line_Substring({LINE}, 0.25, 0.75))") == "LINESTRING(5 0,10 0,10 5)"
+    assert sql(f"ST_AsText(Line_Interpolate_Equidistant_Points({LINE}, 8))") == "MULTIPOINT((0 0),(8 0),(10 6))"
+    assert sql(f"ST_AsText(PointOnSurface({DONUT}))") == "POINT(1.5 5)"
+    assert sql(f"ST_AsText(Intersection({LINE}, BuildMbr(5, -5, 15, 5)))") == "LINESTRING(5 0,10 0,10 5)"
+    assert sql(f"ST_Area(ST_Intersection({DONUT}, BuildMbr(0, 0, 5, 5)))") == 21
+    assert sql(f"Intersection({LINE}, BuildMbr(50, 50, 60, 60))") is None
+    with pytest.raises(Exception, match="convex"):
+        sql(f"Intersection({LINE}, {DONUT})")
+    assert sql(f"ST_IsValid({DONUT}) AND ST_IsSimple({LINE}) AND NOT ST_IsRing({LINE})") is True
+    assert sql("ST_IsValid(GeomFromText('POLYGON((0 0,2 2,2 0,0 2,0 0))'))") is False
+    assert sql("ST_IsSimple(GeomFromText('LINESTRING(0 0,2 0,1 0)'))") is False
+    assert sql("ST_IsRing(GeomFromText('LINESTRING(0 0,2 0,2 2,0 0)'))") is True
+
+
+def test_scalar_names(sql):
+    assert sql("julianday(TIMESTAMP_NTZ'2000-01-01 12:00:00')") == 2451545.0
+    assert sql("strftime('%Y/%m/%d %H:%M', TIMESTAMP_NTZ'2015-07-01 08:05:09')") == "2015/07/01 08:05"
+    assert sql("datetime(TIMESTAMP_NTZ'2015-07-01 08:05:09')") == "2015-07-01 08:05:09"
+    assert [sql(f"glob('{p}', 'a.b(c)')") for p in ("a.b*", "a?b(c)", "A*", "axb*", "*[bc])")] == [True, True, False, False, True]
+
+
 def test_functions_leave_no_python_in_the_plan(spark, sql):
     register_functions(spark)
     plan = spark.sql(f"SELECT ST_Area({DONUT}), Intersects(MakePoint(id, id), {DONUT}) FROM range(3)")._jdf.queryExecution().toString()
