@@ -133,10 +133,8 @@ def geo_rings(spark, sf):
     return ringed
 
 
-def _mixed(spark, sf):
-    """A triangle and a point per supplier, as one collection."""
-    tri = layer(spark, sf, "supplier_tri")
-    return tri.withColumn("geom", F.expr(x.geom(0, 0, f"concat(geom.parts, {x.point('x0', 'y0')}.parts)")))
+# a triangle and its corner, as one collection
+_MIXED = x.geom(0, 0, f"concat(geom.parts, {x.point('x0', 'y0')}.parts)")
 
 
 @query("geo_parts", with_layers("supplier_tri") + """
@@ -145,7 +143,7 @@ def _mixed(spark, sf):
     SELECT fid, 'second', 1, 1, 1 FROM supplier_tri UNION ALL SELECT fid, 'points', 4, 1, 1 FROM supplier_tri UNION ALL
     SELECT fid, 'lines', NULL, NULL, NULL FROM supplier_tri UNION ALL SELECT fid, 'polygons', 6, 1, 4 FROM supplier_tri""")
 def geo_parts(spark, sf):
-    mixed = _mixed(spark, sf).select("fid", "geom")
+    mixed = layer(spark, sf, "supplier_tri").select("fid", F.expr(_MIXED).alias("geom"))
     out = part_table(mixed).select("fid", F.expr("concat('part ', part)").alias("what"), "geom")
     for what, g in (("whole", "geom"), ("second", x.part_n("geom", "2")), ("points", x.only_kind("geom", 1)),
                     ("lines", x.only_kind("geom", 2)), ("polygons", x.only_kind("geom", 3))):
@@ -158,8 +156,7 @@ def geo_parts(spark, sf):
     SELECT fid, CAST(NULL AS INT) AS as_point, CAST(NULL AS INT) AS as_line, 3 AS as_polygon, 6 AS as_multipolygon, 6 AS as_multi, 3 AS back_single,
            CAST(NULL AS INT) AS mixed_polygon, 0 AS mixed_multi, CAST(NULL AS INT) AS mixed_single FROM supplier_tri""")
 def geo_cast_type(spark, sf):
-    both = layer(spark, sf, "supplier_tri").select("fid", "geom").join(
-        _mixed(spark, sf).select("fid", F.col("geom").alias("mix")), "fid")
+    both = layer(spark, sf, "supplier_tri").withColumn("mix", F.expr(_MIXED))
     multi = both.withColumn("multi", F.expr(x.cast_multi("geom")))
     codes = {
         "as_point": x.cast_type("geom", 1), "as_line": x.cast_type("geom", 2), "as_polygon": x.cast_type("geom", 3),

@@ -122,13 +122,16 @@ def run_query(spark: SparkSession, query: str) -> DataFrame:
             raise ValueError(NO_TABLE.format(name)) from e
         raise
     for i, n in enumerate(names, 1):
-        if not _is_name(n):
+        if not _is_name(n) and _quoted(n) not in query:
             raise ValueError(NO_NAME.format(i))
     return df
 
 
 def _is_name(n: str) -> bool:
-    """Spark names a column without alias after its expression, so digits, quotes or brackets give it away."""
+    """Spark names a column without alias after its expression: digits, quotes or brackets give it away.
+
+    A query may still ask for such a name by quoting it.
+    """
     return bool(n) and not (n[0].isdigit() or any(c in n for c in "()'\"+*/|<>=,"))
 
 

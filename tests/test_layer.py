@@ -124,6 +124,7 @@ def test_errors(spark, parts):
         ly.create_layer(spark, "?query=SELECT * FROM nowhere")
     with pytest.raises(ValueError, match="Result column #1 has no name"):
         ly.create_layer(spark, "?query=SELECT 42")
+    assert ly.create_layer(spark, "?query=SELECT 42 AS `share (per cent)`").df.columns == ["share (per cent)"]
     with pytest.raises(AnalysisException):
         ly.create_layer(spark, f"?layer=parquet:{parts}:p&query=SELECT missing FROM p")
     register_functions(spark, ["GeomFromText"])
