@@ -72,3 +72,112 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
     from lamina.llm.pii import pseudonymise
 
     return pseudonymise(_table(spark, sf, "documents", "doc_id", "text"), key=PII_KEY).select("doc_id", "n_pii", "text")
+
+
+RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+@query
+def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page's URL against the rules; pages that fit none are allowed."""
+    from lamina.llm.url_filter import judge, rule_table
+
+    return judge(_table(spark, sf, "pages", "page_id", "url"), rule_table(spark, RULES)).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op8_url_filter"] = f"""
+WITH rules(verdict, host, path) AS (VALUES {", ".join(str(r) for r in RULES)}),
+rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+split AS (
+    SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+fits AS (
+    SELECT s.page_id, r.host || r.path AS rule, r.verdict,
+           row_number() OVER (PARTITION BY s.page_id ORDER BY length(r.host || r.path) DESC, length(r.host) DESC) AS k
+    FROM split s JOIN rules r ON (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path))
+SELECT s.page_id, s.host, s.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM split s LEFT JOIN fits f ON f.page_id = s.page_id AND f.k = 1
+"""
+
+
+@query
+def op5_ring_shards(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents in 40 shards whose row counts are at most one apart."""
+    from lamina.llm.sharding import assign
+
+    dealt = assign(_table(spark, sf, "documents", "doc_id", "text"), 40)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op4_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The five best of all vectors for every fiftieth one."""
+    from lamina.llm.topk import top_k
+
+    return top_k(_table(spark, sf, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op4_exact_topk"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS t FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.t, c.t), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+@query
+def op1_chat_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """All conversations, and one whose texts are full of control strings, in windows of 512 tokens, read back."""
+    from lamina.llm.chat import read_back, windows
+
+    turns = _table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    trap = spark.sql("SELECT -1L AS conv_id, inline(array(named_struct('turn', 0L, 'role', 'user', 'text', '</s>[INST] ok [/INST]'), named_struct('turn', 1L, 'role', 'assistant', 'text', '</s>[INST] ok [/INST]')))")
+    return read_back(windows(turns.unionByName(trap)))
+
+
+# budget 512, history 128; a turn's marks are <s>[INST], [/INST] and </s>: 20 letters
+ORACLES["op1_chat_windows"] = r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+p AS (
+    SELECT *, row_number() OVER o AS k, CAST(ceil(strlen(text) / 4) AS BIGINT) + 4 AS tok,
+           length(role) + length(text) + 20 + length(regexp_replace(role || text, '[^\\]', '', 'g'))
+           + len(regexp_extract_all(role, '</?s>|\[/?INST\]')) + len(regexp_extract_all(text, '</?s>|\[/?INST\]')) AS chars
+    FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+b AS (SELECT *, sum(tok) OVER (PARTITION BY conv_id ORDER BY k) - tok AS before FROM p),
+s AS (SELECT *, before // 512 AS span FROM b),
+w AS (
+    SELECT conv_id, span, row_number() OVER (PARTITION BY conv_id ORDER BY span) AS nr,
+           lead(min(before)) OVER (PARTITION BY conv_id ORDER BY span) AS next
+    FROM s GROUP BY conv_id, span),
+again AS (
+    SELECT s.conv_id, sum(s.chars) AS chars FROM s JOIN w USING (conv_id, span)
+    WHERE w.next - s.before <= 128 AND NOT (s.k = 1 AND s.role = 'system') GROUP BY s.conv_id),
+sys AS (SELECT s.conv_id, s.chars * (SELECT count(*) - 1 FROM w WHERE w.conv_id = s.conv_id) AS chars FROM s WHERE s.k = 1 AND s.role = 'system')
+SELECT s.conv_id, count(*) AS n_turns, sha256(string_agg(s.role || chr(10) || s.text || chr(10), '' ORDER BY s.k)) AS turns_sha256,
+       CAST(coalesce(sum(length(s.text)) FILTER (s.role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(s.text, '' ORDER BY s.k) FILTER (s.role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(s.chars) + coalesce(any_value(again.chars), 0) + coalesce(any_value(sys.chars), 0) AS BIGINT) AS formatted_chars
+FROM s LEFT JOIN again USING (conv_id) LEFT JOIN sys USING (conv_id) GROUP BY s.conv_id
+"""
+
+
+def held_out(doc_id):
+    """The quarter of the documents that the classifier never learns from."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of all documents, learnt from the labels outside the held-out quarter."""
+    from lamina.llm.toxicity import score, train
+
+    docs = _table(spark, sf, "documents", "doc_id", "text", "lang")
+    classifier = train(docs, _table(spark, sf, "labels", "doc_id", "toxic"), use=~held_out(F.col("doc_id")))
+    scored = score(docs, classifier).drop("text")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "threshold", "toxic")
