@@ -32,8 +32,10 @@ IP = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)"
 DATE = r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\d/-]|\.\d)"
 MAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 KINDS = ("mail", "ip", "ssn", "date", "phone", "card")
-# back references count over the whole pattern, and cards come last: none of the others has a group
-ANY = "|".join((MAIL, IP, SSN, DATE, PHONE, CARD))
+# values other than mail start with a digit, a plus or a bracket: all other places fail at their first letter
+NUMBERS = r"(?=[\d+(])(?:" + "|".join((IP, SSN, DATE, PHONE, CARD)) + ")"
+# back references count over the whole pattern, and only cards, which come last, have groups
+ANY = MAIL + "|" + NUMBERS
 
 
 def _text(s: str) -> str:
@@ -142,11 +144,14 @@ def pseudonymise(df: DataFrame, key: str, text: str = "text", count: str = "n_pi
     """
     t = quoted([text])[0]
     kept = adds(df, count)
-    found = df.select(*quoted(kept), F.when(F.col(t).cast("string").rlike(ANY), F.regexp_extract_all(F.col(t).cast("string"), F.lit(ANY), F.lit(0))).alias("__m"))
+    own = F.col(t).cast("string")
+    # the mail pattern is tried only where there is an at sign
+    matches = F.when(F.instr(own, "@") > 0, F.regexp_extract_all(own, F.lit(ANY), F.lit(0))).when(own.rlike(NUMBERS), F.regexp_extract_all(own, F.lit(NUMBERS), F.lit(0)))
+    found = df.select(*quoted(kept), matches.alias("__m"))
     found = found.withColumn("__n", F.expr(f"transform(__m, m -> {pseudonym('m', key)})"))
-    gaps = F.split(F.col(t).cast("string"), ANY, -1)
+    gaps = F.when(F.instr(own, "@") > 0, F.split(own, ANY, -1)).otherwise(F.split(own, NUMBERS, -1))
     new: Column = F.expr("array_join(transform(__g, (g, i) -> concat(g, coalesce(get(__n, i), ''))), '')")
-    out = found.withColumn("__g", F.when(F.col("__m").isNotNull(), gaps))
+    out = found.withColumn("__g", F.when(F.size("__m") > 0, gaps))
     changed = F.coalesce(F.expr("size(filter(zip_with(__m, __n, (x, y) -> x <> y), c -> c))"), F.lit(0))
-    columns = [F.when(F.col("__m").isNotNull(), new).otherwise(F.col(t).cast("string")).alias(c) if c.lower() == text.lower() else F.col(quoted([c])[0]) for c in kept]
+    columns = [F.when(F.size("__m") > 0, new).otherwise(own).alias(c) if c.lower() == text.lower() else F.col(quoted([c])[0]) for c in kept]
     return out.select(*columns, changed.alias(count))
