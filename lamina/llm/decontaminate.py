@@ -1,10 +1,10 @@
 """Benchmark decontamination with DataFrame functions only.
 
 Words: runs of letters, digits and non-ASCII letters, A-Z lower-cased.  A window is ``n`` consecutive words of a benchmark item; an
-item of fewer words, but not none, is one window.  The windows form a set keyed by the hash of their words, which is broadcast while
-its measured size stays under ``broadcast_bytes`` and shuffled beyond.  Training texts are read once: each position of each text gives
-the hash of the words that start there (one for each window length in the set), a probe keeps the few positions whose hash is listed,
-and the words themselves are then compared, so the result is exact.  Only positions that hit leave the scan; they are gathered per
+item of fewer words, but not none, is one window.  The windows form a set keyed by the hash of their first words, which is broadcast while
+its measured size stays under ``broadcast_bytes`` and shuffled beyond.  Each position of a training text gives the hash of the words
+that start there, a probe keeps the few positions whose hash is listed, and all words of the window are then compared, so the result is
+exact.  Only positions that hit leave the scan; they are gathered per
 document before the shuffle.
 """
 
@@ -16,30 +16,42 @@ from pyspark.sql import functions as F
 from lamina.llm.common import adds, quoted
 from lamina.session import cut_lineage
 
-# The letters of a word.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# The letters of a word (before A-Z are lower-cased).
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+HEAD = 3  # words of a window that are hashed
+
+
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text.cast("string"), F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
+    """Words of a text as they stand."""
+    return F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(WORD), F.lit(0))
+
+
+def lowered(found: Column) -> Column:
+    """Words with A-Z lower-cased."""
+    return F.transform(found, lambda w: F.translate(w, UPPER, LOWER))
 
 
 def windows(items: DataFrame, n: int = 13, id: str = "item_id", text: str = "text") -> DataFrame:
-    """(key, words, items): the distinct windows of all items with the ids of their items."""
-    at = items.select(F.col(quoted([id])[0]).alias("item"), words(F.col(quoted([text])[0])).alias("w")).where("size(w) > 0")
+    """(key, words, coarse, items): the distinct windows of all items with the ids of their items."""
+    at = items.select(F.col(quoted([id])[0]).alias("item"), lowered(words(F.col(quoted([text])[0]))).alias("w")).where("size(w) > 0")
     each = at.select("item", F.explode(F.expr(f"transform(sequence(1, greatest(size(w) - {n - 1}, 1)), i -> slice(w, i, {n}))")).alias("words"))
     grouped = each.groupBy("words").agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"))
-    return grouped.select(_key(F.size("words"), "words", F.lit(0), n).alias("key"), "words", "items")
+    return grouped.withColumn("coarse", F.transform("words", F.lower)).select(_key(F.least(F.size("words"), F.lit(HEAD)), "coarse", F.lit(0)).alias("key"), "words", "coarse", "items")
+
 
+def _key(length: Column, array: str, start: Column) -> Column:
+    """Hash of the first ``length`` words from ``start`` on (HEAD at most).
 
-def _key(length: Column, array: str, start: Column, n: int) -> Column:
-    """Hash of the ``length`` words from ``start`` on; words behind them (or behind the end) don't count."""
-    return F.xxhash64(length, *(F.when(length > i, F.get(array, start + i)) for i in range(n)))
+    The words in ``array`` are lower-cased in full, which is quick and only coarser than A-Z: the words of a hit are compared exactly.
+    """
+    return F.xxhash64(length, *(F.when(length > i, F.get(array, start + i)) for i in range(HEAD)))
 
 
 def _broadcast_if_small(listed: DataFrame, limit: int) -> DataFrame:
-    size = listed.select(F.sum(F.octet_length(F.concat_ws("", "words")) + 16 * F.size("words") + F.octet_length(F.concat_ws("", "items")) + 16 * F.size("items") + 64)).first()[0]
+    size = listed.select(F.sum(2 * F.octet_length(F.concat_ws("", "words")) + 32 * F.size("words") + F.octet_length(F.concat_ws("", "items")) + 16 * F.size("items") + 64)).first()[0]
     return F.broadcast(listed) if (size or 0) <= limit else listed.hint("merge")
 
 
@@ -51,20 +63,25 @@ def hits(docs: DataFrame, items: DataFrame, n: int = 13, id: str = "doc_id", tex
     text share a row here.
     """
     listed = cut_lineage(windows(items, n, item_id, item_text))
-    lengths = sorted(r[0] for r in listed.select(F.size("words")).distinct().collect())  # 1 to n: at most n rows
+    lengths = sorted(r[0] for r in listed.select(F.least(F.size("words"), F.lit(HEAD))).distinct().collect())  # 1 to HEAD
     key_of = F.col(quoted([id])[0])
     if not lengths:
         return docs.select(key_of.alias("id"), F.lit(0).cast("long").alias("__hash"), F.expr("CAST(array() AS array<struct<start:int,end:int>>)").alias("spans"), F.expr("CAST(array() AS array<string>)").alias("item_ids")).where("false")
     plain = F.coalesce(F.col(quoted([text])[0]).cast("string"), F.lit(""))
-    split = docs.select(key_of.alias("id"), F.xxhash64(plain).alias("__hash"), words(plain).alias("w"))
-    places = split.select("id", "__hash", "w", F.posexplode("w").alias("pos", "word"))
-    if len(lengths) == 1:
-        keyed = places.withColumn("len", F.lit(lengths[0]))
+    split = docs.select(key_of.alias("id"), F.xxhash64(plain).alias("__hash"), words(plain).alias("w")).withColumn("low", F.transform("w", F.lower))
+    places = split.select("id", "__hash", "w", "low", F.posexplode("low").alias("pos", "word"))
+    if lengths == [HEAD]:
+        key = F.xxhash64(F.lit(HEAD), F.col("word"), *(F.get("low", F.col("pos") + i) for i in range(1, HEAD)))
+        keyed = places.select("id", "__hash", "w", "low", "pos", key.alias("key"))
     else:
-        keyed = places.withColumn("len", F.explode(F.array(*(F.lit(k) for k in lengths))))
-    keyed = keyed.select("id", "__hash", "w", "pos", "len", _key(F.col("len"), "w", F.col("pos"), max(lengths)).alias("key"))
-    found = keyed.join(_broadcast_if_small(listed, broadcast_bytes), "key").where("slice(w, pos + 1, len) = words")
-    gathered = found.groupBy("id", "__hash").agg(F.collect_set(F.struct(F.col("pos").alias("start"), (F.col("pos") + F.col("len")).alias("end"))).alias("at"), F.collect_set("items").alias("items"))
+        keyed = places.withColumn("head", F.explode(F.array(*(F.lit(k) for k in lengths)))).select("id", "__hash", "w", "low", "pos", _key(F.col("head"), "low", F.col("pos")).alias("key"))
+    # all of this stays in generated code (no lambdas), so the words of a text are never copied for a place that doesn't hit
+    near = keyed.join(_broadcast_if_small(listed, broadcast_bytes), "key").where("slice(low, pos + 1, size(coarse)) = coarse")
+    place = F.struct(F.col("pos").alias("start"), F.expr("pos + size(words)").alias("end"), F.expr("slice(w, pos + 1, size(words))").alias("own"), "words", "items")
+    gathered = near.groupBy("id", "__hash").agg(F.collect_set(place).alias("near"))
+    exact = F.filter("near", lambda x: lowered(x["own"]) == x["words"])
+    gathered = gathered.withColumn("near", exact).where("size(near) > 0").select(
+        "id", "__hash", F.array_distinct(F.transform("near", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))).alias("at"), F.transform("near", lambda x: x["items"]).alias("items"))
     merged = F.expr("""aggregate(array_sort(at), CAST(array() AS array<struct<start:int,end:int>>), (done, s) ->
         CASE WHEN size(done) > 0 AND element_at(done, -1).end >= s.start
              THEN concat(slice(done, 1, size(done) - 1), array(named_struct('start', element_at(done, -1).start, 'end', greatest(element_at(done, -1).end, s.end))))
@@ -73,14 +90,14 @@ def hits(docs: DataFrame, items: DataFrame, n: int = 13, id: str = "doc_id", tex
 
 
 def mark(docs: DataFrame, items: DataFrame, n: int = 13, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
-         hit_share: int = 20, keep_text: bool = True) -> DataFrame:
+         hit_share: int = 20, keep_text: bool = True, broadcast_bytes: int = 64 << 20) -> DataFrame:
     """``docs`` with n_words, n_hit, spans, item_ids and contaminated (``hit_share * n_hit >= n_words`` with a hit).
 
     Null and empty texts have no words and no hits; an empty benchmark hits nothing; items without words are no windows; repeated rows
     stay and get the same marks; columns of ``docs`` with the added names give way.  With ``keep_text=False`` the text is left out
     before rows are shuffled.
     """
-    found = hits(docs, items, n, id, text, item_id, item_text)
+    found = hits(docs, items, n, id, text, item_id, item_text, broadcast_bytes)
     kept = [c for c in adds(docs, "n_words", "n_hit", "spans", "item_ids", "contaminated") if keep_text or c.lower() != text.lower()]
     plain = F.coalesce(F.col(quoted([text])[0]).cast("string"), F.lit(""))
     rows = docs.select(*quoted(kept), F.col(quoted([id])[0]).alias("__id"), F.xxhash64(plain).alias("__own"), F.size(words(plain)).cast("long").alias("n_words"))
