@@ -7,8 +7,9 @@ Link: two documents whose shingle sets have ``100 * |A & B| >= percent * |A | B|
 2. Signatures are cut into bands; nodes that share a band's values (a bucket) are candidates.  A bucket of up to ``SMALL`` nodes gives
    all its pairs.  A larger one gives the pairs of one pivot with the others; then, for ``PIVOT_ROUNDS`` rounds, the nodes outside
    its largest component are paired with another pivot of that component.  Pairs inside a component need no comparison, so a bucket
-   of m near copies costs about m comparisons.  Buckets that then still hold several components are compared in whole: blocks of
-   ``BLOCK`` nodes against blocks, across components only, in tasks that return the survivors.  No bucket is capped.
+   of m near copies costs about m comparisons.  Buckets that then still hold several components are compared in whole: nodes that
+   hang together by such buckets form a cluster, and blocks of it meet blocks in tasks that return only confirmed links between
+   different components.  A block is bounded in rows and bytes, and no bucket is capped.
 3. Verification of a candidate compares the signatures batch by batch (``BATCH`` values).  With m equal of n the posterior of the
    similarity is Beta(m + 1, n - m + 1); a pair is dropped as soon as the chance that it reaches the threshold is below ``MISS``.
 4. Survivors are compared on their full shingle sets (64-bit shingle hashes): only those links count.
@@ -37,8 +38,8 @@ BANDS, ROWS = 32, 4
 BATCH = 16  # signature values compared at once
 MISS = 1e-6  # chance of dropping a pair that reaches the threshold, a batch
 SMALL = 6  # nodes up to which a bucket gives all its pairs at once
-PIVOT_ROUNDS = 3
-BLOCK = 256  # nodes of a block where a bucket is compared in whole
+PIVOT_ROUNDS = 1
+BLOCK, BLOCK_SET_BYTES = 1024, 8 << 20  # nodes, and bytes of their sets, in a block of a cluster
 ODD = (np.random.default_rng(20240601).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
@@ -181,58 +182,72 @@ def pruned(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInPandas(run, "a long, b long")
 
 
-def blockwise(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes in one bucket but different components that signatures leave, compared block against block.
+def agree(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether two shingle sets (distinct hashes) reach the threshold."""
+    common = len(np.intersect1d(p, q, assume_unique=True))
+    return 100 * common >= percent * (len(p) + len(q) - common)
 
-    ``members``: (bucket, node, comp, n) with n the bucket's size.  A block pair is a group of at most about 2 * BLOCK rows.
-    """
-    least = survives(percent)
 
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        left, right = f[f["side"] != 2], f[f["side"] != 1]
-        sa, sb, out = _signatures(left["sig"]), _signatures(right["sig"]), []
-        na, nb, ca, cb = (x.to_numpy() for x in (left["node"], right["node"], left["comp"], right["comp"]))
-        for i in range(len(left)):
-            others = np.flatnonzero((cb != ca[i]) & (nb != na[i]))
-            if len(others):
-                hit = others[likely(least, np.repeat(sa[i : i + 1], len(others), axis=0), sb[others])]
-                out += [(min(na[i], x), max(na[i], x)) for x in nb[hit]]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    k = F.ceil(F.col("n") / BLOCK)
-    dealt = members.join(nodes.select("node", "sig"), "node").withColumn("s", F.pmod(F.xxhash64("node"), k)).withColumn("t", F.explode(F.sequence(F.lit(0), k - 1)))
-    # side 1 and 2: rows and columns of a block pair; 0: both, on the diagonal
-    side = F.when(F.col("s") == F.col("t"), 0).when(F.col("s") < F.col("t"), 1).otherwise(2)
-    dealt = dealt.select("bucket", F.least("s", "t").alias("i"), F.greatest("s", "t").alias("j"), side.alias("side"), "node", "comp", "sig")
-    return dealt.groupBy("bucket", "i", "j").applyInPandas(run, "a long, b long").distinct()
+def sets_of(named: DataFrame, docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, shingles) of the nodes in ``named``, made again from one text of each."""
+    known = cut_lineage(named.join(nodes.select("node", "digest", "low_id"), "node"))
+    texts = docs.join(known.select(F.col("low_id").alias("id")).distinct(), "id", "left_semi")
+    return cut_lineage(shingle_table(texts, width, with_set=True).select("digest", "shingles").join(known, "digest").groupBy("node").agg(F.first("shingles").alias("shingles")))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs that hold on their full sets, which are made again for one row of each node in a pair only."""
-    named = cut_lineage(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "digest", "low_id"), "node"))
-    texts = docs.join(named.select(F.col("low_id").alias("id")).distinct(), "id", "left_semi")
-    sets = shingle_table(texts, width, with_set=True).select("digest", "shingles").join(named, "digest").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    sets = cut_lineage(sets)
+    """Pairs that hold on their full sets."""
+    sets = sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), docs, nodes, width)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            keep = []
-            for x, y in zip(f["xa"], f["xb"]):
-                p, q = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                common = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * common >= percent * (len(p) + len(q) - common))
+            keep = [agree(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), percent) for x, y in zip(f["xa"], f["xb"])]
             yield f.loc[keep, ["a", "b"]]
 
     both = pairs.join(sets.toDF("a", "xa"), "a").join(sets.toDF("b", "xb"), "b").select("a", "b", "xa", "xb")
     return both.mapInPandas(run, "a long, b long")
 
 
+def blockwise(members: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Confirmed links between different components inside clusters of ``members`` (bucket, node, comp), block against block.
+
+    Of the pairs between two components a task returns the first link: more wouldn't change the result.
+    """
+    least = survives(percent)
+    low = members.groupBy("bucket").agg(F.min("node").alias("low"))
+    cluster = components(members.join(low, "bucket").select(F.col("node").alias("a"), F.col("low").alias("b"))).withColumnRenamed("comp", "cluster")
+    own = members.select("node", "comp").distinct().join(cluster, "node")
+    held = cut_lineage(own.join(sets_of(own.select("node"), docs, nodes, width), "node").join(nodes.select("node", "sig"), "node"))
+    sizes = held.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.octet_length("shingles")) / BLOCK_SET_BYTES)).alias("k"))
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        left, right = f[f["side"] != 2], f[f["side"] != 1]
+        sa, sb, out, done = _signatures(left["sig"]), _signatures(right["sig"]), [], set()
+        na, nb, ca, cb = (x.to_numpy() for x in (left["node"], right["node"], left["comp"], right["comp"]))
+        xa, xb = ([np.frombuffer(x, dtype=np.uint64) for x in side["shingles"]] for side in (left, right))
+        same = left["side"].eq(0).all() and right["side"].eq(0).all()
+        for i in range(len(left)):
+            others = np.flatnonzero((cb != ca[i]) & (nb > na[i])) if same else np.flatnonzero(cb != ca[i])
+            for j in others[likely(least, np.broadcast_to(sa[i], (len(others), sa.shape[1])), sb[others])]:
+                between = (min(ca[i], cb[j]), max(ca[i], cb[j]))
+                if between not in done and agree(xa[i], xb[j], percent):
+                    done.add(between)
+                    out.append((na[i], nb[j]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    dealt = held.join(sizes, "cluster").withColumn("s", F.pmod(F.xxhash64("node"), "k")).withColumn("t", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    # side 1 and 2: rows and columns of a block pair; 0: both, on the diagonal
+    side = F.when(F.col("s") == F.col("t"), 0).when(F.col("s") < F.col("t"), 1).otherwise(2)
+    dealt = dealt.select("cluster", F.least("s", "t").alias("i"), F.greatest("s", "t").alias("j"), side.alias("side"), "node", "comp", "sig", "shingles")
+    return dealt.groupBy("cluster", "i", "j").applyInPandas(run, "a long, b long")
+
+
 def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame | None:
     """Confirmed links (a, b) that join the nodes to their components; None where there is none."""
     bands = nodes.select("node", F.posexplode(F.expr(f"transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(sig, 1 + i * {4 * ROWS}, {4 * ROWS})))"))).select("node", F.col("col").alias("bucket"))
     full = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = cut_lineage(bands.join(full, "bucket").select("bucket", "node", "n"))
-    small, large = members.where(F.col("n") <= SMALL), members.where(F.col("n") > SMALL).select("bucket", "node", "n")
+    small, large = members.where(F.col("n") <= SMALL), members.where(F.col("n") > SMALL)
     own = small.alias("x").join(small.alias("y"), F.expr("x.bucket = y.bucket AND x.node < y.node")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
     def with_pivot(rows: DataFrame, pivots: DataFrame) -> DataFrame:
@@ -242,14 +257,16 @@ def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFr
     pivots = large.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node")).alias("pivot"))
     found: DataFrame | None = None
 
-    def confirm(pairs: DataFrame, prune: bool = True) -> None:
+    def add(new: DataFrame) -> None:
         nonlocal found
-        left = cut_lineage(pruned(pairs.distinct(), nodes, percent) if prune else pairs)
-        if left.isEmpty():
-            return
-        new = cut_lineage(confirmed(left, docs, nodes, width, percent))
+        new = cut_lineage(new)
         found = new if found is None else found.union(new)
 
+    def confirm(pairs: DataFrame) -> None:
+        left = cut_lineage(pruned(pairs.distinct(), nodes, percent))
+        if not left.isEmpty():
+            add(confirmed(left, docs, nodes, width, percent))
+
     def open_buckets() -> DataFrame:
         """(bucket, node, comp, n) of the large buckets that hold several components."""
         comp = components(found) if found is not None else None
@@ -262,12 +279,12 @@ def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFr
         rows = open_buckets()
         if rows.isEmpty():
             return found
-        sizes = rows.groupBy("bucket", "comp").agg(F.count("*").alias("c"), F.min_by("node", F.xxhash64("node", "bucket", F.lit(k))).alias("pivot"))
+        sizes = rows.groupBy("bucket", "comp").agg(F.count("*").alias("c"), F.min_by("node", F.xxhash64("node", F.lit(k))).alias("pivot"))
         major = sizes.groupBy("bucket").agg(F.max(F.struct("c", "comp", "pivot")).alias("m")).select("bucket", F.col("m.comp").alias("mc"), F.col("m.pivot").alias("pivot"))
         confirm(with_pivot(rows.join(major.select("bucket", "mc"), "bucket").where("comp <> mc"), major))
     rows = open_buckets()
     if not rows.isEmpty():
-        confirm(blockwise(rows, nodes, percent), prune=False)
+        add(blockwise(rows, docs, nodes, width, percent))
     return found
 
 
