@@ -41,7 +41,7 @@ def blocks(batch: pa.RecordBatch, column: str, block_bytes: int = BLOCK_BYTES) -
 class Memo(dict):
     """A dict that computes missing values and forgets everything when ``room`` keys are held, so its memory is bounded."""
 
-    def __init__(self, compute, room: int = 600_000, longest: int = 64):
+    def __init__(self, compute, room: int = 400_000, longest: int = 64):
         super().__init__()
         self.compute, self.room, self.longest = compute, room, longest
 
