@@ -66,8 +66,8 @@ def _java_pattern(f: str) -> str:
 
 
 def _glob_pattern(p: str) -> str:
-    """Anchored regular expression of a glob: * any run, ? one character, [...] a set."""
-    escaped = "regexp_replace(" + p + r", '([.+^$(){}|\\\\])', '\\\\$1')"
+    """Anchored regular expression of a glob: * any run, ? one character, [...] a set, [^...] its complement."""
+    escaped = "regexp_replace(" + p + r", '([.+$(){}|\\\\]|(?<!\\[)\\^)', '\\\\$1')"
     return f"concat('^(?s)', replace(replace({escaped}, '*', '.*'), '?', '.'), '$')"
 
 

@@ -219,7 +219,9 @@ def convex_hull(layer: DataFrame, by: str) -> DataFrame:
 
     def batch_hulls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for key, grp in pdf.groupby(by, sort=False):
+            for key, grp in pdf.groupby(by, sort=False, dropna=False):
+                # a missing key is a group like any other
+                key = None if pd.isna(key) else key
                 yield frame(key, grp["x"].to_numpy(), grp["y"].to_numpy())
 
     def group_hull(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -228,7 +230,7 @@ def convex_hull(layer: DataFrame, by: str) -> DataFrame:
     tips = vertex_table(layer, keep=(by,)).groupBy(by, "x").agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
     points = tips.select(by, "x", F.explode(F.array("lo", "hi")).alias("y"))
     partial = points.mapInPandas(batch_hulls, flat)
-    salt = (F.abs(F.xxhash64("x", "y")) % HULL_TASKS).alias("salt")
+    salt = F.pmod(F.xxhash64("x", "y"), F.lit(HULL_TASKS)).alias("salt")
     mid = partial.groupBy(by, salt).applyInPandas(group_hull, flat)
     def numbered_hull(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         hull = group_hull(key, pdf)
