@@ -137,3 +137,8 @@ def test_defects(wkt):
     assert got == {(2, "self_crossing"), (2, "zero_area"), (3, "self_crossing"), (4, "self_crossing"), (4, "zero_area")}
     valid = {r.fid: (r.is_valid, r.is_simple, r.is_closed) for r in validity.validity(bad).collect()}
     assert valid[1] == (True, True, True) and valid[5] == (True, True, False) and valid[3] == (False, False, False)
+
+
+def test_hull_of_a_missing_group(spark, wkt):
+    layer = wkt((1, "POINT(0 0)"), (2, "POINT(1 0)"), (3, "POINT(0 1)")).withColumn("k", F.lit(None).cast("string"))
+    assert [(r.k, r.n, r.area) for r in ag.convex_hull(layer, "k").collect()] == [(None, 3, 0.5)]

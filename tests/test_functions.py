@@ -204,3 +204,9 @@ def test_srid_travels_with_edits(spark, wkt):
     g = wkt((1, "LINESTRING(0 0,1 1)")).select(F.expr(x.set_srid("geom", 2154)).alias("g"))
     for e in (x.translate("g", "1", "1"), x.reverse_line("g"), x.envelope("g"), x.cast_multi("g"), x.nth_vertex("g", "1")):
         assert g.select(F.expr(f"({e}).srid").alias("s")).first().s == 2154
+
+
+def test_glob_sets(spark):
+    register_functions(spark)
+    row = spark.sql("SELECT glob('[^ab]*', 'apple') AS a, glob('[^ab]*', 'cherry') AS b, glob('[a-c]?', 'b1') AS c, glob('a^b', 'a^b') AS d").first()
+    assert (row.a, row.b, row.c, row.d) == (False, True, True, True)
