@@ -627,7 +627,8 @@ def closest(es: str, fs: str) -> str:
     """struct<d2, ax, ay, bx, by>: closest places of two edge sets whose edges do not cross.
 
     The minimum is reached at an end of one edge, so ends of ``es`` are measured against
-    ``fs`` and the other way round.
+    ``fs`` and the other way round.  Of equal distances the least places are taken, so the
+    order of the edges doesn't matter.
     """
     none = "named_struct('d2', CAST('Infinity' AS DOUBLE), 'ax', 0D, 'ay', 0D, 'bx', 0D, 'by', 0D)"
 
@@ -642,7 +643,7 @@ def closest(es: str, fs: str) -> str:
             f"flatten(transform({outer}, {tag}_e -> array(named_struct('x', {tag}_e.x1, 'y', {tag}_e.y1), "
             f"named_struct('x', {tag}_e.x2, 'y', {tag}_e.y2))))"
         )
-        best = f"aggregate({inner}, {tag}_s, ({tag}_b, {tag}_f) -> {let(near, f'{tag}_n', f'IF({tag}_n.d2 < {tag}_b.d2, {pick}, {tag}_b)')})"
+        best = f"aggregate({inner}, {tag}_s, ({tag}_b, {tag}_f) -> {let(near, f'{tag}_n', f'least({pick}, {tag}_b)')})"
         return f"aggregate(array_distinct({ends_of}), %s, ({tag}_s, {tag}_u) -> {best})"
 
     return side(fs, es, "cb", True) % (side(es, fs, "ca", False) % none)

@@ -45,8 +45,9 @@ def _distance(what: str) -> str:
     )
     body = {
         "distance": f"IF({meets}, 0D, sqrt({near}.d2))",
-        "closest": x.let(near, "dn", x.point("dn.ax", "dn.ay", "a.srid")),
-        "shortest": x.let(near, "dn", x.line(x.ring_of(("dn.ax", "dn.ay"), ("dn.bx", "dn.by")), "a.srid")),
+        # features that meet away from the ends of their edges have no such place
+        "closest": x.let(near, "dn", f"IF(dn.d2 > 0 AND {meets}, NULL, {x.point('dn.ax', 'dn.ay', 'a.srid')})"),
+        "shortest": x.let(near, "dn", f"IF(dn.d2 > 0 AND {meets}, NULL, {x.line(x.ring_of(('dn.ax', 'dn.ay'), ('dn.bx', 'dn.by')), 'a.srid')})"),
     }[what]
     return x.let(x.edges("a"), "de", x.let(x.edges("b"), "df", body))
 
@@ -155,9 +156,11 @@ def definitions() -> list[tuple[list[str], str, str, str]]:
     add("ST_Shift_Longitude", g, G, x.shift_longitude("g"))
     add("NormalizeLonLat", g, G, x.normalize_lonlat("g"))
     add("ST_Transform", f"g {G}, srid INT", G, x.transform_crs("g", "srid"))
+    add("ST_Expand", f"g {G}, r {D}", G,
+        x.let(x.bounds("g"), "bf", x.box("bf.xmin - r", "bf.ymin - r", "bf.xmax + r", "bf.ymax + r", "g.srid")))
     add(_both("Buffer"), f"g {G}, r {D}", G,
-        f"IF(g.gtype = 1, {x.circle(x.first_ring('g') + '[0].x', x.first_ring('g') + '[0].y', 'r', 32, 'g.srid')}, "
-        + x.let(x.bounds("g"), "bf", x.box("bf.xmin - r", "bf.ymin - r", "bf.xmax + r", "bf.ymax + r", "g.srid")) + ")")
+        f"CASE WHEN g IS NULL THEN NULL WHEN g.gtype = 1 THEN {x.circle(x.first_ring('g') + '[0].x', x.first_ring('g') + '[0].y', 'r', 32, 'g.srid')} "
+        "ELSE raise_error('Buffer takes single points; ST_Expand widens the box of any geometry') END")
 
     # places on lines and surfaces, clipping to a convex polygon, validity
     add(_both("Line_Interpolate_Point"), f"g {G}, f {D}", G, x.interpolate_point("g", "f"))

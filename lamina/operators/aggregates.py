@@ -114,7 +114,13 @@ def trace_rings(edges: DataFrame, by: list[str]) -> DataFrame:
     # turn from the reversed arriving direction, clockwise, in (0, 2 pi]
     back, ahead = "atan2(y1 - y2, x1 - x2)", "atan2(qy - y2, qx - x2)"
     turn = f"IF({back} - {ahead} > 0, {back} - {ahead}, {back} - {ahead} + 2 * pi())"
-    follow = cut_lineage(ided.join(out, [*by, "x2", "y2"]).groupBy("id").agg(F.min_by("nid", F.struct(F.expr(turn), F.col("nid"))).alias("next")))
+    # a missing group is a group like any other
+    apart = out.select(*(F.col(c).alias(f"_{c}") for c in (*by, "x2", "y2")), "nid", "qx", "qy")
+    meets = F.lit(True)
+    for c in by:
+        meets = meets & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    meets = meets & (F.col("x2") == F.col("_x2")) & (F.col("y2") == F.col("_y2"))
+    follow = cut_lineage(ided.join(apart, meets).groupBy("id").agg(F.min_by("nid", F.struct(F.expr(turn), F.col("nid"))).alias("next")))
     state = follow.withColumn("low", F.least("id", "next"))
     while True:
         ahead_of = state.select(F.col("id").alias("next"), F.col("next").alias("_nn"), F.col("low").alias("_nl"))
@@ -168,7 +174,8 @@ def dissolve(layer: DataFrame, by: list[str], srid: int = 0) -> DataFrame:
     owned = inside.groupBy(*(F.col(f"a_{c}").alias(c) for c in by), F.col("a_hole").alias("hole")).agg(
         F.min_by("b_ring", F.struct("b_area", "b_ring")).alias("ring"), F.first("a_hole_pts").alias("hole_pts"))
     grouped = owned.groupBy(*by, "ring").agg(F.collect_list("hole_pts").alias("_h"))
-    joined = outer.join(grouped, [*by, "ring"], "left")
+    # ring numbers are unique over all groups
+    joined = outer.join(grouped.select("ring", "_h"), "ring", "left")
     none = f"CAST(array() AS ARRAY<{x.RING}>)"
     return joined.select(
         *by, F.col("ring").alias("fid"), F.expr(x.polygon(f"concat(array(pts), coalesce(_h, {none}))", srid)).alias("geom"))

@@ -19,23 +19,24 @@ from lamina.sources.readers import is_geometry
 
 SMALL_BYTES = 64 << 20  # a side below this (checked) is broadcast
 HOT_ROWS = 1_000_000  # cells with more rows than this are split
-MAX_HOT = 5_000  # at most so many keys of a side are treated as hot
+HOT_KEY_BYTES = 256  # room for one hot key when their table is broadcast
 FEW_ROWS = 2_000_000  # up to here a side is spread over all tasks before it is joined
-RARE_LEVEL = 0.05  # levels holding less than this share join the next coarser one
+RARE_ROWS = 1_000  # levels holding at most so many rows of each side join the next coarser one
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], hot_rows: int = HOT_ROWS,
                 extra: Column | None = None, rows: int | None = None) -> DataFrame:
     """Inner equi-join in which keys with many rows are split over several tasks.
 
-    Keys holding more than ``hot_rows`` rows on one side, and more than 1 / MAX_HOT of all
-    ``rows`` (counted when not given), are looked up first; there are fewer than MAX_HOT such
-    keys per side, so their table is small enough to broadcast.  The rows of such a key are
-    spread over its salts and the rows of the other side are repeated per salt.
+    Keys holding more than ``hot_rows`` rows on one side are looked up first.  The rows of such
+    a key are spread over its salts, in number by the key's own rows, and the rows of the other
+    side are repeated per salt.  There are at most ``rows / hot_rows`` such keys (``rows`` of
+    both sides, counted when not given): their table is broadcast while that bound stays under
+    SMALL_BYTES, and merge-joined beyond.
     """
     if rows is None:
         rows = left.count() + right.count()
-    hot_rows = max(hot_rows, rows // MAX_HOT)
+    few = rows // max(hot_rows, 1) * HOT_KEY_BYTES <= SMALL_BYTES
 
     def heavy(side: DataFrame, name: str) -> DataFrame:
         counts = side.groupBy(*on).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > hot_rows)
@@ -48,7 +49,7 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], hot_rows: int
         cols = [c for c in side.columns if c not in on]
         plain = [f"`{f.name}`" for f in side.schema.fields
                  if f.name in cols and not isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))]
-        tagged = side.join(F.broadcast(hot), on, "left")
+        tagged = side.join(F.broadcast(hot) if few else hot.hint("merge"), on, "left")
         return tagged.select(
             *on, *cols,
             F.expr(f"pmod(xxhash64({', '.join(plain)}), coalesce({own}, 1))").cast("int").alias(own_salt),
@@ -90,22 +91,40 @@ def _fits(df: DataFrame, n: int, spread: int, small_bytes: int) -> bool:
     row = 48 + 16 * len(df.columns)
     if n * row * spread > small_bytes:
         return False
-    sized = [F.size(f.name) if isinstance(f.dataType, T.ArrayType) else F.expr(x.n_points(f.name))
-             for f in df.schema.fields if isinstance(f.dataType, T.ArrayType) or is_geometry(f.dataType)]
+    sized = []
+    for f in df.schema.fields:
+        size = _varying_bytes(f)
+        if size is None:
+            return False
+        sized += size
     if not sized:
         return True
-    items = df.agg(F.coalesce(F.sum(sum(sized[1:], sized[0])), F.lit(0))).first()[0]
-    return (n * row + items * 48) * spread <= small_bytes
+    held = df.agg(F.coalesce(F.sum(sum(sized[1:], sized[0])), F.lit(0))).first()[0]
+    return (n * row + held) * spread <= small_bytes
+
+
+def _varying_bytes(f: T.StructField) -> list[Column] | None:
+    """Bytes of a column beyond a fixed 16 a row, as at most one expression; None where they can't be told."""
+    t, name = f.dataType, f"`{f.name}`"
+    if is_geometry(t):
+        return [F.coalesce(F.expr(x.n_points(name)), F.lit(0)) * 48]
+    if isinstance(t, T.StringType | T.BinaryType):
+        return [F.coalesce(F.octet_length(name), F.lit(0))]
+    if isinstance(t, T.ArrayType):
+        leaves = t.elementType.fields if isinstance(t.elementType, T.StructType) else [T.StructField("e", t.elementType)]
+        if all(isinstance(e.dataType, T.NumericType | T.BooleanType | T.DateType | T.TimestampType) for e in leaves):
+            return [F.greatest(F.coalesce(F.size(name), F.lit(0)), F.lit(0)) * max(48, 8 * len(leaves) + 8)]
+        return None
+    return None if isinstance(t, T.MapType | T.StructType | T.VariantType) else []
 
 
 def _kept_levels(la: dict, lb: dict) -> list[int]:
-    """Levels worth their own cell size; rare ones are merged upwards."""
-    na, nb = max(sum(la.values()), 1), max(sum(lb.values()), 1)
+    """Levels worth their own cell size.  Only a few rows, counted and not as a share, may move up: they stay few at any scale."""
     every = sorted({lv for lv in (*la, *lb) if lv is not None})
     kept, ca, cb = [], 0, 0
     for lv in every:
         ca, cb = ca + la.get(lv, 0), cb + lb.get(lv, 0)
-        if max(ca / na, cb / nb) >= RARE_LEVEL or lv == every[-1]:
+        if max(ca, cb) > RARE_ROWS or lv == every[-1]:
             kept.append(lv)
             ca = cb = 0
     return kept

@@ -128,10 +128,16 @@ def equal_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def _measured(pairs: DataFrame, meet: str) -> DataFrame:
-    """Distance and closest places of joined pairs of edge sets."""
+    """Distance, its square and closest places of joined pairs of edge sets.
+
+    Features that meet have places only where ends of their edges meet: elsewhere the nearest
+    ends lie apart and would be no places at distance 0.
+    """
     near = f"named_struct('t', {meet}, 'n', {x.closest('a_es', 'b_es')})"
     once = pairs.select("a_fid", "b_fid", F.explode(F.array(F.expr(near))).alias("_m"))
-    return once.select("a_fid", "b_fid", F.expr("IF(_m.t, 0D, sqrt(_m.n.d2))").alias("dist"), *(f"_m.n.{c}" for c in ("ax", "ay", "bx", "by")))
+    apart = F.expr("_m.t AND _m.n.d2 > 0")
+    return once.select("a_fid", "b_fid", F.expr("IF(_m.t, 0D, _m.n.d2)").alias("d2"), F.expr("IF(_m.t, 0D, sqrt(_m.n.d2))").alias("dist"),
+                       *(F.when(~apart, F.col(f"_m.n.{c}")).alias(c) for c in ("ax", "ay", "bx", "by")))
 
 
 def near_pairs(a: DataFrame, b: DataFrame, within: float, a_dim: int | None = None, b_dim: int | None = None,
@@ -139,20 +145,21 @@ def near_pairs(a: DataFrame, b: DataFrame, within: float, a_dim: int | None = No
     """(a_fid, b_fid, dist, ax, ay, bx, by) of features at most ``within`` apart.
 
     dist is 0 for features that meet; (ax, ay) and (bx, by) are the ends of the shortest
-    line between the two outlines.
+    line between the two outlines, the least ones of several.  Features that meet nowhere at
+    an end of an edge have no places (NULL).
     """
     spots = ("ax", "ay", "bx", "by")
     if _plain([a, b], [a_dim, b_dim]):
         # the widened box of ``a`` only selects pairs; edges and anchors are untouched by it
         pairs = candidate_pairs(shapes(a), shapes(b), reach=within, **options)
-        return _measured(pairs, r.meets(r.Side("a_", a_dim), r.Side("b_", b_dim))).filter(F.col("dist") <= within)
+        return _measured(pairs, r.meets(r.Side("a_", a_dim), r.Side("b_", b_dim))).filter(F.col("dist") <= within).drop("d2")
     runs = candidate_pairs(edge_runs(a), edge_runs(b), reach=within, **options)
     measured = _measured(runs, x.any_edges_touch("a_es", "b_es"))
     for pairs in _held(a, b, a_dim, b_dim, options):
-        zero = pairs.select("a_fid", "b_fid", F.lit(0.0).alias("dist"), *(F.lit(None).cast("double").alias(c) for c in spots))
+        zero = pairs.select("a_fid", "b_fid", F.lit(0.0).alias("d2"), F.lit(0.0).alias("dist"), *(F.lit(None).cast("double").alias(c) for c in spots))
         measured = measured.unionByName(zero)
     best = measured.filter(F.col("dist") <= within).groupBy("a_fid", "b_fid").agg(
-        F.min_by(F.struct("dist", *spots), F.struct("dist", *spots)).alias("_m"))
+        F.min_by(F.struct("dist", *spots), F.struct("d2", F.isnull("ax"), *spots)).alias("_m"))
     return best.select("a_fid", "b_fid", "_m.dist", *(f"_m.{c}" for c in spots))
 
 

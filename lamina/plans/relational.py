@@ -18,12 +18,12 @@ sql_query("proj_expr", """
 
 
 @query("proj_const", """
-    SELECT n_nationkey, 42 AS t, 'ok' || 'ok' AS t2, CAST(1.5 AS DOUBLE) AS f, CAST(NULL AS VARCHAR) AS nothing FROM nation""")
+    SELECT n_nationkey, 17 AS i, 'left' || '-right' AS joined, CAST(2.25 AS DOUBLE) AS f, CAST(NULL AS VARCHAR) AS nothing FROM nation""")
 def proj_const(spark, sf):
     views(spark, sf)
     # constant selects without FROM, used as values of a projection
     return spark.sql("""
-        SELECT n_nationkey, (SELECT 42) AS t, (SELECT 'ok' || 'ok') AS t2, (SELECT 1.5D) AS f, (SELECT CAST(NULL AS STRING)) AS nothing
+        SELECT n_nationkey, (SELECT 17) AS i, (SELECT 'left' || '-right') AS joined, (SELECT 2.25D) AS f, (SELECT CAST(NULL AS STRING)) AS nothing
         FROM nation""")
 
 

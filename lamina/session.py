@@ -33,11 +33,14 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder for files that must outlive a task or a lost executor.
 
-    It lies in the folder the cluster names in ``spark.checkpoint.dir``; only when the session
-    names none (local tests) a temporary folder is used.
+    It lies in the folder the cluster names in ``spark.checkpoint.dir``.  A local session that
+    names none (tests) uses a temporary folder; any other raises, as its executors would write
+    to disks of their own.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         return tempfile.mkdtemp(prefix=f"lamina-{name}-")
     return f"{shared.rstrip('/')}/lamina-{name}-{uuid4().hex}"
 

@@ -59,10 +59,11 @@ class LayerDef:
     def from_url(cls, url: str) -> LayerDef:
         """From ``?layer=format:path[:name[:encoding]]&layer_ref=view[:name]&query=..&uid=..&geometry=col[:type:srid]&nogeometry``.
 
-        Colons and other special characters inside a path are percent-encoded.
+        Colons and other special characters inside a path are percent-encoded.  A storage path
+        before the question mark is no part of the definition.  A type without srid has srid 0.
         """
         sources, kw = [], {}
-        for pair in url.lstrip("?").split("&"):
+        for pair in _url_parts(url)[1].split("&"):
             key, _, raw = pair.partition("=")
             if key == "layer":
                 bits = raw.split(":", 3)
@@ -76,9 +77,11 @@ class LayerDef:
             elif key == "geometry":
                 col, *rest = raw.split(":")
                 kw["geometry"] = col
-                if len(rest) == 2:
+                if rest:
                     code = x.TYPE_CODES.get(rest[0].lower())
-                    kw["gtype"], kw["srid"] = int(rest[0]) if code is None else code, int(rest[1])
+                    # codes with heights or measures are the plain type and a multiple of 1000
+                    kw["gtype"] = int(rest[0]) % 1000 if code is None else code
+                    kw["srid"] = int(rest[1]) if len(rest) > 1 else 0
             elif key == "nogeometry":
                 kw["nogeometry"] = True
             elif key in ("uid", "query"):
@@ -96,6 +99,14 @@ class LayerDef:
             raise ValueError(NO_QUERY)
 
 
+def _url_parts(url: str) -> tuple[str, str]:
+    """Storage path and settings of a layer URL; a question mark inside a setting splits nothing."""
+    head, mark, rest = url.partition("?")
+    if not mark:
+        return ("", url) if "=" in url else (unquote(url), "")
+    return ("", url) if "=" in head else (unquote(head), rest)
+
+
 def attach(spark: SparkSession, source: Source) -> DataFrame:
     """Make a source readable under its name."""
     if source.ref is not None:
@@ -107,6 +118,10 @@ def attach(spark: SparkSession, source: Source) -> DataFrame:
     return df
 
 
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(_quoted(name)) and spark.catalog.getTable(_quoted(name)).isTemporary
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -208,12 +223,30 @@ class Layer:
 
 
 def create_layer(spark: SparkSession, definition: LayerDef | str) -> Layer:
-    """Build a layer from a definition (or its URL form)."""
-    d = LayerDef.from_url(definition) if isinstance(definition, str) else definition
+    """Build a layer from a definition (or its URL form).
+
+    A URL that is a path alone reopens the layer stored there; one with a path and settings
+    also stores the definition under the path.  Views of the session that have the name of a
+    source keep their rows.
+    """
+    if isinstance(definition, str):
+        path, settings = _url_parts(definition)
+        if path and not settings:
+            return open_layer(spark, path)
+        made = create_layer(spark, LayerDef.from_url(definition))
+        if path:
+            save_layer(made, path)
+        return made
+    d = definition
     d.check()
     sources = d.named_sources()
-    frames = [attach(spark, s) for s in sources]
-    df = run_query(spark, d.query) if d.query else frames[0]
+    held = {s.name: spark.table(_quoted(s.name)) for s in sources if s.ref is None and _is_view(spark, s.name)}
+    try:
+        frames = [attach(spark, s) for s in sources]
+        df = run_query(spark, d.query) if d.query else frames[0]
+    finally:
+        for name, rows in held.items():
+            rows.createOrReplaceTempView(_quoted(name))
 
     uid = None
     if d.uid:

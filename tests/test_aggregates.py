@@ -142,3 +142,10 @@ def test_defects(wkt):
 def test_hull_of_a_missing_group(spark, wkt):
     layer = wkt((1, "POINT(0 0)"), (2, "POINT(1 0)"), (3, "POINT(0 1)")).withColumn("k", F.lit(None).cast("string"))
     assert [(r.k, r.n, r.area) for r in ag.convex_hull(layer, "k").collect()] == [(None, 3, 0.5)]
+
+
+def test_rings_of_a_missing_group_are_traced(spark):
+    edges = spark.sql("""
+        SELECT grp, x1, y1, x2, y2 FROM VALUES ('a'), (CAST(NULL AS STRING)) AS g(grp)
+        CROSS JOIN VALUES (0D, 0D, 2D, 0D), (2D, 0D, 0D, 1D), (0D, 1D, 0D, 0D) AS e(x1, y1, x2, y2)""")
+    assert sorted((r.grp or "", r.n, r.area) for r in ag.trace_rings(edges, ["grp"]).collect()) == [("", 3, 1.0), ("a", 3, 1.0)]

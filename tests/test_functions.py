@@ -162,6 +162,12 @@ def test_distance(sql):
     seg = "GeomFromText('LINESTRING(3 -1,3 4)')"
     assert sql(f"ST_Distance(MakePoint(0, 0), {seg})") == 3
     assert sql(f"ST_AsText(ShortestLine(MakePoint(0, 0), {seg}))") == "LINESTRING(0 0,3 0)"
+    crossing = "GeomFromText('LINESTRING(0 0,4 4)')", "GeomFromText('LINESTRING(0 4,4 0)')"
+    assert sql(f"ClosestPoint({crossing[0]}, {crossing[1]}) IS NULL AND ShortestLine({crossing[0]}, {crossing[1]}) IS NULL")
+    assert sql("ST_AsText(ClosestPoint(MakePoint(1, 1), GeomFromText('LINESTRING(0 0,2 2)')))") == "POINT(1 1)"
+    with pytest.raises(Exception, match="single points"):
+        sql(f"ST_Area(Buffer({crossing[0]}, 1D))")
+    assert sql(f"ST_Area(ST_Expand({crossing[0]}, 1D))") == 36.0
     assert sql(f"ST_Distance(MakePoint(1, 1), {DONUT})") == 0
     assert sql(f"ST_Distance(MakePoint(5, 5), {DONUT})") == 2
 

@@ -74,6 +74,9 @@ def test_query_uid_and_geometry_choice(spark, parts):
     assert ly.create_layer(spark, url + "&geometry=geom2:3:4326").geometry == "geom2"
     bare = ly.create_layer(spark, url + "&nogeometry")
     assert bare.geometry is None and geometry_columns(bare.df) == []
+    short = ly.create_layer(spark, url + "&geometry=geom2:polygon")
+    assert (short.geometry, short.gtype, short.srid) == ("geom2", 3, 0)
+    assert ly.LayerDef.from_url("?geometry=g:1003:4326").gtype == 3
     with pytest.raises(ValueError, match="geometry field"):
         ly.create_layer(spark, url + "&geometry=geo")
     with pytest.raises(ValueError, match="id column"):
@@ -199,3 +202,37 @@ def test_requests_work_on_a_stream(spark, parts, tmp_path):
     q = near.writeStream.format("memory").queryName("near_parts").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert {r.OBJECTID for r in spark.table("near_parts").collect()} == {2661, 2662}
+
+
+def test_views_of_the_session_keep_their_rows(spark, parts):
+    spark.range(3).createOrReplaceTempView("mine")
+    made = ly.create_layer(spark, f"?layer=parquet:{parts}:mine&query=SELECT * FROM mine&uid=objectid")
+    assert made.df.count() == 4 and spark.table("mine").count() == 3
+    with pytest.raises(ValueError, match="not found"):
+        ly.create_layer(spark, f"?layer=parquet:{parts}:mine&query=SELECT * FROM mine JOIN nowhere")
+    assert spark.table("mine").count() == 3
+
+
+def test_url_with_a_storage_path(spark, parts, tmp_path):
+    at = str(tmp_path / "stored layer").replace(" ", "%20")
+    made = ly.create_layer(spark, f"{at}?layer=parquet:{parts}:ww&query=SELECT objectid, geometry FROM ww WHERE km > 730 AND 'a?b' <> ''&uid=objectid")
+    back = ly.create_layer(spark, at)
+    assert back.df.columns == made.df.columns == ["objectid", "geometry"] and back.uid == "objectid"
+    assert back.df.count() == 3
+    assert ly.create_layer(spark, f"layer=parquet:{parts}").df.count() == 4
+
+
+def test_no_machine_local_folder_on_a_cluster(monkeypatch):
+    from lamina import session
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Stub:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Stub, "step")
+    Stub.conf["spark.checkpoint.dir"] = "/shared"
+    assert session.shared_folder(Stub, "step").startswith("/shared/lamina-step-")

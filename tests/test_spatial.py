@@ -200,3 +200,31 @@ def test_no_nested_loops_and_no_python_in_spatial_joins(spark, path):
 def test_box_joins_do_not_read_geometry(spark):
     plan = _plan(grid.box_pairs(layer(spark, SF, "part_box"), rows(spark, SF, "nation_poly")))
     assert "named_struct" not in plan
+
+
+def test_places_of_features_that_meet_do_not_depend_on_the_path(spark, wkt, monkeypatch):
+    a = wkt((1, "POINT(5 5)"), (2, "POINT(10 5)"), (3, "LINESTRING(-2 5,12 5)"), (4, "POINT(13 5)"), (5, "LINESTRING(0 12,10 12)"))
+    b = wkt((9, "POLYGON((0 0,10 0,10 10,0 10,0 0))"))
+
+    def found():
+        return {r.a_fid: tuple(r)[2:] for r in sp.near_pairs(a, b, 3.0).collect()}
+
+    whole = found()
+    assert whole[1] == whole[3] == (0.0, None, None, None, None)
+    assert whole[2] == (0.0, 10.0, 5.0, 10.0, 5.0) and whole[4] == (3.0, 13.0, 5.0, 10.0, 5.0)
+    assert whole[5] == (2.0, 0.0, 12.0, 0.0, 10.0)
+    monkeypatch.setattr(sp, "BIG_FEATURE", 1)
+    monkeypatch.setattr(sp.edge_runs, "__defaults__", (("fid",), "geom", 1))
+    assert found() == whole
+
+
+def test_long_texts_are_not_broadcast(spark):
+    rows = spark.range(100).select("id", F.expr("repeat('x', 10000)").alias("t"), F.expr("map('a', id)").alias("m"))
+    assert grid._fits(rows.select("id"), 100, 1, 1 << 20)
+    assert not grid._fits(rows.select("id", "t"), 100, 1, 900_000) and grid._fits(rows.select("id", "t"), 100, 1, 2_000_000)
+    assert not grid._fits(rows.select("id", "m"), 100, 1, 1 << 30)
+
+
+def test_levels_with_many_rows_keep_their_own_cells():
+    assert grid._kept_levels({0: 40_000, 10: 960_000}, {0: 40_000, 10: 960_000}) == [0, 10]
+    assert grid._kept_levels({0: 10, 10: 960}, {3: 2_000}) == [3, 10]
