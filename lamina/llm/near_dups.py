@@ -139,19 +139,32 @@ def shared_words(df: DataFrame, id: str, text: str) -> DataFrame:
     return df.select(F.col(quoted([id])[0]).cast("long").alias("id"), F.col(quoted([text])[0]).cast("string").alias("__text"))
 
 
+def ends(up: DataFrame) -> DataFrame:
+    """(node, comp) with every pointer followed to its end, by doubling."""
+    while True:
+        hop = cut_lineage(up.join(up.toDF("comp", "end"), "comp").select("node", "comp", "end"))
+        up = hop.select("node", F.col("end").alias("comp"))
+        if hop.where("end <> comp").isEmpty():
+            return up
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, comp) of the nodes in ``links`` (a, b): the smallest node reachable.
 
-    Each round takes the smallest label around a node and the label of that label, until nothing changes.
+    Each round points every node at its smallest neighbour, follows the pointers to their ends, and goes on with the links between
+    different ends.  An end stands for two nodes or more, so the links shrink from round to round and settled ones are not read again.
     """
     edges = cut_lineage(links.select("a", "b").union(links.select("b", "a")).distinct())
-    label = cut_lineage(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("comp")))
+    label: DataFrame | None = None
     while True:
-        near = edges.join(label.toDF("b", "lb"), "b").groupBy(F.col("a").alias("node")).agg(F.min("lb").alias("m"))
-        hooked = label.join(near, "node").select("node", "comp", F.least("comp", "m").alias("m"))
-        new = cut_lineage(hooked.join(label.toDF("m", "lm"), "m").select("node", "comp", F.least("m", "lm").alias("m")))
-        label = new.select("node", F.col("m").alias("comp"))
-        if new.where("m <> comp").isEmpty():
+        up = ends(cut_lineage(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("comp"))))
+        if label is None:
+            label = up
+        else:
+            label = cut_lineage(label.join(up.toDF("comp", "end"), "comp", "left").select("node", F.coalesce("end", "comp").alias("comp")))
+        left = edges.join(up.toDF("a", "ea"), "a").join(up.toDF("b", "eb"), "b").where("ea <> eb")
+        edges = cut_lineage(left.select(F.col("ea").alias("a"), F.col("eb").alias("b")).distinct())
+        if edges.isEmpty():
             return label
 
 
