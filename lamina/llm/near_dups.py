@@ -302,10 +302,11 @@ def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFr
 
 
 def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``df``: ``id`` (long), n_shingles, digest, component_id, kept.
+    """One row per row of ``df``: ``id`` (long), n_shingles, digest, component_id, class_digest, kept.
 
-    component_id is the smallest id reachable over links, kept says whether it is the row's own.  Null, empty and blank texts have no
-    shingles, link with nothing and are their own component (null id: null, kept).  Texts of fewer words than ``width`` are one
+    component_id is the smallest id reachable over links, kept says whether it is the row's own.  Classes without an id, or of one
+    repeated id, share a component_id; class_digest, the smallest digest of the class, tells them apart.  Null, empty and blank texts
+    have no shingles, link with nothing and are their own component (null id: null, kept).  Texts of fewer words than ``width`` are one
     shingle.  Repeated rows are copies of each other and share a class; rows that share an id keep their own texts and classes.  An
     empty table gives an empty result.  Only ``id`` and ``text`` are read, so other columns don't matter.
     """
@@ -317,26 +318,29 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id: str =
     classes = nodes.select("digest", "node", "low_id")
     if found is not None:
         comp = classes.join(components(found), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        low = comp.groupBy("comp").agg(F.min("low_id").alias("component_id"))
-        classes = comp.join(low, "comp").select("digest", "component_id")
+        low = comp.groupBy("comp").agg(F.min("low_id").alias("component_id"), F.min("digest").alias("class_digest"))
+        classes = comp.join(low, "comp").select("digest", "component_id", "class_digest")
     else:
-        classes = classes.select("digest", F.col("low_id").alias("component_id"))
-    lone = base.where("digest IS NULL").select("id", "n_shingles", "digest", F.col("id").alias("component_id"))
-    rows = base.where("digest IS NOT NULL").select("id", "n_shingles", "digest").join(classes, "digest").select("id", "n_shingles", "digest", "component_id").union(lone)
-    return rows.select(F.col("id").alias(id), "n_shingles", "digest", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+        classes = classes.select("digest", F.col("low_id").alias("component_id"), F.col("digest").alias("class_digest"))
+    lone = base.where("digest IS NULL").select("id", "n_shingles", "digest", F.col("id").alias("component_id"), F.col("digest").alias("class_digest"))
+    rows = base.where("digest IS NOT NULL").select("id", "n_shingles", "digest").join(classes, "digest").select("id", "n_shingles", "digest", "component_id", "class_digest").union(lone)
+    return rows.select(F.col("id").alias(id), "n_shingles", "digest", "component_id", "class_digest", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``df`` with one row of each class left: the one with the smallest id.
+    """Rows of ``df`` with one row of each class left: one with the smallest id, a null id only where the class has no other.
 
-    Of rows repeated in whole, one stays.  Rows without words all stay, but for repeated ones.  All columns of ``df`` are kept.
+    Rows without words all stay, but for those repeated in whole.  All columns of ``df`` are kept.
     """
-    rows = near_duplicates(df, width, percent, id, text).where("kept")
-    # a class may hold several texts under its smallest id: one of them stays
-    first = rows.groupBy(F.col(quoted([id])[0]).alias("__id"), "component_id", F.isnull("digest").alias("blank")).agg(F.min("digest").alias("__d"), F.count("*").alias("n"))
-    keep = cut_lineage(first.select("__id", "__d", "n"))
-    key = F.col(quoted([id])[0]).cast("long")
-    left = with_digest(df, width, text).join(keep, key.eqNullSafe(F.col("__id")) & F.col("__digest").eqNullSafe(F.col("__d")), "left_semi")
+    t, key = F.col(quoted([text])[0]).cast("string"), F.col(quoted([id])[0]).cast("long")
+    wordless = ~F.coalesce(t.rlike(r"\S"), F.lit(False))  # ASCII white space, as in Shingler
+    rows = near_duplicates(df, width, percent, id, text).where("kept AND digest IS NOT NULL")
+    # a class may hold several texts under its smallest id, or without an id: one of them stays
+    each = rows.groupBy("class_digest", "digest").agg(F.min(quoted([id])[0]).alias("id"), F.count("*").alias("n"))
+    keep = cut_lineage(each.groupBy("class_digest").agg(F.min(F.struct("digest", "id", "n")).alias("m")).select(F.col("m.id").alias("__id"), F.col("m.digest").alias("__d"), F.col("m.n").alias("n")))
+    left = with_digest(df.where(~wordless), width, text).join(keep, key.eqNullSafe(F.col("__id")) & F.col("__digest").eqNullSafe(F.col("__d")), "left_semi")
     if not keep.where("n > 1").isEmpty():
         left = left.withColumn("__id", key).dropDuplicates(["__id", "__digest"])
-    return left.select(*quoted(df.columns))
+    whole = {f"__c{i}": F.to_json(F.struct(c)) if "map<" in kind or "variant" in kind else F.col(c) for i, (c, kind) in enumerate(zip(quoted(df.columns), (k for _, k in df.dtypes)))}
+    blank = df.where(wordless).withColumns(whole).dropDuplicates(list(whole))
+    return left.select(*quoted(df.columns)).union(blank.select(*quoted(df.columns)))

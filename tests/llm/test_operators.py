@@ -139,6 +139,18 @@ def test_dropping_near_duplicates_keeps_columns_and_one_each(spark):
     assert sorted(r.doc_id for r in left.collect()) == [0, 6, 14, 15, 16] or sorted(r.doc_id for r in left.collect()) == [0, 6, 12, 14, 15, 16]
 
 
+def test_dropping_near_duplicates_keeps_unrelated_texts_without_an_id_or_under_one_id(spark):
+    texts = [f"an unrelated text number {i} of its own words {i * i}" for i in range(6)]
+    copies = near_copies(6, 4, 1)
+    rows = [(None, t, 0) for t in texts[:4]] + [(None, texts[0], 1), (7, texts[4], 2), (7, texts[5], 3), (None, texts[5], 4), (8, copies[0], 5), (8, copies[1], 6), (9, copies[2], 7)]
+    rows += [(None, "", 8), (None, " ", 8), (None, None, 8), (None, "", 9), (None, "", 9), (7, None, 8), (7, "\n", 8), (None, "\x1c", 8)]
+    left = [tuple(r) for r in near_dups.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, n int")).collect()]
+    kept = collections.Counter((d, t) for d, t, n in left if t not in copies and n < 8)
+    assert kept == collections.Counter([*((None, t) for t in texts[:4]), (7, texts[4]), (7, texts[5])])
+    assert [d for d, t, _ in left if t in copies] == [8]
+    assert sorted((r for r in left if r[2] >= 8), key=repr) == sorted(set(rows[11:]), key=repr)
+
+
 def test_a_pair_at_the_threshold_survives_every_batch():
     least = near_dups.survives(80)
     assert len(least) == near_dups.BANDS * near_dups.ROWS // near_dups.BATCH and least == sorted(least)
