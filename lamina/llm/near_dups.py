@@ -96,9 +96,9 @@ def survives(percent: int, batch: int = BATCH, miss: float = MISS) -> list[int]:
 
 
 def shingle_table(docs: DataFrame, width: int, with_set: bool) -> DataFrame:
-    """(id, n_shingles, digest, sig) or (id, n_shingles, digest, shingles) of every row; null digest for a text without words."""
+    """(id, place, n_shingles, digest, sig) or (..., shingles) of every row; null digest for a text without words."""
     extra = T.StructField("shingles" if with_set else "sig", T.BinaryType())
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("digest", T.BinaryType()), extra])
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("place", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("digest", T.BinaryType()), extra])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(width)
@@ -111,7 +111,7 @@ def shingle_table(docs: DataFrame, width: int, with_set: bool) -> DataFrame:
                 else:
                     rows = iter(signature(full)) if full else iter(())
                     last = [next(rows).tobytes() if len(s) else None for s in sets]
-                columns = [part.column(0), pa.array([len(s) for s in sets], type=pa.int64()), pa.array(map(digest_of, sets), type=pa.binary()), pa.array(last, type=pa.binary())]
+                columns = [part.column(0), part.column(1), pa.array([len(s) for s in sets], type=pa.int64()), pa.array(map(digest_of, sets), type=pa.binary()), pa.array(last, type=pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.mapInArrow(run, schema)
@@ -136,7 +136,9 @@ def with_digest(df: DataFrame, width: int, text: str) -> DataFrame:
 
 
 def shared_words(df: DataFrame, id: str, text: str) -> DataFrame:
-    return df.select(F.col(quoted([id])[0]).cast("long").alias("id"), F.col(quoted([text])[0]).cast("string").alias("__text"))
+    """(id, place, __text): place finds the rows of a text again, with or without an id."""
+    own = df.select(F.col(quoted([id])[0]).cast("long").alias("id"), F.col(quoted([text])[0]).cast("string").alias("__text"))
+    return own.select("id", F.xxhash64("id", "__text").alias("place"), "__text")
 
 
 def ends(up: DataFrame) -> DataFrame:
@@ -202,10 +204,13 @@ def agree(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
 
 
 def sets_of(named: DataFrame, docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, shingles) of the nodes in ``named``, made again from one text of each."""
-    known = cut_lineage(named.join(nodes.select("node", "digest", "low_id"), "node"))
-    texts = docs.join(known.select(F.col("low_id").alias("id")).distinct(), "id", "left_semi")
-    return cut_lineage(shingle_table(texts, width, with_set=True).select("digest", "shingles").join(known, "digest").groupBy("node").agg(F.first("shingles").alias("shingles")))
+    """(node, shingles) of the nodes in ``named``, made again from one text of each.
+
+    A text is fetched by its place; others that share the hash fall out by their digest, and repeated rows are one.
+    """
+    known = cut_lineage(named.join(nodes.select("node", "digest", "place"), "node"))
+    texts = docs.join(known.select("place").distinct(), "place", "left_semi").select("id", "place", "__text").distinct()
+    return cut_lineage(shingle_table(texts, width, with_set=True).select("digest", "shingles").join(known.select("node", "digest"), "digest").groupBy("node").agg(F.first("shingles").alias("shingles")))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -312,7 +317,7 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id: str =
     """
     docs = shared_words(df, id, text)
     base = cut_lineage(shingle_table(docs, width, with_set=False))
-    alike = base.where("digest IS NOT NULL").groupBy("digest").agg(F.first("sig").alias("sig"), F.min("id").alias("low_id"))
+    alike = base.where("digest IS NOT NULL").groupBy("digest").agg(F.first("sig").alias("sig"), F.min("id").alias("low_id"), F.min("place").alias("place"))
     nodes = cut_lineage(alike.withColumn("node", F.monotonically_increasing_id()))  # written, so the numbers stay
     found = links(nodes, docs, width, percent)
     classes = nodes.select("digest", "node", "low_id")

@@ -126,6 +126,20 @@ def test_near_duplicates(spark, edits):
     assert collections.Counter(tuple(r) for r in got) == expected
 
 
+@pytest.mark.parametrize("copies", [4, 40])
+def test_near_duplicates_without_ids(spark, copies):
+    base = near_copies(8, 1, 0, length=60)[0]
+    chain = [base + " " + " ".join(f"y{j}" for j in range(k)) for k in (0, 10, 20)]  # the ends are linked only by the text between
+    alike = near_copies(9, copies, 7)
+    rows = [(1, chain[0]), (None, chain[1]), (2, chain[2]), *((None, t) for t in alike), *[(None, alike[0])] * 3, (None, "alone without an id"), (None, None), (None, "")]
+    got = near_dups.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=4)
+    expected = brute_classes(rows, 4, 80)
+    assert collections.Counter(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id", "kept").collect()) == expected
+    assert expected[(2, 77, 1, False)] == 1
+    left = [tuple(r) for r in near_dups.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=4).collect()]
+    assert len([t for _, t in left if t in alike]) == got.where("doc_id IS NULL AND component_id IS NULL AND n_shingles > 10").select("class_digest").distinct().count()
+
+
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert near_dups.near_duplicates(df).count() == 0 and near_dups.drop_near_duplicates(df).count() == 0
