@@ -374,6 +374,15 @@ def test_toxicity_learns_and_scores_odd_texts(spark):
     assert toxicity.score(docs.drop("lang"), toxicity.train(docs, empty(marks))).where("toxic").count() == 0
 
 
+def test_toxicity_skips_only_the_text_that_does_not_fit(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda read, labels: seen.extend(zip((int(n[0]) for _, _, n in read), labels)) or toxicity.Model.fresh(np.zeros(toxicity.BUCKETS, np.float32)))
+    docs = [(i, "long " * 500 if i < 8 else f"short text {i}", "en") for i in range(40)]
+    toxicity.train(spark.createDataFrame(docs, "doc_id long, text string, lang string"), spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int"), max_words=100)
+    held = [i for i in range(8, 40) if toxicity.xxhash.xxh3_64_intdigest(docs[i][1]) % 5 == 0]
+    assert sorted((n, int(y)) for n, y in seen) == sorted((3, i % 2) for i in range(8, 40) if i not in held)
+
+
 @pytest.mark.parametrize("key", sorted(queries.ORACLES))
 def test_oracles(spark, key):
     assert compare(spark, connect(SF), queries.QUERIES[key], queries.ORACLES[key], SF) is None
