@@ -20,12 +20,7 @@ from pyspark.sql import functions as F
 from lamina.llm.common import quoted
 
 SHARD_ROWS, BLOCK_ROWS = 8192, 512
-LARGEST = 1 << 31  # components are counted exactly below this
-
-
-def quantised(vector: Column, scale: int = 256) -> Column:
-    """floor(scale * x) of each component, as long."""
-    return F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
+LARGEST = 1 << 31  # rows whose largest component times their length stays below this are scored in int64, others in Python numbers
 
 
 def usable(vector: Column) -> Column:
@@ -33,18 +28,37 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.forall(vector, lambda x: F.coalesce(~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")), F.lit(False)))
 
 
-def _matrix(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    """(terms, rows x terms) of the vectors, missing terms 0; vectors may differ in length."""
+def _matrix(vectors: pd.Series, scale: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows x terms of floor(scale * x), whether each row is large); missing terms are 0, vectors may differ in length."""
     width = max((len(v) for v in vectors), default=0)
-    out = np.zeros((len(vectors), width), dtype=np.int64)
+    given = np.zeros((len(vectors), width))
     for i, v in enumerate(vectors):
-        out[i, : len(v)] = v
+        given[i, : len(v)] = v
+    with np.errstate(over="ignore"):
+        scaled = np.floor(scale * given)
+    large = np.abs(scaled).max(axis=1, initial=0) * max(width, 1) >= LARGEST
+    out = np.where(large[:, None], 0, scaled).astype(np.int64)
+    if large.any():
+        out = out.astype(object)
+        # a product beyond the doubles is that of a whole number
+        out[large] = np.array([[int(y) if np.isfinite(y) else int(x) * scale for x, y in zip(*rows)] for rows in zip(given[large], scaled[large])], dtype=object)
+    return out, large
+
+
+def scores_of(queries: np.ndarray, large_queries: np.ndarray, candidates: np.ndarray, large: np.ndarray) -> np.ndarray:
+    """Exact scores (queries x candidates): only pairs with a large row are reckoned in Python numbers."""
+    if not large_queries.any() and not large.any():
+        return accumulate(queries.astype(np.int64), candidates.astype(np.int64))
+    out = np.zeros((len(queries), len(candidates)), dtype=object)
+    for q, c, kind in ((~large_queries, ~large, np.int64), (large_queries, ~large, object), (~large_queries, large, object), (large_queries, large, object)):
+        if q.any() and c.any():
+            out[np.ix_(q, c)] = accumulate(queries[q].astype(kind), candidates[c].astype(kind)).astype(object)
     return out
 
 
 def accumulate(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     """Scores (queries x candidates), one term after the other."""
-    scores = np.zeros((len(queries), len(candidates)), dtype=np.int64)
+    scores = np.zeros((len(queries), len(candidates)), dtype=queries.dtype)
     for term in range(min(queries.shape[1], candidates.shape[1])):
         asked = np.flatnonzero(queries[:, term])
         posted = np.flatnonzero(candidates[:, term])
@@ -75,33 +89,31 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id", vecto
     """(query_id, rank, vec_id, score): for each query row the k best of all other rows, all if fewer.
 
     Score: inner product of the quantised vectors (missing components count 0); ties go to the smaller id.  Rows with a null id, and
-    null vectors or ones that hold a null or non-finite component, take no part; an empty vector scores 0 with all.  Of rows that repeat
-    an id, the one with the smallest vector counts.  Components of 2^31 and more (after scaling) raise an error rather than overflow.
-    Other columns aren't read.  An empty table, or one without queries, gives an empty result.
+    null vectors or ones that hold a null or non-finite component, take no part; an empty vector scores 0 with all.  Rows
+    that share an id with different vectors all count, and as queries share one list; of equal ones one counts.  Scores are exact for
+    components of any size; only one of the k best that is beyond a long raises an error rather than overflow.  Other columns aren't read.  An empty table, or one without queries, gives an empty result.
     """
     v = F.col(quoted([vector])[0])
-    rows = df.select(F.col(quoted([id])[0]).cast("long").alias("id"), is_query.alias("asks"), v.alias("v")).where(F.col("id").isNotNull() & usable(F.col("v")))
-    terms = quantised(F.col("v"), scale)
-    checked = F.when(F.forall(terms, lambda x: F.abs(x) < LARGEST), terms).otherwise(F.raise_error(F.lit("a component is too large for exact scores")).cast("array<bigint>"))
-    rows = rows.groupBy("id").agg(F.min("v").alias("v"), F.bool_or("asks").alias("asks")).withColumn("v", checked)
+    rows = df.select(F.col(quoted([id])[0]).cast("long").alias("id"), is_query.alias("asks"), v.cast("array<double>").alias("v")).where(F.col("id").isNotNull() & usable(F.col("v")))
+    rows = rows.groupBy("id", "v").agg(F.bool_or("asks").alias("asks"))
     size = rows.select(F.count("*").alias("n"), F.count_if("asks").alias("q")).first()
     shards, blocks = max(1, -(-size["n"] // SHARD_ROWS)), max(1, -(-(size["q"] or 0) // BLOCK_ROWS))
-    asked = rows.where("asks").select("id", "v", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"))
+    asked = rows.where("asks").select("id", "v", F.pmod(F.xxhash64("id", "v", F.lit(1)), F.lit(blocks)).cast("int").alias("block"))
     queries = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    held = rows.select("id", "v", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(shards)).cast("int").alias("shard"))
+    held = rows.select("id", "v", F.pmod(F.xxhash64("id", "v", F.lit(2)), F.lit(shards)).cast("int").alias("shard"))
     candidates = held.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def run(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
         cids, qids = c["id"].to_numpy(), q["id"].to_numpy()
-        postings, asks, out = _matrix(c["v"]), _matrix(q["v"]), []
+        (postings, large), (asks, large_asks), out = _matrix(c["v"], scale), _matrix(q["v"], scale), []
         for at in range(0, len(q), 64):
-            scores = accumulate(asks[at : at + 64], postings)
+            scores = scores_of(asks[at : at + 64], large_asks[at : at + 64], postings, large)
             for i, row in enumerate(scores):
                 others = np.flatnonzero(cids != qids[at + i])
                 best = others[select(row[others], cids[others], k)]
-                out.append(pd.DataFrame({"query_id": qids[at + i], "vec_id": cids[best], "score": row[best]}))
+                out.append(pd.DataFrame({"query_id": qids[at + i], "vec_id": cids[best], "score": row[best].astype(np.int64)}))
         return pd.concat(out)
 
     lists = queries.groupBy("block", "shard").cogroup(candidates.groupBy("block", "shard")).applyInPandas(run, "query_id long, vec_id long, score long")

@@ -193,6 +193,20 @@ def test_top_k_gives_all_where_there_are_few(spark):
     assert [tuple(r) for r in topk.top_k(df, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 256 * 512)]
 
 
+def test_top_k_keeps_vectors_that_share_an_id_and_large_components(spark):
+    big = float(2**40)
+    rows = [(0, [1.0, 1.0]), (0, [0.0, 2.0]), (1, [-9.0, 0.0]), (1, [3.0, 0.5]), (2, [big, -big + 1 / 4]), (2, [2.0, 0.0]), (3, [1e30, -1e30]), (3, [-1e300, 1e300])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ints = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows]
+    pairs = sorted((-sum(a * b for a, b in zip(q, c)), j) for i, q in ints for j, c in ints if i == 0 and j in (1, 2))
+    got = [tuple(r) for r in topk.top_k(df.where("vec_id < 3"), F.col("vec_id") == 0, k=6).orderBy("rank").collect()]
+    assert got == [(0, k + 1, j, -s) for k, (s, j) in enumerate(pairs[:6])]
+    low = topk.top_k(df.where("vec_id = 1 OR embedding[0] = 1e30"), F.col("vec_id") == 5)
+    assert low.count() == 0
+    zero = spark.createDataFrame([(0, [0.0, 0.0]), (1, [1e308, 1.0]), (2, [5.0])], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in topk.top_k(zero, F.col("vec_id") == 0).orderBy("rank").collect()] == [(0, 1, 1, 0), (0, 2, 2, 0)]
+
+
 def test_shards(spark):
     rows = [(i % 300 if i % 3 else 7, f"text {i}" if i % 5 else None, "x") for i in range(500)] + [(None, "no id", "x")] * 3
     df = spark.createDataFrame(rows, "doc_id long, text string, shard string")
