@@ -2,7 +2,7 @@
 
 Words: runs of letters, digits and non-ASCII letters, A-Z lower-cased.  A window is ``n`` consecutive words of a benchmark item; an
 item of fewer words, but not none, is one window.  The windows form a set keyed by the hash of their first words, which is broadcast while
-its measured size stays under ``broadcast_bytes`` and shuffled beyond.  Each position of a training text gives the hash of the words
+its measured size stays under ``broadcast_bytes``; beyond, windows and the words at each place are shuffled by the hash of the whole window.  Each position of a training text gives the hash of the words
 that start there, a probe keeps the few positions whose hash is listed, and all words of the window are then compared, so the result is
 exact.  Only positions that hit leave the scan; they are gathered per
 document before the shuffle.
@@ -50,9 +50,20 @@ def _key(length: Column, array: str, start: Column) -> Column:
     return F.xxhash64(length, *(F.when(length > i, F.get(array, start + i)) for i in range(HEAD)))
 
 
-def _broadcast_if_small(listed: DataFrame, limit: int) -> DataFrame:
+def _is_small(listed: DataFrame, limit: int) -> bool:
     size = listed.select(F.sum(2 * F.octet_length(F.concat_ws("", "words")) + 32 * F.size("words") + F.octet_length(F.concat_ws("", "items")) + 16 * F.size("items") + 64)).first()[0]
-    return F.broadcast(listed) if (size or 0) <= limit else listed.hint("merge")
+    return (size or 0) <= limit
+
+
+def _shuffled(places: DataFrame, listed: DataFrame) -> DataFrame:
+    """(id, __hash, pos, own, words, items) of the places that hold a window, by a merge join on the hash of the whole window.
+
+    Only the words at a place travel, not its text, and places that share frequent first words only don't meet.
+    """
+    lengths = sorted(r[0] for r in listed.select(F.size("words")).distinct().collect())
+    sized = places.withColumn("n", F.explode(F.array(*(F.lit(k) for k in lengths)))).where("pos + n <= size(low)")
+    keyed = sized.select("id", "__hash", "pos", F.expr("xxhash64(slice(low, pos + 1, n))").alias("key"), F.expr("slice(w, pos + 1, n)").alias("own"))
+    return keyed.join(listed.select(F.xxhash64("coarse").alias("key"), "words", "items").hint("merge"), "key").where(lowered(F.col("own")) == F.col("words"))
 
 
 def hits(docs: DataFrame, items: DataFrame, n: int = 13, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
@@ -70,14 +81,17 @@ def hits(docs: DataFrame, items: DataFrame, n: int = 13, id: str = "doc_id", tex
     plain = F.coalesce(F.col(quoted([text])[0]).cast("string"), F.lit(""))
     split = docs.select(key_of.alias("id"), F.xxhash64(plain).alias("__hash"), words(plain).alias("w")).withColumn("low", F.transform("w", F.lower))
     places = split.select("id", "__hash", "w", "low", F.posexplode("low").alias("pos", "word"))
-    if lengths == [HEAD]:
-        key = F.xxhash64(F.lit(HEAD), F.col("word"), *(F.get("low", F.col("pos") + i) for i in range(1, HEAD)))
-        keyed = places.select("id", "__hash", "w", "low", "pos", key.alias("key"))
+    if _is_small(listed, broadcast_bytes):
+        if lengths == [HEAD]:
+            key = F.xxhash64(F.lit(HEAD), F.col("word"), *(F.get("low", F.col("pos") + i) for i in range(1, HEAD)))
+            keyed = places.select("id", "__hash", "w", "low", "pos", key.alias("key"))
+        else:
+            keyed = places.withColumn("head", F.explode(F.array(*(F.lit(k) for k in lengths)))).select("id", "__hash", "w", "low", "pos", _key(F.col("head"), "low", F.col("pos")).alias("key"))
+        # all of this stays in generated code (no lambdas), so the words of a text are never copied for a place that doesn't hit
+        near = keyed.join(F.broadcast(listed), "key").where("slice(low, pos + 1, size(coarse)) = coarse").withColumn("own", F.expr("slice(w, pos + 1, size(words))"))
     else:
-        keyed = places.withColumn("head", F.explode(F.array(*(F.lit(k) for k in lengths)))).select("id", "__hash", "w", "low", "pos", _key(F.col("head"), "low", F.col("pos")).alias("key"))
-    # all of this stays in generated code (no lambdas), so the words of a text are never copied for a place that doesn't hit
-    near = keyed.join(_broadcast_if_small(listed, broadcast_bytes), "key").where("slice(low, pos + 1, size(coarse)) = coarse")
-    place = F.struct(F.col("pos").alias("start"), F.expr("pos + size(words)").alias("end"), F.expr("slice(w, pos + 1, size(words))").alias("own"), "words", "items")
+        near = _shuffled(places, listed)
+    place = F.struct(F.col("pos").alias("start"), F.expr("pos + size(words)").alias("end"), "own", "words", "items")
     gathered = near.groupBy("id", "__hash").agg(F.collect_set(place).alias("near"))
     exact = F.filter("near", lambda x: lowered(x["own"]) == x["words"])
     gathered = gathered.withColumn("near", exact).where("size(near) > 0").select(

@@ -309,6 +309,17 @@ def test_decontamination(spark, n):
     assert decontaminate.drop_contaminated(d, b, n=n).count() == sum(not x[4] for x in expected)
 
 
+def test_a_large_benchmark_shuffles_windows_not_texts(spark):
+    d = spark.createDataFrame([(1, "of the in of the in of the a b"), (2, "of the in"), (None, "x of the a b")], "doc_id long, text string")
+    b = spark.createDataFrame([(1, "of the in q"), (2, "of the a b"), (3, "in")], "item_id long, text string")
+    found = decontaminate.hits(d, b, n=4, broadcast_bytes=0)
+    assert sorted(((r.id, [tuple(s) for s in r.spans], r.item_ids) for r in found.collect()), key=repr) == [(1, [(2, 3), (5, 10)], ["2", "3"]), (2, [(2, 3)], ["3"]), (None, [(1, 5)], ["2"])]
+    lines = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    join = next(i for i, line in enumerate(lines) if "Join Inner" in line)
+    left = next(line for line in lines[join + 1 :] if "Project" in line)
+    assert "own#" in left and not re.search(r"\b(w|low)#\d+(,|\])", re.sub(r"\([^()]*\)|slice\(.*?\) AS", "", left)), left
+
+
 def test_cutting_spans(spark):
     d = spark.createDataFrame([(1, "Keep this, one TWO three! and that"), (2, "nothing"), (3, None)], "doc_id long, text string")
     b = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
