@@ -14,6 +14,7 @@ digests.
 | ssn | area not 000, 666, 9xx; group not 00; serial not 0000 | the valid numbers |
 | ip | four parts up to 255 | all addresses |
 | date | calendar; years 1900 to 2099; yyyy-mm-dd, yyyy/mm/dd, dd.mm.yyyy, dd/mm/yyyy | all days of these years |
+| date | mm/dd/yyyy whose day is above 12 (others are read as dd/mm/yyyy) | all days above 12 of these years |
 | mail | its pattern | keyed digests |
 """
 
@@ -26,7 +27,7 @@ from lamina.llm.common import adds, quoted
 
 ROUNDS = 10
 CARD = r"(?<![\d.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})(?![\d]|\.\d)"
-PHONE = r"(?<![\d+])(?:(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}|\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5})(?!\d)"
+PHONE = r"(?<![\d+])(?:(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5})(?!\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 IP = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)"
 DATE = r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\d/-]|\.\d)"
@@ -117,7 +118,21 @@ def _date(m: str, key: str) -> str:
     new = permuted("datediff(d, DATE'1900-01-01')", "17", "4297", key, "'date'")
     branches = [(f"{m} LIKE '____-%'", "yyyy-MM-dd"), (f"{m} LIKE '____/%'", "yyyy/MM/dd"), (f"{m} LIKE '__.%'", "dd.MM.yyyy"), (f"{m} LIKE '__/%'", "dd/MM/yyyy")]
     cases = " ".join(f"WHEN {test} THEN " + _let(f"CAST(try_to_timestamp({m}, '{form}') AS date)", "d", f"CASE WHEN d BETWEEN DATE'1900-01-01' AND DATE'2099-12-31' THEN date_format(date_add(DATE'1900-01-01', CAST({new} AS int)), '{form}') ELSE {m} END") for test, form in branches)
-    return f"CASE {cases} ELSE {m} END"
+    return f"CASE WHEN {m} RLIKE '^(0[1-9]|1[0-2])/(1[3-9]|[23][0-9])/' THEN {_month_first(m, key)} {cases} ELSE {m} END"
+
+
+def _month_first(m: str, key: str) -> str:
+    """SQL: a date as MM/dd/yyyy whose day is above 12, among those: their strings are none of dd/MM/yyyy.
+
+    44,249 days, numbered in order; the permutation is one of 177 * 250 = 44,250 numbers, and what it sends to the spare one takes the
+    spare one's own image.
+    """
+    first = "datediff(add_months(DATE'1900-01-01', k), DATE'1900-01-01') - 12 * k"  # such days before month k
+    number = "(datediff(d, DATE'1900-01-01') - 12 * ((year(d) - 1900) * 12 + month(d)))"
+    moved = _let(permuted(number, "177", "250", key, "'date mm/dd'"), "u", f"CASE WHEN u = 44249 THEN {permuted('44249', '177', '250', key, _text('date mm/dd'))} ELSE u END")
+    month = f"element_at(filter(sequence(greatest(0, CAST(v * 2400 div 44249 AS int) - 3), least(2399, CAST(v * 2400 div 44249 AS int) + 3)), k -> {first} <= v), -1)"
+    new = _let(moved, "v", _let(month, "k", f"date_format(date_add(add_months(DATE'1900-01-01', k), CAST(12 + v - ({first}) AS int)), 'MM/dd/yyyy')"))
+    return _let(f"CAST(try_to_timestamp({m}, 'MM/dd/yyyy') AS date)", "d", f"CASE WHEN d BETWEEN DATE'1900-01-01' AND DATE'2099-12-31' THEN {new} ELSE {m} END")
 
 
 def _mail(m: str, key: str) -> str:

@@ -351,6 +351,16 @@ def test_pseudonyms(spark):
     assert pii.pseudonymise(empty(df), "key").count() == 0
 
 
+def test_spaced_phones_and_month_first_dates(spark):
+    df = spark.createDataFrame([(0, "call 212 555 1234 or 212-555-1234, born 12/31/1990 not 02/30/1990 13/13/2000")], "doc_id long, text string")
+    r = pii.pseudonymise(df, "key").first()
+    a, b, day = re.fullmatch(r"call (\d{3} \d{3} \d{4}) or (\d{3}-\d{3}-\d{4}), born (\d{2}/\d{2}/\d{4}) not 02/30/1990 13/13/2000", r.text).groups()
+    assert a == b.replace("-", " ") != "212 555 1234" and day != "12/31/1990" and r.n_pii == 3
+    days = spark.range(73049).select(F.expr("date_format(date_add(DATE'1900-01-01', CAST(id AS int)), 'MM/dd/yyyy')").alias("text")).where("substring(text, 4, 2) > '12'")
+    out = pii.pseudonymise(days.repartition(8), "key").select("text")
+    assert days.count() == 44249 and out.distinct().count() == 44249 and out.join(days, "text", "left_anti").isEmpty()
+
+
 def test_permutations_are_one_to_one(spark):
     digits = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d")).select(F.expr(pii.permuted_digits("d", "k", "t")).alias("p"))
     assert digits.distinct().count() == 1000 and digits.where("length(p) <> 3").count() == 0
