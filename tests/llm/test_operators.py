@@ -435,3 +435,30 @@ def test_pipeline(spark):
         assert stage(spark, given, sf).columns == given.columns
     private = corpus_pipeline.mask_private(spark, given, sf)
     assert private.where("n_chars <> char_length(text)").count() == given.where("n_chars <> char_length(text)").count()
+
+
+def test_pipeline_keeps_the_rows_of_brute_force(spark, tmp_path):
+    """All stages on a table with nulls and repeated ids; without labels the toxicity stage rejects nothing."""
+    import corpus_pipeline
+
+    item = " ".join(f"bench{i}" for i in range(13))
+    base = near_copies(11, 1, 0, length=60)[0]
+    rows = [(None, f"no id {i} and words of its own {i * i} here") for i in range(5)] + [(7, "first text under seven with some words"), (7, "quite another text that shares this id")]
+    rows += [(3, base), (4, base + " more"), (None, base + " other"), (5, item), (None, item + " tail"), (6, f"long {item} " + " ".join(f"own{i}" for i in range(400))), (8, None), (None, ""), (9, " "), (None, rows[0][1])]
+    docs = [(d, t, "en", None if t is None else len(t)) for d, t in rows]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    sets = [{tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set() for _, t in rows]
+    kept = []
+    for d, i in sorted(((float("inf") if d is None else d, i) for i, (d, _) in enumerate(rows))):
+        if not sets[i] or all(5 * len(sets[i] & sets[j]) < 4 * len(sets[i] | sets[j]) for j in kept):
+            kept.append(i)
+    clean = [rows[i] for i in kept if not (item in (rows[i][1] or "") and 20 * 13 >= len(words(rows[i][1])))]
+    lib = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = [(d, len(x), x) for d, t in clean for x in [lib.encode(t or "", add_special_tokens=False).ids]]
+    given = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.drop_toxic(spark, given, str(tmp_path)).count() == len(rows)
+    left = corpus_pipeline.drop_near_copies(spark, given, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=repr) == sorted((rows[i] for i in kept), key=repr)
+    assert sorted((tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()), key=repr) == sorted(expected, key=repr)
