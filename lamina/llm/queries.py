@@ -181,3 +181,98 @@ def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     classifier = train(docs, _table(spark, sf, "labels", "doc_id", "toxic"), use=~held_out(F.col("doc_id")))
     scored = score(docs, classifier).drop("text")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "threshold", "toxic")
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents rearranged for filling in the middle, with digests of the output and of what is restored from it."""
+    from lamina.llm.fim import transform
+
+    return transform(_table(spark, sf, "documents", "doc_id", "text"))
+
+
+ORACLES["op11_fill_in_middle"] = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+u AS (
+    SELECT doc_id, text, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+           CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+n AS (SELECT *, CAST(len(regexp_extract_all(text, '(?s).')) AS BIGINT) AS n FROM u),
+f AS (
+    SELECT doc_id, text, n, CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+           least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM n),
+c AS (
+    SELECT *, array_to_string(list_slice(regexp_extract_all(text, '(?s).'), 1, a), '') AS p, array_to_string(list_slice(regexp_extract_all(text, '(?s).'), a + 1, b), '') AS m,
+           array_to_string(list_slice(regexp_extract_all(text, '(?s).'), b + 1, n), '') AS s FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM c
+"""
+
+
+@query
+def op12_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """License phrases and notices in all documents."""
+    from lamina.llm.licenses import scan, template_table
+
+    found = scan(_table(spark, sf, "documents", "doc_id", "text"), template_table(spark))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
+def _license_oracle() -> str:
+    from lamina.llm.licenses import PHRASES, TEMPLATES
+
+    phrases, templates = (", ".join(str(r) for r in rows) for rows in (PHRASES, TEMPLATES))
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+    def words(text: str) -> str:
+        return f"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{word}')"
+
+    return f"""
+WITH phrases(phrase, label) AS (VALUES {phrases}), templates(label, text) AS (VALUES {templates}),
+d AS (SELECT doc_id, row_number() OVER () AS r, {words("coalesce(text, '')")} AS w FROM documents),
+p AS (SELECT label, string_split(phrase, ' ') AS p FROM phrases),
+t AS (SELECT label, list_distinct({words("text")}) AS t FROM templates),
+pos AS (SELECT r, w, unnest(range(len(w))) AS i FROM d),
+base AS (
+    SELECT pos.r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list_sort(list(DISTINCT label)) AS base_labels
+    FROM pos JOIN p ON pos.w[i + 1] = p.p[1] AND list_slice(pos.w, i + 1, i + len(p.p)) = p.p GROUP BY pos.r),
+k AS (SELECT r, w, unnest(range(greatest(1, (len(w) - 1) // 32))) AS k FROM d WHERE len(w) > 0),
+b AS (SELECT r, list_distinct(list_slice(w, 32 * k + 1, 32 * k + 64)) AS b FROM k),
+c AS (SELECT b.r, t.label, len(list_intersect(b.b, t.t)) AS c, len(t.t) AS s FROM b, t),
+more AS (SELECT r, list(DISTINCT label) AS labels, max(c / s) AS share FROM c WHERE c * 100 >= 90 * s GROUP BY r)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(array_to_string(base_labels, ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base_labels, []), coalesce(labels, [])))), ','), '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0) END::DOUBLE AS score
+FROM d LEFT JOIN base USING (r) LEFT JOIN more USING (r)
+"""
+
+
+ORACLES["op12_license_scan"] = _license_oracle()
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The twenty best of all documents for every benchmark item."""
+    from lamina.llm.lexical import search
+
+    return search(_table(spark, sf, "documents", "doc_id", "text"), _table(spark, sf, "benchmark", "item_id", "text"))
+
+
+ORACLES["op13_lexical_search"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+    SELECT row_number() OVER () AS q, item_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+whole AS (SELECT count(*) FILTER (len(w) > 0) AS big_n, CAST(sum(len(w)) AS BIGINT) AS big_l FROM docs),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs) GROUP BY r, t),
+weight AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tf, whole GROUP BY t),
+asked AS (SELECT q, t, count(*) AS c FROM (SELECT q, unnest(w) AS t FROM items) GROUP BY q, t),
+m AS (SELECT r, doc_id, 75 + (25 * len(w) * big_n) // big_l AS m FROM docs, whole WHERE len(w) > 0),
+score AS (
+    SELECT a.q, m.r, any_value(m.doc_id) AS doc_id, CAST(sum(a.c * weight * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+    FROM asked a JOIN tf USING (t) JOIN weight USING (t) JOIN m USING (r) GROUP BY a.q, m.r)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM score JOIN items USING (q) WHERE score > 0 QUALIFY rank <= 20
+"""
