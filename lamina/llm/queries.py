@@ -149,21 +149,30 @@ p AS (
            length(role) + length(text) + 20 + length(regexp_replace(role || text, '[^\\]', '', 'g'))
            + len(regexp_extract_all(role, '</?s>|\[/?INST\]')) + len(regexp_extract_all(text, '</?s>|\[/?INST\]')) AS chars
     FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)),
-b AS (SELECT *, sum(tok) OVER (PARTITION BY conv_id ORDER BY k) - tok AS before FROM p),
-s AS (SELECT *, before // 512 AS span FROM b),
-w AS (
-    SELECT conv_id, span, row_number() OVER (PARTITION BY conv_id ORDER BY span) AS nr,
-           lead(min(before)) OVER (PARTITION BY conv_id ORDER BY span) AS next
-    FROM s GROUP BY conv_id, span),
+y AS (SELECT conv_id, tok AS sys, chars AS sys_chars FROM p WHERE k = 1 AND role = 'system' AND tok <= 128),
+b AS (
+    SELECT p.*, 384 - coalesce(sys, 0) AS room, coalesce(sys, 0) AS sys, sum(tok) OVER (PARTITION BY p.conv_id ORDER BY k) - tok AS pos
+    FROM p LEFT JOIN y USING (conv_id) WHERE NOT (k = 1 AND sys IS NOT NULL)),
+u AS (SELECT *, pos // room AS cell, pos + tok > (pos // room + 1) * room AS over FROM b),
+units AS (SELECT conv_id, cell, over, room, min(pos) AS first, sum(tok) AS size FROM u GROUP BY conv_id, cell, over, room),
+named AS (
+    SELECT *, lag(over) OVER w AS after_over, lag(first) OVER w AS lead, lag(size) OVER w AS lead_size FROM units
+    WINDOW w AS (PARTITION BY conv_id ORDER BY first)),
+span_of AS (SELECT conv_id, cell, over, CASE WHEN NOT over AND after_over AND size + lead_size <= room THEN lead ELSE first END AS span FROM named),
+s AS (SELECT u.*, span FROM u JOIN span_of USING (conv_id, cell, over)),
+spans AS (SELECT conv_id, span, any_value(sys) AS sys, any_value(room) AS room, sum(tok) AS size, lead(sum(tok)) OVER (PARTITION BY conv_id ORDER BY span) AS next_size FROM s GROUP BY conv_id, span),
 again AS (
-    SELECT s.conv_id, sum(s.chars) AS chars FROM s JOIN w USING (conv_id, span)
-    WHERE w.next - s.before <= 128 AND NOT (s.k = 1 AND s.role = 'system') GROUP BY s.conv_id),
-sys AS (SELECT s.conv_id, s.chars * (SELECT count(*) - 1 FROM w WHERE w.conv_id = s.conv_id) AS chars FROM s WHERE s.k = 1 AND s.role = 'system')
-SELECT s.conv_id, count(*) AS n_turns, sha256(string_agg(s.role || chr(10) || s.text || chr(10), '' ORDER BY s.k)) AS turns_sha256,
-       CAST(coalesce(sum(length(s.text)) FILTER (s.role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-       sha256(coalesce(string_agg(s.text, '' ORDER BY s.k) FILTER (s.role = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(s.chars) + coalesce(any_value(again.chars), 0) + coalesce(any_value(sys.chars), 0) AS BIGINT) AS formatted_chars
-FROM s LEFT JOIN again USING (conv_id) LEFT JOIN sys USING (conv_id) GROUP BY s.conv_id
+    SELECT s.conv_id, sum(s.chars) AS chars FROM s JOIN spans w USING (conv_id, span)
+    WHERE w.next_size <= w.room AND w.span + w.size - s.pos <= 128 GROUP BY s.conv_id),
+held AS (
+    SELECT y.conv_id, sys_chars * greatest(1, count(*) FILTER (spans.sys + size <= 512) + CASE WHEN bool_or(span = 0 AND spans.sys + size > 512) THEN 1 ELSE 0 END) AS chars
+    FROM y LEFT JOIN spans USING (conv_id) GROUP BY y.conv_id, sys_chars),
+own AS (SELECT conv_id, sum(chars) AS chars FROM s GROUP BY conv_id)
+SELECT p.conv_id, count(*) AS n_turns, sha256(string_agg(p.role || chr(10) || p.text || chr(10), '' ORDER BY p.k)) AS turns_sha256,
+       CAST(coalesce(sum(length(p.text)) FILTER (p.role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(p.text, '' ORDER BY p.k) FILTER (p.role = 'assistant'), '')) AS loss_sha256,
+       CAST(coalesce(any_value(own.chars), 0) + coalesce(any_value(again.chars), 0) + coalesce(any_value(held.chars), 0) AS BIGINT) AS formatted_chars
+FROM p LEFT JOIN own USING (conv_id) LEFT JOIN again USING (conv_id) LEFT JOIN held USING (conv_id) GROUP BY p.conv_id
 """
 
 
