@@ -4,17 +4,19 @@ One pattern finds values; each is validated by its kind (checksum, ranges, calen
 dates are keyed-permuted within their format: the value becomes a number in the kind's domain, which is a product of two ranges, a
 Feistel network of ``ROUNDS`` rounds (modular addition of a keyed SHA-256) permutes that domain, and the result is written in the
 original format.  The permutation is one-to-one and depends on key, kind and length only, so equal values stay linked across documents
-and different ones stay apart, with no table and no shuffle.  Mail addresses have no number behind them: their parts become keyed
-digests.
+and different ones stay apart, with no table and no shuffle.  A value has one pseudonym in all its formats: 212-555-1234 and
++1 (212) 555-1234 stay one number, 1990-12-31, 31/12/1990 and 12/31/1990 one day (a day that is written as mm/dd/yyyy and becomes one of
+the first twelve of its month reads both ways, as such dates do).  Mail addresses have no number behind them: their parts become keyed
+digests.  The key is a one-row table, looked up by a scalar subquery, so it doesn't stand in plans, the UI or event logs.
 
 | kind | validated by | domain |
 |---|---|---|
 | card | 13 to 19 digits, one run or groups, Luhn | all but the check digit, which is made anew |
-| phone | with country code or North American; 8 to 15 digits | last 10 digits (at most all but the first) |
+| phone | North American, with or without 1: exchange from 200 on; between spaces only the area, too | all areas, exchanges from 200 on |
+| phone | with + and country code: 8 to 15 digits, the first not 0 | last 10 digits (at most all but the first) |
 | ssn | area not 000, 666, 9xx; group not 00; serial not 0000 | the valid numbers |
 | ip | four parts up to 255 | all addresses |
-| date | calendar; years 1900 to 2099; yyyy-mm-dd, yyyy/mm/dd, dd.mm.yyyy, dd/mm/yyyy | all days of these years |
-| date | mm/dd/yyyy whose day is above 12 (others are read as dd/mm/yyyy) | all days above 12 of these years |
+| date | calendar; years 1900 to 2099; yyyy-mm-dd, yyyy/mm/dd, dd.mm.yyyy, dd/mm/yyyy, or mm/dd/yyyy where that alone is a date | all days of these years |
 | mail | its pattern | keyed digests |
 """
 
@@ -45,9 +47,9 @@ def _text(s: str) -> str:
 
 
 def permuted(value: str, left: str, right: str, key: str, tag: str) -> str:
-    """SQL: the image of ``value`` in 0 .. left * right - 1 under the keyed permutation named by ``tag`` (a SQL string)."""
+    """SQL: the image of ``value`` in 0 .. left * right - 1 under the permutation named by ``key`` and ``tag`` (SQL strings)."""
     def noise(half: str) -> str:
-        return f"CAST(conv(substring(sha2(concat_ws('|', {_text(key)}, {tag}, CAST(r AS string), CAST({half} AS string)), 256), 1, 15), 16, 10) AS bigint)"
+        return f"CAST(conv(substring(sha2(concat_ws('|', {key}, {tag}, CAST(r AS string), CAST({half} AS string)), 256), 1, 15), 16, 10) AS bigint)"
 
     start = f"named_struct('a', CAST(({value}) div ({right}) AS bigint), 'b', CAST(({value}) % ({right}) AS bigint))"
     step = f"""CASE WHEN r % 2 = 0 THEN named_struct('a', pmod(s.a + {noise('s.b')}, CAST({left} AS bigint)), 'b', s.b)
@@ -94,9 +96,20 @@ def _card(m: str, key: str) -> str:
 
 
 def _phone(m: str, key: str) -> str:
+    def part(start: int, n: int) -> str:
+        return f"CAST(substring(h, {start}, {n}) AS bigint)"
+
+    # North American: 1,000 areas, 800 exchanges, 10,000 lines, whether a 1 stands before them or not; what only spaces part may be
+    # any numbers, so the area has to be one, too
+    index = f"({part(1, 3)} * 800 + {part(4, 3)} - 200) * 10000 + {part(7, 4)}"
+    made = _let(permuted(index, "1000 * 800", "10000", key, "'nanp'"), "v",
+                "concat(lpad(CAST(v div (800 * 10000) AS string), 3, '0'), CAST((v div 10000) % 800 + 200 AS string), lpad(CAST(v % 10000 AS string), 4, '0'))")
+    valid = f"substring(h, 4, 1) >= '2' AND (substring(h, 1, 1) >= '2' OR {m} NOT RLIKE '^[0-9 ]+$')"
+    near = _let("right(d, 10)", "h", f"CASE WHEN {valid} THEN {_let(made, 'p', _refill(m, 'concat(left(d, length(d) - 10), p)'))} ELSE {m} END")
     tail = "least(10, length(d) - 1)"
-    new = _let(f"right(d, {tail})", "h", _let(permuted_digits("h", key, "phone"), "p", _refill(m, f"concat(left(d, length(d) - {tail}), p)")))
-    return _let(_digits(m), "d", f"CASE WHEN length(d) BETWEEN 8 AND 15 THEN {new} ELSE {m} END")
+    far = _let(f"right(d, {tail})", "h", _let(permuted_digits("h", key, "phone"), "p", _refill(m, f"concat(left(d, length(d) - {tail}), p)")))
+    return _let(_digits(m), "d", f"""CASE WHEN length(d) = 10 AND {m} NOT LIKE '+%' OR length(d) = 11 AND d LIKE '1%' THEN {near}
+        WHEN {m} LIKE '+%' AND length(d) BETWEEN 8 AND 15 AND d RLIKE '^[2-9]' THEN {far} ELSE {m} END""")
 
 
 def _ssn(m: str, key: str) -> str:
@@ -116,28 +129,14 @@ def _ip(m: str, key: str) -> str:
 def _date(m: str, key: str) -> str:
     # 73,049 days = 17 * 4,297
     new = permuted("datediff(d, DATE'1900-01-01')", "17", "4297", key, "'date'")
-    branches = [(f"{m} LIKE '____-%'", "yyyy-MM-dd"), (f"{m} LIKE '____/%'", "yyyy/MM/dd"), (f"{m} LIKE '__.%'", "dd.MM.yyyy"), (f"{m} LIKE '__/%'", "dd/MM/yyyy")]
+    branches = [(f"{m} LIKE '____-%'", "yyyy-MM-dd"), (f"{m} LIKE '____/%'", "yyyy/MM/dd"), (f"{m} LIKE '__.%'", "dd.MM.yyyy"), (f"{m} RLIKE '^(0[1-9]|1[0-2])/(1[3-9]|[23][0-9])/'", "MM/dd/yyyy"), (f"{m} LIKE '__/%'", "dd/MM/yyyy")]
     cases = " ".join(f"WHEN {test} THEN " + _let(f"CAST(try_to_timestamp({m}, '{form}') AS date)", "d", f"CASE WHEN d BETWEEN DATE'1900-01-01' AND DATE'2099-12-31' THEN date_format(date_add(DATE'1900-01-01', CAST({new} AS int)), '{form}') ELSE {m} END") for test, form in branches)
-    return f"CASE WHEN {m} RLIKE '^(0[1-9]|1[0-2])/(1[3-9]|[23][0-9])/' THEN {_month_first(m, key)} {cases} ELSE {m} END"
-
-
-def _month_first(m: str, key: str) -> str:
-    """SQL: a date as MM/dd/yyyy whose day is above 12, among those: their strings are none of dd/MM/yyyy.
-
-    44,249 days, numbered in order; the permutation is one of 177 * 250 = 44,250 numbers, and what it sends to the spare one takes the
-    spare one's own image.
-    """
-    first = "datediff(add_months(DATE'1900-01-01', k), DATE'1900-01-01') - 12 * k"  # such days before month k
-    number = "(datediff(d, DATE'1900-01-01') - 12 * ((year(d) - 1900) * 12 + month(d)))"
-    moved = _let(permuted(number, "177", "250", key, "'date mm/dd'"), "u", f"CASE WHEN u = 44249 THEN {permuted('44249', '177', '250', key, _text('date mm/dd'))} ELSE u END")
-    month = f"element_at(filter(sequence(greatest(0, CAST(v * 2400 div 44249 AS int) - 3), least(2399, CAST(v * 2400 div 44249 AS int) + 3)), k -> {first} <= v), -1)"
-    new = _let(moved, "v", _let(month, "k", f"date_format(date_add(add_months(DATE'1900-01-01', k), CAST(12 + v - ({first}) AS int)), 'MM/dd/yyyy')"))
-    return _let(f"CAST(try_to_timestamp({m}, 'MM/dd/yyyy') AS date)", "d", f"CASE WHEN d BETWEEN DATE'1900-01-01' AND DATE'2099-12-31' THEN {new} ELSE {m} END")
+    return f"CASE {cases} ELSE {m} END"
 
 
 def _mail(m: str, key: str) -> str:
     # the domain of equal domains stays equal, too
-    return f"concat('u', left(sha2(concat_ws('|', {_text(key)}, 'mail', lower({m})), 256), 16), '@d', left(sha2(concat_ws('|', {_text(key)}, 'domain', lower(substring_index({m}, '@', -1))), 256), 8), '.example')"
+    return f"concat('u', left(sha2(concat_ws('|', {key}, 'mail', lower({m})), 256), 16), '@d', left(sha2(concat_ws('|', {key}, 'domain', lower(substring_index({m}, '@', -1))), 256), 8), '.example')"
 
 
 def pseudonym(m: str, key: str) -> str:
@@ -162,8 +161,9 @@ def pseudonymise(df: DataFrame, key: str, text: str = "text", count: str = "n_pi
     own = F.col(t).cast("string")
     # the mail pattern is tried only where there is an at sign
     matches = F.when(F.instr(own, "@") > 0, F.regexp_extract_all(own, F.lit(ANY), F.lit(0))).when(own.rlike(NUMBERS), F.regexp_extract_all(own, F.lit(NUMBERS), F.lit(0)))
-    found = df.select(*quoted(kept), matches.alias("__m"))
-    found = found.withColumn("__n", F.expr(f"transform(__m, m -> {pseudonym('m', key)})"))
+    secret = df.sparkSession.createDataFrame([(key,)], "key string")
+    found = df.select(*quoted(kept), matches.alias("__m"), secret.select("key").scalar().alias("__key"))
+    found = found.withColumn("__n", F.expr(f"transform(__m, m -> {pseudonym('m', '__key')})"))
     gaps = F.when(F.instr(own, "@") > 0, F.split(own, ANY, -1)).otherwise(F.split(own, NUMBERS, -1))
     new: Column = F.expr("array_join(transform(__g, (g, i) -> concat(g, coalesce(get(__n, i), ''))), '')")
     out = found.withColumn("__g", F.when(F.size("__m") > 0, gaps))

@@ -1,6 +1,7 @@
 """Training-data operators against brute force on small tables, with nulls, empty and long texts, repeated rows and clashing columns."""
 
 import collections
+import datetime
 import hashlib
 import random
 import re
@@ -182,12 +183,23 @@ def test_top_k(spark):
     ints = {i: [int(np.floor(256 * float(np.float32(x)))) for x in v] for i, v in enumerate(vectors) if v is not None and all(x is not None and np.isfinite(x) for x in v)}
     expected = []
     for q in (i for i in ints if i % 10 == 0):
-        best = sorted((-sum(a * b for a, b in zip(ints[q], v)), i) for i, v in ints.items() if i != q)[:5]
+        best = sorted((-sum(a * b for a, b in zip(ints[q], v)), i) for i, v in [*ints.items(), (62, ints[62])] if i != q)[:5]  # 62 is there twice
         expected += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
     assert sorted(got) == sorted(expected)
     assert topk.top_k(empty(df), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("shard, block", [(65_536, 8192), (2, 1)])
+def test_top_k_keeps_repeated_rows(spark, monkeypatch, shard, block):
+    monkeypatch.setattr(topk, "SHARD_ROWS", shard)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", block)
+    df = spark.createDataFrame([(0, [1.0]), (1, [3.0]), (1, [3.0]), (2, [2.0]), (4, [1.0])], "vec_id long, embedding array<double>")
+    best = [(1, 3), (1, 3), (2, 2), (4, 1)]
+    assert sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") == 0).collect()) == [(0, k + 1, j, 256 * 256 * s) for k, (j, s) in enumerate(best)]
+    several = sorted(tuple(r)[1:] for r in topk.top_k(df, F.col("vec_id") == 1, k=4).collect())
+    assert several == [(1, 2, 256 * 256 * 6), (2, 2, 256 * 256 * 6), (3, 0, 256 * 256 * 3), (4, 0, 256 * 256 * 3)]
+
+
 def test_top_k_gives_all_where_there_are_few(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in topk.top_k(df, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 256 * 512)]
@@ -358,13 +370,43 @@ def test_spaced_phones_and_month_first_dates(spark):
     assert a == b.replace("-", " ") != "212 555 1234" and day != "12/31/1990" and r.n_pii == 3
     days = spark.range(73049).select(F.expr("date_format(date_add(DATE'1900-01-01', CAST(id AS int)), 'MM/dd/yyyy')").alias("text")).where("substring(text, 4, 2) > '12'")
     out = pii.pseudonymise(days.repartition(8), "key").select("text")
-    assert days.count() == 44249 and out.distinct().count() == 44249 and out.join(days, "text", "left_anti").isEmpty()
+    assert days.count() == 44249 and out.distinct().count() == 44249 and out.where("text NOT RLIKE '^(0[1-9]|1[0-2])/[0-3][0-9]/(19|20)[0-9]{2}$'").isEmpty()
+
+
+def feistel(value, left, right, key, tag):
+    a, b = divmod(value, right)
+    for r in range(pii.ROUNDS):
+        noise = int(hashlib.sha256(f"{key}|{tag}|{r}|{a if r % 2 else b}".encode()).hexdigest()[:15], 16)
+        a, b = (a, (b + noise) % right) if r % 2 else ((a + noise) % left, b)
+    return a * right + b
+
+
+def test_values_are_linked_in_all_formats_and_permuted_by_a_plain_feistel(spark):
+    day = datetime.date(1900, 1, 1) + datetime.timedelta(days=feistel((datetime.date(1990, 12, 31) - datetime.date(1900, 1, 1)).days, 17, 4297, "secret key", "date"))
+    n = feistel((212 * 800 + 555 - 200) * 10000 + 1234, 800_000, 10000, "secret key", "nanp")
+    phone = f"{n // 8_000_000:03d}", f"{n // 10000 % 800 + 200}", f"{n % 10000:04d}"
+    far = f"{feistel(2079460958, 10**5, 10**5, 'secret key', 'phone10'):010d}"
+    ip = feistel(10 << 24 | 255, 65536, 65536, "secret key", "ip")
+    ssn = feistel(((123 - 1) * 99 + 45 - 1) * 9999 + 6789 - 1, 898 * 99, 9999, "secret key", "ssn")
+    area, group, serial = ssn // 989901, ssn // 9999 % 99 + 1, ssn % 9999 + 1
+    card = f"{feistel(453957876362148, 10**7, 10**8, 'secret key', 'card15'):015d}"
+    cases = {
+        "1990-12-31": f"{day:%Y-%m-%d}", "1990/12/31": f"{day:%Y/%m/%d}", "31.12.1990": f"{day:%d.%m.%Y}", "31/12/1990": f"{day:%d/%m/%Y}", "12/31/1990": f"{day:%m/%d/%Y}",
+        "212-555-1234": "-".join(phone), "212.555.1234": ".".join(phone), "212 555 1234": " ".join(phone), "(212) 555-1234": "({}) {}-{}".format(*phone), "+1 212-555-1234": "+1 {}-{}-{}".format(*phone),
+        "+1 (212) 555-1234": "+1 ({}) {}-{}".format(*phone), "1 212 555 1234": "1 {} {} {}".format(*phone), "+44 20 7946 0958": f"+44 {far[:2]} {far[2:6]} {far[6:]}", "+44 (20) 7946-0958": f"+44 ({far[:2]}) {far[2:6]}-{far[6:]}",
+        "order 100 200 3000 left": "order 100 200 3000 left", "212-155-1234": "212-155-1234", "+0 20 7946 0958": "+0 20 7946 0958", "10.0.0.255": f"{ip >> 24}.{ip >> 16 & 255}.{ip >> 8 & 255}.{ip & 255}",
+        "123-45-6789": f"{area + (2 if area >= 665 else 1):03d}-{group:02d}-{serial:04d}", "4539578763621486": card + next(str(c) for c in range(10) if luhn(card + str(c))),
+    }
+    df = spark.createDataFrame([(i, f"x {t}, y") for i, t in enumerate(cases)], "doc_id long, text string")
+    masked = pii.pseudonymise(df, "secret key")
+    assert {t: r.text[2:-3] for t, r in zip(cases, masked.orderBy("doc_id").collect())} == cases
+    assert "secret key" not in masked._jdf.queryExecution().toString()
 
 
 def test_permutations_are_one_to_one(spark):
-    digits = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d")).select(F.expr(pii.permuted_digits("d", "k", "t")).alias("p"))
+    digits = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d")).select(F.expr(pii.permuted_digits("d", "'k'", "t")).alias("p"))
     assert digits.distinct().count() == 1000 and digits.where("length(p) <> 3").count() == 0
-    days = spark.range(73049).select(F.expr(pii.permuted("id", "17", "4297", "k", "'date'")).alias("p"))
+    days = spark.range(73049).select(F.expr(pii.permuted("id", "17", "4297", "'k'", "'date'")).alias("p"))
     assert days.distinct().count() == 73049 and days.where("p NOT BETWEEN 0 AND 73048").count() == 0
 
 
@@ -373,7 +415,8 @@ def test_chat_round_trip(spark):
     rows = [(1, 0, "system", "be kind"), (1, 1, "user", trap), (1, 2, "assistant", trap), (2, 0, None, None), (2, None, "assistant", "first"), (2, 1, "assistant", "word " * 9000), (2, 1, "assistant", "word " * 9000), (None, 0, "us\ner", "x")]
     rows += [(3, i, ("system", "user", "assistant")[0 if i == 0 else 1 + i % 2], f"turn {i} " * (i % 7)) for i in range(700)]
     df = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, window string")
-    windows = chat.windows(df, budget=64, history=24).cache()
+    windows = chat.windows(df, budget=64, history=16).cache()
+    assert windows.where("n_tokens > 64 AND n_turns > 1").count() == 0
     got = {r.conv_id: r for r in chat.read_back(windows).collect()}
     for c in {r[0] for r in rows}:
         own = sorted(((r[1] is not None, r[1] or 0, r[2] or "", r[3] or "") for r in rows if r[0] == c))
@@ -386,6 +429,62 @@ def test_chat_round_trip(spark):
     assert chat.windows(empty(df)).count() == 0
 
 
+def plain_windows(own, budget, history):
+    """Windows of one conversation's turns (role, tokens) as lists of (turn, again), by a plain walk."""
+    system = own[0][1] if own and own[0][0] == "system" and own[0][1] <= budget // 2 - history else 0
+    room, at, spans = budget - history - system, 0, []
+    for i, (_, tok) in enumerate(own):
+        if system and i == 0:
+            continue
+        cell = at // room
+        unit = (cell, at + tok > (cell + 1) * room)
+        if spans and spans[-1][0] == unit:
+            spans[-1][1].append((i, tok))
+        else:
+            spans.append((unit, [(i, tok)]))
+        at += tok
+    joined = []
+    for unit, turns in spans:
+        if joined and joined[-1][0][1] and not unit[1] and sum(t for _, t in joined[-1][1] + turns) <= room:
+            joined[-1] = ((unit[0], False), joined[-1][1] + turns)
+        else:
+            joined.append((unit, turns))
+    out, before = [], []
+    for _, turns in joined:
+        size = sum(t for _, t in turns)
+        repeated = [i for n, (i, _) in enumerate(before) if size <= room and sum(t for _, t in before[n:]) <= history]
+        first = not out
+        if system and system + size <= budget:
+            out.append([(0, not first), *((i, True) for i in repeated), *((i, False) for i, _ in turns)])
+        else:
+            if system and first:
+                out.append([(0, False)])
+            out.append([*((i, True) for i in repeated), *((i, False) for i, _ in turns)])
+        before = turns
+    return out or ([[(0, False)]] if system else [])
+
+
+def test_chat_windows_hold_their_budget(spark):
+    """Against a plain walk; no window is above the budget but a single longer turn, alone or with the system turn that fits."""
+    rng = random.Random(8)
+    rows = []
+    for c in range(60):
+        sizes = [rng.choice([1, 5, 20, 60, 90, 99, 100, 101, 130, 400, 2000, rng.randrange(300)]) for _ in range(rng.randrange(1, 40))]
+        rows += [(c, i, ("system" if c % 2 else "user") if i == 0 else ("assistant", "user")[i % 2], f"{i}" + "x" * (4 * max(0, n - 4) - len(str(i)))) for i, n in enumerate(sizes)]
+    rows += [(99, 0, "system", "only"), (98, 0, "system", "s"), (98, 1, "user", "y" * 395), (97, 0, "system", "s" * 80), (97, 1, "user", "y" * 395)]
+    got = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), budget=100, history=25)
+    found = [(r.conv_id, r.window, [(t.role, t.text) for t in r.turns], r.n_repeated, r.n_tokens) for r in got.withColumn("turns", chat.parsed(F.col("formatted"))).collect()]
+    for c in {r[0] for r in rows}:
+        own = [(r[2], r[3]) for r in sorted(r for r in rows if r[0] == c)]
+        tok = [-(-len(t) // 4) + 4 for _, t in own]
+        want = plain_windows([(r, n) for (r, _), n in zip(own, tok)], 100, 25)
+        mine = [x for x in sorted(found) if x[0] == c]
+        assert [x[2] for x in mine] == [[own[i] for i, _ in w] for w in want]
+        assert [x[3] for x in mine] == [sum(again for _, again in w) for w in want]
+        for _, _, turns, _, n in mine:
+            assert n <= 100 or len(turns) == 1
+
+
 def test_toxicity_learns_and_scores_odd_texts(spark):
     rng = random.Random(4)
     plain = [f"{a}{b}" for a in ("lor", "mip", "sut", "dol") for b in ("em", "an", "is", "or", "ul")]
