@@ -6,7 +6,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+SMALL_KEYS = 1_000_000  # keys of two longs that are broadcast as they are
+FILTER_WORDS = 1 << 20  # 64-bit words of a filter: 64 million bits
 BLOCK_BYTES = 4_000_000  # text worked on at once in a Python task; a longer single text is a block of its own
 
 
@@ -38,6 +41,23 @@ def blocks(batch: pa.RecordBatch, column: str, block_bytes: int = BLOCK_BYTES) -
         at = end
 
 
+def matched(rows: DataFrame, keys: DataFrame, on: list[str], keep: bool = True, small: int = SMALL_KEYS) -> DataFrame:
+    """The rows whose key is among ``keys`` (or, with ``keep=False``, isn't); wide rows aren't shuffled.
+
+    ``keys`` is a written table of the columns ``on``, hashes as longs.  Up to ``small`` keys are broadcast.  More make a filter of
+    FILTER_WORDS words, one bit a key, which is broadcast and tells most of the other rows for certain; only what it leaves is joined
+    by shuffling.  Both ways are exact.
+    """
+    how = "left_semi" if keep else "left_anti"
+    if keys.count() <= small:
+        return rows.join(F.broadcast(keys), on, how)
+    word, bit = f"pmod(shiftrightunsigned(`{on[0]}`, 6), {FILTER_WORDS}L)", f"CAST(`{on[0]}` & 63 AS int)"
+    bits = keys.groupBy(F.expr(word).alias("__word")).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("__bits"))
+    tested = rows.withColumn("__word", F.expr(word)).join(F.broadcast(bits), "__word", "left").withColumn("__maybe", F.expr(f"coalesce(getbit(__bits, {bit}) = 1, false)"))
+    left = tested.where("__maybe").select(*quoted(rows.columns)).join(keys.hint("merge"), on, how)
+    return left if keep else left.union(tested.where("NOT __maybe").select(*quoted(left.columns)))
+
+
 class Memo(dict):
     """A dict that computes missing values and forgets everything when ``room`` keys are held, so its memory is bounded."""
 

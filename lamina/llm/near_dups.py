@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.llm.common import Memo, blocks, quoted
+from lamina.llm.common import Memo, blocks, matched, quoted
 from lamina.session import cut_lineage
 
 BANDS, ROWS = 32, 4
@@ -39,7 +39,9 @@ BATCH = 16  # signature values compared at once
 MISS = 1e-6  # chance of dropping a pair that reaches the threshold, a batch
 SMALL = 6  # nodes up to which a bucket gives all its pairs at once
 PIVOT_ROUNDS = 1
+HOT_BUCKETS, HOT_ROWS = 50_000, 1000  # a bucket is hot with more rows than this, and more than this share of all
 BLOCK, BLOCK_SET_BYTES = 1024, 8 << 20  # nodes, and bytes of their sets, in a block of a cluster
+PLACE = ("__p1", "__p2")  # columns that name the rows of one id and text
 ODD = (np.random.default_rng(20240601).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
@@ -98,7 +100,7 @@ def survives(percent: int, batch: int = BATCH, miss: float = MISS) -> list[int]:
 def shingle_table(docs: DataFrame, width: int, with_set: bool) -> DataFrame:
     """(id, place, n_shingles, digest, sig) or (..., shingles) of every row; null digest for a text without words."""
     extra = T.StructField("shingles" if with_set else "sig", T.BinaryType())
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("place", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("digest", T.BinaryType()), extra])
+    schema = T.StructType([*(T.StructField(c, T.LongType()) for c in ("id", *PLACE, "n_shingles")), T.StructField("digest", T.BinaryType()), extra])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(width)
@@ -111,34 +113,25 @@ def shingle_table(docs: DataFrame, width: int, with_set: bool) -> DataFrame:
                 else:
                     rows = iter(signature(full)) if full else iter(())
                     last = [next(rows).tobytes() if len(s) else None for s in sets]
-                columns = [part.column(0), part.column(1), pa.array([len(s) for s in sets], type=pa.int64()), pa.array(map(digest_of, sets), type=pa.binary()), pa.array(last, type=pa.binary())]
+                columns = [*part.columns[:3], pa.array([len(s) for s in sets], type=pa.int64()), pa.array(map(digest_of, sets), type=pa.binary()), pa.array(last, type=pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.select("id", *PLACE, "__text").mapInArrow(run, schema)
 
 
 def digest_of(shingles: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
 
 
-def with_digest(df: DataFrame, width: int, text: str) -> DataFrame:
-    """``df`` with the digest of each text's shingle set as ``__digest``."""
-    given = df.withColumn("__text", F.col(quoted([text])[0]).cast("string"))
+def placed(df: DataFrame, id: str, text: str) -> DataFrame:
+    """``df`` with its place, 128 bits that name the rows of one id and text, and the text as ``__text``."""
+    key, t = F.col(quoted([id])[0]).cast("long"), F.col(quoted([text])[0]).cast("string")
+    return df.select("*", F.xxhash64(key, t).alias(PLACE[0]), F.xxhash64(F.lit(1), t, key).alias(PLACE[1]), t.alias("__text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(width)
-        for batch in batches:
-            for part, texts in blocks(batch, "__text"):
-                digests = pa.array([digest_of(shingle(t)) for t in texts], type=pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], digests], names=[*part.schema.names[:-1], "__digest"])
-
-    return given.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("__digest", T.BinaryType())]))
 
-
-def shared_words(df: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, place, __text): place finds the rows of a text again, with or without an id."""
-    own = df.select(F.col(quoted([id])[0]).cast("long").alias("id"), F.col(quoted([text])[0]).cast("string").alias("__text"))
-    return own.select("id", F.xxhash64("id", "__text").alias("place"), "__text")
+def own_words(df: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, place, __text): a place finds the rows of a text again, with or without an id."""
+    return placed(df.select(F.col(quoted([id])[0]).cast("long").alias("id"), F.col(quoted([text])[0]).alias("text")), "id", "text").select("id", *PLACE, "__text")
 
 
 def ends(up: DataFrame) -> DataFrame:
@@ -206,11 +199,12 @@ def agree(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
 def sets_of(named: DataFrame, docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """(node, shingles) of the nodes in ``named``, made again from one text of each.
 
-    A text is fetched by its place; others that share the hash fall out by their digest, and repeated rows are one.
+    Texts are found by their place where they are read: no text is shuffled, only the sets that are asked for.
     """
-    known = cut_lineage(named.join(nodes.select("node", "digest", "place"), "node"))
-    texts = docs.join(known.select("place").distinct(), "place", "left_semi").select("id", "place", "__text").distinct()
-    return cut_lineage(shingle_table(texts, width, with_set=True).select("digest", "shingles").join(known.select("node", "digest"), "digest").groupBy("node").agg(F.first("shingles").alias("shingles")))
+    known = cut_lineage(named.join(nodes.select("node", "digest", *PLACE), "node"))
+    texts = matched(docs, known.select(*PLACE), list(PLACE))
+    sets = shingle_table(texts, width, with_set=True).groupBy("digest").agg(F.first("shingles").alias("shingles"))  # repeated rows are one
+    return cut_lineage(known.select("node", "digest").join(sets, "digest").select("node", "shingles"))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -263,16 +257,24 @@ def blockwise(members: DataFrame, docs: DataFrame, nodes: DataFrame, width: int,
 def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame | None:
     """Confirmed links (a, b) that join the nodes to their components; None where there is none."""
     bands = nodes.select("node", F.posexplode(F.expr(f"transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(sig, 1 + i * {4 * ROWS}, {4 * ROWS})))"))).select("node", F.col("col").alias("bucket"))
-    full = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = cut_lineage(bands.join(full, "bucket").select("bucket", "node", "n"))
+    full = cut_lineage(bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
+    hot = max(HOT_ROWS, (full.agg(F.sum("n")).first()[0] or 0) // HOT_BUCKETS)
+    # at most HOT_BUCKETS buckets are hot: their rows stay where they are
+    few, many = F.broadcast(full.where(F.col("n") > hot)), full.where(F.col("n") <= hot)
+    members = cut_lineage(bands.join(few, "bucket").select("bucket", "node", "n").union(bands.join(few, "bucket", "left_anti").join(many, "bucket").select("bucket", "node", "n")))
     small, large = members.where(F.col("n") <= SMALL), members.where(F.col("n") > SMALL)
     own = small.alias("x").join(small.alias("y"), F.expr("x.bucket = y.bucket AND x.node < y.node")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
+    def by_bucket(rows: DataFrame, table: DataFrame) -> DataFrame:
+        """Rows (bucket, n, ...) with their bucket's row of ``table`` (bucket, n, ...); the rows of hot buckets aren't shuffled."""
+        is_hot = F.col("n") > hot
+        return rows.where(is_hot).join(F.broadcast(table.where(is_hot)), ["bucket", "n"]).union(rows.where(~is_hot).join(table.where(~is_hot), ["bucket", "n"]))
+
     def with_pivot(rows: DataFrame, pivots: DataFrame) -> DataFrame:
-        return rows.join(pivots, "bucket").where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+        return by_bucket(rows, pivots).where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
 
     # one pivot for all bands of a group where it is in all of them, so a pair is compared once
-    pivots = large.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node")).alias("pivot"))
+    pivots = large.groupBy("bucket", "n").agg(F.min_by("node", F.xxhash64("node")).alias("pivot"))
     found: DataFrame | None = None
 
     def add(new: DataFrame) -> None:
@@ -289,36 +291,30 @@ def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFr
         """(bucket, node, comp, n) of the large buckets that hold several components."""
         comp = components(found) if found is not None else None
         rows = large.withColumn("comp", F.col("node")) if comp is None else large.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        several = rows.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
-        return cut_lineage(rows.join(several, "bucket"))
+        rows = cut_lineage(rows.select("bucket", "n", "node", "comp"))
+        several = cut_lineage(rows.groupBy("bucket", "n").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket", "n"))
+        return cut_lineage(by_bucket(rows, several))
 
-    confirm(own.union(with_pivot(large, pivots)))
+    confirm(own.union(with_pivot(large, cut_lineage(pivots))))
     for k in range(PIVOT_ROUNDS):
         rows = open_buckets()
         if rows.isEmpty():
             return found
-        sizes = rows.groupBy("bucket", "comp").agg(F.count("*").alias("c"), F.min_by("node", F.xxhash64("node", F.lit(k))).alias("pivot"))
-        major = sizes.groupBy("bucket").agg(F.max(F.struct("c", "comp", "pivot")).alias("m")).select("bucket", F.col("m.comp").alias("mc"), F.col("m.pivot").alias("pivot"))
-        confirm(with_pivot(rows.join(major.select("bucket", "mc"), "bucket").where("comp <> mc"), major))
+        sizes = rows.groupBy("bucket", "n", "comp").agg(F.count("*").alias("c"), F.min_by("node", F.xxhash64("node", F.lit(k))).alias("pivot"))
+        major = cut_lineage(sizes.groupBy("bucket", "n").agg(F.max(F.struct("c", "comp", "pivot")).alias("m")).select("bucket", "n", F.col("m.comp").alias("mc"), F.col("m.pivot").alias("pivot")))
+        confirm(with_pivot(by_bucket(rows, major.select("bucket", "n", "mc")).where("comp <> mc").select("bucket", "n", "node"), major.select("bucket", "n", "pivot")))
     rows = open_buckets()
     if not rows.isEmpty():
         add(blockwise(rows, docs, nodes, width, percent))
     return found
 
 
-def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``df``: ``id`` (long), n_shingles, digest, component_id, class_digest, kept.
-
-    component_id is the smallest id reachable over links, kept says whether it is the row's own.  Classes without an id, or of one
-    repeated id, share a component_id; class_digest, the smallest digest of the class, tells them apart.  Null, empty and blank texts
-    have no shingles, link with nothing and are their own component (null id: null, kept).  Texts of fewer words than ``width`` are one
-    shingle.  Repeated rows are copies of each other and share a class; rows that share an id keep their own texts and classes.  An
-    empty table gives an empty result.  Only ``id`` and ``text`` are read, so other columns don't matter.
-    """
-    docs = shared_words(df, id, text)
+def classified(df: DataFrame, width: int, percent: int, id: str, text: str) -> DataFrame:
+    """(id, place, n_shingles, digest, component_id, class_digest) of every row."""
+    docs = own_words(df, id, text)
     base = cut_lineage(shingle_table(docs, width, with_set=False))
-    alike = base.where("digest IS NOT NULL").groupBy("digest").agg(F.first("sig").alias("sig"), F.min("id").alias("low_id"), F.min("place").alias("place"))
-    nodes = cut_lineage(alike.withColumn("node", F.monotonically_increasing_id()))  # written, so the numbers stay
+    alike = base.where("digest IS NOT NULL").groupBy("digest").agg(F.first("sig").alias("sig"), F.min("id").alias("low_id"), F.min(F.struct(*PLACE)).alias("place"))
+    nodes = cut_lineage(alike.select("digest", "sig", "low_id", "place.*", F.monotonically_increasing_id().alias("node")))  # written, so the numbers stay
     found = links(nodes, docs, width, percent)
     classes = nodes.select("digest", "node", "low_id")
     if found is not None:
@@ -327,25 +323,41 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id: str =
         classes = comp.join(low, "comp").select("digest", "component_id", "class_digest")
     else:
         classes = classes.select("digest", F.col("low_id").alias("component_id"), F.col("digest").alias("class_digest"))
-    lone = base.where("digest IS NULL").select("id", "n_shingles", "digest", F.col("id").alias("component_id"), F.col("digest").alias("class_digest"))
-    rows = base.where("digest IS NOT NULL").select("id", "n_shingles", "digest").join(classes, "digest").select("id", "n_shingles", "digest", "component_id", "class_digest").union(lone)
+    lone = base.where("digest IS NULL").select("id", *PLACE, "n_shingles", "digest", F.col("id").alias("component_id"), F.col("digest").alias("class_digest"))
+    return base.where("digest IS NOT NULL").select("id", *PLACE, "n_shingles", "digest").join(classes, "digest").select("id", *PLACE, "n_shingles", "digest", "component_id", "class_digest").union(lone)
+
+
+def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``df``: ``id`` (long), n_shingles, digest, component_id, class_digest, kept.
+
+    component_id is the smallest id reachable over links, kept says whether it is the row's own.  Classes without an id, or of one
+    repeated id, share a component_id; class_digest, the smallest digest of the class, tells them apart.  Null, empty and blank texts
+    have no shingles, link with nothing and are their own component (null id: null, kept).  Texts of fewer words than ``width`` are one
+    shingle.  Repeated rows are copies of each other and share a class; rows that share an id keep their own texts and classes.  An
+    empty table gives an empty result.  Only ``id`` and ``text`` are read, so other columns don't matter.
+    """
+    rows = classified(df, width, percent, id, text)
     return rows.select(F.col("id").alias(id), "n_shingles", "digest", "component_id", "class_digest", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``df`` with one row of each class left: one with the smallest id, a null id only where the class has no other.
 
-    Rows without words all stay, but for those repeated in whole.  All columns of ``df`` are kept.
+    Rows without words all stay, but for those repeated in whole.  All columns of ``df`` are kept.  Texts aren't shuffled: the places of
+    the rows that go are looked up where the texts are read.
     """
-    t, key = F.col(quoted([text])[0]).cast("string"), F.col(quoted([id])[0]).cast("long")
-    wordless = ~F.coalesce(t.rlike(r"\S"), F.lit(False))  # ASCII white space, as in Shingler
-    rows = near_duplicates(df, width, percent, id, text).where("kept AND digest IS NOT NULL")
+    wordless = ~F.coalesce(F.col(quoted([text])[0]).cast("string").rlike(r"\S"), F.lit(False))  # ASCII white space, as in Shingler
+    rows = cut_lineage(classified(df, width, percent, id, text).where("digest IS NOT NULL"))
     # a class may hold several texts under its smallest id, or without an id: one of them stays
-    each = rows.groupBy("class_digest", "digest").agg(F.min(quoted([id])[0]).alias("id"), F.count("*").alias("n"))
-    keep = cut_lineage(each.groupBy("class_digest").agg(F.min(F.struct("digest", "id", "n")).alias("m")).select(F.col("m.id").alias("__id"), F.col("m.digest").alias("__d"), F.col("m.n").alias("n")))
-    left = with_digest(df.where(~wordless), width, text).join(keep, key.eqNullSafe(F.col("__id")) & F.col("__digest").eqNullSafe(F.col("__d")), "left_semi")
-    if not keep.where("n > 1").isEmpty():
-        left = left.withColumn("__id", key).dropDuplicates(["__id", "__digest"])
+    first = rows.groupBy("class_digest").agg(F.min(F.struct(F.col("id").isNull(), "id", "digest", *PLACE)).alias("m"))
+    stays = cut_lineage(first.select(*(F.col(f"m.{c}").alias(c) for c in PLACE)))
+    places = cut_lineage(rows.groupBy(*PLACE).agg(F.count("*").alias("n")))
+    repeated = cut_lineage(places.where("n > 1").join(stays, list(PLACE), "left_semi").select(*PLACE))
+    gone = cut_lineage(places.join(stays, list(PLACE), "left_anti").select(*PLACE).union(repeated))
+    own = placed(df.where(~wordless), id, text).drop("__text")
+    left = matched(own, gone, list(PLACE), keep=False).select(*quoted(df.columns))
+    if not repeated.isEmpty():
+        left = left.union(matched(own, repeated, list(PLACE)).dropDuplicates(list(PLACE)).select(*quoted(df.columns)))
     whole = {f"__c{i}": F.to_json(F.struct(c)) if "map<" in kind or "variant" in kind else F.col(c) for i, (c, kind) in enumerate(zip(quoted(df.columns), (k for _, k in df.dtypes)))}
     blank = df.where(wordless).withColumns(whole).dropDuplicates(list(whole))
-    return left.select(*quoted(df.columns)).union(blank.select(*quoted(df.columns)))
+    return left.union(blank.select(*quoted(df.columns)))
