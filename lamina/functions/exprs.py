@@ -602,15 +602,63 @@ def is_simple(g: str) -> str:
     return f"forall({rings(g)}, is_r -> {simple_ring('is_r')})"
 
 
+def _rings_cross(es: str, fs: str) -> str:
+    """Two edges of two edge sets cross at a point inside both."""
+    e, f = "rc_e", "rc_f"
+    near = (
+        f"greatest({e}.x1, {e}.x2) >= least({f}.x1, {f}.x2) AND least({e}.x1, {e}.x2) <= greatest({f}.x1, {f}.x2) AND "
+        f"greatest({e}.y1, {e}.y2) >= least({f}.y1, {f}.y2) AND least({e}.y1, {e}.y2) <= greatest({f}.y1, {f}.y2)"
+    )
+    fe = [orient(f"{f}.x1", f"{f}.y1", f"{f}.x2", f"{f}.y2", f"{e}.x{i}", f"{e}.y{i}") for i in (1, 2)]
+    ef = [orient(f"{e}.x1", f"{e}.y1", f"{e}.x2", f"{e}.y2", f"{f}.x{i}", f"{f}.y{i}") for i in (1, 2)]
+    return f"exists({es}, {e} -> exists({fs}, {f} -> {near} AND sign({fe[0]}) * sign({fe[1]}) < 0 AND sign({ef[0]}) * sign({ef[1]}) < 0))"
+
+
+def hole_faults(p: str) -> str:
+    """struct<outside, overlapping>: holes of a polygon part that lie outside their shell or across it, and that overlap an earlier hole.
+
+    Rings may meet at points.
+    """
+    def spots(es: str, test) -> str:
+        """Starts and middles of edges."""
+        return f"exists({es}, hf_e -> {test('hf_e.x1', 'hf_e.y1')} OR {test('((hf_e.x1 + hf_e.x2) / 2)', '((hf_e.y1 + hf_e.y2) / 2)')})"
+
+    out = f"({_rings_cross('hf_h', 'hf_r[0]')} OR {spots('hf_h', lambda px, py: locate(px, py, 'hf_r[0]') + ' = 0')})"
+    within = f"({spots('hf_h', lambda px, py: locate(px, py, 'hf_k') + ' = 1')} OR {spots('hf_k', lambda px, py: locate(px, py, 'hf_h') + ' = 1')})"
+    earlier = f"hf_j > 0 AND hf_j < hf_i AND ({_rings_cross('hf_h', 'hf_k')} OR {within} OR array_sort(hf_h) = array_sort(hf_k))"
+    over = f"exists(transform(hf_r, (hf_k, hf_j) -> {earlier}), hf_x -> hf_x)"
+
+    def count(test: str) -> str:
+        return f"size(filter(transform(hf_r, (hf_h, hf_i) -> hf_i > 0 AND {test}), hf_y -> hf_y))"
+
+    inner = ring_edges("hf_q")
+    found = let(f"transform({p}.rings, hf_q -> {inner})", "hf_r", f"named_struct('outside', {count(out)}, 'overlapping', {count(over)})")
+    return f"IF(size({p}.rings) < 2, named_struct('outside', 0, 'overlapping', 0), {found})"
+
+
+def holes_fit(p: str) -> str:
+    """The holes of a polygon part lie in its shell and beside each other."""
+    return let(hole_faults(p), "hv_f", "hv_f.outside = 0 AND hv_f.overlapping = 0")
+
+
 def is_valid(g: str) -> str:
-    """Rings of polygons are closed, have four vertices or more, an area, and do not cross themselves."""
+    """Rings of polygons are closed, have four vertices or more, an area, do not cross themselves or each other, and holes lie in their shell."""
     area_ok = f"{closed_ring('iv_r')} AND size(iv_r) >= 4 AND {ring_area('iv_r')} <> 0 AND {simple_ring('iv_r')}"
     return (
-        f"(size({g}.parts) > 0 AND forall({g}.parts, iv_p -> CASE iv_p.kind WHEN 3 THEN forall(iv_p.rings, iv_r -> {area_ok}) "
+        f"(size({g}.parts) > 0 AND forall({g}.parts, iv_p -> CASE iv_p.kind WHEN 3 THEN forall(iv_p.rings, iv_r -> {area_ok}) AND {holes_fit('iv_p')} "
         "WHEN 2 THEN size(iv_p.rings[0]) >= 2 ELSE true END))"
     )
 
 
+def snap_to(g: str, ref: str, tolerance: str) -> str:
+    """Geometry with each vertex moved to the nearest vertex of another one within a tolerance (ties: smallest x, y)."""
+    none = "CAST(NULL AS STRUCT<d2: DOUBLE, x: DOUBLE, y: DOUBLE>)"
+    one = "named_struct('d2', (st_w.x - st_v.x) * (st_w.x - st_v.x) + (st_w.y - st_v.y) * (st_w.y - st_v.y), 'x', st_w.x, 'y', st_w.y)"
+    nearest = f"aggregate(st_t, {none}, (st_b, st_w) -> {let(one, 'st_o', 'IF(st_b IS NULL OR st_o < st_b, st_o, st_b)')})"
+    moved = let(nearest, "st_n", f"IF(st_n IS NOT NULL AND st_n.d2 <= {tolerance} * {tolerance}, {vertex('st_n.x', 'st_n.y', 'st_v.z')}, st_v)")
+    return let(vertices(ref), "st_t", f"IF({g} IS NULL OR {ref} IS NULL, {NO_GEOM}, {map_vertices(g, 'st_v', moved)})")
+
+
 def nearest_on_edge(px: str, py: str, e: str) -> str:
     """struct<d2, x, y>: squared distance to, and place of, the nearest point of a segment."""
     dx, dy = f"({e}.x2 - {e}.x1)", f"({e}.y2 - {e}.y1)"
@@ -643,7 +691,9 @@ def closest(es: str, fs: str) -> str:
             f"flatten(transform({outer}, {tag}_e -> array(named_struct('x', {tag}_e.x1, 'y', {tag}_e.y1), "
             f"named_struct('x', {tag}_e.x2, 'y', {tag}_e.y2))))"
         )
-        best = f"aggregate({inner}, {tag}_s, ({tag}_b, {tag}_f) -> {let(near, f'{tag}_n', f'least({pick}, {tag}_b)')})"
+        # places are only looked at where distances are equal
+        nearer = f"CASE WHEN {tag}_n.d2 < {tag}_b.d2 THEN {pick} WHEN {tag}_n.d2 = {tag}_b.d2 THEN least({pick}, {tag}_b) ELSE {tag}_b END"
+        best = f"aggregate({inner}, {tag}_s, ({tag}_b, {tag}_f) -> {let(near, f'{tag}_n', nearer)})"
         return f"aggregate(array_distinct({ends_of}), %s, ({tag}_s, {tag}_u) -> {best})"
 
     return side(fs, es, "cb", True) % (side(es, fs, "ca", False) % none)
@@ -651,25 +701,32 @@ def closest(es: str, fs: str) -> str:
 
 # ---------------------------------------------------------------- lines held in one row
 
+def running(values: str) -> str:
+    """Sums of an array of doubles from its start to each place, by doubling: about log2(n) rounds over the array."""
+    more = "transform(ru_p, (ru_v, ru_i) -> ru_v + IF(ru_i >= shiftleft(1, ru_k), ru_p[ru_i - shiftleft(1, ru_k)], 0D))"
+    return let(values, "ru_a", f"IF(size(ru_a) < 2, ru_a, aggregate(sequence(0, CAST(ceil(log2(size(ru_a))) AS INT) - 1), ru_a, (ru_p, ru_k) -> {more}))")
+
+
 def _measured(g: str) -> str:
     """Edges of a line with the distance before each one."""
     step = "sqrt((ms_e.x2 - ms_e.x1) * (ms_e.x2 - ms_e.x1) + (ms_e.y2 - ms_e.y1) * (ms_e.y2 - ms_e.y1))"
-    empty = (
-        "named_struct('d', 0D, 'out', CAST(array() AS ARRAY<STRUCT<d0: DOUBLE, len: DOUBLE, x1: DOUBLE, y1: DOUBLE, "
-        "x2: DOUBLE, y2: DOUBLE>>))"
-    )
-    grown = (
-        f"named_struct('d', ms_s.d + {step}, 'out', concat(ms_s.out, array(named_struct('d0', ms_s.d, 'len', {step}, "
-        "'x1', ms_e.x1, 'y1', ms_e.y1, 'x2', ms_e.x2, 'y2', ms_e.y2))))"
+    edge = (
+        "named_struct('d0', IF(ms_i = 0, 0D, ms_d[ms_i - 1]), 'd1', ms_d[ms_i], 'len', ms_d[ms_i] - IF(ms_i = 0, 0D, ms_d[ms_i - 1]), "
+        "'x1', ms_f.x1, 'y1', ms_f.y1, 'x2', ms_f.x2, 'y2', ms_f.y2)"
     )
-    return f"aggregate({ring_edges(first_ring(g))}, {empty}, (ms_s, ms_e) -> {grown}).out"
+    return let(ring_edges(first_ring(g)), "ms_es", let(running(f"transform(ms_es, ms_e -> {step})"), "ms_d", f"transform(ms_es, (ms_f, ms_i) -> {edge})"))
+
+
+def _on(e: str, d: str) -> str:
+    """Vertex at distance ``d`` on a measured edge."""
+    t = f"least(1D, IF({e}.len = 0, 0D, ({d} - {e}.d0) / {e}.len))"
+    return vertex(f"{e}.x1 + {t} * ({e}.x2 - {e}.x1)", f"{e}.y1 + {t} * ({e}.y2 - {e}.y1)")
 
 
 def _at(m: str, d: str) -> str:
-    """Vertex at distance ``d`` along measured edges ``m``."""
-    hit = f"element_at(concat(filter({m}, at_e -> at_e.d0 + at_e.len >= {d}), array(element_at({m}, -1))), 1)"
-    t = f"least(1D, IF(at_h.len = 0, 0D, ({d} - at_h.d0) / at_h.len))"
-    return let(hit, "at_h", vertex(f"at_h.x1 + {t} * (at_h.x2 - at_h.x1)", f"at_h.y1 + {t} * (at_h.y2 - at_h.y1)"))
+    """Vertex at distance ``d`` along measured edges ``m``: on the first edge that reaches it, or the last one."""
+    hit = f"coalesce(get(filter({m}, at_e -> at_e.d1 >= {d} AND (at_e.d0 < {d} OR at_e.d0 = 0)), 0), element_at({m}, -1))"
+    return let(hit, "at_h", _on("at_h", d))
 
 
 def interpolate_point(g: str, fraction: str) -> str:
@@ -680,11 +737,12 @@ def interpolate_point(g: str, fraction: str) -> str:
 
 
 def equidistant_points(g: str, step: str) -> str:
-    """Multipoint of the places every ``step`` along a line, from its start."""
-    count = f"CAST(floor({length(g)} / {step}) AS INT)"
-    places = let(
-        _measured(g), "eq_m",
-        f"transform(sequence(0, {count}), eq_i -> {part(1, 'array(array(' + _at('eq_m', f'(eq_i * {step})') + '))')})")
+    """Multipoint of the places every ``step`` along a line, from its start; each edge gives its own, so the work is that of edges and places."""
+    # an edge has the places beyond its start up to its end; the first one has its start, too
+    first, last = f"IF(eq_e.d0 = 0 AND eq_i = 0, 0L, floor(eq_e.d0 / {step}) + 1)", f"floor(eq_e.d1 / {step})"
+    place = part(1, f"array(array({_on('eq_e', f'(eq_k * {step})')}))")
+    own = f"IF({first} > {last}, CAST(array() AS ARRAY<{PART}>), transform(sequence({first}, greatest({first}, {last})), eq_k -> {place}))"
+    places = let(_measured(g), "eq_m", f"flatten(transform(eq_m, (eq_e, eq_i) -> {own}))")
     return f"IF({g}.gtype = 2 AND {step} > 0, {geom(4, f'{g}.srid', places)}, {NO_GEOM})"
 
 
@@ -702,6 +760,38 @@ def substring(g: str, start: str, end: str) -> str:
     return f"IF({ok}, {built}, {NO_GEOM})"
 
 
+# ---------------------------------------------------------------- hull of one row
+
+def hull_points(pts: str) -> str:
+    """Corners (structs x, y) of the convex hull of an array of them, counter-clockwise from the lowest x, without points on its sides.
+
+    Points are taken in order.  A chain that bends one way is seen from a point beyond its end up to one corner, so of the
+    chain so far those corners stay that the next point lies left of.
+    """
+    def chain(points: str, tag: str) -> str:
+        turn = orient(f"{tag}_s[{tag}_i - 1].x", f"{tag}_s[{tag}_i - 1].y", f"{tag}_s[{tag}_i].x", f"{tag}_s[{tag}_i].y", f"{tag}_p.x", f"{tag}_p.y")
+        kept = f"IF(size({tag}_s) < 2, size({tag}_s), 1 + size(filter(sequence(1, size({tag}_s) - 1), {tag}_i -> {turn} > 0)))"
+        return f"aggregate({points}, CAST(array() AS ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>), ({tag}_s, {tag}_p) -> concat(slice({tag}_s, 1, {kept}), array({tag}_p)))"
+
+    ordered = f"array_sort(array_distinct(transform({pts}, hp_v -> named_struct('x', CAST(hp_v.x AS DOUBLE) + 0D, 'y', CAST(hp_v.y AS DOUBLE) + 0D))))"
+    ring = f"IF(size(hp_o) < 3, hp_o, concat(slice({chain('hp_o', 'hl')}, 1, size({chain('hp_o', 'hl')}) - 1), slice({chain('reverse(hp_o)', 'hu')}, 1, size({chain('reverse(hp_o)', 'hu')}) - 1)))"
+    return let(ordered, "hp_o", ring)
+
+
+def hull_geometry(corners: str, srid: str | int = 0) -> str:
+    """Point, line or polygon of hull corners; NULL for none."""
+    pts = f"transform({corners}, hg_v -> {vertex('hg_v.x', 'hg_v.y')})"
+    return (
+        f"CASE size({corners}) WHEN 0 THEN {NO_GEOM} WHEN 1 THEN {geom(1, srid, f'array({part(1, f'array({pts})')})')} "
+        f"WHEN 2 THEN {line(pts, srid)} ELSE {polygon(f'array(concat({pts}, slice({pts}, 1, 1)))', srid)} END"
+    )
+
+
+def convex_hull(g: str) -> str:
+    """Convex hull of one geometry: a polygon, or a line or point where all vertices lie on one."""
+    return let(hull_points(vertices(g)), "ch_c", f"IF({g} IS NULL, {NO_GEOM}, {hull_geometry('ch_c', f'{g}.srid')})")
+
+
 # ---------------------------------------------------------------- clipping and surfaces
 
 def clip_ring(ring: str, window: str) -> str:
@@ -724,6 +814,57 @@ def clip_ring(ring: str, window: str) -> str:
     return let(cut, "cl_r", "IF(size(cl_r) < 3, filter(cl_r, cl_y -> false), concat(cl_r, slice(cl_r, 1, 1)))")
 
 
+def _half_plane(rings_: str, w: str) -> str:
+    """Closed rings with the surface on their left, cut to the left of an edge: as many closed rings, again with the surface on their left.
+
+    What lies left of the edge's line comes in chains from line to line.  Along the line the surface begins where a chain
+    comes down and ends where one goes up, so a chain is followed by the one that goes up at the next place along the line, and
+    the chains close to rings: a shape that falls apart becomes several, without bridges.  A vertex on the line counts as outside.
+    """
+    side = orient(f"{w}.x1", f"{w}.y1", f"{w}.x2", f"{w}.y2", "hp_v.x", "hp_v.y")
+    sided = f"transform({rings_}, hp_r -> transform(slice(hp_r, 1, greatest(size(hp_r) - 1, 0)), hp_v -> named_struct('x', hp_v.x, 'y', hp_v.y, 's', {side})))"
+
+    def spot(k: int, px: str, py: str) -> str:
+        tau = f"(({px} - {w}.x1) * ({w}.x2 - {w}.x1) + ({py} - {w}.y1) * ({w}.y2 - {w}.y1))"
+        return f"named_struct('k', {k}, 'x', {px}, 'y', {py}, 'tau', {tau})"
+
+    def crossing(k: int, p: str, q: str) -> str:
+        """Where the edge from ``p``, on the left, to ``q`` meets the line."""
+        t = f"({p}.s / ({p}.s - {q}.s))"
+        return f"IF({q}.s = 0, {spot(k, f'{q}.x', f'{q}.y')}, {spot(k, f'({p}.x + {t} * ({q}.x - {p}.x))', f'({p}.y + {t} * ({q}.y - {p}.y))')})"
+
+    none = "CAST(array() AS ARRAY<STRUCT<k: INT, x: DOUBLE, y: DOUBLE, tau: DOUBLE>>)"
+    step = f"CASE WHEN hp_a.s > 0 AND hp_b.s > 0 THEN array({spot(1, 'hp_a.x', 'hp_a.y')}) WHEN hp_a.s > 0 THEN array({spot(1, 'hp_a.x', 'hp_a.y')}, {crossing(2, 'hp_a', 'hp_b')}) WHEN hp_b.s > 0 THEN array({crossing(0, 'hp_b', 'hp_a')}) ELSE {none} END"
+    # from an outside vertex on, so that chains aren't cut by the ring's own start
+    first = "(array_position(transform(hp_q, hp_u -> hp_u.s <= 0), true) - 1)"
+    walk = let(first, "hp_f", "flatten(transform(sequence(0, size(hp_q) - 1), hp_i -> " + let("hp_q[CAST((hp_f + hp_i) % size(hp_q) AS INT)]", "hp_a", let("hp_q[CAST((hp_f + hp_i + 1) % size(hp_q) AS INT)]", "hp_b", step)) + "))")
+    cut = f"flatten(transform(filter(hp_s, hp_q -> exists(hp_q, hp_u -> hp_u.s > 0) AND exists(hp_q, hp_u -> hp_u.s <= 0)), hp_q -> {walk}))"
+    whole = f"transform(filter(hp_s, hp_q -> size(hp_q) > 0 AND forall(hp_q, hp_u -> hp_u.s > 0)), hp_q -> concat(transform(hp_q, hp_u -> {vertex('hp_u.x', 'hp_u.y')}), transform(slice(hp_q, 1, 1), hp_u -> {vertex('hp_u.x', 'hp_u.y')})))"
+    at = "filter(sequence(0, size(hp_t) - 1), hp_i -> hp_t[hp_i].k = {})"
+    # at one place a chain that goes up stands before one that comes down
+    ends = "array_sort(concat(transform(hp_up, (hp_p, hp_c) -> named_struct('tau', hp_t[hp_p].tau, 'k', 0, 'c', hp_c)), transform(hp_dn, (hp_p, hp_c) -> named_struct('tau', hp_t[hp_p].tau, 'k', 1, 'c', hp_c))))"
+    after = "transform(hp_dn, (hp_p, hp_c) -> hp_e[CAST((array_position(transform(hp_e, hp_o -> hp_o.k = 1 AND hp_o.c = hp_c), true) - 1) AS INT) ^ 1].c)"
+    lowest = "aggregate(hp_n, named_struct('at', hp_c, 'low', hp_c), (hp_g, hp_z) -> named_struct('at', hp_n[hp_g.at], 'low', least(hp_g.low, hp_n[hp_g.at]))).low"
+    chain = "slice(hp_t, hp_up[{c}] + 1, hp_dn[{c}] - hp_up[{c}] + 1)"
+    grow = f"IF(hp_n[hp_g.at] = hp_l OR hp_g.done, named_struct('at', hp_g.at, 'done', true, 'pts', hp_g.pts), named_struct('at', hp_n[hp_g.at], 'done', false, 'pts', concat(hp_g.pts, {chain.format(c='hp_n[hp_g.at]')})))"
+    ring = f"aggregate(hp_n, named_struct('at', hp_l, 'done', false, 'pts', {chain.format(c='hp_l')}), (hp_g, hp_z) -> {grow}).pts"
+    closed = f"transform(filter(transform(hp_n, (hp_z, hp_c) -> IF({lowest} = hp_c, hp_c, -1)), hp_c -> hp_c >= 0), hp_l -> transform(concat({ring}, slice({chain.format(c='hp_l')}, 1, 1)), hp_u -> {vertex('hp_u.x', 'hp_u.y')}))"
+    linked = let(at.format(0), "hp_up", let(at.format(2), "hp_dn", let(ends, "hp_e", let(after, "hp_n", closed))))
+    return let(sided, "hp_s", f"concat({whole}, {let(cut, 'hp_t', f'IF(size(hp_t) = 0, CAST(array() AS ARRAY<{RING}>), {linked})')})")
+
+
+def clip_polygon(p: str, window: str) -> str:
+    """Array of polygon parts: a polygon part cut to a convex window (edges counter-clockwise), one part per piece, with the holes left in it."""
+    turned = f"transform({p}.rings, (cp_r, cp_i) -> IF(({ring_area('cp_r')} > 0) = (cp_i = 0), cp_r, reverse(cp_r)))"
+    # a vertex on a line is the end of one chain and the start of the next
+    once = "filter(cp_q, (cp_m, cp_n) -> cp_n = 0 OR cp_m.x <> cp_q[cp_n - 1].x OR cp_m.y <> cp_q[cp_n - 1].y)"
+    kept = f"filter(transform(aggregate({window}, {turned}, (cp_k, cp_w) -> {_half_plane('cp_k', 'cp_w')}), cp_q -> {once}), cp_e -> {ring_area('cp_e')} <> 0)"
+    # a vertex of the hole that isn't on the piece's border decides
+    inside = f"aggregate(cp_h, 0, (cp_d, cp_v) -> IF(cp_d <> 0, cp_d, CASE {locate('cp_v.x', 'cp_v.y', 'cp_es')} WHEN 1 THEN 1 WHEN 0 THEN -1 ELSE 0 END)) = 1"
+    piece = let(ring_edges("cp_s"), "cp_es", part(3, f"concat(array(cp_s), filter(cp_a, cp_h -> {ring_area('cp_h')} < 0 AND {inside}))"))
+    return let(kept, "cp_a", f"transform(filter(cp_a, cp_o -> {ring_area('cp_o')} > 0), cp_s -> {piece})")
+
+
 def clip_edge(e: str, window: str) -> str:
     """struct<t0, t1>: the part of an edge inside a convex window, NULL when none."""
     a = orient("le_w.x1", "le_w.y1", "le_w.x2", "le_w.y2", f"{e}.x1", f"{e}.y1")
@@ -756,8 +897,7 @@ def _clip_line(ring: str, window: str) -> str:
 
 def clip_geometry(g: str, window: str) -> str:
     """Geometry cut to a convex window; NULL when nothing is left."""
-    poly_rings = f"filter(transform(cg_p.rings, cg_r -> {clip_ring('cg_r', window)}), cg_e -> size(cg_e) > 0)"
-    poly = let(poly_rings, "cg_k", f"IF(size(cg_k) > 0 AND {ring_area('cg_k[0]')} <> 0, array({part(3, 'cg_k')}), CAST(array() AS ARRAY<{PART}>))")
+    poly = clip_polygon("cg_p", window)
     lines = f"transform({_clip_line('cg_p.rings[0]', window)}, cg_l -> {part(2, 'array(cg_l)')})"
     inside = f"forall({window}, cg_w -> {orient('cg_w.x1', 'cg_w.y1', 'cg_w.x2', 'cg_w.y2', 'cg_p.rings[0][0].x', 'cg_p.rings[0][0].y')} >= 0)"
     kept = (

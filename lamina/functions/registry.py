@@ -56,14 +56,22 @@ def _mbr_pair(fn) -> str:
     return x.let(x.bounds("a"), "ba", x.let(x.bounds("b"), "bb", fn("ba", "bb")))
 
 
-# fixed values: time format letters and their Spark spelling
-TIME_FORMATS = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss", "%j": "DDD"}
+# fixed values: time format letters and what they stand for
+TIME_FORMATS = {
+    "%d": "date_format(t, 'dd')", "%f": "date_format(t, 'ss.SSS')", "%H": "date_format(t, 'HH')", "%j": "date_format(t, 'DDD')", "%J": "CAST(julianday AS STRING)",
+    "%m": "date_format(t, 'MM')", "%M": "date_format(t, 'mm')", "%s": "CAST(unix_date(to_date(t)) * 86400L + hour(t) * 3600 + minute(t) * 60 + CAST(floor(extract(SECOND FROM t)) AS BIGINT) AS STRING)",
+    "%S": "date_format(t, 'ss')", "%w": "CAST(dayofweek(t) - 1 AS STRING)", "%W": "lpad(CAST((dayofyear(t) + 6 - (dayofweek(t) + 5) % 7) div 7 AS STRING), 2, '0')", "%Y": "date_format(t, 'yyyy')",
+}
+JULIAN_DAY = "unix_date(to_date(t)) + (hour(t) * 3600 + minute(t) * 60 + CAST(extract(SECOND FROM t) AS DOUBLE)) / 86400D + 2440587.5D"
 
 
-def _java_pattern(f: str) -> str:
-    for mark, spelled in TIME_FORMATS.items():
-        f = f"replace({f}, '{mark}', '{spelled}')"
-    return f
+def _time_text(f: str) -> str:
+    """SQL: a time format filled in; all other letters stay as they are, ``%%`` is a percent sign."""
+    # what is filled in holds no percent sign, so letters can be filled in one after the other
+    f = f"replace({f}, '%%', '\\0')"
+    for mark, made in TIME_FORMATS.items():
+        f = f"replace({f}, '{mark}', {made.replace('julianday', JULIAN_DAY)})"
+    return f"replace({f}, '\\0', '%')"
 
 
 def _glob_pattern(p: str) -> str:
@@ -168,15 +176,16 @@ def definitions() -> list[tuple[list[str], str, str, str]]:
     add(_both("Line_Substring"), f"g {G}, f0 {D}, f1 {D}", G, x.substring("g", "f0", "f1"))
     add(_both("PointOnSurface"), g, G, x.let(x.point_on_surface("g"), "pp", x.point("pp.x", "pp.y", "g.srid")))
     add(_both("Intersection"), gg, G, x.clip_to_convex("a", "b"))
+    add(_both("ConvexHull"), g, G, x.convex_hull("g"))
+    add(_both("Snap"), f"a {G}, b {G}, tolerance {D}", G, x.snap_to("a", "b", "tolerance"))
     add("ST_IsSimple", g, "BOOLEAN", x.is_simple("g"))
     add("ST_IsRing", g, "BOOLEAN", f"g.gtype = 2 AND {x.closed_ring(x.first_ring('g'))} AND {x.is_simple('g')}")
     add("ST_IsValid", g, "BOOLEAN", x.is_valid("g"))
 
     # scalar names of the query dictionary that Spark lacks
-    add("julianday", "t TIMESTAMP_NTZ", D,
-        "unix_date(to_date(t)) + (hour(t) * 3600 + minute(t) * 60 + CAST(extract(SECOND FROM t) AS DOUBLE)) / 86400D + 2440587.5D")
+    add("julianday", "t TIMESTAMP_NTZ", D, JULIAN_DAY)
     add("datetime", "t TIMESTAMP_NTZ", "STRING", "date_format(t, 'yyyy-MM-dd HH:mm:ss')")
-    add("strftime", "f STRING, t TIMESTAMP_NTZ", "STRING", f"date_format(t, {_java_pattern('f')})")
+    add("strftime", "f STRING, t TIMESTAMP_NTZ", "STRING", _time_text("f"))
     add("glob", "p STRING, t STRING", "BOOLEAN", f"t RLIKE {_glob_pattern('p')}")
 
     # pair predicates, for pairs already found by a join of lamina.operators.spatial

@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions import exprs as x
 from lamina.operators.grid import candidate_pairs
-from lamina.operators.ordered import dense_ids
+from lamina.operators.ordered import dense_ids, group_numbers
 from lamina.operators.tables import edge_table, vertex_table, with_bounds
 from lamina.session import cut_lineage
 
-MAX_PARTS = 1_000_000
-HULL_TASKS = 256
+PIECE_PARTS = 10_000  # of a collected geometry; a bigger group is several
 
 
 def extent(layer: DataFrame, by: list[str]) -> DataFrame:
@@ -39,20 +36,22 @@ def collect_summary(layer: DataFrame, by: list[str]) -> DataFrame:
     return agg.select(*by, gtype.alias("gtype"), "n_parts", "n_points", "srid")
 
 
-def collect(layer: DataFrame, by: list[str], max_parts: int = MAX_PARTS) -> DataFrame:
-    """One multi geometry (or mixed collection) per group.
+def collect(layer: DataFrame, by: list[str], piece_parts: int = PIECE_PARTS) -> DataFrame:
+    """(by, piece, geom): the parts of each group, by fid, as multi geometries (or mixed collections) of at most ``piece_parts`` parts.
 
-    The result is one row value per group, so a group of more than ``max_parts`` parts
-    raises; :func:`collect_summary` and ``part_table`` cover groups of any size.
+    Pieces count from 0 in every group; a group of up to ``piece_parts`` parts is one geometry, a bigger one as many rows as it needs.
+    Parts are numbered by two-step prefix sums over ranges of (group, fid), so no task holds a group.  The type is that of the group.
     """
-    sizes = layer.groupBy(*by).agg(F.sum(F.size("geom.parts")).alias("n"))
-    if not sizes.filter(F.col("n") > max_parts).isEmpty():
-        raise ValueError(f"a group has more than {max_parts} parts; use collect_summary or part_table")
-    rows = layer.groupBy(*by).agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("fid", "geom.parts"))), lambda s: s["parts"])).alias("_p"),
-        F.max("geom.srid").alias("_s"))
-    lo, hi = "array_min(transform(_p, co_p -> co_p.kind))", "array_max(transform(_p, co_p -> co_p.kind))"
-    return rows.select(*by, F.expr(x.geom(f"IF({lo} = {hi}, {lo} + 3, 0)", "_s", "_p")).alias("geom"))
+    flat = layer.select(*by, F.coalesce(F.col("geom.srid"), F.lit(0)).alias("_s"), "fid", F.posexplode("geom.parts").alias("_i", "_p"))
+    numbered = group_numbers(flat, by, ["fid", "_i"], "_n")
+    kinds = layer.groupBy(*by).agg(*(F.expr(f"{f}(array_{f}(transform(geom.parts, co_p -> co_p.kind)))").alias(f"_{f}") for f in ("min", "max")), F.max("geom.srid").alias("_srid"))
+    pieces = numbered.groupBy(*by, F.expr(f"_n div {piece_parts}").alias("piece")).agg(F.array_sort(F.collect_list(F.struct("_n", "_p"))).alias("_ps"))
+    known = kinds.select(*(F.col(c).alias(f"_{c}") for c in by), "_min", "_max", "_srid")
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    made = x.geom("IF(_min = _max, _min + 3, 0)", "_srid", "transform(_ps, co_q -> co_q._p)")
+    return pieces.join(known, same).select(*by, "piece", F.expr(made).alias("geom"))
 
 
 def group_measures(layer: DataFrame, by: list[str]) -> DataFrame:
@@ -104,9 +103,9 @@ def dissolve_measures(layer: DataFrame, by: list[str]) -> DataFrame:
 def trace_rings(edges: DataFrame, by: list[str]) -> DataFrame:
     """Chain directed edges into rings: (by, ring, n, area, pts); ``ring`` is the first edge of the ring.
 
-    Every edge is followed by the edge leaving its end with the sharpest left turn.  Each
-    edge then learns the smallest edge of its ring, and its distance to it, by pointer
-    doubling: about log2(ring length) joins, whatever the number or size of the groups.
+    Every edge is followed by the edge leaving its end with the sharpest left turn.  Each edge learns the smallest edge of its ring
+    and the steps to it in one loop of pointer doubling (two doublings a round): an edge that looks 2^k edges ahead knows the
+    smallest of them and where it is.  About log2(ring length) / 2 rounds, whatever the number or size of the groups.
     """
     ided = cut_lineage(dense_ids(edges, name="id"))
     out = ided.select(*by, F.col("id").alias("nid"), F.col("x1").alias("x2"), F.col("y1").alias("y2"),
@@ -120,26 +119,21 @@ def trace_rings(edges: DataFrame, by: list[str]) -> DataFrame:
     for c in by:
         meets = meets & F.col(c).eqNullSafe(F.col(f"_{c}"))
     meets = meets & (F.col("x2") == F.col("_x2")) & (F.col("y2") == F.col("_y2"))
-    follow = cut_lineage(ided.join(apart, meets).groupBy("id").agg(F.min_by("nid", F.struct(F.expr(turn), F.col("nid"))).alias("next")))
-    state = follow.withColumn("low", F.least("id", "next"))
+    follow = ided.join(apart, meets).groupBy("id").agg(F.min_by("nid", F.struct(F.expr(turn), F.col("nid"))).alias("next"))
+    # low: the smallest edge among this one and the ``span - 1`` after it, d: steps to it
+    state, span = cut_lineage(follow.withColumn("low", F.col("id")).withColumn("d", F.lit(0).cast("long")).withColumn("moved", F.lit(False))), 1
+
+    def doubled(of: DataFrame, span: int) -> DataFrame:
+        beyond = of.select(F.col("id").alias("next"), F.col("next").alias("_nn"), F.col("low").alias("_nl"), F.col("d").alias("_nd"))
+        less = F.col("_nl") < F.col("low")
+        return of.join(beyond, "next").select("id", F.col("_nn").alias("next"), F.least("low", "_nl").alias("low"), F.when(less, F.col("_nd") + span).otherwise(F.col("d")).alias("d"), (F.col("moved") | less).alias("moved"))
+
     while True:
-        ahead_of = state.select(F.col("id").alias("next"), F.col("next").alias("_nn"), F.col("low").alias("_nl"))
-        stepped = state.join(ahead_of, "next").select(
-            "id", F.col("_nn").alias("next"), F.least("low", "_nl").alias("low"), (F.col("_nl") < F.col("low")).alias("moved"))
-        stepped = cut_lineage(stepped)
-        state = stepped.drop("moved")
-        if stepped.filter("moved").isEmpty():
+        state = cut_lineage(doubled(doubled(state.withColumn("moved", F.lit(False)), span), 2 * span))
+        span *= 4
+        if state.filter("moved").isEmpty():
             break
-    # distance to the ring's first edge, the pointers now stopping there
-    lows = state.select("id", "low")
-    rank = cut_lineage(follow.join(lows, "id").select(
-        "id", "low", F.when(F.col("id") == F.col("low"), F.col("id")).otherwise(F.col("next")).alias("next"),
-        F.when(F.col("id") == F.col("low"), F.lit(0)).otherwise(F.lit(1)).alias("d")))
-    while not rank.filter("next <> low").isEmpty():
-        hop = rank.select(F.col("id").alias("next"), F.col("next").alias("_nn"), F.col("d").alias("_nd"))
-        rank = cut_lineage(rank.join(hop, "next").select(
-            "id", "low", F.col("_nn").alias("next"), (F.col("d") + F.col("_nd")).alias("d")))
-    placed = ided.join(rank.select("id", "low", "d"), "id")
+    placed = ided.join(state.select("id", "low", "d"), "id")
     # first edge first, then by falling distance
     where = F.when(F.col("d") == 0, F.lit(0)).otherwise(F.lit(1))
     rings = placed.groupBy(*by, F.col("low").alias("ring")).agg(
@@ -149,107 +143,118 @@ def trace_rings(edges: DataFrame, by: list[str]) -> DataFrame:
     return rings.select(*by, "ring", "n", "area", F.expr(f"concat({pts}, slice({pts}, 1, 1))").alias("pts"))
 
 
-def dissolve(layer: DataFrame, by: list[str], srid: int = 0) -> DataFrame:
-    """Union of each group of an edge-matched coverage as a polygon layer, one row per outer ring.
+def _boxed(df: DataFrame, pts: str) -> DataFrame:
+    return df.select("*", F.expr(f"inline(array({x.bounds(x.polygon(f'array({pts})'))}))"))
 
-    Holes are given to the smallest outer ring of their group that surrounds them.
-    """
-    rings = cut_lineage(trace_rings(outline_edges(layer, by), by))
-    outer = rings.filter("area > 0").select(*by, "ring", "pts", "area")
-    holes = rings.filter("area < 0").select(*by, F.col("ring").alias("hole"), F.col("pts").alias("hole_pts"))
-    # a vertex of the hole that is not on the outer ring decides
+
+def _same(by: list[str]) -> F.Column:
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}"))
+    return same
+
+
+def _owned(holes: DataFrame, outer: DataFrame, by: list[str]) -> DataFrame:
+    """(by, hole, ring): the smallest ring of ``outer`` (ring, pts, area) that surrounds each of ``holes`` (hole, hole_pts)."""
+    # a vertex of the hole that is not on the outer ring decides; a hole that shares all its vertices with a ring fills it
     es = x.ring_edges("b_pts")
     spot = (
         "aggregate(a_hole_pts, 0, (ho_s, ho_v) -> IF(ho_s <> 0, ho_s, "
         f"CASE {x.locate('ho_v.x', 'ho_v.y', es)} WHEN 1 THEN 1 WHEN 0 THEN -1 ELSE 0 END))"
     )
+    inside = candidate_pairs(_boxed(holes, "hole_pts"), _boxed(outer, "pts")).filter(_same(by)).filter(F.expr(f"{spot} = 1"))
+    return inside.groupBy(*(F.col(f"a_{c}").alias(c) for c in by), F.col("a_hole").alias("hole")).agg(F.min_by("b_ring", F.struct("b_area", "b_ring")).alias("ring"))
 
-    def boxed(df: DataFrame, pts: str) -> DataFrame:
-        return df.select("*", F.expr(f"inline(array({x.bounds(x.polygon(f'array({pts})'))}))"))
 
-    same = F.lit(True)
-    for c in by:
-        same = same & F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}"))
-    inside = candidate_pairs(boxed(holes, "hole_pts"), boxed(outer, "pts")).filter(same).filter(F.expr(f"{spot} = 1"))
-    owned = inside.groupBy(*(F.col(f"a_{c}").alias(c) for c in by), F.col("a_hole").alias("hole")).agg(
-        F.min_by("b_ring", F.struct("b_area", "b_ring")).alias("ring"), F.first("a_hole_pts").alias("hole_pts"))
-    grouped = owned.groupBy(*by, "ring").agg(F.collect_list("hole_pts").alias("_h"))
+def _with_holes(outer: DataFrame, holes: DataFrame, by: list[str], srid: int) -> DataFrame:
+    """Polygons (by, fid, geom) of the outer rings, with the holes they own."""
+    owned = _owned(holes, outer, by).join(holes.select("hole", "hole_pts"), "hole").groupBy("ring").agg(F.collect_list("hole_pts").alias("_h"))
     # ring numbers are unique over all groups
-    joined = outer.join(grouped.select("ring", "_h"), "ring", "left")
+    joined = outer.join(owned, "ring", "left")
     none = f"CAST(array() AS ARRAY<{x.RING}>)"
-    return joined.select(
-        *by, F.col("ring").alias("fid"), F.expr(x.polygon(f"concat(array(pts), coalesce(_h, {none}))", srid)).alias("geom"))
+    return joined.select(*by, F.col("ring").alias("fid"), F.expr(x.polygon(f"concat(array(pts), coalesce(_h, {none}))", srid)).alias("geom"))
 
 
-def polygonize(lines: DataFrame, by: list[str], srid: int = 0) -> DataFrame:
-    """Faces enclosed by a noded network of lines, as polygons (BuildArea/Polygonize)."""
+def dissolve(layer: DataFrame, by: list[str], srid: int = 0) -> DataFrame:
+    """Union of each group of an edge-matched coverage as a polygon layer, one row per outer ring.
+
+    Holes are given to the smallest outer ring of their group that surrounds them.
+    """
+    rings = cut_lineage(trace_rings(outline_edges(layer, by), by))
+    outer = rings.filter("area > 0").select(*by, "ring", "pts", "area")
+    holes = rings.filter("area < 0").select(*by, F.col("ring").alias("hole"), F.col("pts").alias("hole_pts"))
+    return _with_holes(outer, holes, by, srid)
+
+
+def _faces(lines: DataFrame, by: list[str]) -> DataFrame:
+    """Rings (by, ring, n, area, pts) of a noded network: faces have an area above 0, outer borders of its parts one below."""
     edges = edge_table(lines, keep=tuple(by)).filter("x1 <> x2 OR y1 <> y2").select(*by, "x1", "y1", "x2", "y2")
     both = edges.unionByName(edges.select(
         *by, F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))).distinct()
-    faces = trace_rings(both, by).filter("area > 0")
-    return faces.select(*by, F.col("ring").alias("fid"), F.expr(x.polygon("array(pts)", srid)).alias("geom"))
+    return cut_lineage(trace_rings(both, by))
 
 
-# ---------------------------------------------------------------- hull
+def polygonize(lines: DataFrame, by: list[str], srid: int = 0) -> DataFrame:
+    """Faces enclosed by a noded network of lines, as polygons; parts of the network inside a face are its holes (Polygonize)."""
+    rings = _faces(lines, by)
+    outer = rings.filter("area > 0").select(*by, "ring", "pts", "area")
+    holes = rings.filter("area < 0").select(*by, F.col("ring").alias("hole"), F.col("pts").alias("hole_pts"))
+    return _with_holes(outer, holes, by, srid)
+
 
-def _hull(px: np.ndarray, py: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Convex hull by monotone chain, counter-clockwise, without collinear points."""
-    pts = np.unique(np.column_stack([px, py]), axis=0)
-    if len(pts) < 3:
-        return pts[:, 0], pts[:, 1]
+def build_area(lines: DataFrame, by: list[str], srid: int = 0) -> DataFrame:
+    """The area that a noded network of lines encloses, as polygons: what lies in the hole of a face is none, in a hole of that again one (BuildArea).
 
-    def chain(seq):
-        out: list = []
-        for p in seq:
-            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) <= (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]):
-                out.pop()
-            out.append(p)
-        return out[:-1]
+    The borders of the network's parts form a tree: a part hangs in the smallest border of another that surrounds it.  A part's border
+    is an outer ring at an even depth and a hole of its parent at an odd one.
+    """
+    rings = _faces(lines, by)
+    borders = cut_lineage(rings.filter("area < 0").select(*by, "ring", F.expr("reverse(pts)").alias("pts"), (-F.col("area")).alias("area")))
+    inner = borders.select(*by, F.col("ring").alias("hole"), F.col("pts").alias("hole_pts"))
+    up = _owned(inner, borders, by).select(F.col("hole").alias("id"), F.col("ring").alias("up"))
+    tree = cut_lineage(borders.select(F.col("ring").alias("id")).join(up, "id", "left").withColumn("depth", F.when(F.col("up").isNull(), 0).otherwise(1)))
+    parent = tree.select(F.col("id").alias("hole"), F.col("up").alias("ring"))
+    while not tree.filter("up IS NOT NULL").isEmpty():  # doubles the part of the tree that is known
+        above = tree.select(F.col("id").alias("up"), F.col("up").alias("_uu"), F.col("depth").alias("_ud"))
+        tree = cut_lineage(tree.join(above, "up", "left").select("id", F.col("_uu").alias("up"), (F.col("depth") + F.coalesce("_ud", F.lit(0))).alias("depth")))
+    odd = tree.filter("depth % 2 = 1").select(F.col("id").alias("hole"))
+    holes = odd.join(parent, "hole").join(borders.select(F.col("ring").alias("hole"), "pts"), "hole").groupBy("ring").agg(F.collect_list(F.expr("reverse(pts)")).alias("_h"))
+    outer = borders.join(odd.withColumnRenamed("hole", "ring"), "ring", "left_anti").join(holes, "ring", "left")
+    none = f"CAST(array() AS ARRAY<{x.RING}>)"
+    return outer.select(*by, F.col("ring").alias("fid"), F.expr(x.polygon(f"concat(array(pts), coalesce(_h, {none}))", srid)).alias("geom"))
 
-    ring = np.array(chain(pts) + chain(pts[::-1]))
-    return ring[:, 0], ring[:, 1]
 
+# ---------------------------------------------------------------- hull
 
-def convex_hull(layer: DataFrame, by: str) -> DataFrame:
-    """(by, n, area, geom): hull of all vertices of each group.
+DIRECTIONS = 16
+HULL_POINTS = 512  # points whose hull is made in one row
 
-    Reduced in steps so that no task sees a whole big group: the extreme y per (group, x),
-    hulls of every Arrow batch, hulls of the batch hulls in salted groups, then one last hull
-    of the few points left.
-    """
-    schema = layer.select(by).schema.fields[0].dataType.simpleString()
-    flat = f"`{by}` {schema}, x double, y double"
 
-    def frame(key, px, py) -> pd.DataFrame:
-        hx, hy = _hull(px, py)
-        return pd.DataFrame({by: [key] * len(hx), "x": hx, "y": hy})
+def _outermost(points: DataFrame, by: str) -> DataFrame:
+    """Points (by, x, y) without those inside the polygon of their group's extremes in ``DIRECTIONS`` directions: they are no corners."""
+    turn = 2 * math.pi / DIRECTIONS
+    reach = [F.max_by(F.struct("x", "y"), F.expr(f"x * {math.cos(i * turn)!r}D + y * {math.sin(i * turn)!r}D")) for i in range(DIRECTIONS)]
+    tips = points.groupBy(by).agg(F.array(*reach).alias("_t"))
+    fence = tips.select(F.col(by).alias("_k"), F.expr(x.hull_points("_t")).alias("_c")).withColumn("_fence", F.expr("zip_with(_c, concat(slice(_c, 2, size(_c)), slice(_c, 1, 1)), (p, q) -> named_struct('x1', p.x, 'y1', p.y, 'x2', q.x, 'y2', q.y))"))
+    inside = "size(_fence) >= 3 AND forall(_fence, hu_e -> " + x.orient("hu_e.x1", "hu_e.y1", "hu_e.x2", "hu_e.y2", "x", "y") + " > 0)"
+    return points.join(fence.select("_k", "_fence"), F.col(by).eqNullSafe(F.col("_k"))).filter(f"NOT ({inside})").select(by, "x", "y")
 
-    def batch_hulls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for key, grp in pdf.groupby(by, sort=False, dropna=False):
-                # a missing key is a group like any other
-                key = None if pd.isna(key) else key
-                yield frame(key, grp["x"].to_numpy(), grp["y"].to_numpy())
 
-    def group_hull(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return frame(key[0], pdf["x"].to_numpy(), pdf["y"].to_numpy())
+def convex_hull(layer: DataFrame, by: str) -> DataFrame:
+    """(by, n, area, geom): hull of all vertices of each group.
 
+    Points inside the polygon of the extremes in 16 directions go first.  The rest is numbered along x and cut into rows of
+    ``HULL_POINTS`` points, whose hulls are points again, until every group is one row: as long as its hull is, no task holds more.
+    """
     tips = vertex_table(layer, keep=(by,)).groupBy(by, "x").agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
-    points = tips.select(by, "x", F.explode(F.array("lo", "hi")).alias("y"))
-    partial = points.mapInPandas(batch_hulls, flat)
-    salt = F.pmod(F.xxhash64("x", "y"), F.lit(HULL_TASKS)).alias("salt")
-    mid = partial.groupBy(by, salt).applyInPandas(group_hull, flat)
-    def numbered_hull(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        hull = group_hull(key, pdf)
-        return hull.assign(seq=range(len(hull)))
-
-    last = mid.groupBy(by).applyInPandas(numbered_hull, flat + ", seq int")
-    ring = F.array_sort(F.collect_list(F.struct("seq", "x", "y")))
-    rows = last.groupBy(by).agg(ring.alias("_v"))
-    pts = f"transform(_v, hu_v -> {x.vertex('hu_v.x', 'hu_v.y')})"
-    shape = (
-        f"CASE size(_v) WHEN 1 THEN {x.geom(1, 0, f'array({x.part(1, f'array({pts})')})')} "
-        f"WHEN 2 THEN {x.line(pts)} ELSE {x.polygon(f'array(concat({pts}, slice({pts}, 1, 1)))')} END"
-    )
-    shaped = rows.select(by, F.size("_v").alias("n"), F.expr(shape).alias("geom"))
+    points = _outermost(tips.select(by, "x", F.explode(F.array("lo", "hi")).alias("y")), by)
+    room = HULL_POINTS
+    while True:
+        packed = group_numbers(points.distinct(), [by], ["x", "y"], "_n").groupBy(by, F.expr(f"_n div {room}").alias("_b")).agg(F.collect_list(F.struct("x", "y")).alias("_p"))
+        hulls = cut_lineage(packed.select(by, "_b", F.expr(x.hull_points("_p")).alias("_c")))
+        if hulls.filter("_b > 0").isEmpty():
+            break
+        points = hulls.select(by, F.explode("_c").alias("_v")).select(by, "_v.x", "_v.y")
+        room *= 2  # a round shape has as many corners as it has
+    shaped = hulls.select(by, F.size("_c").alias("n"), F.expr(x.hull_geometry("_c")).alias("geom"))
     return shaped.select(by, "n", F.expr(x.area("geom")).alias("area"), "geom")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lamina.functions import exprs as x
 from lamina.operators.grid import candidate_pairs
+from lamina.operators.packed import Tree
 from lamina.operators.tables import BOUNDS, vertex_table, with_bounds
 
 
@@ -70,20 +71,26 @@ def overlap_areas(a: DataFrame, b: DataFrame, **options) -> DataFrame:
     return cut.filter("overlap > 0")
 
 
+def snap_pairs(layer: DataFrame, reference: DataFrame, tolerance: float, **options) -> DataFrame:
+    """(a_fid, a_part, a_ring, a_seq, a_x, a_y, b_x, b_y): each vertex with the few reference vertices that hold its nearest.
+
+    A packed tree over the reference vertices is descended from the tolerance on, so a dense reference costs no more than a sparse one.
+    """
+    def boxes(df: DataFrame, *names: str) -> DataFrame:
+        return df.select(F.struct(*names).alias("fid"), F.col("x").alias("xmin"), F.col("y").alias("ymin"), F.col("x").alias("xmax"), F.col("y").alias("ymax"), F.col("x").alias("px"), F.col("y").alias("py"))
+
+    target = boxes(vertex_table(reference, keep=()).select("x", "y").distinct(), "x", "y")
+    pairs = Tree(target).near(boxes(vertex_table(layer), "fid", "part", "ring", "seq", "x", "y"), tolerance, **options)
+    return pairs.select(*(F.col(f"a_fid.{c}").alias(f"a_{c}") for c in ("fid", "part", "ring", "seq", "x", "y")), F.col("b_fid.x").alias("b_x"), F.col("b_fid.y").alias("b_y"))
+
+
 def snap(layer: DataFrame, reference: DataFrame, tolerance: float, **options) -> DataFrame:
     """Move each vertex to the nearest reference vertex within ``tolerance`` (ties: smallest x, y).
 
     Only the vertices that move are gathered per feature; the rest of the row stays in place.
     """
-    def points(df: DataFrame, keep: list[str]) -> DataFrame:
-        return df.select(*keep, "x", "y", F.col("x").alias("xmin"), F.col("y").alias("ymin"),
-                         F.col("x").alias("xmax"), F.col("y").alias("ymax"))
-
-    mine = points(vertex_table(layer), ["fid", "part", "ring", "seq"])
-    target = points(vertex_table(reference, keep=()).select("x", "y").distinct(), [])
-    pairs = candidate_pairs(mine, target, reach=tolerance, **options)
     d2 = "(a_x - b_x) * (a_x - b_x) + (a_y - b_y) * (a_y - b_y)"
-    near = pairs.withColumn("d2", F.expr(d2)).filter(F.col("d2") <= tolerance * tolerance)
+    near = snap_pairs(layer, reference, tolerance, **options).withColumn("d2", F.expr(d2)).filter(F.col("d2") <= tolerance * tolerance)
     best = near.groupBy("a_fid", "a_part", "a_ring", "a_seq").agg(
         F.min_by(F.struct(F.col("b_x").alias("x"), F.col("b_y").alias("y")), F.struct("d2", "b_x", "b_y")).alias("to"))
     place = F.struct(F.col("a_part").alias("part"), F.col("a_ring").alias("ring"), F.col("a_seq").alias("seq"))

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions import exprs as x
-from lamina.operators.ordered import TRACK_ROWS, Tracks
+from lamina.operators.ordered import TRACK_ROWS, Tracks, group_numbers
+
+PIECE_POINTS = 10_000  # edges of a made line; a longer track is several
 
 _STEP = "sqrt((x - prev_x) * (x - prev_x) + (y - prev_y) * (y - prev_y))"
 
@@ -26,19 +28,18 @@ def track_summary(vertices: DataFrame, order: list[str], track_rows: int = TRACK
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("step"), F.lit(0.0)).alias("length"))
 
 
-def make_line(vertices: DataFrame, order: list[str], srid: int = 0, max_points: int = TRACK_ROWS) -> DataFrame:
-    """One LINE layer row per fid through its ordered vertices.
+def make_line(vertices: DataFrame, order: list[str], srid: int = 0, piece_points: int = PIECE_POINTS) -> DataFrame:
+    """(fid, piece, geom): the line through the ordered vertices of each fid, as lines of at most ``piece_points`` edges.
 
-    A geometry is a row value, so a track must fit a row: one of more than ``max_points``
-    vertices raises; use :func:`track_steps` or :func:`track_summary` for those.
+    Pieces count from 0 and each begins where the one before ends, so together they are the track; a track of up to ``piece_points``
+    edges is one line.  Vertices are numbered by two-step prefix sums over ranges, so no task holds a track.
     """
-    ordered = F.array_sort(F.collect_list(F.struct(*order, "x", "y")))
-    sizes = vertices.groupBy("fid").agg(F.count(F.lit(1)).alias("n"))
-    if not sizes.filter(F.col("n") > max_points).isEmpty():
-        raise ValueError(f"a track has more than {max_points} vertices; use track_steps")
-    rows = vertices.groupBy("fid").agg(ordered.alias("_v"))
+    numbered = group_numbers(vertices.select("fid", *order, "x", "y"), ["fid"], order, "_n")
+    # the vertex between two pieces belongs to both
+    spread = numbered.select("fid", "_n", "x", "y", F.explode(F.expr(f"IF(_n > 0 AND _n % {piece_points} = 0, array(_n div {piece_points} - 1, _n div {piece_points}), array(_n div {piece_points}))")).alias("piece"))
+    rows = spread.groupBy("fid", "piece").agg(F.array_sort(F.collect_list(F.struct("_n", "x", "y"))).alias("_v")).filter("piece = 0 OR size(_v) > 1")
     ring = f"transform(_v, ml_v -> {x.vertex('ml_v.x', 'ml_v.y')})"
-    return rows.select("fid", F.expr(x.line(ring, srid)).alias("geom"))
+    return rows.select("fid", "piece", F.expr(x.line(ring, srid)).alias("geom"))
 
 
 def interpolate_tracks(vertices: DataFrame, order: list[str], fractions: list[float],

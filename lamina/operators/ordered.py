@@ -29,6 +29,25 @@ def dense_ids(df: DataFrame, order: list[str] | None = None, name: str = "fid")
     return numbered.select((F.col("_base") + local).alias(name), *df.columns)
 
 
+def group_numbers(df: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
+    """Number the rows of every group 0, 1, 2, ... in the given order, whatever the size of a group.
+
+    The rows are cut into ranges of (group, order) by Spark's sample, numbered in each range, and shifted by the group's rows in the
+    ranges before: a small table of one row per group and range that it has rows in.
+    """
+    ranged = cut_lineage(df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order).withColumn("_r", F.spark_partition_id()))
+    own = Window.partitionBy(*by, "_r").orderBy(*order)
+    numbered = ranged.withColumn(name, F.row_number().over(own).cast("long") - 1)
+    counts = ranged.groupBy(*by, "_r").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*by).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    # only groups that lie in several ranges are shifted
+    shift = counts.withColumn("_b", F.sum("_c").over(before)).filter("_b IS NOT NULL").select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(by)), F.col("_r").alias("_kr"), "_b")
+    on = F.col("_r") == F.col("_kr")
+    for i, c in enumerate(by):
+        on = on & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    return numbered.join(shift, on, "left").select(*df.columns, (F.col(name) + F.coalesce("_b", F.lit(0))).alias(name))
+
+
 class Tracks:
     """Rows ordered within a key, with lag, row number and running sum over each track.
 

@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 
 from lamina.functions import exprs as x
 from lamina.functions import relate as r
+from lamina.operators import outlines
 from lamina.operators.grid import candidate_pairs, keep_pairs
+from lamina.operators.packed import Tree, anchored
 from lamina.operators.tables import BOUNDS, edge_runs, polygon_pieces, shapes, with_bounds
 from lamina.session import cut_lineage
 
 
-BIG_FEATURE = 2048  # vertices; features above this are cut into runs of edges
-
-
 def _points(rows: DataFrame, keep: list[str]) -> DataFrame:
     """Point rows with a box of no size."""
     x_, y_ = F.col("x"), F.col("y")
@@ -48,38 +47,35 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, point_columns: tupl
         "a_fid", "b_fid", *carried, F.when(F.col("_at") == 1, "inside").otherwise("boundary").alias("place"))
 
 
-def _plain(layers: list[DataFrame], dims: list[int | None]) -> bool:
-    """No feature is so big that it should be cut into runs before a join."""
-    longest = None
-    for layer, dim in zip(layers, dims):
-        if dim == 0:
-            continue
-        one = layer.select(F.expr(x.n_points("geom")).alias("n"))
-        longest = one if longest is None else longest.unionByName(one)
-    return longest is None or (longest.agg(F.max("n")).first()[0] or 0) <= BIG_FEATURE
+def _by_size(a: DataFrame, b: DataFrame) -> list[tuple[DataFrame, DataFrame, bool]]:
+    """Parts of two layers that make up all pairs, and whether a part has big features (more vertices than a run has edges).
+
+    Features are split by their own size, so a big one doesn't move the others out of the rows they lie in.
+    """
+    def count(layer: DataFrame) -> DataFrame:
+        return layer.select(F.expr(f"{x.n_points('geom')} > {outlines.RUN}").alias("big"))
+
+    found = count(a).select(F.lit(0).alias("side"), "big").unionByName(count(b).select(F.lit(1).alias("side"), "big")).filter("big").distinct().collect()
+    sides = {row.side for row in found}  # at most two rows
+    if not sides:
+        return [(a, b, False)]
+    small_a, small_b = (outlines.small(layer) if side in sides else layer for side, layer in enumerate((a, b)))
+    parts = [(small_a, small_b, False)]
+    if 0 in sides:
+        parts.append((outlines.big(a), b, True))
+    if 1 in sides:
+        parts.append((small_a, outlines.big(b), True))
+    return parts
 
 
 def intersecting_pairs(a: DataFrame, b: DataFrame, a_dim: int | None = None, b_dim: int | None = None,
                        **options) -> DataFrame:
     """Distinct (a_fid, b_fid) of features of any kind that share a point.
 
-    Either some edges touch, or one feature lies wholly inside a polygon of the other.  Features
-    of ordinary size are tested whole, in one join.  When a layer has very big features, their
-    outlines are joined in runs of edges, containment is found by point in polygon, and pairs
-    found more than once are merged.  Give the dimension of a layer (0 points, 1 lines,
-    2 polygons) when known to skip branches.
+    Either some edges touch, or one feature lies wholly inside a polygon of the other.
+    Give the dimension of a layer (0 points, 1 lines, 2 polygons) when known to skip branches.
     """
-    if _plain([a, b], [a_dim, b_dim]):
-        pairs = candidate_pairs(shapes(a), shapes(b), **options)
-        return keep_pairs(pairs, r.meets(r.Side("a_", a_dim), r.Side("b_", b_dim))).select("a_fid", "b_fid")
-    found = []
-    if {a_dim, b_dim} != {0, 2}:
-        runs = candidate_pairs(edge_runs(a), edge_runs(b), **options)
-        found.append(keep_pairs(runs, x.any_edges_touch("a_es", "b_es")).select("a_fid", "b_fid"))
-    pairs = None
-    for more in [*found, *_held(a, b, a_dim, b_dim, options)]:
-        pairs = more if pairs is None else pairs.unionByName(more)
-    return pairs.distinct()
+    return related_pairs(a, b, "intersects", a_dim, b_dim, **options)
 
 
 def _held(a: DataFrame, b: DataFrame, a_dim: int | None, b_dim: int | None, options: dict) -> list[DataFrame]:
@@ -105,11 +101,22 @@ def without_match(a: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def related_pairs(a: DataFrame, b: DataFrame, relation: str, a_dim: int | None = None, b_dim: int | None = None,
                   **options) -> DataFrame:
-    """(a_fid, b_fid) for one of within, contains, touches, overlaps, crosses, intersects."""
-    pairs = candidate_pairs(shapes(a), shapes(b), **options)
-    if relation in r.BOX_RULES:
-        pairs = pairs.filter(r.BOX_RULES[relation])
-    return keep_pairs(pairs, r.predicate(relation, r.Side("a_", a_dim), r.Side("b_", b_dim))).select("a_fid", "b_fid")
+    """(a_fid, b_fid) for one of within, contains, touches, overlaps, crosses, intersects.
+
+    A pair whose features both fit a run of edges is decided in its row; where either is bigger, by the
+    bits of its runs (:mod:`lamina.operators.outlines`), whatever the length of the outlines.
+    """
+    out = None
+    for left, right, big in _by_size(a, b):
+        if big:
+            found = outlines.related(left, right, relation, **options)
+        else:
+            pairs = candidate_pairs(shapes(left), shapes(right), **options)
+            if relation in r.BOX_RULES:
+                pairs = pairs.filter(r.BOX_RULES[relation])
+            found = keep_pairs(pairs, r.predicate(relation, r.Side("a_", a_dim), r.Side("b_", b_dim))).select("a_fid", "b_fid")
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def equal_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -148,11 +155,21 @@ def near_pairs(a: DataFrame, b: DataFrame, within: float, a_dim: int | None = No
     line between the two outlines, the least ones of several.  Features that meet nowhere at
     an end of an edge have no places (NULL).
     """
+    out = None
+    for left, right, big in _by_size(a, b):
+        found = _near_runs(left, right, within, a_dim, b_dim, options) if big else _near_whole(left, right, within, a_dim, b_dim, options)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _near_whole(a: DataFrame, b: DataFrame, within: float, a_dim: int | None, b_dim: int | None, options: dict) -> DataFrame:
+    # the widened box of ``a`` only selects pairs; edges and anchors are untouched by it
+    pairs = candidate_pairs(shapes(a), shapes(b), reach=within, **options)
+    return _measured(pairs, r.meets(r.Side("a_", a_dim), r.Side("b_", b_dim))).filter(F.col("dist") <= within).drop("d2")
+
+
+def _near_runs(a: DataFrame, b: DataFrame, within: float, a_dim: int | None, b_dim: int | None, options: dict) -> DataFrame:
     spots = ("ax", "ay", "bx", "by")
-    if _plain([a, b], [a_dim, b_dim]):
-        # the widened box of ``a`` only selects pairs; edges and anchors are untouched by it
-        pairs = candidate_pairs(shapes(a), shapes(b), reach=within, **options)
-        return _measured(pairs, r.meets(r.Side("a_", a_dim), r.Side("b_", b_dim))).filter(F.col("dist") <= within).drop("d2")
     runs = candidate_pairs(edge_runs(a), edge_runs(b), reach=within, **options)
     measured = _measured(runs, x.any_edges_touch("a_es", "b_es"))
     for pairs in _held(a, b, a_dim, b_dim, options):
@@ -163,35 +180,19 @@ def near_pairs(a: DataFrame, b: DataFrame, within: float, a_dim: int | None = No
     return best.select("a_fid", "b_fid", "_m.dist", *(f"_m.{c}" for c in spots))
 
 
-def nearest(a: DataFrame, b: DataFrame, start: float | None = None, a_dim: int | None = None,
-            b_dim: int | None = None, **options) -> DataFrame:
-    """The nearest feature of ``b`` for every feature of ``a`` (ties: smallest b_fid).
+def nearest(a: DataFrame, b: DataFrame, a_dim: int | None = None, b_dim: int | None = None, **options) -> DataFrame:
+    """The nearest feature of ``b`` for every feature of ``a`` (ties: smallest b_fid): (a_fid, b_fid, dist, ax, ay, bx, by).
 
-    Looks within ``start`` first (default: the spacing of ``b`` if it were spread evenly) and
-    doubles the distance for the features still without a neighbour, until the common extent
-    is covered, so no full cross join is ever made.
+    A packed tree over ``b`` gives every feature of ``a`` its own first distance and the few features within it, wherever
+    both are crowded or far apart; only those are measured.
     """
-    def extent(layer: DataFrame) -> DataFrame:
-        return with_bounds(layer).agg(
-            F.min("xmin").alias("x0"), F.min("ymin").alias("y0"), F.max("xmax").alias("x1"), F.max("ymax").alias("y1"),
-            F.count(F.lit(1)).alias("n"))
-
-    ea, eb = extent(a).first(), extent(b).first()
-    boxes = [e for e in (ea, eb) if e.x0 is not None]
-    width = max((e.x1 for e in boxes), default=0.0) - min((e.x0 for e in boxes), default=0.0)
-    height = max((e.y1 for e in boxes), default=0.0) - min((e.y0 for e in boxes), default=0.0)
-    widest = (width**2 + height**2) ** 0.5
-    reach = start or max((width * height / max(eb.n, 1)) ** 0.5, widest / 1024) or 1.0
-    out, todo = None, a
-    while True:
-        pairs = near_pairs(todo, b, reach, a_dim, b_dim, **options)
-        best = pairs.groupBy("a_fid").agg(
-            F.min_by(F.struct("b_fid", "dist", "ax", "ay", "bx", "by"), F.struct("dist", "b_fid")).alias("_m"))
-        found = cut_lineage(best.select("a_fid", "_m.*"))
-        out = found if out is None else out.unionByName(found)
-        if reach >= widest:
-            return out
-        todo = cut_lineage(without_match(todo, found))
-        if todo.isEmpty():
-            return out
-        reach *= 2
+    pairs = cut_lineage(Tree(anchored(b)).near(anchored(a), **options))
+
+    def side(layer: DataFrame, name: str) -> DataFrame:
+        own = shapes(layer)
+        return own.select(*(F.col(c).alias(f"{name}_{c}") for c in own.columns))
+
+    whole = pairs.join(side(a, "a"), "a_fid").join(side(b, "b"), "b_fid")
+    measured = _measured(whole, r.meets(r.Side("a_", a_dim), r.Side("b_", b_dim)))
+    best = measured.groupBy("a_fid").agg(F.min_by(F.struct("b_fid", "dist", "ax", "ay", "bx", "by"), F.struct("dist", "b_fid")).alias("_m"))
+    return best.select("a_fid", "_m.*")

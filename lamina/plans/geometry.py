@@ -28,7 +28,19 @@ def geo_extent(spark, sf):
     FROM supplier_tri GROUP BY s_nationkey""")
 def geo_collect(spark, sf):
     mixed = layer(spark, sf, "supplier_tri").withColumn("geom", F.expr(f"IF(fid % 3 = 0, {x.point('x0', 'y0')}, geom)"))
-    return ag.collect_summary(mixed, ["s_nationkey"])
+    pieces = ag.collect(mixed, ["s_nationkey"], piece_parts=7)
+    return pieces.groupBy("s_nationkey").agg(
+        F.max("geom.gtype").alias("gtype"), F.sum(F.size("geom.parts")).alias("n_parts"), F.sum(F.expr(x.n_points("geom"))).alias("n_points"), F.max("geom.srid").alias("srid"))
+
+
+# the collected geometries themselves, three parts a piece
+@query("geo_collect_pieces", with_layers("supplier_tri") + """, n AS (
+      SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY fid) - 1 AS i, CAST(x0 AS INT) AS a, CAST(y0 AS INT) AS b, CAST(x0 + w AS INT) AS c, CAST(y0 + h AS INT) AS d FROM supplier_tri)
+    SELECT s_nationkey, CAST(i // 3 AS BIGINT) AS piece, 'MULTIPOLYGON(' || string_agg('((' || a || ' ' || b || ',' || c || ' ' || b || ',' || a || ' ' || d || ',' || a || ' ' || b || '))', ',' ORDER BY i) || ')' AS wkt
+    FROM n GROUP BY s_nationkey, i // 3""")
+def geo_collect_pieces(spark, sf):
+    pieces = ag.collect(layer(spark, sf, "supplier_tri"), ["s_nationkey"], piece_parts=3)
+    return pieces.select("s_nationkey", "piece", F.expr(x.to_wkt("geom")).alias("wkt"))
 
 
 _STEPS = """
@@ -40,8 +52,20 @@ _STEPS = """
 @query("geo_makeline", with_layers("event_point") + f"""
     SELECT fid, count(*) AS n, round(coalesce(sum(step), 0), 4) AS length FROM ({_STEPS}) AS s GROUP BY fid""")
 def geo_makeline(spark, sf):
-    tracks = lines.track_summary(rows(spark, sf, "event_point"), ["ts", "event_id"])
-    return tracks.select("fid", "n", F.round("length", 4).alias("length"))
+    tracks = lines.make_line(rows(spark, sf, "event_point"), ["ts", "event_id"], piece_points=50)
+    # neighbouring pieces share a vertex
+    whole = tracks.groupBy("fid").agg((F.sum(F.expr(x.n_points("geom"))) - F.count(F.lit(1)) + 1).alias("n"), F.sum(F.expr(x.length("geom"))).alias("length"))
+    return whole.select("fid", "n", F.round("length", 4).alias("length"))
+
+
+# the lines themselves, four edges a piece
+@query("geo_makeline_pieces", with_layers("event_point") + """, n AS (
+      SELECT fid, CAST(x AS INT) AS x, CAST(y AS INT) AS y, row_number() OVER (PARTITION BY fid ORDER BY ts, event_id) - 1 AS i FROM event_point),
+    p AS (SELECT fid, x, y, i, i // 4 AS piece FROM n UNION ALL SELECT fid, x, y, i, i // 4 - 1 FROM n WHERE i > 0 AND i % 4 = 0)
+    SELECT fid, CAST(piece AS BIGINT) AS piece, 'LINESTRING(' || string_agg(x || ' ' || y, ',' ORDER BY i) || ')' AS wkt FROM p GROUP BY fid, piece HAVING piece = 0 OR count(*) > 1""")
+def geo_makeline_pieces(spark, sf):
+    pieces = lines.make_line(rows(spark, sf, "event_point"), ["ts", "event_id"], piece_points=4)
+    return pieces.select("fid", "piece", F.expr(x.to_wkt("geom")).alias("wkt"))
 
 
 @query("geo_dissolve", with_layers("nation_poly") + """, e AS (
@@ -70,6 +94,70 @@ def geo_dissolve_rings(spark, sf):
         F.count(F.lit(1)).alias("n_rings"), F.sum("n").alias("n_edges"), F.sum("area").cast("long").alias("area"))
 
 
+def _frames(spark, sf):
+    """Squares with a square hole, (fid, x, y, s) with s a multiple of four: one per supplier."""
+    return rows(spark, sf, "supplier_tri").selectExpr("fid", "4 * x0 AS x", "4 * y0 AS y", "4 * w AS s")
+
+
+# twelve cells around a hole dissolve into a square with a hole
+@query("geo_dissolve_polygons", with_layers("supplier_tri") + """
+    SELECT fid, 2 AS n_rings, 17 + 9 AS n_points, CAST(12 * w * w AS BIGINT) AS area FROM supplier_tri""")
+def geo_dissolve_polygons(spark, sf):
+    cells = _frames(spark, sf).withColumn("c", F.explode(F.expr("filter(sequence(0, 15), i -> NOT (i % 4 IN (1, 2) AND i div 4 IN (1, 2)))")))
+    corner = ("x + (c % 4) * s / 4", "y + (c div 4) * s / 4", "x + (c % 4 + 1) * s / 4", "y + (c div 4 + 1) * s / 4")
+    merged = ag.dissolve(cells.select(F.col("fid").alias("g"), "fid", F.expr(x.box(*corner)).alias("geom")), ["g"])
+    return merged.select(F.col("g").alias("fid"), F.expr("size(geom.parts[0].rings)").alias("n_rings"), F.expr(x.n_points("geom")).alias("n_points"), F.expr(x.area("geom")).cast("long").alias("area"))
+
+
+def _nested(spark, sf):
+    """Three squares inside each other, as lines."""
+    square = _frames(spark, sf).withColumn("k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    at = ("x + k * s / 8", "y + k * s / 8", "x + s - k * s / 8", "y + s - k * s / 8")
+    return square.select(F.col("fid").alias("g"), F.expr(x.line(x.ring_of((at[0], at[1]), (at[2], at[1]), (at[2], at[3]), (at[0], at[3]), (at[0], at[1])))).alias("geom"))
+
+
+@query("geo_polygonize", with_layers("supplier_tri") + """
+    SELECT fid, CAST(2 AS INT) AS n_rings, CAST(16 * w * w - 9 * w * w AS BIGINT) AS area FROM supplier_tri UNION ALL SELECT fid, 2, CAST(9 * w * w - 4 * w * w AS BIGINT) FROM supplier_tri
+    UNION ALL SELECT fid, 1, CAST(4 * w * w AS BIGINT) FROM supplier_tri""")
+def geo_polygonize(spark, sf):
+    faces = ag.polygonize(_nested(spark, sf), ["g"])
+    return faces.select(F.col("g").alias("fid"), F.expr("size(geom.parts[0].rings)").alias("n_rings"), F.expr(x.area("geom")).cast("long").alias("area"))
+
+
+@query("geo_build_area", with_layers("supplier_tri") + """
+    SELECT fid, CAST(2 AS INT) AS n_rings, CAST(16 * w * w - 9 * w * w AS BIGINT) AS area FROM supplier_tri UNION ALL SELECT fid, 1, CAST(4 * w * w AS BIGINT) FROM supplier_tri""")
+def geo_build_area(spark, sf):
+    areas = ag.build_area(_nested(spark, sf), ["g"])
+    return areas.select(F.col("g").alias("fid"), F.expr("size(geom.parts[0].rings)").alias("n_rings"), F.expr(x.area("geom")).cast("long").alias("area"))
+
+
+@query("geo_hull_each", with_layers("part_donut") + "SELECT fid, 5 AS n_points, CAST(s * s AS BIGINT) AS area FROM part_donut")
+def geo_hull_each(spark, sf):
+    register_functions(spark, ["ConvexHull", "ST_Area"])
+    hulls = layer(spark, sf, "part_donut").selectExpr("fid", "ConvexHull(geom) AS hull")
+    return hulls.select("fid", F.expr(x.n_points("hull")).alias("n_points"), F.expr(x.area("hull")).cast("long").alias("area"))
+
+
+# the corner at (x0, y0) is the only one within the tolerance
+@query("geo_snap_each", with_layers("supplier_tri") + "SELECT fid, ((w - 1) * (h - 1) - 1) / 2 AS area FROM supplier_tri")
+def geo_snap_each(spark, sf):
+    register_functions(spark, ["Snap", "MakePoint", "ST_Area"])
+    return layer(spark, sf, "supplier_tri").selectExpr("fid", "ST_Area(Snap(geom, MakePoint(x0 + 1, y0 + 1), 2D)) AS area")
+
+
+# a hole inside, outside, across the shell, and two that overlap
+@query("geo_validity_holes", with_layers("supplier_tri") + """
+    SELECT fid, CASE fid % 4 WHEN 3 THEN 'holes_overlap' ELSE 'hole_outside' END AS defect, CAST(1 AS BIGINT) AS n FROM supplier_tri WHERE fid % 4 > 0""")
+def geo_validity_holes(spark, sf):
+    def hole(low, high):
+        return x.ring_of((f"x + {low}", f"y + {low}"), (f"x + {low}", f"y + {high}"), (f"x + {high}", f"y + {high}"), (f"x + {high}", f"y + {low}"), (f"x + {low}", f"y + {low}"))
+
+    holes = f"CASE fid % 4 WHEN 0 THEN array({hole('1', '2')}) WHEN 1 THEN array({hole('s + 1', 's + 2')}) WHEN 2 THEN array({hole('s - 1', 's + 1')}) ELSE array({hole('1', '3')}, {hole('2', '4')}) END"
+    shell = x.ring_of(("x", "y"), ("x + s", "y"), ("x + s", "y + s"), ("x", "y + s"), ("x", "y"))
+    odd = _frames(spark, sf).select("fid", F.expr(x.polygon(f"concat(array({shell}), {holes})")).alias("geom"))
+    return validity.defects(odd)
+
+
 # the hull edges are the pairs of places with nothing on their right and nothing beyond them on their line
 @query("geo_convex_hull", with_layers("customer_pt") + """, p AS (SELECT DISTINCT c_nationkey, x, y FROM customer_pt),
     e AS (SELECT a.c_nationkey, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM p a JOIN p b ON a.c_nationkey = b.c_nationkey AND (a.x <> b.x OR a.y <> b.y)),

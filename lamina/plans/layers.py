@@ -295,6 +295,16 @@ def req_rect_exact(spark, sf):
     return _triangles(spark, sf).features(rect=(200, 380, 420, 150), exact=True).select("fid", "x0", "y0", "w", "h")
 
 
+# the features are stored along a space-filling curve; statistics skip the files that lie elsewhere
+@query("req_rect_stored", with_layers("part_box") + """
+    SELECT fid, p_size FROM part_box WHERE xmax >= 100 AND xmin <= 300 AND ymax >= 50 AND ymin <= 200""")
+def req_rect_stored(spark, sf):
+    at = shared_folder(spark, "stored")
+    views(spark, sf, "part_box")
+    ly.create_layer(spark, "?query=SELECT fid, p_size, geom FROM part_box&uid=fid").save(at, data=True)
+    return ly.open_layer(spark, at).features(rect=(100, 50, 300, 200), geometry=False).select("fid", "p_size")
+
+
 @query("req_fid", with_layers("part_box") + "SELECT fid, p_size, xmin FROM part_box WHERE fid = 77")
 def req_fid(spark, sf):
     return _boxes(spark, sf).features(fid=77, columns=["p_size", "xmin"], geometry=False)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lamina.functions.registry import register_functions
 from lamina.operators.grid import salted_join
 from lamina.plans.catalog import query, sql_query
 from lamina.plans.fixtures import table, views
@@ -245,7 +246,13 @@ sql_query("fn_string", """
            substring(p_name, 2, 4) AS sub, hex(p_type) AS hx, '''' || replace(p_type, '''', '''''') || '''' AS quoted, p_type GLOB 'S*' AS glb FROM part""")
 
 
-@query("fn_soundex")
+# letters as digits, h and w (7) left out, equal neighbours once, vowels and others (0) left out, the first letter in front
+@query("fn_soundex", """
+    WITH c AS (SELECT p_partkey, upper(p_name) AS u, translate(regexp_replace(upper(p_name), '[^A-Z]', '0', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '01230127022455012623017202') AS d FROM part),
+    n AS (SELECT p_partkey, u, CASE WHEN left(d, 1) = '7' THEN '0' ELSE left(d, 1) END || replace(substr(d, 2), '7', '') AS d FROM c),
+    s AS (SELECT p_partkey, u, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+            d, '1+', '1', 'g'), '2+', '2', 'g'), '3+', '3', 'g'), '4+', '4', 'g'), '5+', '5', 'g'), '6+', '6', 'g') AS d FROM n)
+    SELECT p_partkey, left(u, 1) || left(replace(substr(d, 2), '0', '') || '000', 3) AS sound FROM s""")
 def fn_soundex(spark, sf):
     return table(spark, sf, "part").select("p_partkey", F.soundex("p_name").alias("sound"))
 
@@ -278,9 +285,20 @@ sql_query("fn_date", """
            round(epoch_us(o_orderdate) / CAST(86400000000 AS DOUBLE) + CAST(2440587.5 AS DOUBLE), 6) AS jd, strftime(o_orderdate, '%Y/%m') AS ym FROM orders""")
 
 
-@query("fn_random_sample")
+@query("fn_random_sample", """
+    SELECT o_orderkey, r FROM (SELECT o_orderkey, CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || ' 7'), 1, 8) AS BIGINT) / CAST(4294967296 AS DOUBLE) AS r FROM orders) AS t WHERE r < 0.1""")
 def fn_random_sample(spark, sf):
     # the sampling operator itself: about a tenth of the orders by a random number drawn from each
     # order's key and a seed, so that a rerun or a lost executor draws the same rows
-    r = F.pmod(F.xxhash64("o_orderkey", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return table(spark, sf, "orders").select("o_orderkey", r.alias("r")).filter("r < 0.1")
+    drawn = F.conv(F.substring(F.md5(F.concat(F.col("o_orderkey").cast("string"), F.lit(" 7")).cast("binary")), 1, 8), 16, 10).cast("double")
+    return table(spark, sf, "orders").select("o_orderkey", (drawn / 4294967296.0).alias("r")).filter("r < 0.1")
+
+
+# the letters of the time formats, weekday, day and week of the year among them
+@query("fn_strftime", """
+    SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS full_time, strftime(o_orderdate, '%w') || '|' || strftime(o_orderdate, '%j') || '|' || strftime(o_orderdate, '%W') AS days,
+           CAST(CAST(epoch(o_orderdate) AS BIGINT) AS VARCHAR) AS seconds, '100%: ' || strftime(o_orderdate, '%S') || '.000' AS other FROM orders""")
+def fn_strftime(spark, sf):
+    register_functions(spark, ["strftime"])
+    orders = table(spark, sf, "orders")
+    return orders.selectExpr("o_orderkey", "strftime('%Y-%m-%d %H:%M:%S', o_orderdate) AS full_time", "strftime('%w|%j|%W', o_orderdate) AS days", "strftime('%s', o_orderdate) AS seconds", "strftime('100%%: %f', o_orderdate) AS other")

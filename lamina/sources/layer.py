@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass, field, replace
 from urllib.parse import unquote
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lamina.functions import exprs as x
 from lamina.operators.ordered import dense_ids
+from lamina.operators.packed import along_curve
 from lamina.operators.tables import BOUNDS, with_bounds
 from lamina.sources.readers import geometry_columns, read_source, typed
 
@@ -28,6 +30,14 @@ NO_STORE = "Cannot store referenced layers"
 NO_METADATA = "No metadata tables !"
 BAD_VERSION = "Bad virtual layer version !"
 
+# fixed values: type codes of the geometries that SQL functions make
+MADE_TYPES = {
+    "makepoint": 1, "makepointz": 1, "point": 1, "casttopoint": 1, "centroid": 1, "pointonsurface": 1, "startpoint": 1, "endpoint": 1, "pointn": 1, "line_interpolate_point": 1,
+    "casttolinestring": 2, "line_substring": 2, "exteriorring": 2, "interiorringn": 2, "addpoint": 2, "setpoint": 2, "removepoint": 2, "casttopolygon": 3, "makepolygon": 3, "polygon": 3, "envelope": 3,
+    "buildmbr": 3, "buildcirclembr": 3, "expand": 3, "buffer": 3, "casttomultipoint": 4, "line_interpolate_equidistant_points": 4, "casttomultilinestring": 5, "casttomultipolygon": 6, "casttogeometrycollection": 7,
+}
+GENERATORS = ("inline", "inline_outer", "explode", "explode_outer", "posexplode", "posexplode_outer", "stack", "json_tuple")  # name their own columns
+
 ID_LIST_LIMIT = 10_000  # longer id lists are joined instead of being inlined in the plan
 
 
@@ -108,16 +118,27 @@ def _url_parts(url: str) -> tuple[str, str]:
 
 
 def attach(spark: SparkSession, source: Source) -> DataFrame:
-    """Make a source readable under its name."""
+    """Make a source readable under its name, its geometry columns with their type."""
     if source.ref is not None:
-        df = spark.table(_quoted(source.ref))
+        given = spark.table(_quoted(source.ref))
     else:
-        df = read_source(spark, source.fmt, source.path, source.encoding, **source.options)
-    if not (source.ref is not None and source.ref == source.name):
+        given = read_source(spark, source.fmt, source.path, source.encoding, **source.options)
+    df = _with_types(given)
+    if source.ref is None or source.ref != source.name or df is not given:
         df.createOrReplaceTempView(_quoted(source.name))
     return df
 
 
+def _with_types(df: DataFrame) -> DataFrame:
+    """Geometry columns of a source know their type and srid: from their metadata, else from one pass over the rows."""
+    for c in geometry_columns(df):
+        if "gtype" not in df.schema[c].metadata:
+            gtype, srid = geometry_type(df, c)
+            if gtype is not None:
+                df = df.withColumn(c, typed(F.col(_quoted(c)), c, gtype, srid))
+    return df
+
+
 def _is_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(_quoted(name)) and spark.catalog.getTable(_quoted(name)).isTemporary
 
@@ -126,6 +147,47 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _parsed(spark: SparkSession, query: str):
+    """The query as Spark's parser reads it, before any name is looked up."""
+    return spark._jsparkSession.sessionState().sqlParser().parsePlan(query)
+
+
+def _kind(node) -> str:
+    return node.getClass().getSimpleName()
+
+
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _select_list(plan) -> list:
+    """Expressions of the outermost SELECT of a parsed query."""
+    while True:
+        if _kind(plan) == "Project":
+            return _items(plan.projectList())
+        if _kind(plan) == "Aggregate":
+            return _items(plan.aggregateExpressions())
+        below = _items(plan.children())
+        if not below:
+            return []
+        plan = below[0]
+
+
+def _function(expression) -> str | None:
+    """Name of the SQL function an expression calls, without ``ST_``."""
+    if _kind(expression) != "UnresolvedFunction":
+        return None
+    return str(_items(expression.nameParts())[-1]).lower().removeprefix("st_")
+
+
+def relations(spark: SparkSession, query: str) -> list[str]:
+    """Names of one part that a query reads and doesn't define itself."""
+    text = _parsed(spark, query).toString()
+    own = {n.strip().lower() for names in re.findall(r"CTE \[([^\]]*)\]", text) for n in names.split(",")}
+    found = dict.fromkeys(re.findall(r"'UnresolvedRelation \[([^\],]+)\]", text))
+    return [n for n in found if n.lower() not in own]
+
+
 def run_query(spark: SparkSession, query: str) -> DataFrame:
     """Result of a query over attached layers, with the errors a layer definition reports."""
     try:
@@ -136,25 +198,32 @@ def run_query(spark: SparkSession, query: str) -> DataFrame:
             name = e.getMessageParameters()["relationName"].replace("`", "")
             raise ValueError(NO_TABLE.format(name)) from e
         raise
-    for i, n in enumerate(names, 1):
-        if not _is_name(n) and _quoted(n) not in query:
-            raise ValueError(NO_NAME.format(i))
+    chosen = _select_list(_parsed(spark, query))
+    stars = sum(_kind(c) == "UnresolvedStar" for c in chosen)
+    width = (len(names) - len(chosen) + stars) // stars if stars else 1
+    place = 1
+    for c in chosen:
+        # what is neither a column, a star nor given a name stands alone in the parsed plan
+        if _kind(c) == "UnresolvedAlias" and _function(c.child()) not in GENERATORS:
+            raise ValueError(NO_NAME.format(place))
+        place += width if _kind(c) == "UnresolvedStar" else 1
     return df
 
 
-def _is_name(n: str) -> bool:
-    """Spark names a column without alias after its expression: digits, quotes or brackets give it away.
-
-    A query may still ask for such a name by quoting it.
-    """
-    return bool(n) and not (n[0].isdigit() or any(c in n for c in "()'\"+*/|<>=,"))
+def made_types(spark: SparkSession, query: str) -> dict[str, int]:
+    """Type codes of the result columns that a function of known type makes."""
+    out = {}
+    for c in _select_list(_parsed(spark, query)):
+        if _kind(c) == "Alias" and _function(c.child()) in MADE_TYPES:
+            out[c.name()] = MADE_TYPES[_function(c.child())]
+    return out
 
 
-def pick_geometry(df: DataFrame, name: str | None = None) -> str | None:
-    """Name of the geometry column of a query result: the requested one, else the first there is."""
+def pick_geometry(df: DataFrame, name: str | None = None, known: Iterable[str] = ()) -> str | None:
+    """Name of the geometry column of a query result: the requested one, else the first whose type is known."""
     found = geometry_columns(df)
     if name is None:
-        return found[0] if found else None
+        return next((c for c in found if c in known or "gtype" in df.schema[c].metadata), None)
     match = [c for c in found if c.lower() == name.lower()]
     if not match:
         raise ValueError(NO_GEOMETRY.format(name))
@@ -240,7 +309,12 @@ def create_layer(spark: SparkSession, definition: LayerDef | str) -> Layer:
     d = definition
     d.check()
     sources = d.named_sources()
-    held = {s.name: spark.table(_quoted(s.name)) for s in sources if s.ref is None and _is_view(spark, s.name)}
+    if d.query:
+        # views that the query finds by their name are sources like others
+        named = {s.name.lower() for s in sources}
+        sources += [Source(name=n, ref=n) for n in relations(spark, d.query) if n.lower() not in named and _is_view(spark, n)]
+        d = replace(d, sources=tuple(sources))
+    held = {s.name: spark.table(_quoted(s.name)) for s in sources if (s.ref is None or s.ref == s.name) and _is_view(spark, s.name)}
     try:
         frames = [attach(spark, s) for s in sources]
         df = run_query(spark, d.query) if d.query else frames[0]
@@ -256,16 +330,22 @@ def create_layer(spark: SparkSession, definition: LayerDef | str) -> Layer:
         uid = match[0]
     if d.nogeometry:
         return Layer(df.drop(*geometry_columns(df)), uid, definition=d)
-    geom = pick_geometry(df, d.geometry)
+    made = made_types(spark, d.query) if d.query else {}
+    geom = pick_geometry(df, d.geometry, made)
     if geom is None:
         return Layer(df, uid, definition=d)
     gtype, srid = d.gtype, d.srid
     if gtype is None:
-        gtype, srid = geometry_type(df, geom)
-        if gtype is None:
+        # a type is declared, known from the source, or that of the function; it isn't guessed from rows
+        meta = df.schema[geom].metadata
+        if "gtype" in meta:
+            gtype, srid = meta["gtype"], meta["srid"]
+        elif geom in made:
+            gtype, srid = made[geom], geometry_type(df, geom)[1] or 0
+        else:
             raise ValueError(NO_TYPE)
     others = [c for c in geometry_columns(df) if c != geom]
-    named = df.select(*(typed(F.col(c), c, gtype, srid) if c == geom else F.col(_quoted(c)) for c in df.columns if c not in others))
+    named = df.select(*(typed(F.col(_quoted(c)), c, gtype, srid) if c == geom else F.col(_quoted(c)) for c in df.columns if c not in others))
     return Layer(named, uid, geom, gtype, srid, d)
 
 
@@ -274,7 +354,8 @@ def geometry_type(df: DataFrame, geom: str) -> tuple[int | None, int | None]:
     meta = df.schema[geom].metadata
     if "gtype" in meta:
         return meta["gtype"], meta["srid"]
-    r = df.agg(F.min(f"{geom}.gtype").alias("lo"), F.max(f"{geom}.gtype").alias("hi"), F.max(f"{geom}.srid").alias("srid")).first()
+    g = F.col(_quoted(geom))
+    r = df.agg(F.min(g["gtype"]).alias("lo"), F.max(g["gtype"]).alias("hi"), F.max(g["srid"]).alias("srid")).first()
     if r.lo is None:
         return None, None
     return (r.lo if r.lo == r.hi else 0), r.srid
@@ -360,7 +441,7 @@ def contract(df: DataFrame, uid: str | None = None, geom: str | None = None, gty
 
     unnamed_columns, uid_null, uid_duplicate (rows beyond the first of an id), geom_null, geom_type, geom_srid.
     """
-    unnamed = sum(not _is_name(c) for c in df.columns)
+    unnamed = sum(not c.strip() or "__autoGeneratedAlias" in df.schema[c].metadata for c in df.columns)
     zero = F.lit(0).cast("long")
     aggs = [F.lit(unnamed).cast("long").alias("unnamed_columns")]
     if geom:
@@ -416,11 +497,12 @@ def denormalize(df: DataFrame, joins: list[AttributeJoin], pk: str | None = None
 
 # ---------------------------------------------------------------- storing
 
-def save_layer(layer: Layer, path: str, data: bool = False, cell: float | None = None) -> None:
+def save_layer(layer: Layer, path: str, data: bool = False) -> None:
     """Write a layer's definition as a one-row JSON table under ``path``, replacing what was there.
 
-    ``data=True`` also writes the features with their bounds, range-partitioned by place, so
-    that rectangle requests on the reopened layer skip files and row groups by statistics.
+    ``data=True`` also writes the features with their bounds in the order of a space-filling curve, cut into ranges of about as many
+    features by Spark's sample, so that rectangle requests on the reopened layer skip files and row groups by statistics.  The id is
+    the last key: any number of features in one place spreads over files, and an outlier moves no others.
     Views of the session cannot be stored without their data.
     """
     d = layer.definition or LayerDef()
@@ -435,11 +517,9 @@ def save_layer(layer: Layer, path: str, data: bool = False, cell: float | None =
         df = layer.df
         if layer.geometry:
             df = with_bounds(df, layer.geometry)
-            mid_x, mid_y = (F.col("xmin") + F.col("xmax")) / 2, (F.col("ymin") + F.col("ymax")) / 2
-            if cell is None:
-                e = layer_stats(df, layer.geometry).first()
-                cell = max((e.xmax or 0) - (e.xmin or 0), (e.ymax or 0) - (e.ymin or 0), 1e-9) / 64
-            keys = [F.floor(mid_x / cell), F.floor(mid_y / cell)]
+            place, _ = along_curve(df)
+            plain = [c for c, t in df.dtypes if c not in geometry_columns(df) and not t.startswith(("map", "variant"))]
+            keys = [F.expr(place or "0L"), F.col(_quoted(layer.uid)) if layer.uid else F.xxhash64(*map(_quoted, plain))]
             df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
         df.write.mode("overwrite").parquet(f"{path}/data")
     types = "version int, definition string, uid string, geometry string, gtype int, srid int, has_data boolean, fields string"

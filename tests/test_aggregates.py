@@ -74,8 +74,28 @@ def test_collect_and_its_summary_agree(spark, wkt):
     made = ag.collect(df, ["g"]).select("g", "geom.gtype", F.size("geom.parts").alias("n_parts"), F.expr(x.n_points("geom")).alias("n_points"))
     said = ag.collect_summary(df, ["g"]).select("g", "gtype", "n_parts", "n_points")
     assert sorted(map(tuple, made.collect())) == sorted(map(tuple, said.collect())) == [(0, 4, 2, 2), (1, 0, 2, 6)]
-    with pytest.raises(ValueError, match="parts"):
-        ag.collect(df, ["g"], max_parts=1)
+    # pieces of any size are the group, in order
+    one = ag.collect(df, ["g"], piece_parts=1).select("g", "piece", "geom.gtype", F.expr(x.to_wkt("geom")).alias("t"))
+    assert sorted((r.g, r.piece, r.gtype) for r in one.collect()) == [(0, 0, 4), (0, 1, 4), (1, 0, 0), (1, 1, 0)]
+    assert {r.t for r in one.filter("g = 0").collect()} == {"MULTIPOINT((0 0))", "MULTIPOINT((1 1))"}
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_groups_are_numbered_over_ranges(spark, parts):
+    """A group that holds most rows, small ones and a missing one, whatever the ranges."""
+    data = [("a", i) for i in range(500)] + [(None, i) for i in range(20)] + [(f"g{i % 7}", i) for i in range(60)]
+    df = spark.createDataFrame(data, "k string, i long").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts * 8))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ordered.group_numbers(df, ["k"], ["i"], "n").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for k in {k for k, _ in data}:
+        mine = sorted((r.n, r.i) for r in got if r.k == k)
+        assert [i for _, i in mine] == sorted(i for q, i in data if q == k) and [n for n, _ in mine] == list(range(len(mine)))
 
 
 @pytest.mark.parametrize("rows_per_task", [5, 60])
@@ -94,8 +114,21 @@ def test_make_line_and_tracks_agree(spark):
     made = lines.make_line(events, ORDER).select("fid", F.expr(x.n_points("geom")).alias("n"), F.round(F.expr(x.length("geom")), 4).alias("l"))
     said = lines.track_summary(events, ORDER).select("fid", "n", F.round("length", 4).alias("l"))
     assert sorted(map(tuple, made.collect())) == sorted(map(tuple, said.collect()))
-    with pytest.raises(ValueError, match="vertices"):
-        lines.make_line(events, ORDER, max_points=10)
+    pieces = lines.make_line(events, ORDER, piece_points=3)
+    assert pieces.filter(F.expr(x.n_points("geom")) > 4).count() == 0
+    whole = pieces.groupBy("fid").agg((F.sum(F.expr(x.n_points("geom"))) - F.count("*") + 1).alias("n"), F.round(F.sum(F.expr(x.length("geom"))), 4).alias("l"))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, said.collect()))
+
+
+def test_build_area_leaves_out_what_lies_in_holes(wkt):
+    def ring(a, b):
+        return f"LINESTRING({a} {a},{b} {a},{b} {b},{a} {b},{a} {a})"
+
+    net = wkt((1, ring(0, 20)), (2, ring(1, 19)), (3, ring(2, 18)), (4, ring(3, 17)), (5, ring(30, 40)), (6, ring(31, 32)), (7, ring(33, 34)), (8, "LINESTRING(0 0,20 20)")).filter("fid < 8").withColumn("g", F.lit(None).cast("string"))
+    got = sorted((r.n, r.a) for r in ag.build_area(net, ["g"]).select(F.expr("size(geom.parts[0].rings)").alias("n"), F.expr(x.area("geom")).alias("a")).collect())
+    assert got == [(2, 60.0), (2, 76.0), (3, 98.0)]
+    faces = sorted((r.n, r.a) for r in ag.polygonize(net, ["g"]).select(F.expr("size(geom.parts[0].rings)").alias("n"), F.expr(x.area("geom")).alias("a")).collect())
+    assert faces == [(1, 1.0), (1, 1.0), (1, 196.0), (2, 60.0), (2, 68.0), (2, 76.0), (3, 98.0)]
 
 
 def test_positions_along_a_line(wkt):
@@ -112,6 +145,15 @@ def test_positions_along_a_line(wkt):
     assert text(x.equidistant_points("geom", "6D")) == "MULTIPOINT((0 0),(6 0),(10 2),(10 8))"
 
 
+def test_places_on_a_long_line(spark):
+    """100,000 vertices along a line, in time that grows with them."""
+    n = 100_000
+    df = spark.range(1).select(F.expr(x.line(f"transform(sequence(0, {n - 1}), i -> {x.vertex('CAST(i AS DOUBLE)', 'CAST(i % 2 AS DOUBLE)')})")).alias("geom"))
+    many = df.select(F.expr(x.equidistant_points("geom", "1.5D")).alias("g"), F.expr(x.interpolate_point("geom", "0.5D")).alias("m"), F.expr(x.substring("geom", "0.25D", "0.75D")).alias("s"))
+    got = many.select(F.expr("size(g.parts)").alias("n"), F.expr("m.parts[0].rings[0][0].x").alias("x"), F.expr("size(s.parts[0].rings[0])").alias("k")).first()
+    assert got.n == math.floor((n - 1) * math.sqrt(2) / 1.5) + 1 and abs(got.x - (n - 1) / 2) < 1e-6 and abs(got.k - n / 2) <= 2
+
+
 def test_interpolated_ends_are_the_ends(spark):
     events = rows(spark, SF, "event_point")
     got = lines.interpolate_tracks(events, ORDER, [0.0, 1.0])
@@ -139,6 +181,39 @@ def test_defects(wkt):
     assert valid[1] == (True, True, True) and valid[5] == (True, True, False) and valid[3] == (False, False, False)
 
 
+def test_holes_outside_across_and_over_each_other(wkt):
+    shell = "(0 0,9 0,9 9,0 9,0 0)"
+    odd = wkt((1, f"POLYGON({shell},(1 1,1 2,2 2,2 1,1 1))"), (2, f"POLYGON({shell},(20 20,20 21,21 21,21 20,20 20))"), (3, f"POLYGON({shell},(8 8,8 10,10 10,10 8,8 8))"), (4, f"POLYGON({shell},(1 1,1 3,3 3,3 1,1 1),(2 2,2 4,4 4,4 2,2 2))"),
+              (5, f"POLYGON({shell},(1 1,1 8,8 8,8 1,1 1),(2 2,2 4,4 4,4 2,2 2))"), (6, f"POLYGON({shell},(1 1,1 3,3 3,3 1,1 1),(3 3,3 4,4 4,4 3,3 3))"), (7, f"POLYGON({shell},(0 0,1 2,2 1,0 0))"), (8, f"POLYGON({shell},(1 1,1 2,2 2,2 1,1 1),(1 1,1 2,2 2,2 1,1 1))"),
+              (9, "POLYGON((0 0,9 0,9 9,5 1,0 9,0 0),(4 8,6 8,5 2,4 8))"))
+    found = {(r.fid, r.defect) for r in validity.defects(odd).collect()}
+    outside, overlapping = validity._holes(validity.ring_table(odd))  # by runs, as for long rings
+    assert {(r.fid, "hole_outside") for r in outside.collect()} | {(r.fid, "holes_overlap") for r in overlapping.collect()} == found
+    assert found == {(2, "hole_outside"), (3, "hole_outside"), (4, "holes_overlap"), (5, "holes_overlap"), (8, "holes_overlap"), (9, "hole_outside")}
+    valid = {r.fid: r.v for r in odd.select("fid", F.expr(x.is_valid("geom")).alias("v")).collect()}
+    assert valid == {f: f in (1, 6, 7) for f in range(1, 10)}
+
+
+def test_hull_of_one_geometry(spark, wkt):
+    rnd = random.Random(3)
+    for n in (1, 2, 3, 4, 60):
+        pts = [(rnd.randint(0, 9), rnd.randint(0, 9)) for _ in range(n)]
+        df = wkt((1, "MULTIPOINT(" + ",".join(f"({a} {b})" for a, b in pts) + ")"))
+        each = df.select(F.expr(x.to_wkt(f"({x.convex_hull('geom')})")).alias("t")).first().t
+        grouped = ag.convex_hull(df.withColumn("g", F.lit(1)), "g").select(F.expr(x.to_wkt("geom")).alias("t")).first().t
+        assert each == grouped
+    line = wkt((1, "LINESTRING(0 0,1 1,3 3)")).select(F.expr(x.to_wkt(f"({x.convex_hull('geom')})")).alias("t")).first().t
+    assert line == "LINESTRING(0 0,3 3)"
+
+
+def test_hull_in_several_rounds(spark, monkeypatch):
+    monkeypatch.setattr(ag, "HULL_POINTS", 8)
+    n = 300
+    df = spark.range(n).select(F.lit(1).alias("g"), F.col("id").alias("fid"), F.expr(x.point(f"cos(2 * pi() * id / {n})", f"sin(2 * pi() * id / {n})")).alias("geom"))
+    got = ag.convex_hull(df, "g").first()
+    assert got.n == n and abs(got.area - n / 2 * math.sin(2 * math.pi / n)) < 1e-9
+
+
 def test_hull_of_a_missing_group(spark, wkt):
     layer = wkt((1, "POINT(0 0)"), (2, "POINT(1 0)"), (3, "POINT(0 1)")).withColumn("k", F.lit(None).cast("string"))
     assert [(r.k, r.n, r.area) for r in ag.convex_hull(layer, "k").collect()] == [(None, 3, 0.5)]

@@ -1,5 +1,7 @@
 """Layer definitions, requests, storage and readers."""
 
+import random
+
 import pytest
 from conftest import SF
 from pyspark.errors import AnalysisException
@@ -13,8 +15,8 @@ from lamina.sources import layer as ly
 from lamina.sources.readers import geometry_columns, point_layer, read_delimited, typed, wkt_layer
 
 PARTS = [
-    (2661, 736.0, "Basse", "Région", "POLYGON((-2 49,-1 49,-1 50,-2 50,-2 49))"), (2662, 800.0, "Haute", "Région", "POLYGON((0 49,1 49,1 50,0 50,0 49))"),
-    (2664, 728.0, "Loire", "Région", "POLYGON((-2 47,-1 47,-1 48,-2 47))"), (2672, 800.0, "Centre", "Région", "POLYGON((1 47,2 47,2 48,1 48,1 47))"),
+    (11, 736.0, "Basse", "Région", "POLYGON((-2 49,-1 49,-1 50,-2 50,-2 49))"), (12, 800.0, "Haute", "Région", "POLYGON((0 49,1 49,1 50,0 50,0 49))"),
+    (14, 728.0, "Loire", "Région", "POLYGON((-2 47,-1 47,-1 48,-2 47))"), (22, 800.0, "Centre", "Région", "POLYGON((1 47,2 47,2 48,1 48,1 47))"),
 ]
 
 
@@ -70,7 +72,7 @@ def test_query_uid_and_geometry_choice(spark, parts):
     url = f"?layer=parquet:{parts}:ww&query=SELECT *, geometry AS geom2 FROM ww&uid=ObJeCtId"
     first = ly.create_layer(spark, url)
     assert (first.uid, first.geometry, first.gtype, first.srid) == ("OBJECTID", "geometry", 3, 4326)
-    assert first.with_fid().agg(F.sum("fid"), F.sum("km")).first() == (10659, 3064.0)
+    assert first.with_fid().agg(F.sum("fid"), F.sum("km")).first() == (59, 3064.0)
     assert ly.create_layer(spark, url + "&geometry=geom2:3:4326").geometry == "geom2"
     bare = ly.create_layer(spark, url + "&nogeometry")
     assert bare.geometry is None and geometry_columns(bare.df) == []
@@ -89,17 +91,17 @@ def test_requests(spark, parts):
     def ids(**kw):
         return sorted(r.OBJECTID for r in made.features(**kw).collect())
 
-    assert ids(rect=(-1.677, 49.624, -0.816, 49.086), exact=True) == [2661]
-    assert ids(fid=2661) == [2661] and ids(fids=[2661, 2664]) == [2661, 2664]
-    assert ids(fids=spark.createDataFrame([(2664,), (5,)], "k long")) == [2664]
-    assert ids(rect=(-2, 47.6, -1.9, 48)) == [2664] and ids(rect=(-2, 47.6, -1.9, 48), exact=True) == []
-    assert ids(rect=(-9, 40, 9, 60), fid=2661) == [2661, 2662, 2664, 2672]
-    assert ids(subset="ObjectId = 2661", rect=(-9, 40, 9, 60)) == [2661]
+    assert ids(rect=(-1.677, 49.624, -0.816, 49.086), exact=True) == [11]
+    assert ids(fid=11) == [11] and ids(fids=[11, 14]) == [11, 14]
+    assert ids(fids=spark.createDataFrame([(14,), (5,)], "k long")) == [14]
+    assert ids(rect=(-2, 47.6, -1.9, 48)) == [14] and ids(rect=(-2, 47.6, -1.9, 48), exact=True) == []
+    assert ids(rect=(-9, 40, 9, 60), fid=11) == [11, 12, 14, 22]
+    assert ids(subset="name LIKE 'B%'", rect=(-9, 40, 9, 60)) == [11]
     assert made.features(columns=["km"]).columns == ["OBJECTID", "km", "geometry"]
     assert made.features(geometry=False).columns == ["OBJECTID", "km", "name", "kind"]
-    assert ids(rect=(1.4, 47.4, 1.5, 47.5), exact=True) == [2672]  # a rectangle inside the polygon
+    assert ids(rect=(1.4, 47.4, 1.5, 47.5), exact=True) == [22]  # a rectangle inside the polygon
     no_uid = ly.create_layer(spark, f"?layer=parquet:{parts}")
-    assert no_uid.features(fid=2661).count() == 4
+    assert no_uid.features(fid=11).count() == 4
 
 
 def test_rectangles_prune_by_bounds_columns(spark, tmp_path):
@@ -145,7 +147,7 @@ def test_save_and_open(spark, parts, tmp_path):
     made.save(at)
     back = ly.open_layer(spark, at)
     assert (back.uid, back.geometry, back.gtype, back.srid) == ("OBJECTID", "geometry", 3, 4326)
-    assert back.with_fid().agg(F.sum("fid"), F.sum("km")).first() == (10659, 3064.0)
+    assert back.with_fid().agg(F.sum("fid"), F.sum("km")).first() == (59, 3064.0)
     ly.create_layer(spark, f"?layer=parquet:{parts}:v&nogeometry").save(at)
     assert ly.open_layer(spark, at).geometry is None
     made.save(at, data=True)
@@ -160,13 +162,76 @@ def test_save_and_open(spark, parts, tmp_path):
         ly.create_layer(spark, "?layer_ref=live_parts").save(at)
 
 
+def test_definitions_hold_what_the_query_reads(spark, parts, tmp_path):
+    ly.create_layer(spark, f"?layer=parquet:{parts}").view("found by name")
+    spark.range(5).createOrReplaceTempView("side_rows")
+    q = ("WITH own AS (SELECT * FROM `found by name` WHERE km > (SELECT min(id) FROM side_rows)) "
+         "SELECT own.km, n FROM own JOIN (SELECT count(*) AS n FROM side_rows) AS c")
+    assert sorted(ly.relations(spark, q)) == ["found by name", "side_rows"]
+    made = ly.create_layer(spark, ly.LayerDef(query=q))
+    assert sorted(s.ref for s in made.definition.sources) == ["found by name", "side_rows"]
+    with pytest.raises(ValueError, match="Cannot store referenced layers"):
+        made.save(str(tmp_path / "no"))
+    made.save(str(tmp_path / "yes"), data=True)
+    assert ly.open_layer(spark, str(tmp_path / "yes")).df.count() == 4
+
+
+def test_names_are_judged_by_the_query_not_by_their_letters(spark):
+    spark.sql("SELECT 1 AS `2020`, 2 AS `price ($)`, 3 AS `a+b`").createOrReplaceTempView("odd_names")
+    assert ly.create_layer(spark, "?query=SELECT * FROM odd_names").df.columns == ["2020", "price ($)", "a+b"]
+    assert ly.create_layer(spark, "?query=SELECT `a+b`, explode(array(1)) FROM odd_names").df.columns == ["a+b", "col"]
+    for query, place in (("SELECT 'ok'", 1), ("SELECT NULL", 1), ("SELECT *, 1 + 1 FROM odd_names", 4), ("SELECT `2020` AS y, upper('a') FROM odd_names ORDER BY 1 LIMIT 3", 2),
+                         ("SELECT count(*) FROM odd_names", 1), ("SELECT 1 AS a UNION ALL SELECT 2", 0)):
+        if place:
+            with pytest.raises(ValueError, match=f"Result column #{place} has no name"):
+                ly.create_layer(spark, ly.LayerDef(query=query))
+        else:
+            assert ly.create_layer(spark, ly.LayerDef(query=query)).df.columns == ["a"]
+    rules = {r.rule: r.violations for r in ly.contract(spark.sql("SELECT *, 1 + `2020` FROM odd_names")).collect()}
+    assert rules["unnamed_columns"] == 1
+
+
+def test_types_are_declared_known_or_refused(spark):
+    register_functions(spark, ["MakePoint", "GeomFromText", "CastToPoint"])
+    text = "GeomFromText('POINT(1 2)')"
+    with pytest.raises(ValueError, match="Can't deduce the geometry type"):
+        ly.create_layer(spark, f"?query=SELECT {text} AS geom&geometry=geom")
+    plain = ly.create_layer(spark, f"?query=SELECT 42 AS t, {text} AS t3")
+    assert plain.geometry is None and plain.df.columns == ["t", "t3"]
+    for made in (f"?query=SELECT {text} AS geom&geometry=geom:point:0", f"?query=SELECT CastToPoint({text}) AS geom", "?query=SELECT MakePoint(1, 2) AS geom&geometry=geom"):
+        assert ly.create_layer(spark, made).gtype == 1
+
+
+@pytest.mark.parametrize("uid", ["id", None])
+def test_stored_files_are_even_and_skipped(spark, tmp_path, uid):
+    """A cluster, a place with many features and an outlier."""
+    rnd = random.Random(12)
+    data = [(i, rnd.gauss(0, 1), rnd.gauss(0, 1)) for i in range(6000)] + [(6000 + i, 0.25, 0.25) for i in range(2000)] + [(9999, 1e9, -1e9)]
+    df = spark.createDataFrame(data, "id long, x double, y double").withColumn("geom", typed(F.expr(x.point("x", "y")), "geom", 1, 0)).drop("x", "y")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ly.Layer(df, uid, "geom", 1, 0).save(str(tmp_path / "s"), data=True)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    back = ly.open_layer(spark, str(tmp_path / "s"))
+    files = back.df.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"), *(F.min(c).alias(c) for c in ("xmin", "ymin")), *(F.max(c).alias(c) for c in ("xmax", "ymax"))).collect()
+    assert len(files) >= 14 and max(f.n for f in files) < 2.5 * min(f.n for f in files)
+    rect = (0.9, 0.9, 1.4, 1.4)
+    met = [f for f in files if f.xmax >= rect[0] and f.xmin <= rect[2] and f.ymax >= rect[1] and f.ymin <= rect[3]]
+    assert len(met) <= len(files) // 2
+    assert back.features(rect=rect).count() == sum(rect[0] <= px <= rect[2] and rect[1] <= py <= rect[3] for _, px, py in data)
+
+
 def test_views_over_views_and_names(spark, parts):
     base = ly.create_layer(spark, f"?layer=parquet:{parts}")
     base.view("FranCe parts")
     for i in range(3):
         again = ly.create_layer(spark, f"?layer_ref=FranCe parts:t{i}&query=SELECT * FROM t{i}&uid=OBJECTID")
-        assert again.with_fid().agg(F.sum("fid")).first()[0] == 10659
-    assert spark.sql("SELECT OBJECTId FROM `FranCe parts`").agg(F.sum("OBJECTId")).first()[0] == 10659
+        assert again.with_fid().agg(F.sum("fid")).first()[0] == 59
+    assert spark.sql("SELECT OBJECTId FROM `FranCe parts`").agg(F.sum("OBJECTId")).first()[0] == 59
 
 
 def test_denormalize(spark):
@@ -179,7 +244,7 @@ def test_denormalize(spark):
 
 
 def test_contract_counts_violations(spark, parts):
-    df = ly.create_layer(spark, f"?layer=parquet:{parts}").df.unionByName(spark.read.parquet(parts).filter("OBJECTID = 2661"))
+    df = ly.create_layer(spark, f"?layer=parquet:{parts}").df.unionByName(spark.read.parquet(parts).filter("OBJECTID = 11"))
     got = {r.rule: r.violations for r in ly.contract(df, "OBJECTID", "geometry", 3, 0).collect()}
     assert got == {"unnamed_columns": 0, "geom_null": 0, "geom_type": 0, "geom_srid": 5, "uid_null": 0, "uid_duplicate": 1}
 
@@ -189,7 +254,7 @@ def test_metadata_and_text(spark, parts):
     marked = df.withColumn("geometry", typed(F.col("geometry"), "geometry", 3, 4326))
     assert marked.filter("km > 0").select("geometry").schema["geometry"].metadata == {"gtype": 3, "srid": 4326}
     assert ly.geometry_type(marked, "geometry") == (3, 4326)
-    text = ly.with_wkt(df.filter("OBJECTID = 2664"), "geometry").first().geometry
+    text = ly.with_wkt(df.filter("OBJECTID = 14"), "geometry").first().geometry
     assert text == PARTS[2][4]
     good, bad = wkt_layer(spark.createDataFrame([("POINT(1 1)",), ("POINT(",), (None,)], "wkt string"))
     assert (good.count(), bad.count()) == (1, 2)
@@ -201,7 +266,7 @@ def test_requests_work_on_a_stream(spark, parts, tmp_path):
     near = ly.rect_filter(stream, (-2, 49, 1, 50), True, "geometry").select("OBJECTID", F.expr(x.area("geometry")).alias("a"))
     q = near.writeStream.format("memory").queryName("near_parts").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination(60)
-    assert {r.OBJECTID for r in spark.table("near_parts").collect()} == {2661, 2662}
+    assert {r.OBJECTID for r in spark.table("near_parts").collect()} == {11, 12}
 
 
 def test_views_of_the_session_keep_their_rows(spark, parts):
