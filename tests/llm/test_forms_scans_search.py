@@ -198,3 +198,19 @@ def test_pair_bounds_hold_and_are_tighter(monkeypatch):
 @pytest.mark.parametrize("name", ["op11_fill_in_middle", "op12_license_scan", "op13_lexical_search"])
 def test_queries_match_their_sql(spark, name):
     assert compare(spark, connect(SF), queries.QUERIES[name], queries.ORACLES[name], SF) is None
+
+
+@pytest.mark.parametrize("small", [1_000_000, 0])
+def test_matched_keeps_what_a_join_keeps(spark, small):
+    """Broadcast keys, and a filter before a join: with repeated rows, negative hashes and keys that only share a bit."""
+    from lamina.llm.common import matched
+    from lamina.session import cut_lineage
+
+    rows = spark.range(3000).select(F.col("id"), F.xxhash64("id").alias("p1"), F.xxhash64(F.lit(1), "id").alias("p2"), F.lit("wide").alias("t"))
+    rows = rows.unionByName(rows.where("id < 5")).unionByName(rows.where("id = 9").withColumn("p2", F.lit(0).cast("long")))
+    keys = cut_lineage(rows.where("id % 7 = 2").select("p1", "p2").distinct().where("p2 <> 0"))
+    for keep, how in ((True, "left_semi"), (False, "left_anti")):
+        got = matched(rows, keys, ["p1", "p2"], keep, small)
+        want = rows.join(keys, ["p1", "p2"], how)
+        assert got.columns == ["p1", "p2", "id", "t"] or set(got.columns) == set(rows.columns)
+        assert sorted(map(tuple, got.select(*rows.columns).collect())) == sorted(map(tuple, want.select(*rows.columns).collect()))
