@@ -282,11 +282,36 @@ def test_urls(spark):
     assert none.where("verdict = 'allow' AND rule IS NULL").count() == len(urls) + 5
 
 
+def test_rules_no_url_can_have_fit_nothing(spark):
+    df = spark.createDataFrame([(0, "http://example.com/en/x")], "page_id long, url string")
+    rules = [("block", "example.com/en", "/"), ("block", "exa", "mple.com/"), ("block", "com", "?"), ("allow", None, "/")]
+    odd = spark.createDataFrame(rules, "verdict string, host string, path string")
+    assert [tuple(r) for r in url_filter.judge(df, odd).collect()] == [(0, "http://example.com/en/x", "example.com", "/en/x", None, "allow")]
+
+
+def test_many_rules_and_a_host_of_many_labels(spark):
+    rules = spark.range(100_000).selectExpr("IF(id % 3 = 0, 'allow', 'block') AS verdict", "concat('h', id, IF(id % 2 = 0, '.example.com', '.net')) AS host", "substring('/a/b/', 1, 1 + id % 5) AS path")
+    urls = spark.range(2000).selectExpr("id AS page_id", "concat('http://www.h', id * 100, IF(id % 2 = 0, '.example.com', '.net'), '/a/b/c') AS url")
+    long = spark.createDataFrame([(-1, "http://" + "a." * 20_000 + "h5.net/x"), (-2, "http://" + "h4.example.com." * 5000 + "/a/b/"), (-3, "http://h1.net/" + "a" * 2_000_000)], "page_id long, url string")
+    got = url_filter.judge(urls.union(long), rules)
+    assert len(got._jdf.queryExecution().optimizedPlan().toString()) < 100_000
+    for r in got.drop("url").collect():
+        want, n = None, None
+        if r.page_id == -1:
+            want, n = "h5.net/", 5
+        elif r.page_id >= 0 and r.page_id * 100 < 100_000 and r.page_id % 2 == 0:  # ids ending in 00 have even rule numbers only
+            n = r.page_id * 100
+            want = f"h{n}.example.com" + "/a/b/"[: 1 + n % 5]
+        elif r.page_id == -3:
+            want, n = "h1.net/a", 1
+        assert r.rule == want and r.verdict == ("allow" if n is None or n % 3 == 0 else "block"), r.page_id
+
+
 def test_cascade_is_exact_over_its_universe(spark):
     universe = spark.range(3000).select(F.concat(F.lit("key "), "id").alias("key"))
     listed = universe.where("substring(key, -2) = '07'")
     levels = url_filter.cascade(listed, universe, 3000)
-    got = universe.where(url_filter.member(levels, "key"))
+    got = url_filter.holding(universe, levels).where(url_filter.member(levels, "key"))
     assert len(levels) > 1 and {r.key for r in got.collect()} == {r.key for r in listed.collect()}
 
 
