@@ -105,7 +105,7 @@ def op5_ring_shards(spark: SparkSession, sf: str) -> DataFrame:
     """All documents in 40 shards whose row counts are at most one apart."""
     from lamina.llm.sharding import assign
 
-    dealt = assign(_table(spark, sf, "documents", "doc_id", "text"), 40)
+    dealt = assign(_table(spark, sf, "documents", "doc_id", "text"), 40, keep_text=False)
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 

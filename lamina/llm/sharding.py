@@ -7,6 +7,10 @@ have a bounded load; keys that find theirs full continue clockwise to the next p
 The walk needs only the number of keys in front of each point: ``walk`` works on these counts (shards * virtual * ``SPLITS`` numbers,
 bounded by parameters, whatever the data) and returns which ranks of which point go to which shard, from which slot on.  Rows are ranked
 within their point and split, so the largest sort is a small part of the data, and then look up their range: one shuffle in all.
+
+Rows with the same key and text are interchangeable.  Where one such kind holds more than a thousandth of all rows (there are fewer than
+``HOT`` such kinds), it is dealt to splits of its own, of a thousandth each, so no task sorts more than a small share.  The rows with their
+place are written once to the shared folder: texts are hashed once, and a row's split is the same in every later pass.
 """
 
 from __future__ import annotations
@@ -20,8 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.llm.common import adds, quoted
+from lamina.session import cut_lineage
 
 SPLITS = 4  # parts of a point's keys that are ranked apart
+HOT = 1000  # a kind of equal rows that holds more than this part of all rows is dealt to splits of its own
 CELLS = 4096  # cells of the ring in which a key looks for its point
 
 
@@ -81,8 +87,20 @@ def _point_table(df: DataFrame, places: list[int]) -> DataFrame:
     return _rows(df, rows, "cell int, start int, inside array<bigint>")
 
 
-def assign(df: DataFrame, shards: int, virtual: int = 128, load_factor: float | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with size, text_crc32, shard and slot (columns of these names give way).
+def _hot_splits(dealt: DataFrame) -> list[tuple[int, int, int, int]]:
+    """(place, tie, first split, splits) of the kinds of equal rows with more than N / HOT rows: fewer than HOT kinds, at most 2 * HOT splits."""
+    total = dealt.count()
+    kinds = dealt.groupBy("__place", "__tie").count().where(F.col("count") * HOT > total).orderBy("__place", "__tie").collect()
+    out, first = [], SPLITS
+    for place, tie, n in kinds:
+        parts = -(-n * HOT // total)
+        out.append((place, tie, first, parts))
+        first += parts
+    return out
+
+
+def assign(df: DataFrame, shards: int, virtual: int = 128, load_factor: float | None = None, id: str = "doc_id", text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``df`` (without its text if ``keep_text`` is false) with size, text_crc32, shard and slot (columns of these names give way).
 
     ``load_factor`` None deals rooms of N div shards or one more row (the first N mod shards shards); a factor c >= 1 allows
     ceil(c * N / shards) rows a shard, which moves fewer keys.  Slots count from 0 in each shard without gaps.  Size: UTF-8 bytes of the
@@ -93,15 +111,21 @@ def assign(df: DataFrame, shards: int, virtual: int = 128, load_factor: float |
         raise ValueError("a load factor is at least 1")
     points = ring(shards, virtual)
     places = [p for p, _ in points]
-    kept = adds(df, "size", "text_crc32", "shard", "slot")
+    kept = [c for c in adds(df, "size", "text_crc32", "shard", "slot") if keep_text or c.lower() != text.lower()]
     t = F.col(quoted([text])[0]).cast("string")
     key = F.col(quoted([id])[0])
     rows = df.select(*quoted(kept), (F.coalesce(F.octet_length(t), F.lit(0)) + 16).cast("long").alias("size"), F.crc32(F.coalesce(t, F.lit("")).cast("binary")).alias("text_crc32"),
-                     F.xxhash64(key).alias("__place"), F.xxhash64(key, t).alias("__tie"))
+                     F.xxhash64(key).alias("__place"), F.xxhash64(key, t).alias("__tie"), F.xxhash64(F.monotonically_increasing_id()).alias("__row"))
+    rows = cut_lineage(rows)
     looked = rows.withColumn("__cell", _cell(F.col("__place"))).join(F.broadcast(_point_table(df, places)), F.col("__cell") == F.col("cell"))
     point = F.expr(f"(start + size(filter(inside, p -> p < __place))) % {len(points)}")
-    dealt = looked.select(*quoted(kept), "size", "text_crc32", "__place", "__tie", point.alias("__point"), F.pmod(F.col("__tie"), F.lit(SPLITS)).cast("int").alias("__split"))
-    found = {(r[0], r[1]): r[2] for r in dealt.groupBy("__point", "__split").count().collect()}  # bounded: points * SPLITS
+    split = F.pmod(F.col("__tie"), F.lit(SPLITS)).cast("int")
+    if hot := _hot_splits(rows):  # fewer than HOT rows
+        kinds = _rows(df, hot, "hp long, ht long, first int, parts int")
+        looked = looked.join(F.broadcast(kinds), (F.col("__place") == F.col("hp")) & (F.col("__tie") == F.col("ht")), "left")
+        split = F.coalesce(F.expr("CAST(first + pmod(__row, parts) AS int)"), split)
+    dealt = looked.select(*quoted(kept), "size", "text_crc32", "__place", "__tie", point.alias("__point"), split.alias("__split"))
+    found = {(r[0], r[1]): r[2] for r in dealt.groupBy("__point", "__split").count().collect()}  # bounded: points * SPLITS + 2 * HOT
     n = sum(found.values())
     room = [n // shards + (s < n % shards) for s in range(shards)] if load_factor is None else [-int(-load_factor * n // shards)] * shards
     ranges = _rows(df, walk([s for _, s in points], room, found), "p int, s int, lo long, hi long, shard int, base long")

@@ -1,10 +1,12 @@
 """Training-data operators against brute force on small tables, with nulls, empty and long texts, repeated rows and clashing columns."""
 
+import bisect
 import collections
 import datetime
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -260,9 +262,66 @@ def test_walk_is_the_walk_of_single_keys():
     assert len(where) == total and not any(free)
 
 
-def test_a_larger_ring_moves_few_keys():
+def plain_ring(rows, shards, virtual, room):
+    """Shard of every (place, tie) by bisection and a walk of single keys; rows in ring order of point, split, place and tie."""
+    points = sharding.ring(shards, virtual)
+    kinds = collections.Counter(rows)
+    hot = sorted(k for k, n in kinds.items() if n * sharding.HOT > len(rows))
+    keyed = []
+    for place, tie in rows:
+        point = bisect.bisect_left([p for p, _ in points], place) % len(points)
+        keyed.append((point, sharding.SPLITS + hot.index((place, tie)) if (place, tie) in hot else tie % sharding.SPLITS, place, tie))
+    free, out, left = list(room), collections.Counter(), []
+    for row in sorted(keyed):
+        shard = points[row[0]][1]
+        if free[shard]:
+            free[shard] -= 1
+            out[row[2:], shard] += 1
+        else:
+            left.append(row)
+    for row in left:
+        at = row[0]
+        while not free[points[at][1]]:
+            at = (at + 1) % len(points)
+        free[points[at][1]] -= 1
+        out[row[2:], points[at][1]] += 1
+    return out
+
+
+@pytest.mark.parametrize("hot", [1000, 5])
+def test_assign_is_the_plain_ring(spark, monkeypatch, hot):
+    monkeypatch.setattr(sharding, "HOT", hot)
+    texts = [None, "", "é🎉", "x" * 9000]
+    rows = [(i, texts[i % 4] if i % 7 == 0 else f"text {i}", "mine", i) for i in range(1500)] + [(5, "same", "mine", 0)] * 700 + [(None, None, "mine", 0)] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string, Slot string, size int").repartition(6)
+    hashed = [tuple(r) for r in df.select(F.xxhash64("doc_id"), F.xxhash64("doc_id", "text")).collect()]
+    got = sharding.assign(df, 9, virtual=20)
+    assert got.columns == ["doc_id", "text", "size", "text_crc32", "shard", "slot"]
+    room = [len(rows) // 9 + (s < len(rows) % 9) for s in range(9)]
+    placed = collections.Counter(((r[0], r[1]), r.shard) for r in got.select(F.xxhash64("doc_id"), F.xxhash64("doc_id", "text"), "shard").collect())
+    assert placed == plain_ring(hashed, 9, 20, room)
+    out = got.collect()
+    assert all(r.text_crc32 == zlib.crc32((r.text or "").encode()) and r.size == 16 + len((r.text or "").encode()) for r in out)
+    assert all(sorted(r.slot for r in out if r.shard == s) == list(range(room[s])) for s in range(9))
+    assert sharding.assign(df, 9, virtual=20, keep_text=False).columns == ["doc_id", "size", "text_crc32", "shard", "slot"]
+
+
+def test_equal_rows_are_split(spark):
+    df = spark.range(8000).selectExpr("IF(id < 4000, 1, id) AS doc_id", "'same' AS text")
+    got = sharding.assign(df, 4, virtual=8)
+    assert got.groupBy("shard").count().agg(F.max("count")).first()[0] == 2000
+    kinds = sharding._hot_splits(df.select(F.xxhash64("doc_id").alias("__place"), F.xxhash64("doc_id", "text").alias("__tie")))
+    assert [k[2:] for k in kinds] == [(sharding.SPLITS, 500)]
+
+
+def test_a_larger_ring_moves_few_keys(spark):
     points, more = sharding.ring(10, 64), sharding.ring(11, 64)
     assert set(points) <= set(more)
+    df = spark.range(20_000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    before, after = ({r.doc_id: r.shard for r in sharding.assign(df, n, virtual=128, load_factor=1.25, keep_text=False).collect()} for n in (10, 11))
+    moved = sum(before[k] != after[k] for k in before)
+    # an eleventh has to move; dealing anew would move ten elevenths
+    assert 20_000 * 0.06 < moved < 20_000 * 0.25
 
 
 def test_urls(spark):
