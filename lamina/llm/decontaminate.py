@@ -4,8 +4,8 @@ Words: runs of letters, digits and non-ASCII letters, A-Z lower-cased.  A window
 item of fewer words, but not none, is one window.  The windows form a set keyed by the hash of their first words, which is broadcast while
 its measured size stays under ``broadcast_bytes``; beyond, windows and the words at each place are shuffled by the hash of the whole window.  Each position of a training text gives the hash of the words
 that start there, a probe keeps the few positions whose hash is listed, and all words of the window are then compared, so the result is
-exact.  Only positions that hit leave the scan; they are gathered per
-document before the shuffle.
+exact.  Only positions that hit leave the scan; they are gathered per document before the shuffle.  A window names its items by the number
+of their list; lists are looked up once for each list of a document, so a passage that stands in every item is carried as a number.
 """
 
 from __future__ import annotations
@@ -51,19 +51,26 @@ def _key(length: Column, array: str, start: Column) -> Column:
 
 
 def _is_small(listed: DataFrame, limit: int) -> bool:
-    size = listed.select(F.sum(2 * F.octet_length(F.concat_ws("", "words")) + 32 * F.size("words") + F.octet_length(F.concat_ws("", "items")) + 16 * F.size("items") + 64)).first()[0]
+    size = listed.select(F.sum(2 * F.octet_length(F.concat_ws("", "words")) + 32 * F.size("words") + 64)).first()[0]
     return (size or 0) <= limit
 
 
+def _numbered(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The windows with the number of their list of items (key, words, coarse, list), and the lists (list, items), both written."""
+    found = cut_lineage(found)
+    lists = cut_lineage(found.select("items").distinct().withColumn("list", F.monotonically_increasing_id()))
+    return cut_lineage(found.join(lists, "items").drop("items")), lists
+
+
 def _shuffled(places: DataFrame, listed: DataFrame) -> DataFrame:
-    """(id, __hash, pos, own, words, items) of the places that hold a window, by a merge join on the hash of the whole window.
+    """(id, __hash, pos, own, words, list) of the places that hold a window, by a merge join on the hash of the whole window.
 
     Only the words at a place travel, not its text, and places that share frequent first words only don't meet.
     """
     lengths = sorted(r[0] for r in listed.select(F.size("words")).distinct().collect())
     sized = places.withColumn("n", F.explode(F.array(*(F.lit(k) for k in lengths)))).where("pos + n <= size(low)")
     keyed = sized.select("id", "__hash", "pos", F.expr("xxhash64(slice(low, pos + 1, n))").alias("key"), F.expr("slice(w, pos + 1, n)").alias("own"))
-    return keyed.join(listed.select(F.xxhash64("coarse").alias("key"), "words", "items").hint("merge"), "key").where(lowered(F.col("own")) == F.col("words"))
+    return keyed.join(listed.select(F.xxhash64("coarse").alias("key"), "words", "list").hint("merge"), "key").where(lowered(F.col("own")) == F.col("words"))
 
 
 def hits(docs: DataFrame, items: DataFrame, n: int = 13, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
@@ -73,7 +80,7 @@ def hits(docs: DataFrame, items: DataFrame, n: int = 13, id: str = "doc_id", tex
     ``spans`` are disjoint word ranges (start from 0, end) in order, ``item_ids`` the items, sorted as strings.  Rows that share id and
     text share a row here.
     """
-    listed = cut_lineage(windows(items, n, item_id, item_text))
+    listed, lists = _numbered(windows(items, n, item_id, item_text))
     lengths = sorted(r[0] for r in listed.select(F.least(F.size("words"), F.lit(HEAD))).distinct().collect())  # 1 to HEAD
     key_of = F.col(quoted([id])[0])
     if not lengths:
@@ -91,16 +98,18 @@ def hits(docs: DataFrame, items: DataFrame, n: int = 13, id: str = "doc_id", tex
         near = keyed.join(F.broadcast(listed), "key").where("slice(low, pos + 1, size(coarse)) = coarse").withColumn("own", F.expr("slice(w, pos + 1, size(words))"))
     else:
         near = _shuffled(places, listed)
-    place = F.struct(F.col("pos").alias("start"), F.expr("pos + size(words)").alias("end"), "own", "words", "items")
+    place = F.struct(F.col("pos").alias("start"), F.expr("pos + size(words)").alias("end"), "own", "words", "list")
     gathered = near.groupBy("id", "__hash").agg(F.collect_set(place).alias("near"))
     exact = F.filter("near", lambda x: lowered(x["own"]) == x["words"])
-    gathered = gathered.withColumn("near", exact).where("size(near) > 0").select(
-        "id", "__hash", F.array_distinct(F.transform("near", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))).alias("at"), F.transform("near", lambda x: x["items"]).alias("items"))
-    merged = F.expr("""aggregate(array_sort(at), CAST(array() AS array<struct<start:int,end:int>>), (done, s) ->
-        CASE WHEN size(done) > 0 AND element_at(done, -1).end >= s.start
-             THEN concat(slice(done, 1, size(done) - 1), array(named_struct('start', element_at(done, -1).start, 'end', greatest(element_at(done, -1).end, s.end))))
-             ELSE concat(done, array(s)) END)""")
-    return gathered.select("id", "__hash", merged.alias("spans"), F.array_sort(F.array_distinct(F.flatten("items"))).alias("item_ids"))
+    at = F.flatten(F.transform("near", lambda x: F.sequence(x["start"], x["end"] - 1)))
+    held = gathered.withColumn("near", exact).where("size(near) > 0").select("id", "__hash", F.array_sort(F.array_distinct(at)).alias("at"), F.array_distinct(F.transform("near", lambda x: x["list"])).alias("lists"))
+    # a range starts at a hit word behind one that isn't, and ends before the next that isn't
+    starts, ends = "filter(at, (x, i) -> i = 0 OR get(at, i - 1) < x - 1)", "filter(at, (x, i) -> i = size(at) - 1 OR get(at, i + 1) > x + 1)"
+    spans = F.expr(f"zip_with({starts}, {ends}, (a, b) -> named_struct('start', a, 'end', b + 1))")
+    each = held.select("id", "__hash", spans.alias("spans"), F.explode("lists").alias("list"))
+    size = lists.select(F.sum(F.octet_length(F.concat_ws("", "items")) + 16 * F.size("items") + 64)).first()[0]
+    named = each.join(F.broadcast(lists) if (size or 0) <= broadcast_bytes else lists.hint("merge"), "list")
+    return named.groupBy("id", "__hash").agg(F.any_value("spans").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("item_ids"))
 
 
 def mark(docs: DataFrame, items: DataFrame, n: int = 13, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
@@ -108,7 +117,7 @@ def mark(docs: DataFrame, items: DataFrame, n: int = 13, id: str = "doc_id", tex
     """``docs`` with n_words, n_hit, spans, item_ids and contaminated (``hit_share * n_hit >= n_words`` with a hit).
 
     Null and empty texts have no words and no hits; an empty benchmark hits nothing; items without words are no windows; repeated rows
-    stay and get the same marks; columns of ``docs`` with the added names give way.  With ``keep_text=False`` the text is left out
+    stay and get the same marks; the words of an item without an id hit, but name no item; columns of ``docs`` with the added names give way.  With ``keep_text=False`` the text is left out
     before rows are shuffled.
     """
     found = hits(docs, items, n, id, text, item_id, item_text, broadcast_bytes)

@@ -374,6 +374,22 @@ def test_cascade_is_exact_over_its_universe(spark):
     assert len(levels) > 1 and {r.key for r in got.collect()} == {r.key for r in listed.collect()}
 
 
+@pytest.mark.parametrize("broadcast_bytes", [64 << 20, 0])
+def test_windows_of_many_items_and_long_runs_of_hits(spark, broadcast_bytes):
+    common = " ".join(f"c{i}" for i in range(13))
+    items = [(i, f"{common} own{i} " + " ".join(f"i{i}w{j}" for j in range(14))) for i in range(300)] + [(None, "x " * 20)]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    long = " ".join(["x"] * 60_000)
+    d = spark.createDataFrame([(1, f"a b {common} c"), (2, long), (3, " ".join(f"i7w{j}" for j in range(14)) + " gap " + common), (4, "nothing here"), (5, f"{common} {common}")], "doc_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.mark(d, b, broadcast_bytes=broadcast_bytes).collect()}
+    every = sorted(str(i) for i in range(300))
+    assert got[1].item_ids == every and [tuple(s) for s in got[1].spans] == [(2, 15)]
+    assert got[2].item_ids == [] and [tuple(s) for s in got[2].spans] == [(0, 60_000)] and got[2].n_hit == 60_000 and got[2].contaminated
+    assert got[3].item_ids == every and [tuple(s) for s in got[3].spans] == [(0, 14), (15, 28)]
+    assert got[4].spans is None and not got[4].contaminated
+    assert [tuple(s) for s in got[5].spans] == [(0, 26)] and got[5].n_hit == 26
+
+
 @pytest.mark.parametrize("n", [2, 5])
 def test_decontamination(spark, n):
     rng = random.Random(n)
