@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.functions import exprs as x
+from lamina.operators.copies import each, packed
 from lamina.operators.tables import BOUNDS
 from lamina.sources.readers import is_geometry
 
@@ -111,9 +112,15 @@ def _varying_bytes(f: T.StructField) -> list[Column] | None:
     if isinstance(t, T.StringType | T.BinaryType):
         return [F.coalesce(F.octet_length(name), F.lit(0))]
     if isinstance(t, T.ArrayType):
-        leaves = t.elementType.fields if isinstance(t.elementType, T.StructType) else [T.StructField("e", t.elementType)]
-        if all(isinstance(e.dataType, T.NumericType | T.BooleanType | T.DateType | T.TimestampType) for e in leaves):
-            return [F.greatest(F.coalesce(F.size(name), F.lit(0)), F.lit(0)) * max(48, 8 * len(leaves) + 8)]
+        fixed = T.NumericType | T.BooleanType | T.DateType | T.TimestampType
+        items = F.greatest(F.coalesce(F.size(name), F.lit(0)), F.lit(0))
+        if isinstance(t.elementType, fixed):
+            return [items * 16]
+        leaves = t.elementType.fields if isinstance(t.elementType, T.StructType) else [T.StructField("e", T.NullType())]
+        texts = [e.name for e in leaves if isinstance(e.dataType, T.StringType | T.BinaryType)]
+        if all(isinstance(e.dataType, fixed) or e.name in texts for e in leaves):
+            held = [F.expr(f"coalesce(aggregate({name}, 0L, (vb_s, vb_e) -> vb_s + coalesce(octet_length(vb_e.`{t}`), 0)), 0L)") for t in texts]
+            return [sum(held, items * max(48, 8 * len(leaves) + 8))]
         return None
     return None if isinstance(t, T.MapType | T.StructType | T.VariantType) else []
 
@@ -229,5 +236,13 @@ def keep_pairs(pairs: DataFrame, predicate: str) -> DataFrame:
 
 def box_pairs(a: DataFrame, b: DataFrame, where: str | None = None, **options) -> DataFrame:
     """(a_fid, b_fid) of boxes that meet and satisfy a predicate over a_xmin .. b_ymax."""
-    pairs = candidate_pairs(a.select("fid", *BOUNDS), b.select("fid", *BOUNDS), **options)
+    return each(box_classes(a, b, where, **options))
+
+
+def box_classes(a: DataFrame, b: DataFrame, where: str | None = None, **options) -> DataFrame:
+    """(a_fid, b_fid) as :func:`box_pairs`, by lists: boxes in the same place are compared once."""
+    def one(side: DataFrame) -> DataFrame:
+        return packed(side.filter("xmin IS NOT NULL AND ymin IS NOT NULL"), list(BOUNDS))
+
+    pairs = candidate_pairs(one(a), one(b), **options)
     return (pairs.filter(where) if where else pairs).select("a_fid", "b_fid")

@@ -2,6 +2,9 @@
 
 Layers are DataFrames with ``fid`` and ``geom`` (and, optionally, xmin..ymax).  Every
 operator returns pairs ``(a_fid, b_fid, ...)``; join them back to attributes as needed.
+
+Features of one shape are held as one row with the list of their ids (:mod:`lamina.operators.copies`), so a rule runs once per pair
+of shapes; ``*_classes`` return pairs of such rows, in which a_fid and b_fid are lists.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 from lamina.functions import exprs as x
 from lamina.functions import relate as r
 from lamina.operators import outlines
+from lamina.operators.copies import each, ids, packed
 from lamina.operators.grid import candidate_pairs, keep_pairs
 from lamina.operators.packed import Tree, anchored
 from lamina.operators.tables import BOUNDS, edge_runs, polygon_pieces, shapes, with_bounds
@@ -30,6 +34,16 @@ def _anchor_points(layer: DataFrame) -> DataFrame:
     return tips.select("fid", "_v.x", "_v.y")
 
 
+def _classes(layer: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(bounds, geom, fid) of the features that have a place, one row per shape; ``fid`` is a list."""
+    return packed(with_bounds(layer).filter("xmin IS NOT NULL AND ymin IS NOT NULL"), [*BOUNDS, "geom"], carried)
+
+
+def one_each(rows: DataFrame, on: tuple[str, ...] = ("geom",)) -> DataFrame:
+    """One row (fid, on) of those with equal values in ``on``: enough to see what has a match."""
+    return rows.groupBy(*on).agg(F.min("fid").alias("fid"))
+
+
 def point_in_polygon(points: DataFrame, polygons: DataFrame, point_columns: tuple[str, ...] = (),
                      polygon_columns: tuple[str, ...] = (), **options) -> DataFrame:
     """(a_fid, b_fid, place) for points (fid, x, y) in polygons; place is 'inside' or 'boundary'.
@@ -38,13 +52,19 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, point_columns: tupl
     named in ``point_columns`` and ``polygon_columns`` travel along as a_* and b_*, which saves
     joining them back.
     """
-    pieces = polygon_pieces(polygons, keep=("fid", *polygon_columns))
-    pairs = candidate_pairs(_points(points, ["fid", *point_columns]), pieces, **options)
+    return each(place_classes(points, polygons, point_columns, polygon_columns, **options), point_columns, polygon_columns)
+
+
+def place_classes(points: DataFrame, polygons: DataFrame, point_columns: tuple[str, ...] = (),
+                  polygon_columns: tuple[str, ...] = (), **options) -> DataFrame:
+    """(a_fid, b_fid, place) as :func:`point_in_polygon`, by lists."""
+    spots = packed(points.filter("x IS NOT NULL AND y IS NOT NULL"), ["x", "y"], point_columns)
+    pieces = polygon_pieces(_classes(polygons, polygon_columns))
+    pairs = candidate_pairs(_points(spots, ["fid"]), pieces, **options)
     mine = pairs.filter("b_top OR a_y < b_ymax")
-    carried = [*(f"a_{c}" for c in point_columns), *(f"b_{c}" for c in polygon_columns)]
-    placed = mine.select("a_fid", "b_fid", *carried, F.explode(F.array(F.expr(x.locate("a_x", "a_y", "b_es")))).alias("_at"))
+    placed = mine.select("a_fid", "b_fid", F.explode(F.array(F.expr(x.locate("a_x", "a_y", "b_es")))).alias("_at"))
     return placed.filter("_at > 0").select(
-        "a_fid", "b_fid", *carried, F.when(F.col("_at") == 1, "inside").otherwise("boundary").alias("place"))
+        "a_fid", "b_fid", F.when(F.col("_at") == 1, "inside").otherwise("boundary").alias("place"))
 
 
 def _by_size(a: DataFrame, b: DataFrame) -> list[tuple[DataFrame, DataFrame, bool]]:
@@ -94,6 +114,24 @@ def left_spatial(a: DataFrame, pairs: DataFrame, columns: list[str]) -> DataFram
     return a.select(F.col("fid").alias("a_fid"), *columns).join(pairs, "a_fid", "left")
 
 
+def left_classes(a: DataFrame, classes: DataFrame, columns: list[str]) -> DataFrame:
+    """:func:`left_spatial` for pairs of lists: no more than the rows of ``a`` and the lists are shuffled, not the pairs."""
+    classes = cut_lineage(classes.select("a_fid", "b_fid"))
+    lists = cut_lineage(classes.select("a_fid").distinct().withColumn("_l", F.monotonically_increasing_id()))
+    met = classes.join(lists, "a_fid").select("_l", "b_fid")
+    own = a.select(F.col("fid").alias("a_fid"), *columns).join(lists.select("_l", F.explode("a_fid").alias("a_fid")), "a_fid", "left")
+    return own.join(met, "_l", "left").select("a_fid", *columns, F.explode_outer("b_fid").alias("b_fid"))
+
+
+def disjoint_rows(a: DataFrame, b: DataFrame, a_dim: int | None = None, b_dim: int | None = None, **options) -> DataFrame:
+    """Rows of ``a`` that share no point with any feature of ``b``."""
+    own = ["fid", "geom", *(c for c in BOUNDS if c in b.columns)]
+    # long outlines aren't shuffled as keys
+    others = one_each(outlines.small(b), tuple(own[1:])).select(*own).unionByName(outlines.big(b).select(*own))
+    met = related_classes(a, others, "intersects", a_dim, b_dim, **options)
+    return without_match(a, ids(met, "a").withColumnRenamed("fid", "a_fid"))
+
+
 def without_match(a: DataFrame, pairs: DataFrame) -> DataFrame:
     """Rows of ``a`` that occur in no pair."""
     return a.join(pairs.select(F.col("a_fid").alias("fid")), "fid", "left_anti")
@@ -106,12 +144,18 @@ def related_pairs(a: DataFrame, b: DataFrame, relation: str, a_dim: int | None =
     A pair whose features both fit a run of edges is decided in its row; where either is bigger, by the
     bits of its runs (:mod:`lamina.operators.outlines`), whatever the length of the outlines.
     """
+    return each(related_classes(a, b, relation, a_dim, b_dim, **options))
+
+
+def related_classes(a: DataFrame, b: DataFrame, relation: str, a_dim: int | None = None, b_dim: int | None = None,
+                    **options) -> DataFrame:
+    """(a_fid, b_fid) as :func:`related_pairs`, by lists."""
     out = None
     for left, right, big in _by_size(a, b):
         if big:
-            found = outlines.related(left, right, relation, **options)
+            found = outlines.related(left, right, relation, **options).select(F.array("a_fid").alias("a_fid"), F.array("b_fid").alias("b_fid"))
         else:
-            pairs = candidate_pairs(shapes(left), shapes(right), **options)
+            pairs = candidate_pairs(shapes(_classes(left)), shapes(_classes(right)), **options)
             if relation in r.BOX_RULES:
                 pairs = pairs.filter(r.BOX_RULES[relation])
             found = keep_pairs(pairs, r.predicate(relation, r.Side("a_", a_dim), r.Side("b_", b_dim))).select("a_fid", "b_fid")
@@ -126,12 +170,13 @@ def equal_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     """
     def keyed(layer: DataFrame, side: str) -> DataFrame:
         base = with_bounds(layer).select(
-            F.col("fid").alias(f"{side}_fid"), *(F.col(c).alias(f"_{c}") for c in BOUNDS),
+            "fid", *(F.col(c).alias(f"_{c}") for c in BOUNDS),
             F.expr(r.edge_key(x.edges("geom"))).alias(f"_{side}key"), F.expr(x.dimension("geom")).alias("_dim"))
-        return base.withColumn("_hash", F.xxhash64(f"_{side}key"))
+        known = base.filter(" AND ".join(f"_{c} IS NOT NULL" for c in (*BOUNDS, f"{side}key", "dim")))
+        return packed(known.withColumn("_hash", F.xxhash64(f"_{side}key")), [*on, f"_{side}key"]).withColumnRenamed("fid", f"{side}_fid")
 
     on = [*(f"_{c}" for c in BOUNDS), "_dim", "_hash"]
-    return keyed(a, "a").join(keyed(b, "b"), on).filter("_akey = _bkey").select("a_fid", "b_fid")
+    return each(keyed(a, "a").join(keyed(b, "b"), on).filter("_akey = _bkey").select("a_fid", "b_fid"))
 
 
 def _measured(pairs: DataFrame, meet: str) -> DataFrame:
@@ -155,16 +200,26 @@ def near_pairs(a: DataFrame, b: DataFrame, within: float, a_dim: int | None = No
     line between the two outlines, the least ones of several.  Features that meet nowhere at
     an end of an edge have no places (NULL).
     """
+    return each(near_classes(a, b, within, a_dim, b_dim, **options))
+
+
+def near_classes(a: DataFrame, b: DataFrame, within: float, a_dim: int | None = None, b_dim: int | None = None,
+                 **options) -> DataFrame:
+    """(a_fid, b_fid, dist, ax, ay, bx, by) as :func:`near_pairs`, by lists."""
     out = None
     for left, right, big in _by_size(a, b):
-        found = _near_runs(left, right, within, a_dim, b_dim, options) if big else _near_whole(left, right, within, a_dim, b_dim, options)
+        if big:
+            found = _near_runs(left, right, within, a_dim, b_dim, options)
+            found = found.withColumns({"a_fid": F.array("a_fid"), "b_fid": F.array("b_fid")})
+        else:
+            found = _near_whole(left, right, within, a_dim, b_dim, options)
         out = found if out is None else out.unionByName(found)
     return out
 
 
 def _near_whole(a: DataFrame, b: DataFrame, within: float, a_dim: int | None, b_dim: int | None, options: dict) -> DataFrame:
     # the widened box of ``a`` only selects pairs; edges and anchors are untouched by it
-    pairs = candidate_pairs(shapes(a), shapes(b), reach=within, **options)
+    pairs = candidate_pairs(shapes(_classes(a)), shapes(_classes(b)), reach=within, **options)
     return _measured(pairs, r.meets(r.Side("a_", a_dim), r.Side("b_", b_dim))).filter(F.col("dist") <= within).drop("d2")
 
 
@@ -186,13 +241,24 @@ def nearest(a: DataFrame, b: DataFrame, a_dim: int | None = None, b_dim: int | N
     A packed tree over ``b`` gives every feature of ``a`` its own first distance and the few features within it, wherever
     both are crowded or far apart; only those are measured.
     """
-    pairs = cut_lineage(Tree(anchored(b)).near(anchored(a), **options))
+    mine = cut_lineage(_classes(a.filter("fid IS NOT NULL")).withColumn("_id", F.monotonically_increasing_id()))
+    known = with_bounds(b).filter("fid IS NOT NULL AND xmin IS NOT NULL AND ymin IS NOT NULL")
+    # of equal shapes the smallest id is the nearest
+    other = cut_lineage(one_each(known, (*BOUNDS, "geom")).withColumn("_id", F.monotonically_increasing_id()))
+
+    def numbered(classes: DataFrame) -> DataFrame:
+        return anchored(classes.select(F.col("_id").alias("fid"), *BOUNDS, "geom"))
 
-    def side(layer: DataFrame, name: str) -> DataFrame:
-        own = shapes(layer)
+    def side(classes: DataFrame, name: str) -> DataFrame:
+        own = shapes(classes, keep=("_id", "fid"))
         return own.select(*(F.col(c).alias(f"{name}_{c}") for c in own.columns))
 
-    whole = pairs.join(side(a, "a"), "a_fid").join(side(b, "b"), "b_fid")
-    measured = _measured(whole, r.meets(r.Side("a_", a_dim), r.Side("b_", b_dim)))
-    best = measured.groupBy("a_fid").agg(F.min_by(F.struct("b_fid", "dist", "ax", "ay", "bx", "by"), F.struct("dist", "b_fid")).alias("_m"))
-    return best.select("a_fid", "_m.*")
+    near = Tree(numbered(other)).near(numbered(mine), **options)
+    pairs = cut_lineage(near.select(F.col("a_fid").alias("a__id"), F.col("b_fid").alias("b__id")))
+    whole = pairs.join(side(mine, "a"), "a__id").join(side(other, "b"), "b__id")
+    measured = _measured(whole.drop("a_fid").withColumnRenamed("a__id", "a_fid"), r.meets(r.Side("a_", a_dim), r.Side("b_", b_dim)))
+    first = F.min_by(F.struct("b_fid", "dist", "ax", "ay", "bx", "by"), F.struct("dist", "b_fid")).alias("_m")
+    best = measured.groupBy(F.col("a_fid").alias("_id")).agg(first).join(mine.select("_id", "fid"), "_id")
+    every = best.select(F.explode("fid").alias("a_fid"), "_m.*")
+    # an id may stand for several shapes
+    return every.groupBy("a_fid").agg(first).select("a_fid", "_m.*")
