@@ -135,6 +135,13 @@ def inner_contact(a: Side, b: Side) -> str:
     return f"exists({a.es}, ic_e -> exists({b.es}, ic_f -> {_near('ic_e', 'ic_f')} AND exists({pts}, ic_p -> {free})))"
 
 
+def _along(a: Side, b: Side) -> str:
+    """Some edges of two lines run along each other: no other edge can hold the middle of a piece."""
+    cross = "(al_e.x2 - al_e.x1) * (al_f.y2 - al_f.y1) - (al_e.y2 - al_e.y1) * (al_f.x2 - al_f.x1)"
+    span = "(1 + abs(al_e.x2 - al_e.x1) + abs(al_e.y2 - al_e.y1)) * (1 + abs(al_f.x2 - al_f.x1) + abs(al_f.y2 - al_f.y1))"
+    return f"exists({a.es}, al_e -> exists({b.es}, al_f -> abs({cross}) <= {x.TOLERANCE} * {span}))"
+
+
 def holds_anchor(outer: Side, inner: Side) -> str:
     """A polygon feature holds the first vertex of some part of the other feature."""
     held = f"exists({inner.anchors}, ha_v -> {x.locate('ha_v.x', 'ha_v.y', outer.es)} > 0)"
@@ -184,7 +191,7 @@ def predicate(name: str, a: Side | str = "a_", b: Side | str = "b_") -> str:
             f"CASE WHEN {proper_cross(a, b)} THEN true WHEN {ao} THEN {ai} OR ({bo} AND {bi}) ELSE {bi} AND ({bo} OR {ai}) END"
         )
         thin = f"{ai} AND {ao} AND {bo}"
-        return _cases(([(a, 2), (b, 2)], areas), ([(a, 1), (b, 1)], thin), ([(a, 0), (b, 0)], thin), default="false")
+        return _cases(([(a, 2), (b, 2)], areas), ([(a, 1), (b, 1)], f"{_along(a, b)} AND {thin}"), ([(a, 0), (b, 0)], thin), default="false")
     if name == "crosses":
         over, under = f"{ai} AND {ao}", f"{bi} AND {bo}"
         return _cases(
