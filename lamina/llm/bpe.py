@@ -27,6 +27,8 @@ from pyspark.sql import types as T
 
 from lamina.llm.common import Memo, adds, blocks, quoted
 
+BLOCK_BYTES = 1_000_000  # text or ids worked on at once by a Python worker
+ROOM = 400_000  # chunks a Python worker remembers
 SHORT = 96  # symbols up to which a word is merged by scanning
 NONE = 1 << 30  # the rank of a pair that never merges
 
@@ -122,10 +124,10 @@ SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 class WordEncoder:
     """Encodes texts with a vocabulary that has word ends: canonical composition, one-to-one lower case, white space dropped."""
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str = WORDS):
+    def __init__(self, vocabulary: Vocabulary, pattern: str = WORDS, room: int = ROOM):
         self.vocabulary, self.pattern, self.space = vocabulary, regex.compile(pattern), regex.compile(r"\s+")
         self.specials = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(vocabulary.special, key=len, reverse=True)) + ")") if vocabulary.special else None
-        self.memo = Memo(self._chunk)
+        self.memo = Memo(self._chunk, room=room)
 
     def _chunk(self, chunk: str) -> bytes:
         # lower case letter by letter: a sigma that ends a word has no form of its own
@@ -157,20 +159,21 @@ def _with(part: pa.RecordBatch, kept: list[str], values: pa.Array, name: str) ->
     return pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), values], names=[*kept, name])
 
 
-def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "ids", room: int = ROOM) -> DataFrame:
     """``df`` with the token ids of ``text`` as array<int> ``ids`` (in place of a column of that name).
 
     Null, empty and blank texts have no tokens (an empty array); whole texts are encoded whatever their length; repeated rows stay;
-    an empty table gives an empty result.  Other columns pass unchanged.
+    an empty table gives an empty result.  Other columns pass unchanged.  A worker remembers up to ``room`` chunks: fewer take
+    less memory and more time.
     """
     shared = df.sparkSession.sparkContext.broadcast(vars(Vocabulary.load(vocabulary_path)))
     kept = adds(df, ids)
     given = df.select(*quoted(kept), F.col(quoted([text])[0]).cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(Vocabulary(**shared.value))
+        encoder = WordEncoder(Vocabulary(**shared.value), room=room)
         for batch in batches:
-            for part, texts in blocks(batch, "__text"):
+            for part, texts in blocks(batch, "__text", BLOCK_BYTES):
                 yield _with(part, kept, _lists([encoder.encode(t) for t in texts]), ids)
 
     schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(ids, T.ArrayType(T.IntegerType()))])
@@ -180,15 +183,17 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "
 def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``df`` with the text of the token ids as ``decoded``: the token strings joined by a space, special tokens included, as the
     vocabulary file defines no decoder of its own.  A null array gives an empty text."""
-    shared = df.sparkSession.sparkContext.broadcast(vars(Vocabulary.load(vocabulary_path)))
+    shared = df.sparkSession.sparkContext.broadcast(Vocabulary.load(vocabulary_path).tokens)
     kept = adds(df, decoded)
     given = df.select(*quoted(kept), F.col(quoted([ids])[0]).alias("__ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = shared.value["tokens"]
+        token = shared.value.__getitem__
         for batch in batches:
-            for part, lists in blocks(batch, "__ids"):
-                texts = [" ".join([tokens[i] for i in v]) if v else "" for v in (x.as_py() for x in lists)]
+            for part, lists in blocks(batch, "__ids", BLOCK_BYTES):
+                ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
+                flat = lists.flatten().to_numpy(zero_copy_only=False)
+                texts = [" ".join(map(token, flat[i:j].tolist())) for i, j in zip([0, *ends], ends)]
                 yield _with(part, kept, pa.array(texts, type=pa.string()), decoded)
 
     return given.mapInArrow(run, T.StructType([*(df.schema[c] for c in kept), T.StructField(decoded, T.StringType())]))

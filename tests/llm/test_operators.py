@@ -661,3 +661,18 @@ def test_pipeline_keeps_the_rows_of_brute_force(spark, tmp_path):
     left = corpus_pipeline.drop_near_copies(spark, given, str(tmp_path)).collect()
     assert sorted(((r.doc_id, r.text) for r in left), key=repr) == sorted((rows[i] for i in kept), key=repr)
     assert sorted((tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_decoding_keeps_null_and_empty_lists_apart_from_their_neighbours(spark):
+    """Any worker's memory gives the same ids, and lists are cut out of a block at the right places."""
+    import public_tokenizers
+
+    from lamina.llm import bpe
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(["one two", None, "", "three", "one two three"] * 20)], "id long, text string").coalesce(1)
+    whole, little = ({r.id: r.ids for r in bpe.encode(rows, path, room=n).collect()} for n in (400_000, 1))
+    assert whole == little
+    tokens = bpe.Vocabulary.load(path).tokens
+    lists = spark.createDataFrame([(i, None if i % 5 == 1 else v) for i, v in whole.items()], "id long, ids array<int>").coalesce(1)
+    assert {r.id: r.decoded for r in bpe.decode(lists, path).collect()} == {i: " ".join(tokens[k] for k in v) for i, v in whole.items()}
