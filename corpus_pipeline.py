@@ -44,7 +44,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, token ids and their number for every document left."""
     import public_tokenizers
 
-    coded = bpe.encode(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    coded = bpe.encode(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), room=100_000)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
