@@ -169,11 +169,10 @@ def equal_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     Joined on the bounds and a hash of the outline, so big outlines are not shuffled as keys.
     """
     def keyed(layer: DataFrame, side: str) -> DataFrame:
-        base = with_bounds(layer).select(
-            "fid", *(F.col(c).alias(f"_{c}") for c in BOUNDS),
+        base = _classes(layer).select(
+            F.col("fid").alias(f"{side}_fid"), *(F.col(c).alias(f"_{c}") for c in BOUNDS),
             F.expr(r.edge_key(x.edges("geom"))).alias(f"_{side}key"), F.expr(x.dimension("geom")).alias("_dim"))
-        known = base.filter(" AND ".join(f"_{c} IS NOT NULL" for c in (*BOUNDS, f"{side}key", "dim")))
-        return packed(known.withColumn("_hash", F.xxhash64(f"_{side}key")), [*on, f"_{side}key"]).withColumnRenamed("fid", f"{side}_fid")
+        return base.withColumn("_hash", F.xxhash64(f"_{side}key"))
 
     on = [*(f"_{c}" for c in BOUNDS), "_dim", "_hash"]
     return each(keyed(a, "a").join(keyed(b, "b"), on).filter("_akey = _bkey").select("a_fid", "b_fid"))
