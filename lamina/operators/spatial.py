@@ -166,7 +166,7 @@ def related_classes(a: DataFrame, b: DataFrame, relation: str, a_dim: int | None
 def equal_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     """(a_fid, b_fid) of features with the same outline, whatever its start and direction.
 
-    Joined on the bounds and a hash of the outline, so big outlines are not shuffled as keys.
+    Equal geometries are grouped first (so outlines are shuffled once), then joined on the bounds and a hash of the outline.
     """
     def keyed(layer: DataFrame, side: str) -> DataFrame:
         base = _classes(layer).select(
