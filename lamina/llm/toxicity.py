@@ -3,12 +3,13 @@
 A word is the sum of hashed embeddings: of itself and of its first 3, 4 and 5 letters (a stem stands for its forms).  Filters of several
 widths slide over the words of a whole text, each keeps its maximum, and a logistic layer turns the maxima into a score.  The first
 embedding dimension starts from the class log-odds of its bucket, smoothed so that rare words start near 0; all weights are then trained
-by Adam on minibatches.  Thresholds are calibrated by language on a part of the sample that training doesn't see; they decide
+by Adam on minibatches.  Thresholds are calibrated by language on a fifth of the labelled texts that training doesn't see; they decide
 ``toxic`` and are no input of the score.
 
-Training runs on the driver on a bounded sample: at most ``max_toxic`` and ``max_clean`` labelled texts, of at most ``max_words`` words a class
-(the ids with the smallest hashes, so the choice doesn't depend on partitioning).  The model (``BUCKETS`` x ``DIM`` numbers)
-is broadcast; scoring reads every text once, in full, without a shuffle.
+Training reads every labelled text.  Texts are cut into words once and written as word numbers, in parts of about ``PART_TEXTS`` texts by
+hash, so the parts don't depend on partitioning.  Log-odds are counted by Spark.  Every pass trains a copy of the model on each part and
+takes their mean, weighted by texts; what reaches the driver is the model (``BUCKETS`` x ``DIM`` numbers) and, for thresholds, counts of
+scores in steps of 1 / ``STEPS``.  The model is broadcast; scoring reads every text once, in full, without a shuffle.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.llm.common import Memo, adds, blocks, quoted
+from lamina.llm.common import SMALL_KEYS, Memo, adds, blocks, quoted
+from lamina.session import cut_lineage
 
 BUCKETS = 1 << 17
 DIM = 8
@@ -32,7 +34,11 @@ WIDTHS = (1, 2, 3)
 FILTERS = 6  # of each width
 PREFIXES = (3, 4, 5)
 SMOOTHING = 10.0
-EPOCHS = 6
+EPOCHS = 6  # passes over a single part
+PASSES = 3  # over several parts, each of which takes as many steps a pass as the single one
+PART_TEXTS = 4000
+BATCH_WORDS = 400_000  # a minibatch ends here, however long its texts are
+STEPS = 10_000  # of a score, for thresholds
 RATE, EMBEDDING_RATE = 0.01, 0.0005
 TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 FALLBACK = ""  # the language of texts whose own has no threshold
@@ -121,7 +127,11 @@ def log_odds(buckets: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     n = np.zeros((2, BUCKETS), dtype=np.float32)
     for b, y in zip(buckets, labels):
         n[int(y), np.unique(b)] += 1
-    share = max(1e-3, min(1 - 1e-3, float(labels.mean())))
+    return _odds(n, float(labels.mean()))
+
+
+def _odds(n: np.ndarray, share: float) -> np.ndarray:
+    share = max(1e-3, min(1 - 1e-3, share))
     return np.log((n[1] + SMOOTHING * share) / (n[0] + SMOOTHING * (1 - share)) * (1 - share) / share).astype(np.float32)
 
 
@@ -146,9 +156,8 @@ class Adam:
 def fit(read: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 7, batch: int = 32) -> Model:
     """Train on texts in memory, each as a ``Reader`` gives it."""
     model = Model.fresh(log_odds([b.ravel() for b, _, _ in read], labels), seed)
-    base = np.array([np.log((labels.mean() + 1e-3) / (1 - labels.mean() + 1e-3))], np.float32)
-    # embeddings move slowly: rare words of few texts would be learnt by heart
-    adam = Adam([model.embedding, *model.filters, model.bias, model.out, base], [EMBEDDING_RATE] + [RATE] * (len(WIDTHS) + 3))
+    base = np.array([_base(float(labels.mean()))], np.float32)
+    adam = _adam(model, base)
     rng = np.random.default_rng(seed)
     for _ in range(EPOCHS):
         for at in np.array_split(rng.permutation(len(read)), max(1, len(read) // batch)):
@@ -157,6 +166,15 @@ def fit(read: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarra
     return model
 
 
+def _base(share: float) -> float:
+    return float(np.log((share + 1e-3) / (1 - share + 1e-3)))
+
+
+def _adam(model: Model, base: np.ndarray) -> Adam:
+    # embeddings move slowly: rare words of few texts would be learnt by heart
+    return Adam([model.embedding, *model.filters, model.bias, model.out, base], [EMBEDDING_RATE] + [RATE] * (len(WIDTHS) + 3))
+
+
 def _train(model: Model, adam: Adam, base: np.ndarray, read: list, labels: np.ndarray) -> None:
     offset, buckets, flat, lengths = 0, [], [], []
     for b, f, n in read:
@@ -198,14 +216,22 @@ def _train(model: Model, adam: Adam, base: np.ndarray, read: list, labels: np.nd
     adam.step([(touched, g_e), *g_filters, g_top.sum(axis=0), g_out, np.array([d.sum()], np.float32)])
 
 
-def best_threshold(scores: np.ndarray, labels: np.ndarray, prior: float = 0.3, weight: float = 2.0) -> float:
-    """The threshold with the fewest errors, nearest to ``prior`` among equals; ``weight`` texts scored at ``prior`` steady small samples."""
+def best_threshold(scores: np.ndarray, labels: np.ndarray, prior: float = 0.3, weight: float = 2.0, counts: np.ndarray | None = None) -> float:
+    """The threshold with the fewest errors, nearest to ``prior`` among equals; ``weight`` texts scored at ``prior`` steady small samples.
+
+    A score stands for as many texts as ``counts`` says, if given.
+    """
     if not len(scores) or labels.all() or not labels.any():
         return prior
     cuts = np.unique(np.concatenate([np.sort(scores), [prior, 1.0]]))
     middle = np.concatenate([[prior], (cuts[1:] + cuts[:-1]) / 2])
     middle = middle[(middle >= 0.02) & (middle <= 0.98)]
-    errors = np.array([((scores >= c) != labels).sum() + weight * abs(c - prior) for c in middle])
+    order = np.argsort(scores, kind="stable")
+    n = (np.ones(len(scores), np.int64) if counts is None else counts)[order]
+    toxic = np.concatenate([[0], np.cumsum(n * labels[order])])
+    clean = np.concatenate([[0], np.cumsum(n * ~labels[order])])
+    below = np.searchsorted(scores[order], middle, side="left")
+    errors = toxic[below] + clean[-1] - clean[below] + weight * np.abs(middle - prior)
     return float(middle[errors.argmin()])
 
 
@@ -216,25 +242,189 @@ class Classifier:
 
 
 def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", label: str = "toxic", use: Column | None = None,
-          max_toxic: int = 2000, max_clean: int = 4000, max_words: int = 6_000_000) -> Classifier:
-    """Fit on the labelled rows of ``docs`` (those with ``use``, if given).
+          max_toxic: int | None = None, max_clean: int | None = None, max_words: int | None = None) -> Classifier:
+    """Fit on all labelled rows of ``docs`` (those with ``use``, if given).
 
     Null labels and null texts are left out.  Without texts of both classes the model scores every text alike, by their share.
+    A caller who gives any of ``max_toxic``, ``max_clean`` (texts) and ``max_words`` (of a class) asks for a trial on a sample of that
+    size instead, trained on the driver.
     """
     known = labels.where(F.col(quoted([label])[0]).isin(0, 1)).select(F.col(quoted([id])[0]).alias("__id"), F.col(quoted([label])[0]).cast("int").alias("y"))
     t, language = F.col(quoted([text])[0]).cast("string"), F.col(quoted([lang])[0]) if lang in docs.columns else F.lit(None)
     rows = docs.where(use) if use is not None else docs
     rows = rows.select(F.col(quoted([id])[0]).alias("__id"), t.alias("t"), language.cast("string").alias("lang")).where("t IS NOT NULL")
-    # the sample is chosen from ids alone; its texts then come by a broadcast of at most max_toxic or max_clean ids
+    most = (max_toxic, max_clean, max_words)
+    return _train_on_all(known.distinct(), rows) if most == (None, None, None) else _train_on_some(known, rows, *most)
+
+
+def _flat(share: float) -> Classifier:
+    flat = Model.fresh(np.zeros(BUCKETS, np.float32))
+    flat.out[:] = 0
+    flat.base = _base(share)
+    return Classifier(flat, {FALLBACK: 0.3})
+
+
+def _train_on_all(known: DataFrame, rows: DataFrame) -> Classifier:
+    labelled = rows.join(F.broadcast(known) if known.count() <= SMALL_KEYS else known, "__id")
+    parts = max(1, labelled.count() // PART_TEXTS)
+    texts = labelled.select("y", "lang", "t", F.xxhash64("__id", "t").alias("h")).mapInArrow(_read, "y int, lang string, held boolean, h long, buckets binary, words binary")
+    # the hash is also the order of training
+    read = cut_lineage(texts.withColumn("part", F.expr(f"CAST(pmod(h, {parts}) AS int)")).repartition("part").sortWithinPartitions("part", "h", "y"))
+    sizes = {(r["y"], r["held"]): r["count"] for r in read.groupBy("y", "held").count().collect()}  # at most four
+    n = {held: np.array([sizes.get((y, held), 0) for y in (0, 1)]) for held in (False, True)}
+    both = n[False] + n[True]
+    if not both.all():
+        return _flat(float(both[1] / both.sum()) if both.sum() else 0.0)
+    apart = bool(n[False].all() and n[True].any())
+    seen, size = (read.where("NOT held"), n[False]) if apart else (read, both)
+    share = float(size[1] / size.sum())
+    counts = np.zeros((2, BUCKETS), np.float32)
+    found = seen.select("y", "buckets").mapInArrow(_count, "y int, bucket int, n long").groupBy("y", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts[found["y"].to_numpy(), found["bucket"].to_numpy()] = found["n"].to_numpy()
+    model = Model.fresh(_odds(counts, share))
+    model.base = _base(share)
+    for _ in range(EPOCHS if parts == 1 else PASSES):
+        _pass(seen.select("part", "y", "buckets", "words"), model, int(size.sum()))
+    return Classifier(model, _thresholds(read.where("held"), model) if apart else {FALLBACK: 0.3})
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as word numbers, and whether they are held back for thresholds."""
+    reader = Reader(room=100_000)
+    for batch in batches:
+        for part, texts in blocks(batch, "t", 1_000_000):
+            read = [reader([t]) for t in texts]
+            held = [xxhash.xxh3_64_intdigest(t) % 5 == 0 for t in texts]
+            own = [pa.array([r[i].tobytes() for r in read], pa.binary()) for i in (0, 1)]
+            y, lang, h = (part.column(part.schema.get_field_index(c)) for c in ("y", "lang", "h"))
+            yield pa.RecordBatch.from_arrays([y, lang, pa.array(held), h, *own], names=["y", "lang", "held", "h", "buckets", "words"])
+
+
+def _buckets(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, np.int32).reshape(-1, len(PREFIXES) + 1)
+
+
+def _columns(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
+    """Values row by row; binary columns one value at a time."""
+    return zip(*((v.as_py() for v in batch.column(batch.schema.get_field_index(c))) for c in names))
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(y, bucket, n): texts with a bucket, by class."""
+    n = np.zeros((2, BUCKETS), np.int64)
+    for batch in batches:
+        for y, b in _columns(batch, "y", "buckets"):
+            n[y, np.unique(_buckets(b))] += 1
+    for y in (0, 1):
+        at = np.flatnonzero(n[y])
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), y, np.int32)), pa.array(at.astype(np.int32)), pa.array(n[y, at])], names=["y", "bucket", "n"])
+
+
+def _dense(model: Model) -> list[np.ndarray]:
+    return [*model.filters, model.bias, model.out]
+
+
+def _pass(seen: DataFrame, model: Model, size: int) -> None:
+    """One pass: ``model`` moves by the mean of the moves of its copies, each trained on one part, weighted by texts."""
+    spark = seen.sparkSession
+    shared = spark.sparkContext.broadcast((model.embedding, model.filters, model.bias, model.out, model.base))
+    names = [f"d{i}" for i in range(DIM)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        copy = None
+        for batch in batches:
+            for part, y, b, w in _columns(batch, "part", "y", "buckets", "words"):
+                if copy is None or copy.part != part:
+                    if copy is not None:
+                        yield copy.moved(names)
+                    copy = _Copy(shared.value, part)
+                copy.add(y, _buckets(b), np.frombuffer(w, np.int32))
+        if copy is not None:
+            yield copy.moved(names)
+
+    moves = seen.mapInArrow(run, "at int, " + ", ".join(f"{d} double" for d in names)).groupBy("at").agg(*(F.sum(d).alias(d) for d in names)).toArrow()
+    at, by = moves["at"].to_numpy(), np.stack([moves[d].to_numpy() for d in names], axis=1) / size
+    model.embedding[at[at >= 0]] += by[at >= 0].astype(np.float32)
+    dense = np.zeros((-min(0, int(at.min())), DIM))
+    dense[-1 - at[at < 0]] = by[at < 0]
+    rest = dense.ravel()
+    for a in _dense(model):
+        a += rest[: a.size].reshape(a.shape).astype(np.float32)
+        rest = rest[a.size :]
+    model.base += float(rest[0])
+    shared.unpersist()
+
+
+class _Copy:
+    """A copy of a model that is trained on one part."""
+
+    def __init__(self, given: tuple, part: int):
+        self.given, self.part, self.n, self.words, self.read, self.labels = given, part, 0, 0, [], []
+        embedding, filters, bias, out, base = given
+        self.model = Model(embedding.copy(), [k.copy() for k in filters], bias.copy(), out.copy(), base)
+        self.base = np.array([base], np.float32)
+        self.adam = _adam(self.model, self.base)
+
+    def add(self, y: int, buckets: np.ndarray, words: np.ndarray, batch: int = 32) -> None:
+        self.read.append((buckets, words, [len(words)]))
+        self.labels.append(y)
+        self.words += len(words)
+        if len(self.read) == batch or self.words >= BATCH_WORDS:
+            self.step()
+
+    def step(self) -> None:
+        if self.read:
+            _train(self.model, self.adam, self.base, self.read, np.array(self.labels, np.float32))
+        self.n, self.words, self.read, self.labels = self.n + len(self.read), 0, [], []
+
+    def moved(self, names: list[str]) -> pa.RecordBatch:
+        """Rows (at, moves): buckets from 0, the other weights in rows from -1 down, times the texts of the part."""
+        self.step()
+        embedding, filters, bias, out, base = self.given
+        change = self.model.embedding.astype(np.float64) - embedding
+        at = np.flatnonzero(change.any(axis=1))
+        before = [*filters, bias, out, np.array([base], np.float32)]
+        rest = np.concatenate([(a.astype(np.float64) - b).ravel() for a, b in zip([*_dense(self.model), self.base], before)])
+        rest = np.pad(rest, (0, -len(rest) % DIM)).reshape(-1, DIM)
+        moves = np.concatenate([change[at], rest]) * self.n
+        places = np.concatenate([at, -1 - np.arange(len(rest))]).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(places), *(pa.array(moves[:, i].copy()) for i in range(DIM))], names=["at", *names])
+
+
+def _thresholds(held: DataFrame, model: Model) -> dict[str, float]:
+    """The general threshold and one a language, from counts of the scores of all texts held back."""
+    shared = held.sparkSession.sparkContext.broadcast((model.embedding, model.filters, model.bias, model.out, model.base))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(*shared.value)
+        for batch in batches:
+            scores = [own.score(_buckets(b), np.frombuffer(w, np.int32), np.array([len(w) // 4]))[0] for b, w in _columns(batch, "buckets", "words")]
+            steps = pa.array(np.round(np.array(scores, np.float64) * STEPS).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in ("lang", "y")), steps], names=["lang", "y", "step"])
+
+    counts = cut_lineage(held.select("lang", "y", "buckets", "words").mapInArrow(run, "lang string, y int, step int").groupBy("lang", "y", "step").agg(F.count(F.lit(1)).alias("n")))
+    every = counts.groupBy("y", "step").agg(F.sum("n").alias("n")).toPandas()  # at most two for each step
+    general = best_threshold(every["step"].to_numpy() / STEPS, every["y"].to_numpy() == 1, counts=every["n"].to_numpy())
+
+    def own(rows):
+        cut = best_threshold(rows["step"].to_numpy() / STEPS, rows["y"].to_numpy() == 1, general, counts=rows["n"].to_numpy())
+        return rows.head(1)[["lang"]].assign(cut=cut)
+
+    by = counts.where("lang IS NOT NULL").groupBy("lang").applyInPandas(own, "lang string, cut double").collect()
+    return {FALLBACK: general, **{r["lang"]: r["cut"] for r in sorted(by, key=lambda r: r["lang"])}}
+
+
+def _train_on_some(known: DataFrame, rows: DataFrame, max_toxic: int | None, max_clean: int | None, max_words: int | None) -> Classifier:
+    # the sample is chosen from ids alone, those with the smallest hashes; its texts then come by a broadcast of as many ids
     labelled = known.join(rows.select("__id"), "__id", "left_semi").distinct().withColumn("h", F.xxhash64("__id"))
     reader = Reader(room=20_000)
     read, ys, langs, held = [], [], [], []
-    for y, most in ((1, max_toxic), (0, max_clean)):
+    for y, most in ((1, 2000 if max_toxic is None else max_toxic), (0, 4000 if max_clean is None else max_clean)):
         chosen = F.broadcast(labelled.where(F.col("y") == y).orderBy("h", "__id").limit(most))
         size = 0
         for r in rows.join(chosen, "__id").orderBy("h", "__id", "t").limit(most).toLocalIterator():
             one = reader([r["t"]])
-            if size + int(one[2][0]) > max_words:
+            if size + int(one[2][0]) > (6_000_000 if max_words is None else max_words):
                 continue  # a later text may fit
             size += int(one[2][0])
             read.append(one)
@@ -243,11 +433,7 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
             held.append(xxhash.xxh3_64_intdigest(r["t"]) % 5 == 0)
     y = np.array(ys, dtype=np.int64)
     if len(set(ys)) < 2:
-        share = float(y.mean()) if len(y) else 0.0
-        flat = Model.fresh(np.zeros(BUCKETS, np.float32))
-        flat.out[:] = 0
-        flat.base = float(np.log((share + 1e-3) / (1 - share + 1e-3)))
-        return Classifier(flat, {FALLBACK: 0.3})
+        return _flat(float(y.mean()) if len(y) else 0.0)
     held = np.array(held)
     if len(set(y[~held])) < 2 or not held.any():
         held[:] = False

@@ -617,6 +617,24 @@ def test_toxicity_skips_only_the_text_that_does_not_fit(spark, monkeypatch):
     assert sorted((n, int(y)) for n, y in seen) == sorted((3, i % 2) for i in range(8, 40) if i not in held)
 
 
+def test_toxicity_learns_from_every_labelled_text_in_several_parts(spark, monkeypatch):
+    """Words that only the labelled texts with the largest hashes hold are learnt, and copies trained on parts make one model."""
+    order = [r.id for r in spark.range(2400).orderBy(F.xxhash64("id")).collect()]
+    late = set(order[2100:])
+    rows = [(i, f"zarg mip n{i}" if i in late else f"bad{i % 7} mip n{i}", "en") for i in range(2400)] + [(i, f"lor{i % 9} mip n{i}", "fr") for i in range(2400, 3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(i, int(i < 2400)) for i in range(3000)], "doc_id long, toxic int")
+    odds, fresh = [], toxicity.Model.fresh
+    monkeypatch.setattr(toxicity.Model, "fresh", staticmethod(lambda log_odds, seed=7: odds.append(log_odds) or fresh(log_odds, seed)))
+    monkeypatch.setattr(toxicity, "PART_TEXTS", 700, raising=False)
+    got = toxicity.score(docs, toxicity.train(docs, marks)).collect()
+    assert odds[0][np.frombuffer(toxicity.features("zarg"), np.int32)[0]] > 1
+    assert all(r.toxic == (r.doc_id < 2400) for r in got)
+    rng = np.random.default_rng(3)
+    steps, toxic, n = rng.integers(0, 50, 400), rng.random(400) < 0.4, rng.integers(1, 5, 400)
+    assert toxicity.best_threshold(steps / 50, toxic, counts=n) == toxicity.best_threshold(np.repeat(steps / 50, n), np.repeat(toxic, n))
+
+
 @pytest.mark.parametrize("key", sorted(queries.ORACLES))
 def test_oracles(spark, key):
     assert compare(spark, connect(SF), queries.QUERIES[key], queries.ORACLES[key], SF) is None
