@@ -39,6 +39,11 @@ def vertex_table(layer: DataFrame, keep: tuple[str, ...] = ("fid",), geom: str =
     return flat.select(*keep, "part", "ring", "seq", "_v.x", "_v.y", "_v.z")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The same rows over all tasks: a table of few bytes lies in one split, whose task would also make all geometries of its rows."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def edge_table(layer: DataFrame, keep: tuple[str, ...] = ("fid",), geom: str = "geom") -> DataFrame:
     """One row per edge of lines and polygon rings."""
     flat = _rings(layer, keep, geom).select(

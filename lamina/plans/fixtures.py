@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.functions import exprs as x
+from lamina.operators.tables import spread
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -101,6 +102,16 @@ def layer(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return rows(spark, sf, name).withColumn("geom", F.expr(GEOMETRY[name]))
 
 
+def spread_rows(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """``rows`` in any order, dealt to all tasks before anything is made of them."""
+    return spread(rows(spark, sf, name))
+
+
+def spread_layer(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """``layer`` in any order, its geometry made by all tasks."""
+    return spread_rows(spark, sf, name).withColumn("geom", F.expr(GEOMETRY[name]))
+
+
 def with_layers(*names: str) -> str:
     """WITH clause defining the named layers, for the reference SQL."""
     return "WITH " + ", ".join(f"{n} AS ({LAYERS[n].strip()})" for n in names) + " "

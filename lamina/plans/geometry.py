@@ -10,7 +10,7 @@ from lamina.operators import aggregates as ag
 from lamina.operators import clip, lines, validity
 from lamina.operators.tables import edge_table, part_table, ring_table, vertex_table, with_bounds
 from lamina.plans.catalog import query
-from lamina.plans.fixtures import layer, rows, with_layers
+from lamina.plans.fixtures import layer, rows, spread_rows, with_layers
 
 # ---------------------------------------------------------------- E10-E15: aggregates over groups
 
@@ -86,7 +86,7 @@ def geo_dissolve(spark, sf):
 @query("geo_dissolve_rings", with_layers("part_donut") + """
     SELECT fid, CAST(1 AS BIGINT) AS n_rings, CAST(8 AS BIGINT) AS n_edges, CAST(s * s AS BIGINT) AS area FROM part_donut""")
 def geo_dissolve_rings(spark, sf):
-    square = rows(spark, sf, "part_donut")
+    square = spread_rows(spark, sf, "part_donut")
     quarters = square.select("fid", "x0", "y0", "s", F.explode(F.expr("sequence(0, 3)")).alias("q")).withColumn("geom", F.expr(
         x.box("x0 + (q % 2) * s / 2", "y0 + (q div 2) * s / 2", "x0 + (q % 2 + 1) * s / 2", "y0 + (q div 2 + 1) * s / 2")))
     rings = ag.trace_rings(ag.outline_edges(quarters, ["fid"]), ["fid"])
@@ -96,7 +96,7 @@ def geo_dissolve_rings(spark, sf):
 
 def _frames(spark, sf):
     """Squares with a square hole, (fid, x, y, s) with s a multiple of four: one per supplier."""
-    return rows(spark, sf, "supplier_tri").selectExpr("fid", "4 * x0 AS x", "4 * y0 AS y", "4 * w AS s")
+    return spread_rows(spark, sf, "supplier_tri").selectExpr("fid", "4 * x0 AS x", "4 * y0 AS y", "4 * w AS s")
 
 
 # twelve cells around a hole dissolve into a square with a hole

@@ -10,7 +10,9 @@ from lamina.operators import spatial as sp
 from lamina.operators.copies import each, ids
 from lamina.operators.tables import BOUNDS
 from lamina.plans.catalog import query
-from lamina.plans.fixtures import layer, rows, with_layers
+from lamina.plans.fixtures import spread_layer as layer
+from lamina.plans.fixtures import spread_rows as rows
+from lamina.plans.fixtures import with_layers
 
 _MEET = "a.xmin <= b.xmax AND a.xmax >= b.xmin AND a.ymin <= b.ymax AND a.ymax >= b.ymin"
 _INNER = "a.xmin < b.xmax AND a.xmax > b.xmin AND a.ymin < b.ymax AND a.ymax > b.ymin"

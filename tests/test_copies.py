@@ -64,3 +64,13 @@ def test_equal_outlines_meet_once(spark):
     a = _layer(spark, [(i, "POLYGON((0 0,4 0,4 4,0 4,0 0))") for i in range(30)])
     b = _layer(spark, [(i, "POLYGON((4 4,4 0,0 0,0 4,4 4))") for i in range(20)] + [(50, "POLYGON((4 4,4 0,0 0,4 4))")])
     assert _tuples(sp.equal_pairs(a, b), "a_fid", "b_fid") == sorted(((i, j) for i in range(30) for j in range(20)), key=repr)
+
+
+def test_geometries_of_a_small_file_are_made_by_all_tasks(spark):
+    from lamina.plans import fixtures, spatial
+
+    sf = "/root/testdata/sf0.01"
+    cores = spark.sparkContext.defaultParallelism
+    made = spatial.layer(spark, sf, "part_box")
+    assert made.select(F.spark_partition_id().alias("p")).distinct().count() == cores > 1
+    assert _tuples(made, "fid", "p_size", "geom") == _tuples(fixtures.layer(spark, sf, "part_box"), "fid", "p_size", "geom")
