@@ -25,13 +25,12 @@ def packed(rows: DataFrame, on: list[str], carried: tuple[str, ...] = (), copies
     copies = COPIES if copies is None else copies
     # the hash only sorts fast and tells how many rows a shape gets; shapes are told apart by their values
     keyed = rows.select(*on, "fid", *carried).withColumn("_h", F.xxhash64(*on))
-    counts = keyed.groupBy("_h").agg(F.count(F.lit(1)).alias("_c"))
-    total = counts.agg(F.max("_c").alias("most"), F.sum("_c").alias("all")).first()
-    salt = F.lit(0)
-    if total.most is not None and total.most > copies:
-        often = counts.filter(F.col("_c") > copies).select("_h", F.ceil(F.col("_c") / copies).cast("long").alias("_n"))
-        few = total["all"] // copies * SHAPE_BYTES <= SMALL_BYTES
-        keyed = keyed.join(F.broadcast(often) if few else often.hint("merge"), "_h", "left")
+    # counted once and written: the rows are read twice in all, here and for the lists
+    often = cut_lineage(keyed.groupBy("_h").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > copies).select(
+        "_h", F.ceil(F.col("_c") / copies).cast("long").alias("_n")))
+    salt, n = F.lit(0), often.count()
+    if n:
+        keyed = keyed.join(F.broadcast(often) if n * SHAPE_BYTES <= SMALL_BYTES else often.hint("merge"), "_h", "left")
         salt = F.expr("pmod(xxhash64(fid), coalesce(_n, 1L))")
     lists = keyed.withColumn("_salt", salt).groupBy("_h", *on, "_salt").agg(F.collect_list(F.struct("fid", *carried)).alias("_m"))
     return cut_lineage(lists.select(*on, F.expr("_m" if carried else "transform(_m, pk_m -> pk_m.fid)").alias("fid")))

@@ -40,8 +40,12 @@ def vertex_table(layer: DataFrame, keep: tuple[str, ...] = ("fid",), geom: str =
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """The same rows over all tasks: a table of few bytes lies in one split, whose task would also make all geometries of its rows."""
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    """The same rows over all tasks: a table of few bytes lies in one split, whose task would also make all geometries of its rows.
+
+    Rows are dealt in turn by their number in the split; dealing them without a key would first sort the split in its one task.
+    """
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.withColumn("_turn", F.monotonically_increasing_id()).repartition(tasks, "_turn").drop("_turn")
 
 
 def edge_table(layer: DataFrame, keep: tuple[str, ...] = ("fid",), geom: str = "geom") -> DataFrame:

@@ -74,3 +74,26 @@ def test_geometries_of_a_small_file_are_made_by_all_tasks(spark):
     made = spatial.layer(spark, sf, "part_box")
     assert made.select(F.spark_partition_id().alias("p")).distinct().count() == cores > 1
     assert _tuples(made, "fid", "p_size", "geom") == _tuples(fixtures.layer(spark, sf, "part_box"), "fid", "p_size", "geom")
+
+
+def test_rows_are_read_twice_to_be_packed(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(i):
+        seen.add(1)
+        return i, float(i % 2)
+
+    rows = spark.createDataFrame(spark.sparkContext.range(600, numSlices=3).map(read), "fid long, x double")
+    lists = copies.packed(rows, ["x"], copies=50)
+    assert lists.selectExpr("sum(size(fid))", "count(*) > 6").first() == (600, True)
+    assert seen.value == 1200
+
+
+def test_rows_are_dealt_evenly_without_a_sort(spark):
+    from lamina.operators.tables import spread
+
+    rows = spark.range(4000, numPartitions=1).select(F.lit(7).alias("fid"))
+    dealt = spread(rows)
+    counts = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert dealt.columns == ["fid"] and sum(counts) == 4000 and len(counts) == spark.sparkContext.defaultParallelism
+    assert "RoundRobin" not in dealt._jdf.queryExecution().executedPlan().toString()
