@@ -9,6 +9,8 @@ of shapes; ``*_classes`` return pairs of such rows, in which a_fid and b_fid are
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,28 +69,41 @@ def place_classes(points: DataFrame, polygons: DataFrame, point_columns: tuple[s
         "a_fid", "b_fid", F.when(F.col("_at") == 1, "inside").otherwise("boundary").alias("place"))
 
 
-def _by_size(a: DataFrame, b: DataFrame) -> list[tuple[DataFrame, DataFrame, bool]]:
-    """Parts of two layers that make up all pairs, and whether a part has big features (more vertices than a run has edges).
+@dataclass(frozen=True)
+class Shapes:
+    """A layer made ready to be joined: ``small`` has the features that fit a run of edges, one row per shape; ``big`` the longer ones, None without any.
 
     Features are split by their own size, so a big one doesn't move the others out of the rows they lie in.
     """
-    def count(layer: DataFrame) -> DataFrame:
-        return layer.select(F.expr(f"{x.n_points('geom')} > {outlines.RUN}").alias("big"))
-
-    found = count(a).select(F.lit(0).alias("side"), "big").unionByName(count(b).select(F.lit(1).alias("side"), "big")).filter("big").distinct().collect()
-    sides = {row.side for row in found}  # at most two rows
-    if not sides:
-        return [(a, b, False)]
-    small_a, small_b = (outlines.small(layer) if side in sides else layer for side, layer in enumerate((a, b)))
-    parts = [(small_a, small_b, False)]
-    if 0 in sides:
-        parts.append((outlines.big(a), b, True))
-    if 1 in sides:
-        parts.append((small_a, outlines.big(b), True))
-    return parts
-
-
-def intersecting_pairs(a: DataFrame, b: DataFrame, a_dim: int | None = None, b_dim: int | None = None,
+
+    small: DataFrame
+    big: DataFrame | None
+    whole: DataFrame
+
+
+def by_shape(layer: DataFrame | Shapes) -> Shapes:
+    """The layer, read and packed once; hand the result to several joins of the same layer."""
+    if isinstance(layer, Shapes):
+        return layer
+    big = outlines.big(layer)
+    if big.isEmpty():
+        return Shapes(shapes(_classes(layer)), None, layer)
+    return Shapes(shapes(_classes(outlines.small(layer))), big, layer)
+
+
+def _by_size(a: DataFrame | Shapes, b: DataFrame | Shapes) -> tuple[tuple[DataFrame, DataFrame], list[tuple[DataFrame, DataFrame]]]:
+    """Parts of two layers that make up all pairs: the packed small features, and the pairs of parts with big ones (more vertices than a run has edges)."""
+    left = by_shape(a)
+    right = left if b is a else by_shape(b)
+    parts = []
+    if left.big is not None:
+        parts.append((left.big, right.whole))
+    if right.big is not None:
+        parts.append((left.whole if left.big is None else outlines.small(left.whole), right.big))
+    return (left.small, right.small), parts
+
+
+def intersecting_pairs(a: DataFrame | Shapes, b: DataFrame | Shapes, a_dim: int | None = None, b_dim: int | None = None,
                        **options) -> DataFrame:
     """Distinct (a_fid, b_fid) of features of any kind that share a point.
 
@@ -137,7 +152,7 @@ def without_match(a: DataFrame, pairs: DataFrame) -> DataFrame:
     return a.join(pairs.select(F.col("a_fid").alias("fid")), "fid", "left_anti")
 
 
-def related_pairs(a: DataFrame, b: DataFrame, relation: str, a_dim: int | None = None, b_dim: int | None = None,
+def related_pairs(a: DataFrame | Shapes, b: DataFrame | Shapes, relation: str, a_dim: int | None = None, b_dim: int | None = None,
                   **options) -> DataFrame:
     """(a_fid, b_fid) for one of within, contains, touches, overlaps, crosses, intersects.
 
@@ -147,19 +162,17 @@ def related_pairs(a: DataFrame, b: DataFrame, relation: str, a_dim: int | None =
     return each(related_classes(a, b, relation, a_dim, b_dim, **options))
 
 
-def related_classes(a: DataFrame, b: DataFrame, relation: str, a_dim: int | None = None, b_dim: int | None = None,
+def related_classes(a: DataFrame | Shapes, b: DataFrame | Shapes, relation: str, a_dim: int | None = None, b_dim: int | None = None,
                     **options) -> DataFrame:
     """(a_fid, b_fid) as :func:`related_pairs`, by lists."""
-    out = None
-    for left, right, big in _by_size(a, b):
-        if big:
-            found = outlines.related(left, right, relation, **options).select(F.array("a_fid").alias("a_fid"), F.array("b_fid").alias("b_fid"))
-        else:
-            pairs = candidate_pairs(shapes(_classes(left)), shapes(_classes(right)), **options)
-            if relation in r.BOX_RULES:
-                pairs = pairs.filter(r.BOX_RULES[relation])
-            found = keep_pairs(pairs, r.predicate(relation, r.Side("a_", a_dim), r.Side("b_", b_dim))).select("a_fid", "b_fid")
-        out = found if out is None else out.unionByName(found)
+    (left, right), long = _by_size(a, b)
+    pairs = candidate_pairs(left, right, **options)
+    if relation in r.BOX_RULES:
+        pairs = pairs.filter(r.BOX_RULES[relation])
+    out = keep_pairs(pairs, r.predicate(relation, r.Side("a_", a_dim), r.Side("b_", b_dim))).select("a_fid", "b_fid")
+    for left, right in long:
+        found = outlines.related(left, right, relation, **options)
+        out = out.unionByName(found.select(F.array("a_fid").alias("a_fid"), F.array("b_fid").alias("b_fid")))
     return out
 
 
@@ -191,7 +204,7 @@ def _measured(pairs: DataFrame, meet: str) -> DataFrame:
                        *(F.when(~apart, F.col(f"_m.n.{c}")).alias(c) for c in ("ax", "ay", "bx", "by")))
 
 
-def near_pairs(a: DataFrame, b: DataFrame, within: float, a_dim: int | None = None, b_dim: int | None = None,
+def near_pairs(a: DataFrame | Shapes, b: DataFrame | Shapes, within: float, a_dim: int | None = None, b_dim: int | None = None,
                **options) -> DataFrame:
     """(a_fid, b_fid, dist, ax, ay, bx, by) of features at most ``within`` apart.
 
@@ -202,24 +215,17 @@ def near_pairs(a: DataFrame, b: DataFrame, within: float, a_dim: int | None = No
     return each(near_classes(a, b, within, a_dim, b_dim, **options))
 
 
-def near_classes(a: DataFrame, b: DataFrame, within: float, a_dim: int | None = None, b_dim: int | None = None,
+def near_classes(a: DataFrame | Shapes, b: DataFrame | Shapes, within: float, a_dim: int | None = None, b_dim: int | None = None,
                  **options) -> DataFrame:
     """(a_fid, b_fid, dist, ax, ay, bx, by) as :func:`near_pairs`, by lists."""
-    out = None
-    for left, right, big in _by_size(a, b):
-        if big:
-            found = _near_runs(left, right, within, a_dim, b_dim, options)
-            found = found.withColumns({"a_fid": F.array("a_fid"), "b_fid": F.array("b_fid")})
-        else:
-            found = _near_whole(left, right, within, a_dim, b_dim, options)
-        out = found if out is None else out.unionByName(found)
-    return out
-
-
-def _near_whole(a: DataFrame, b: DataFrame, within: float, a_dim: int | None, b_dim: int | None, options: dict) -> DataFrame:
+    (left, right), long = _by_size(a, b)
     # the widened box of ``a`` only selects pairs; edges and anchors are untouched by it
-    pairs = candidate_pairs(shapes(_classes(a)), shapes(_classes(b)), reach=within, **options)
-    return _measured(pairs, r.meets(r.Side("a_", a_dim), r.Side("b_", b_dim))).filter(F.col("dist") <= within).drop("d2")
+    pairs = candidate_pairs(left, right, reach=within, **options)
+    out = _measured(pairs, r.meets(r.Side("a_", a_dim), r.Side("b_", b_dim))).filter(F.col("dist") <= within).drop("d2")
+    for left, right in long:
+        found = _near_runs(left, right, within, a_dim, b_dim, options)
+        out = out.unionByName(found.withColumns({"a_fid": F.array("a_fid"), "b_fid": F.array("b_fid")}))
+    return out
 
 
 def _near_runs(a: DataFrame, b: DataFrame, within: float, a_dim: int | None, b_dim: int | None, options: dict) -> DataFrame:

@@ -66,7 +66,7 @@ def customers_per_cell(spark, sf):
     SELECT 'box x tri' AS kinds, b.fid AS a_fid, t.fid AS b_fid FROM part_box b JOIN supplier_tri t ON {_BOX_TRI}
     UNION ALL SELECT 'seg x box', a.fid, b.fid FROM part_seg a JOIN part_box b ON {_MEET}""")
 def join_intersects(spark, sf):
-    boxes, tris, segs = (layer(spark, sf, n) for n in ("part_box", "supplier_tri", "part_seg"))
+    boxes, tris, segs = (sp.by_shape(layer(spark, sf, n)) for n in ("part_box", "supplier_tri", "part_seg"))
     areas = sp.intersecting_pairs(boxes, tris, 2, 2).withColumn("kinds", F.lit("box x tri"))
     return areas.unionByName(sp.intersecting_pairs(segs, boxes, 1, 2).withColumn("kinds", F.lit("seg x box")))
 
@@ -151,7 +151,7 @@ def rel_disjoint(spark, sf):
       ON s.xmin >= b.xmin AND s.xmax <= b.xmax AND s.ymin >= b.ymin AND s.ymax <= b.ymax
          AND ((s.upright = 0 AND s.ymin > b.ymin AND s.ymin < b.ymax) OR (s.upright = 1 AND s.xmin > b.xmin AND s.xmin < b.xmax))""")
 def rel_within(spark, sf):
-    tris, boxes = layer(spark, sf, "supplier_tri"), layer(spark, sf, "part_box")
+    tris, boxes = sp.by_shape(layer(spark, sf, "supplier_tri")), sp.by_shape(layer(spark, sf, "part_box"))
     out = sp.related_pairs(boxes, tris, "within", 2, 2).withColumn("kinds", F.lit("box in tri"))
     out = out.unionByName(sp.related_pairs(layer(spark, sf, "customer_pt"), tris, "within", 0, 2).withColumn("kinds", F.lit("point in tri")))
     return out.unionByName(sp.related_pairs(layer(spark, sf, "part_seg"), boxes, "within", 1, 2).withColumn("kinds", F.lit("seg in box")))
@@ -170,7 +170,7 @@ def rel_contains(spark, sf):
       AND NOT (c.x > n.xmin AND c.x < n.xmax AND c.y > n.ymin AND c.y < n.ymax)
     UNION ALL SELECT 'seg x box', a.fid, b.fid FROM part_seg a JOIN part_box b ON {_MEET} AND NOT ({_INNER})""")
 def rel_touches(spark, sf):
-    cells, boxes = layer(spark, sf, "nation_poly"), layer(spark, sf, "part_box")
+    cells, boxes = sp.by_shape(layer(spark, sf, "nation_poly")), sp.by_shape(layer(spark, sf, "part_box"))
     out = sp.related_pairs(cells, cells, "touches", 2, 2).withColumn("kinds", F.lit("cell x cell"))
     points, segs = layer(spark, sf, "customer_pt"), layer(spark, sf, "part_seg")
     for kinds, a, b, a_dim in (("box x box", boxes, boxes, 2), ("point x cell", points, cells, 0), ("seg x box", segs, boxes, 1)):
@@ -199,7 +199,7 @@ def rel_overlaps(spark, sf):
     SELECT 'seg x box' AS kinds, a.fid AS a_fid, b.fid AS b_fid FROM part_seg a JOIN part_box b ON {_INNER} AND NOT ({_A_IN_B})
     UNION ALL SELECT 'seg x seg', a.fid, b.fid FROM part_seg a JOIN part_seg b ON a.upright <> b.upright AND {_INNER}""")
 def rel_crosses(spark, sf):
-    boxes, segs = layer(spark, sf, "part_box"), layer(spark, sf, "part_seg")
+    boxes, segs = (sp.by_shape(layer(spark, sf, n)) for n in ("part_box", "part_seg"))
     return sp.related_pairs(segs, boxes, "crosses", 1, 2).withColumn("kinds", F.lit("seg x box")).unionByName(
         sp.related_pairs(segs, segs, "crosses", 1, 1).withColumn("kinds", F.lit("seg x seg")))
 

@@ -76,6 +76,30 @@ def test_geometries_of_a_small_file_are_made_by_all_tasks(spark):
     assert _tuples(made, "fid", "p_size", "geom") == _tuples(fixtures.layer(spark, sf, "part_box"), "fid", "p_size", "geom")
 
 
+def test_a_layer_is_read_and_packed_once_for_all_its_joins(spark, monkeypatch):
+    calls = []
+    packed = sp.packed
+    monkeypatch.setattr(sp, "packed", lambda *args: calls.append(1) or packed(*args))
+    lines = _layer(spark, [(i, f"LINESTRING(0 {i},9 {i})") for i in range(5)] + [(9, "LINESTRING(4 -1,4 9)")])
+    assert _tuples(sp.related_pairs(lines, lines, "crosses", 1, 1), "a_fid", "b_fid") == sorted([*((i, 9) for i in range(5) if i), *((9, i) for i in range(5) if i), (0, 9), (9, 0)], key=repr)
+    assert len(calls) == 1
+    ready = sp.by_shape(lines)
+    areas = _layer(spark, [(1, "POLYGON((3 -2,5 -2,5 2.5,3 2.5,3 -2))")])
+    assert _tuples(sp.intersecting_pairs(ready, areas, 1, 2), "a_fid") == [(0,), (1,), (2,), (9,)]
+    assert _tuples(sp.near_pairs(ready, ready, 1.0, 1, 1), "a_fid", "b_fid") == _tuples(sp.near_pairs(lines, lines.limit(9), 1.0, 1, 1), "a_fid", "b_fid")
+    assert len(calls) == 5
+
+
+def test_big_features_of_a_layer_that_is_ready(spark):
+    ring = ",".join(f"{i} 0" for i in range(300)) + ",299 9,0 9,0 0"
+    a = _layer(spark, [(1, f"POLYGON(({ring}))"), (2, "POLYGON((5 5,7 5,7 7,5 7,5 5))"), (3, None)])
+    b = _layer(spark, [(i, f"LINESTRING({i} -3,{i} 12)") for i in (6, 100, 400)])
+    expected = [(1, 100), (1, 6), (2, 6)]
+    assert _tuples(sp.related_pairs(sp.by_shape(a), sp.by_shape(b), "intersects", 2, 1), "a_fid", "b_fid") == expected
+    assert _tuples(sp.related_pairs(sp.by_shape(b), a, "crosses", 1, 2), "a_fid", "b_fid") == sorted(((j, i) for i, j in expected), key=repr)
+    assert (1, 1) in _tuples(sp.intersecting_pairs(sp.by_shape(a), sp.by_shape(a)), "a_fid", "b_fid")
+
+
 def test_rows_are_read_twice_to_be_packed(spark):
     seen = spark.sparkContext.accumulator(0)
 
