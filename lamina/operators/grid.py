@@ -244,5 +244,6 @@ def box_classes(a: DataFrame, b: DataFrame, where: str | None = None, **options)
     def one(side: DataFrame) -> DataFrame:
         return packed(side.filter("xmin IS NOT NULL AND ymin IS NOT NULL"), list(BOUNDS))
 
-    pairs = candidate_pairs(one(a), one(b), **options)
+    mine = one(a)
+    pairs = candidate_pairs(mine, mine if b is a else one(b), **options)
     return (pairs.filter(where) if where else pairs).select("a_fid", "b_fid")

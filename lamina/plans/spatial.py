@@ -95,7 +95,8 @@ def _box_query(key, other, where, spark_where):
 
     @query(key, with_layers(*names) + f"SELECT a.fid AS a_fid, b.fid AS b_fid FROM part_box a JOIN {other} b ON {where}")
     def run(spark, sf):
-        return grid.box_pairs(rows(spark, sf, "part_box"), rows(spark, sf, other), spark_where)
+        boxes = rows(spark, sf, "part_box")
+        return grid.box_pairs(boxes, boxes if other == "part_box" else rows(spark, sf, other), spark_where)
 
 
 _box_query("mbr_touches", "nation_poly", f"{_MEET} AND NOT ({_INNER})", x.mbr_touching("a", "b", "_"))
