@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from inspect import ismethod
+from weakref import WeakMethod
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -59,14 +61,19 @@ def matched(rows: DataFrame, keys: DataFrame, on: list[str], keep: bool = True,
 
 
 class Memo(dict):
-    """A dict that computes missing values and forgets everything when ``room`` keys are held, so its memory is bounded."""
+    """A dict that computes missing values and forgets everything when ``room`` keys are held, so its memory is bounded.
+
+    A method is held weakly: its owner mostly holds the memo, and a cycle of the two would stay in the worker after its task, one for
+    each task, until Python happens to collect the oldest objects.
+    """
 
     def __init__(self, compute, room: int = 400_000, longest: int = 64):
         super().__init__()
-        self.compute, self.room, self.longest = compute, room, longest
+        self.compute = WeakMethod(compute) if ismethod(compute) else lambda: compute
+        self.room, self.longest = room, longest
 
     def __missing__(self, key: str):
-        value = self.compute(key)
+        value = self.compute()(key)
         if len(key) <= self.longest:
             if len(self) >= self.room:
                 self.clear()

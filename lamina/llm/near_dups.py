@@ -21,10 +21,10 @@ about ``MISS``.  Intermediate tables lie in the shared folder, so a lost executo
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -34,6 +34,9 @@ from pyspark.sql import types as T
 from lamina.llm.common import Memo, blocks, matched, quoted
 from lamina.session import cut_lineage
 
+if TYPE_CHECKING:  # only the blocks of clusters need it: other tasks don't load it
+    import pandas as pd
+
 BANDS, ROWS = 32, 4
 BATCH = 16  # signature values compared at once
 MISS = 1e-6  # chance of dropping a pair that reaches the threshold, a batch
@@ -173,7 +176,7 @@ def likely(least: list[int], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return alive
 
 
-def _signatures(column: pd.Series) -> np.ndarray:
+def _signatures(column: Sequence[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype=np.uint32).reshape(len(column), -1)
 
 
@@ -181,13 +184,14 @@ def pruned(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that the sequential comparison of signatures leaves."""
     least = survives(percent)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            if len(f):
-                yield f.iloc[likely(least, _signatures(f["sa"]), _signatures(f["sb"]))][["a", "b"]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                sa, sb = (_signatures(batch.column(i).to_pylist()) for i in (2, 3))
+                yield batch.select(["a", "b"]).take(pa.array(likely(least, sa, sb)))
 
     both = pairs.join(nodes.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a").join(nodes.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
-    return both.select("a", "b", "sa", "sb").mapInPandas(run, "a long, b long")
+    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 def agree(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
@@ -211,13 +215,14 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, p
     """Pairs that hold on their full sets."""
     sets = sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), docs, nodes, width)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            keep = [agree(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), percent) for x, y in zip(f["xa"], f["xb"])]
-            yield f.loc[keep, ["a", "b"]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            xa, xb = batch.column(2), batch.column(3)  # compared where they lie
+            keep = [agree(np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64), percent) for x, y in zip(xa, xb)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, type=pa.bool_()))
 
     both = pairs.join(sets.toDF("a", "xa"), "a").join(sets.toDF("b", "xb"), "b").select("a", "b", "xa", "xb")
-    return both.mapInPandas(run, "a long, b long")
+    return both.mapInArrow(run, "a long, b long")
 
 
 def blockwise(members: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -233,6 +238,8 @@ def blockwise(members: DataFrame, docs: DataFrame, nodes: DataFrame, width: int,
     sizes = held.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.octet_length("shingles")) / BLOCK_SET_BYTES)).alias("k"))
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
+        import pandas as pd
+
         left, right = f[f["side"] != 2], f[f["side"] != 1]
         sa, sb, out, done = _signatures(left["sig"]), _signatures(right["sig"]), [], set()
         na, nb, ca, cb = (x.to_numpy() for x in (left["node"], right["node"], left["comp"], right["comp"]))

@@ -406,11 +406,11 @@ def _thresholds(held: DataFrame, model: Model) -> dict[str, float]:
     every = counts.groupBy("y", "step").agg(F.sum("n").alias("n")).toPandas()  # at most two for each step
     general = best_threshold(every["step"].to_numpy() / STEPS, every["y"].to_numpy() == 1, counts=every["n"].to_numpy())
 
-    def own(rows):
+    def own(rows: pa.Table) -> pa.Table:
         cut = best_threshold(rows["step"].to_numpy() / STEPS, rows["y"].to_numpy() == 1, general, counts=rows["n"].to_numpy())
-        return rows.head(1)[["lang"]].assign(cut=cut)
+        return pa.table({"lang": rows["lang"].slice(0, 1), "cut": pa.array([cut], type=pa.float64())})
 
-    by = counts.where("lang IS NOT NULL").groupBy("lang").applyInPandas(own, "lang string, cut double").collect()
+    by = counts.where("lang IS NOT NULL").groupBy("lang").applyInArrow(own, "lang string, cut double").collect()
     return {FALLBACK: general, **{r["lang"]: r["cut"] for r in sorted(by, key=lambda r: r["lang"])}}
 
 

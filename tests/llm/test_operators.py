@@ -694,3 +694,36 @@ def test_decoding_keeps_null_and_empty_lists_apart_from_their_neighbours(spark):
     tokens = bpe.Vocabulary.load(path).tokens
     lists = spark.createDataFrame([(i, None if i % 5 == 1 else v) for i, v in whole.items()], "id long, ids array<int>").coalesce(1)
     assert {r.id: r.decoded for r in bpe.decode(lists, path).collect()} == {i: " ".join(tokens[k] for k in v) for i, v in whole.items()}
+
+
+def test_a_task_leaves_no_memo_in_its_worker():
+    import gc
+    import weakref
+
+    import public_tokenizers
+
+    from lamina.llm import token_counts
+
+    vocabulary = bpe.Vocabulary.load(public_tokenizers.path("word_bpe_49k.json"))
+    gc.disable()
+    try:
+        for make in (lambda: bpe.WordEncoder(vocabulary), lambda: token_counts.Counter(vocabulary, frozenset())):
+            made = make()
+            made.encode("two words") if hasattr(made, "encode") else made.count("two words")
+            assert made.memo
+            memo = weakref.ref(made.memo)
+            del made
+            assert memo() is None
+    finally:
+        gc.enable()
+
+
+def test_candidates_are_compared_without_pandas(spark):
+    from lamina.llm import near_dups
+
+    sets = {1: range(1, 101), 2: range(6, 101), 3: range(51, 151)}
+    sigs = [(n, bytearray(near_dups.signature([near_dups._mixed(np.array(s, dtype=np.uint64))])[0].tobytes())) for n, s in sets.items()]
+    nodes = spark.createDataFrame(sigs, "node long, sig binary")
+    found = near_dups.pruned(spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long"), nodes, 80)
+    assert [tuple(r) for r in found.collect()] == [(1, 2)]
+    assert "InPandas" not in found._jdf.queryExecution().executedPlan().toString()
