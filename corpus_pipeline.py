@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.llm import bpe, decontaminate, near_dups, pii, toxicity
+from lamina.llm.common import small_batches
 from lamina.llm.queries import PII_KEY, held_out
 from lamina.session import cut_lineage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score stays below the threshold of their language."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     classifier = toxicity.train(docs, labels, use=~held_out(F.col("doc_id")))
     return toxicity.score(docs, classifier).where("NOT toxic").select(*docs.columns)
@@ -24,6 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies: five-word shingles, similarity 0.8."""
+    small_batches(spark)
     return near_dups.drop_near_duplicates(docs, width=5, percent=80)
 
 
@@ -44,7 +47,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, token ids and their number for every document left."""
     import public_tokenizers
 
-    coded = bpe.encode(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), room=100_000)
+    small_batches(spark)
+    # ids take the place of the text, which isn't handed back
+    coded = bpe.encode(docs.select("doc_id", F.col("text").alias("ids")), public_tokenizers.path("word_bpe_49k.json"), text="ids", room=100_000)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.llm.common import Memo, adds, blocks, quoted
+from lamina.llm.common import Memo, adds, beside_text, blocks, quoted
 
 BLOCK_BYTES = 1_000_000  # text or ids worked on at once by a Python worker
 ROOM = 400_000  # chunks a Python worker remembers
@@ -168,12 +168,12 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "
     """
     shared = df.sparkSession.sparkContext.broadcast(vars(Vocabulary.load(vocabulary_path)))
     kept = adds(df, ids)
-    given = df.select(*quoted(kept), F.col(quoted([text])[0]).cast("string").alias("__text"))
+    given, words = beside_text(df, kept, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(Vocabulary(**shared.value), room=room)
         for batch in batches:
-            for part, texts in blocks(batch, "__text", BLOCK_BYTES):
+            for part, texts in blocks(batch, words, BLOCK_BYTES):
                 yield _with(part, kept, _lists([encoder.encode(t) for t in texts]), ids)
 
     schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(ids, T.ArrayType(T.IntegerType()))])

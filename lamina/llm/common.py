@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from inspect import ismethod
 from weakref import WeakMethod
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SMALL_KEYS = 1_000_000  # keys of two longs that are broadcast as they are
 FILTER_WORDS = 1 << 20  # 64-bit words of a filter: 64 million bits
+BATCH_BYTES = 4 << 20  # of an Arrow batch of a session with small batches; the row that fills it may be of any length
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 BLOCK_BYTES = 4_000_000  # text worked on at once in a Python task; a longer single text is a block of its own
 
 
@@ -25,6 +29,24 @@ def quoted(names: list[str]) -> list[str]:
     return ["`" + n.replace("`", "``") + "`" for n in names]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python workers in batches of BATCH_BYTES from now on, unless the session asks for smaller ones.
+
+    An executor holds a batch several times outside its heap (as vectors that double their room, and in the buffer of the worker's
+    stream), once for each task and side, and keeps part of that room; the default of 64 MB comes on top of a full heap.
+    """
+    number, unit = re.fullmatch(r"\s*(\d+)\s*([a-z]*)\s*", spark.conf.get(BATCH_SETTING).lower()).groups()
+    if int(number) << 10 * "bkmgtp".index(unit[:1] or "b") > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
+def beside_text(df: DataFrame, kept: list[str], text: str) -> tuple[DataFrame, str]:
+    """(``df`` with the columns ``kept`` and its text as a string, the name of that column): a kept string isn't sent to workers twice."""
+    if text in kept and df.schema[text].dataType == T.StringType():
+        return df.select(*quoted(kept)), text
+    return df.select(*quoted(kept), F.col(quoted([text])[0]).cast("string").alias("__text")), "__text"
+
+
 def blocks(batch: pa.RecordBatch, column: str, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Slices of a batch whose values in ``column`` (text, or lists of 4 bytes an item) take about ``block_bytes``, with those values.
 

@@ -15,11 +15,10 @@ from dataclasses import dataclass
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.llm.bpe import Vocabulary, byte_letters
-from lamina.llm.common import Memo, adds, blocks, quoted
+from lamina.llm.common import Memo, adds, beside_text, blocks
 
 # The pre-token pattern of the byte-level vocabulary.
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -103,13 +102,13 @@ def count_tokens(df: DataFrame, vocabulary_path: str, text: str = "text", n_toke
     vocabulary = Vocabulary.load(vocabulary_path)
     shared = df.sparkSession.sparkContext.broadcast((vars(vocabulary), whole_tokens(vocabulary)))
     kept = adds(df, n_tokens)
-    given = df.select(*quoted(kept), F.col(quoted([text])[0]).cast("string").alias("__text"))
+    given, own_text = beside_text(df, kept, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields, whole = shared.value
         counter = Counter(Vocabulary(**fields), whole)
         for batch in batches:
-            for part, texts in blocks(batch, "__text"):
+            for part, texts in blocks(batch, own_text):
                 values = pa.array([counter.count(t) for t in texts], type=pa.int64())
                 yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), values], names=[*kept, n_tokens])
 

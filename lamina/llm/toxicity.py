@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.llm.common import SMALL_KEYS, Memo, adds, blocks, quoted
+from lamina.llm.common import SMALL_KEYS, Memo, adds, beside_text, blocks, quoted
 from lamina.session import cut_lineage
 
 BUCKETS = 1 << 17
@@ -458,12 +458,12 @@ def score(df: DataFrame, classifier: Classifier, text: str = "text", lang: str =
     m = classifier.model
     shared = df.sparkSession.sparkContext.broadcast((m.embedding, m.filters, m.bias, m.out, m.base))
     kept = adds(df, "score", "threshold", "toxic")
-    given = df.select(*quoted(kept), F.col(quoted([text])[0]).cast("string").alias("__text"))
+    given, own_text = beside_text(df, kept, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, reader = Model(*shared.value), Reader()
         for batch in batches:
-            for part, texts in blocks(batch, "__text", 1_000_000):
+            for part, texts in blocks(batch, own_text, 1_000_000):
                 values = pa.array(model.score(*reader(texts)).astype(np.float64))
                 yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), values], names=[*kept, "score"])
 

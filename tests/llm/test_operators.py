@@ -727,3 +727,44 @@ def test_candidates_are_compared_without_pandas(spark):
     found = near_dups.pruned(spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long"), nodes, 80)
     assert [tuple(r) for r in found.collect()] == [(1, 2)]
     assert "InPandas" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("add", [lambda df, path: bpe.encode(df, path), lambda df, path: token_counts.count_tokens(df, path, n_tokens="n"), lambda df, _: toxicity.score(df, toxicity._flat(0.5))])
+def test_a_text_goes_to_the_workers_once(spark, odd, add):
+    path = public_tokenizers.path("word_bpe_49k.json") if add.__code__.co_names[1] == "encode" else public_tokenizers.path("byte_bpe_50k.json")
+    rows = add(odd, path)
+    assert "__text" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert [r.text for r in rows.orderBy("doc_id").collect()] == [r.text for r in odd.orderBy("doc_id").collect()]
+    # a text that isn't a string is still read as one
+    as_bytes = add(odd.withColumn("text", F.col("text").cast("binary")), path)
+    assert sorted(map(str, as_bytes.drop("text").collect())) == sorted(map(str, rows.drop("text").collect()))
+
+
+def test_pipeline_bounds_the_batches_of_its_workers(spark):
+    import corpus_pipeline
+    from lamina.llm import common
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    long = "word " * 1_500_000  # more than a batch holds
+    rows = spark.createDataFrame([(i, "a b c " * 20_000) for i in range(100)] + [(100, long), (101, None)], "doc_id long, text string").coalesce(1)
+    before = spark.conf.get(common.BATCH_SETTING)
+    try:
+        for _, stage in (corpus_pipeline.STAGES[i] for i in (0, 1, 4)):
+            spark.conf.unset(common.BATCH_SETTING)
+            stage(spark, docs, sf)
+            assert spark.conf.get(common.BATCH_SETTING) == str(common.BATCH_BYTES)
+
+        def sizes(batches):
+            for b in batches:
+                yield b.slice(0, 1).select(["doc_id"]).append_column("n", [b.nbytes]).append_column("rows", [b.num_rows])
+
+        got = rows.mapInArrow(sizes, "doc_id long, n long, rows long").collect()
+        assert sum(r.rows for r in got) == 102 and sorted(r.n for r in got)[-2] <= 1.2 * common.BATCH_BYTES  # one holds the long text
+        assert {r.doc_id: r.n_tokens for r in corpus_pipeline.encode(spark, rows, sf).collect()} == {**{i: 60_000 for i in range(100)}, 100: 1_500_000, 101: 0}
+        for asked, kept in (("2m", "2m"), ("1gb", str(common.BATCH_BYTES)), ("4194304", "4194304")):
+            spark.conf.set(common.BATCH_SETTING, asked)
+            common.small_batches(spark)
+            assert spark.conf.get(common.BATCH_SETTING) == kept
+    finally:
+        spark.conf.set(common.BATCH_SETTING, before)
